@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tapewright.catalogue import query, standins
 from tapewright.catalogue.standins import sql
+from tapewright.dims import literal_frame
 from tapewright.operators import joins
 from tapewright.plans import reports
 from tapewright.sources.tables import parquet
@@ -141,8 +142,8 @@ FROM (SELECT l_returnflag AS series_code FROM lineitem)
 LEFT JOIN (VALUES ('A', 'Accepted'), ('R', 'Returned')) AS names(series_code, series_name) USING (series_code)
 GROUP BY 1, 2""")
 def name_lookup_default(spark, sf):
-    names = spark.createDataFrame(
-        [("A", "Accepted"), ("R", "Returned")], "series_code string, series_name string"
+    names = literal_frame(
+        spark, [("A", "Accepted"), ("R", "Returned")], "series_code", "series_name"
     )
     rows = parquet(spark, sf, "lineitem").select(F.col("l_returnflag").alias("series_code"))
     named = joins.name_lookup(rows, names, "series_code", "series_name")

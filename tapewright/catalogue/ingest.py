@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tapewright import schemas, sinks
 from tapewright.catalogue import query, standins
 from tapewright.catalogue.standins import sql
+from tapewright.dims import literal_frame
 from tapewright.operators import clean
 from tapewright.session import shared_folder
 from tapewright.sources import messages, payloads
@@ -69,7 +70,7 @@ def _arrays(entries: str):
 
 
 def _filing_payloads(spark, sf):
-    """Pages of parallel arrays per company, each of at most 1,000 filings."""
+    """Pages of parallel arrays per group of customers, each of at most 1,000 filings."""
     entry = F.struct(
         F.col("o_orderkey").alias("k"),
         F.col("o_orderpriority").alias("form"),
@@ -81,15 +82,15 @@ def _filing_payloads(spark, sf):
     block = F.floor(F.col("o_orderkey") / 1000)
     return (
         parquet(spark, sf, "orders")
-        .groupBy(F.col("o_custkey").cast("string").alias("ticker"), block.alias("block"))
+        .groupBy(F.floor(F.col("o_custkey") / 100).cast("string").alias("ticker"), block.alias("block"))
         .agg(F.array_sort(F.collect_list(entry)).alias("entries"))
         .select("ticker", "block", _arrays("entries").alias("arrays"))
     )
 
 
 FLAT_FILINGS = """
-WITH e AS (SELECT *, CAST(o_custkey AS VARCHAR) AS ticker, o_orderkey // 1000 AS block,
-    row_number() OVER (PARTITION BY o_custkey, o_orderkey // 1000 ORDER BY o_orderkey DESC) AS from_end
+WITH e AS (SELECT *, CAST(o_custkey // 100 AS VARCHAR) AS ticker, o_orderkey // 1000 AS block,
+    row_number() OVER (PARTITION BY o_custkey // 100, o_orderkey // 1000 ORDER BY o_orderkey DESC) AS from_end
   FROM orders)
 SELECT ticker, lpad(ticker, 10, '0') AS cik, 'Company ' || ticker AS company_name, o_orderpriority AS form_type,
        strftime(o_orderdate, '%Y-%m-%d') AS filed_at,
@@ -159,7 +160,7 @@ SELECT series_code, CASE series_code WHEN '1-URGENT' THEN 'Urgent orders' ELSE s
        strftime(date, '%Y-%m-%d') AS date, value
 FROM market WHERE CAST(floor(value) AS BIGINT) % 7 <> 0 AND date >= DATE '1996-01-01'""", "market"))
 def flatten_observations(spark, sf):
-    names = spark.createDataFrame([("1-URGENT", "Urgent orders")], "series_code string, series_name string")
+    names = literal_frame(spark, [("1-URGENT", "Urgent orders")], "series_code", "series_name")
     points = payloads.observations(
         _observation_payloads(spark, sf), "payload", "series_code", names, dt.date(1996, 1, 1), RUN
     )

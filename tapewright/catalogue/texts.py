@@ -48,8 +48,8 @@ def tag_rules(spark, sf):
 
 
 @query("tag_rules_words", r"""
-SELECT doc_id, CASE WHEN regexp_matches(lower(text), '\b(?:the|and)\b') THEN 'english'
-  WHEN regexp_matches(lower(text), '\b(?:le|la)\b') THEN 'french' ELSE 'other' END AS category
+SELECT doc_id, CASE WHEN regexp_matches(lower(text), '(?:^|[^\p{L}\p{N}_])(?:the|and)(?:$|[^\p{L}\p{N}_])') THEN 'english'
+  WHEN regexp_matches(lower(text), '(?:^|[^\p{L}\p{N}_])(?:le|la)(?:$|[^\p{L}\p{N}_])') THEN 'french' ELSE 'other' END AS category
 FROM documents""")
 def tag_rules_words(spark, sf):
     """Whole words only, over whole texts."""

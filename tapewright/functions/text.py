@@ -18,7 +18,9 @@ def has_any(text: Column, terms: Sequence[str], mode: str = "substring") -> Colu
     if mode == "substring":
         return reduce(or_, [text.contains(t) for t in terms])
     if mode == "word":
-        return text.rlike(r"\b(?:" + "|".join(re.escape(t) for t in terms) + r")\b")
+        # Spelled out: what \b takes for a letter depends on the Java version.
+        other = r"[^\p{L}\p{N}_]"
+        return text.rlike(f"(?:^|{other})(?:{'|'.join(map(re.escape, terms))})(?:$|{other})")
     raise ValueError(f"unknown mode {mode!r}")
 
 

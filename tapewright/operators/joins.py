@@ -28,33 +28,57 @@ def date_window_count(
     reduces the left side to distinct rows of those columns.  ``weight`` is the
     number of rows a right row stands for, when it holds counts already.
 
-    The right side is counted per day before anything else, and each day is
-    spread over the 2N+1 days it can reach.  No pair of a left and a right row
-    is ever formed, and the left side needs no exchange: without ``on`` the
-    spread counts hold at most one row per calendar day, so they are broadcast.
-    With ``on`` their size has no such bound, and Spark picks the join from the
-    sizes it sees at run time.
+    The right side is counted per day before anything else, and no pair of a
+    left and a right row is ever formed.  Without ``on`` each day's count is
+    spread over the 2N+1 days it can reach; that table holds at most one row
+    per calendar day, so it is broadcast and the left side needs no exchange.
+    With ``on`` the days of each key, at most one row per calendar day, pass
+    through a window of 2N+1 days.
     """
     if by is not None:
         left = left.select(*by).distinct()
-    daily = (
-        right.filter(F.col(right_day).isNotNull())
-        .groupBy(*on, F.col(right_day).alias("_day"))
-        .agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("_n"))
+    rows = F.col(weight) if weight else F.lit(1)
+    right = right.filter(F.col(right_day).isNotNull()).select(
+        *on, F.col(right_day).alias("_day"), rows.cast("bigint").alias("_n")
     )
+    if on:
+        near = _near_by_key(left, right, left_day, n_days, on, count, gap)
+    else:
+        near = F.broadcast(_near_by_day(right, left_day, n_days, count, gap))
+    return left.join(near, [*on, left_day], "left").withColumn(
+        count, F.coalesce(F.col(count), F.lit(0).cast("bigint"))
+    )
+
+
+def _near_by_day(right: DataFrame, day: str, n_days: int, count: str, gap: str) -> DataFrame:
+    daily = right.groupBy("_day").agg(F.sum("_n").alias("_n"))
     reach = F.explode(F.sequence(F.date_sub("_day", n_days), F.date_add("_day", n_days)))
-    spread = (
-        daily.select(*on, "_n", "_day", reach.alias(left_day))
-        .groupBy(*on, left_day)
+    return (
+        daily.select("_n", "_day", reach.alias(day))
+        .groupBy(day)
         .agg(
             F.sum("_n").alias(count),
-            F.min(dates.day_gap(F.col(left_day), F.col("_day"))).alias(gap),
+            F.min(dates.day_gap(F.col(day), F.col("_day"))).alias(gap),
         )
     )
-    if not on:
-        spread = F.broadcast(spread)
-    return left.join(spread, [*on, left_day], "left").withColumn(
-        count, F.coalesce(F.col(count), F.lit(0).cast("bigint"))
+
+
+def _near_by_key(
+    left: DataFrame, right: DataFrame, day: str, n_days: int, on: Sequence[str], count: str, gap: str
+) -> DataFrame:
+    wanted = left.filter(F.col(day).isNotNull()).select(
+        *on, F.col(day).alias("_day"), F.lit(None).cast("bigint").alias("_n")
+    )
+    calendar = right.unionByName(wanted).groupBy(*on, "_day").agg(F.sum("_n").alias("_n"))
+    line = Window.partitionBy(*on).orderBy(F.unix_date("_day"))
+    seen = F.when(F.col("_n").isNotNull(), F.col("_day"))
+    before = F.datediff("_day", F.last(seen, True).over(line.rangeBetween(-n_days, 0)))
+    after = F.datediff(F.first(seen, True).over(line.rangeBetween(0, n_days)), "_day")
+    return calendar.select(
+        *on,
+        F.col("_day").alias(day),
+        F.sum("_n").over(line.rangeBetween(-n_days, n_days)).alias(count),
+        F.least(before, after).alias(gap),
     )
 
 
@@ -77,25 +101,32 @@ def asof_join(
     matched day stays NULL.  ``direction`` may also be backward or forward,
     and ``tolerance`` limits the distance in days.
 
-    Both sides are reduced to one row per key and day before the ordered
-    window, so no group is longer than the calendar; the left rows themselves
-    are only looked up by day.
+    Both sides are reduced to one row per key and day, together and in one
+    exchange, before the ordered window: no group is longer than the calendar.
+    The left rows themselves are only looked up by day.
     """
     if direction not in ("nearest", "backward", "forward"):
         raise ValueError(f"unknown direction {direction!r}")
-    order = [F.col(c) for c in (last_by or values)]
-    points = (
-        series.filter(F.col(series_day).isNotNull())
-        .groupBy(*by, F.col(series_day).alias("_day"))
-        .agg(F.max_by(F.struct(*values), F.struct(*order)).alias("_v"))
-        .select(*by, "_day", F.struct(F.col("_day").alias("day"), F.col("_v")).alias("_point"))
+    order = list(last_by or values)
+    clock = F.col(order[0]) if len(order) == 1 else F.struct(*order)
+    points = series.filter(F.col(series_day).isNotNull()).select(
+        *by, F.col(series_day).alias("_day"), F.lit(1).alias("_known"), F.lit(None).cast("int").alias("_wanted"),
+        clock.alias("_clock"), *[F.col(v).alias(f"_v{i}") for i, v in enumerate(values)],
     )
-    wanted = (
-        left.filter(F.col(left_day).isNotNull())
-        .select(*by, F.col(left_day).alias("_day"))
-        .distinct()
+    wanted = left.filter(F.col(left_day).isNotNull()).select(
+        *by, F.col(left_day).alias("_day"), F.lit(1).alias("_wanted")
+    )
+    numbered = [f"_v{i}" for i in range(len(values))]
+    calendar = (
+        points.unionByName(wanted, allowMissingColumns=True)
+        .groupBy(*by, "_day")
+        .agg(
+            F.max("_known").alias("_known"),
+            F.max("_wanted").alias("_wanted"),
+            *[F.max_by(v, "_clock").alias(v) for v in numbered],
+        )
+        .withColumn("_point", F.when(F.col("_known") == 1, F.struct(F.col("_day").alias("day"), *numbered)))
     )
-    calendar = wanted.withColumn("_wanted", F.lit(True)).join(points, [*by, "_day"], "full")
     line = Window.partitionBy(*by).orderBy("_day")
     before = F.last("_point", True).over(line.rowsBetween(Window.unboundedPreceding, 0))
     after = F.first("_point", True).over(line.rowsBetween(0, Window.unboundedFollowing))
@@ -110,7 +141,7 @@ def asof_join(
     }[direction]
     found = (
         calendar.withColumns({"_before": before, "_after": after})
-        .filter("_wanted")
+        .filter("_wanted = 1")
         .withColumn("_hit", chosen)
     )
     if tolerance is not None:
@@ -120,7 +151,7 @@ def asof_join(
         *by,
         F.col("_day").alias(left_day),
         F.col("_hit.day").alias(matched),
-        *[F.col(f"_hit._v.{v}").alias(v) for v in values],
+        *[F.col(f"_hit.{n}").alias(v) for n, v in zip(numbered, values)],
     )
     if not by:
         found = F.broadcast(found)  # at most one row per calendar day

@@ -149,7 +149,7 @@ def bars(
 
     ``order`` breaks ties between rows of the same time.
     """
-    clock = F.struct(time, *order)
+    clock = F.struct(time, *order) if order else F.col(time)
     return df.groupBy(F.col(key).alias("ticker"), F.to_date(time).alias(day)).agg(
         F.min_by(price, clock).alias("open"),
         F.max(price).alias("high"),

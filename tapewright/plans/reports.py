@@ -265,11 +265,15 @@ def sentiment_counts(feed: DataFrame) -> DataFrame:
 def coverage(
     filings: DataFrame, news: DataFrame, n_days: int = 7, on: Sequence[str] = (), by: Sequence[str] | None = None
 ) -> DataFrame:
-    """News around each filing: how many articles, and how many days away the nearest."""
+    """News around each filing: how many articles, and how many days away the nearest.
+
+    ``by`` gives a coarser grain: one row per distinct combination of those columns.
+    """
     if not 1 <= n_days <= 14:
         raise ValueError("the window is 1 to 14 days")
-    by = by or ("accession_number", "ticker", "company_name", "form_type", "filed_at")
-    return joins.date_window_count(filings.select(*by), news, "filed_at", "date_only", n_days, on)
+    if by is None:
+        filings = filings.select("accession_number", "ticker", "company_name", "form_type", "filed_at")
+    return joins.date_window_count(filings, news, "filed_at", "date_only", n_days, on, by)
 
 
 def top_coverage(covered: DataFrame, k: int = 50, tie: str = "accession_number") -> DataFrame:

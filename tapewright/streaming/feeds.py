@@ -69,6 +69,11 @@ def decoded(stream: DataFrame, schema: T.StructType, required: Sequence[str]) ->
     return messages.decode(stream, schema).dropna(subset=list(required))
 
 
+def _clocked(stream: DataFrame, time: str, delay: str) -> DataFrame:
+    """Watermark on ``time``; a time without zone is taken in the session's zone."""
+    return stream.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, delay)
+
+
 def dedupe(
     stream: DataFrame, keys: Sequence[str], time: str, delay: str, spread: Column | None = None
 ) -> DataFrame:
@@ -77,7 +82,7 @@ def dedupe(
     With ``spread`` (a hash of the row) the rows of a key are first deduped in
     salted groups, so a hot key does not end up whole in one state partition.
     """
-    marked = stream.withWatermark(time, delay)
+    marked = _clocked(stream, time, delay)
     if spread is not None:
         salted = marked.withColumn("_salt", F.pmod(spread, F.lit(SALTS)))
         marked = salted.dropDuplicatesWithinWatermark([*keys, "_salt"]).drop("_salt")
@@ -155,7 +160,7 @@ def alerts(
 def weekly_counts(stream: DataFrame, time: str, key: str, delay: str, offset: str = "4 days") -> DataFrame:
     """Rows per week (from Monday) and key; a week is final once the watermark passed it."""
     return (
-        stream.withWatermark(time, delay)
+        _clocked(stream, time, delay)
         .groupBy(F.window(time, "7 days", startTime=offset), key)
         .agg(F.count(F.lit(1)).alias("n"))
         .select(F.to_date("window.start").alias("week_start"), key, "n")
