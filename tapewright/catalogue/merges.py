@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tapewright import sinks
 from tapewright.catalogue import query
-from tapewright.operators import merge
+from tapewright.operators import dedupe, merge, series
 from tapewright.session import shared_folder
 from tapewright.sources.tables import parquet
 
@@ -66,8 +66,6 @@ FROM o FULL JOIN n USING (ticker, date)"""
 
 
 def _bar_parts(spark, sf):
-    from tapewright.operators import series
-
     events = parquet(spark, sf, "events")
 
     def bars(without: str):
@@ -156,11 +154,9 @@ def bulk_reset(spark, sf):
 @query("null_key_rejects", """
 SELECT l_orderkey, l_partkey FROM lineitem WHERE l_quantity <= 1 OR l_discount = 0""")
 def null_key_rejects(spark, sf):
-    from tapewright.operators.dedupe import null_key_rejects as rejects
-
     rows = parquet(spark, sf, "lineitem").select(
         "l_orderkey", "l_partkey",
         F.when(F.col("l_quantity") > 1, F.col("l_orderkey")).alias("key_one"),
         F.when(F.col("l_discount") != 0, F.col("l_partkey")).alias("key_two"),
     )
-    return rejects(rows, ["key_one", "key_two"]).select("l_orderkey", "l_partkey")
+    return dedupe.null_key_rejects(rows, ["key_one", "key_two"]).select("l_orderkey", "l_partkey")

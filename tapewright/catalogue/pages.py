@@ -33,7 +33,7 @@ SELECT page_id, CAST(pos AS INTEGER) AS pos,
        CASE WHEN starts_with(link, 'http') THEN link ELSE regexp_replace(url, '/[^/]*$', '') || '/' || link END AS link
 FROM e""")
 def all_links(spark, sf):
-    return page_links(parquet(spark, sf, "pages"), strings.ANY_LINK, below=None)
+    return page_links(parquet(spark, sf, "pages"), strings.ANY_LINK, below=None).drop("chars")
 
 
 def _linked(spark, sf):

@@ -10,6 +10,7 @@ from tapewright.catalogue import query, standins
 from tapewright.catalogue.coverage import BANDS
 from tapewright.catalogue.standins import ALL_TIME, CODES, COLUMNS, EVENT_TYPES, sql
 from tapewright.operators import correlation, series
+from tapewright.operators.dedupe import nth_per_key
 from tapewright.plans import reports
 from tapewright.sources.tables import parquet
 
@@ -40,8 +41,6 @@ def latest_prev_change(spark, sf):
 SELECT series_code, date, value FROM (
   SELECT *, row_number() OVER (PARTITION BY series_code ORDER BY date DESC) AS rn FROM market) WHERE rn = 2""", "market"))
 def second_latest(spark, sf):
-    from tapewright.operators.dedupe import nth_per_key
-
     rows = standins.market(spark, sf).select("series_code", "date", "value")
     return nth_per_key(rows, ["series_code"], [F.col("date").desc()], 2)
 
@@ -110,7 +109,7 @@ SELECT series_code, bin, lo + bin * ((hi - lo) / 50) AS bin_start, COUNT(*) AS n
 FROM p GROUP BY 1, 2, 3""", "market"))
 def histogram_50(spark, sf):
     rows = standins.market(spark, sf).select("series_code", "value")
-    return series.histogram(rows, ["series_code"], "value")
+    return series.histogram(rows, "series_code", "value")
 
 
 @query("price_histogram", """
@@ -121,8 +120,9 @@ p AS (SELECT l_returnflag, lo, hi,
 SELECT l_returnflag, bin, lo + bin * ((hi - lo) / 50) AS bin_start, COUNT(*) AS n FROM p GROUP BY 1, 2, 3""")
 def price_histogram(spark, sf):
     """Three keys hold all rows."""
-    rows = parquet(spark, sf, "lineitem").select("l_returnflag", "l_extendedprice")
-    return series.histogram(rows, ["l_returnflag"], "l_extendedprice")
+    return series.histogram(
+        parquet(spark, sf, "lineitem"), "l_returnflag", "l_extendedprice", members=["A", "N", "R"]
+    )
 
 
 @query("indicator_lines", sql(f"""

@@ -47,16 +47,16 @@ def _sums(columns: Sequence[str]):
 SUMS = "a int, b int, n bigint, sa double, sb double, saa double, sbb double, sab double"
 
 
-def pairwise(wide: DataFrame, members: Sequence[str]) -> DataFrame:
+def pairwise(wide: DataFrame, columns: Sequence[str], names: Sequence[str] | None = None) -> DataFrame:
     """(a, b, n, corr) for every pair of the columns, over rows where both have a value.
 
-    NULL for a constant series or fewer than two common rows.
+    NULL for a constant series or fewer than two common rows.  ``names`` are
+    shown instead of the column names.
     """
-    if len(members) < 2:
+    if len(columns) < 2:
         raise ValueError("a correlation needs two series")
-    columns = [f"_{i}" for i in range(len(members))]
     sums = (
-        wide.select(*[F.col(f"`{m}`").alias(c) for m, c in zip(members, columns)])
+        wide.select(*columns)
         .mapInPandas(_sums(columns), SUMS)
         .groupBy("a", "b")
         .agg(*[F.sum(c).alias(c) for c in ("n", "sa", "sb", "saa", "sbb", "sab")])
@@ -67,19 +67,25 @@ def pairwise(wide: DataFrame, members: Sequence[str]) -> DataFrame:
     spread_b = n * F.col("sbb") - F.col("sb") ** 2
     varies = (spread_a > n * F.col("saa") * 1e-12) & (spread_b > n * F.col("sbb") * 1e-12)
     top = n * F.col("sab") - F.col("sa") * F.col("sb")
-    corr = F.when((n > 1) & varies, top / F.sqrt(spread_a) / F.sqrt(spread_b))
-    names = F.array(*[F.lit(m) for m in members])
+    corr = top / F.sqrt(spread_a) / F.sqrt(spread_b)
+    bounded = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), corr))
+    shown = F.array(*[F.lit(m) for m in names or columns])
     return sums.select(
-        F.get(names, F.col("a")).alias("a"),
-        F.get(names, F.col("b")).alias("b"),
+        F.get(shown, F.col("a")).alias("a"),
+        F.get(shown, F.col("b")).alias("b"),
         n.alias("n"),
-        F.greatest(F.lit(-1.0), F.least(F.lit(1.0), corr)).alias("corr"),
+        F.when((n > 1) & varies, bounded).alias("corr"),
     )
 
 
-def _wide(df: DataFrame, index: str, key: str, value: str, members: Sequence[str]) -> DataFrame:
+def _columns(members: Sequence[str]) -> dict[str, str]:
+    """A column name per member that cannot clash with any other."""
+    return {m: f"_m{i}" for i, m in enumerate(members)}
+
+
+def _wide(df: DataFrame, index: str, key: str, value: str, columns: dict[str, str]) -> DataFrame:
     return df.groupBy(index).agg(*[
-        F.max(F.when(F.col(key) == m, F.col(value))).alias(m) for m in members
+        F.max(F.when(F.col(key) == member, F.col(value))).alias(name) for member, name in columns.items()
     ])
 
 
@@ -96,13 +102,16 @@ def return_corr(
 
     A missing day carries the last value forward (a return of 0).
     """
+    columns = _columns(members)
+    names = list(columns.values())
     picked = df.filter(F.col(key).isin(list(members)))
-    wide = series.pivot_mean(picked, day, key, value, {m: m for m in members})
+    wide = series.pivot_mean(picked, day, key, value, columns)
     # Back to long rows: now with a NULL for every missing (day, member).
-    grid = wide.unpivot([day], list(members), key, value)
-    returns = series.pct_change(grid, [key], day, value, "_ret")
-    complete = _wide(_centred(returns, key, "_ret"), day, key, "_ret", members).dropna()
-    return pairwise(complete, members)
+    grid = wide.unpivot([day], names, "_member", "_value")
+    returns = series.pct_change(grid, ["_member"], day, "_value", "_return")
+    centred = _centred(returns, "_member", "_return")
+    complete = _wide(centred, day, "_member", "_return", {n: n for n in names}).dropna(subset=names)
+    return pairwise(complete, names, members)
 
 
 def monthly_corr(
@@ -112,7 +121,9 @@ def monthly_corr(
 
     Each pair uses the months both have.
     """
+    columns = _columns(members)
     picked = df.filter(F.col(key).isin(list(members)))
     monthly = series.month_end(series.one_per_day(picked, [key], day, value), [key], day, value)
-    wide = _wide(_centred(monthly, key, value), "month_end", key, value, members)
-    return pairwise(series.drop_sparse(wide, members, at_least), members)
+    wide = _wide(_centred(monthly, key, value), "month_end", key, value, columns)
+    names = list(columns.values())
+    return pairwise(series.drop_sparse(wide, names, at_least), names, members)

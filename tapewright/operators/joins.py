@@ -45,9 +45,8 @@ def date_window_count(
         near = _near_by_key(left, right, left_day, n_days, on, count, gap)
     else:
         near = F.broadcast(_near_by_day(right, left_day, n_days, count, gap))
-    return left.join(near, [*on, left_day], "left").withColumn(
-        count, F.coalesce(F.col(count), F.lit(0).cast("bigint"))
-    )
+    found = F.coalesce(F.col(count), F.lit(0).cast("bigint")).alias(count)
+    return left.join(near, [*on, left_day], "left").select(*left.columns, found, gap)
 
 
 def _near_by_day(right: DataFrame, day: str, n_days: int, count: str, gap: str) -> DataFrame:
@@ -127,9 +126,11 @@ def asof_join(
         )
         .withColumn("_point", F.when(F.col("_known") == 1, F.struct(F.col("_day").alias("day"), *numbered)))
     )
-    line = Window.partitionBy(*by).orderBy("_day")
-    before = F.last("_point", True).over(line.rowsBetween(Window.unboundedPreceding, 0))
-    after = F.first("_point", True).over(line.rowsBetween(0, Window.unboundedFollowing))
+    # Both look back along their order: a frame open to the end costs the square of its rows.
+    forth, back = (Window.partitionBy(*by).orderBy(o) for o in (F.asc("_day"), F.desc("_day")))
+    before, after = (
+        F.last("_point", True).over(line.rowsBetween(Window.unboundedPreceding, 0)) for line in (forth, back)
+    )
     chosen = {
         "backward": F.col("_before"),
         "forward": F.col("_after"),
@@ -155,7 +156,7 @@ def asof_join(
     )
     if not by:
         found = F.broadcast(found)  # at most one row per calendar day
-    return left.join(found, [*by, left_day], "left")
+    return left.join(found, [*by, left_day], "left").select(*left.columns, matched, *values)
 
 
 def interval_tag(
@@ -216,4 +217,4 @@ def member_filter(
     pool = groups.filter(F.col(group) == wanted).select(F.col(group_key).alias(key))
     if picked:
         pool = pool.filter(F.col(key).isin(list(picked)))
-    return df.join(pool.distinct(), key, "left_semi")
+    return df.join(pool, key, "left_semi")

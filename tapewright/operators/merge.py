@@ -24,9 +24,13 @@ def _batch(batch: DataFrame, keys: Sequence[str], order: Order) -> DataFrame:
 def new_rows(stored: DataFrame, batch: DataFrame, keys: Sequence[str], order: Order = None) -> DataFrame:
     """Rows of the batch whose key is not stored yet: all that insert-if-absent appends.
 
-    Of the stored table only the key columns are read.
+    Of the stored table only the key columns are read, and first cut down to
+    the keys of the batch: a small batch is broadcast to it, and the large
+    table is never exchanged.
     """
-    return _batch(batch, keys, order).join(stored.select(*keys), list(keys), "left_anti")
+    fresh = _batch(batch, keys, order)
+    known = stored.select(*keys).join(fresh.select(*keys), list(keys), "left_semi")
+    return fresh.join(known, list(keys), "left_anti")
 
 
 def insert_if_absent(stored: DataFrame, batch: DataFrame, keys: Sequence[str], order: Order = None) -> DataFrame:

@@ -111,24 +111,31 @@ def period_stats(df: DataFrame, keys: Sequence[str], day: str, value: str) -> Da
     return stats.withColumns({"change": change, "pct": F.coalesce(pct, F.lit(0.0))})
 
 
-def histogram(df: DataFrame, keys: Sequence[str], value: str, bins: int = 50) -> DataFrame:
+def histogram(
+    df: DataFrame, key: str, value: str, bins: int = 50, members: Sequence[str] | None = None
+) -> DataFrame:
     """Rows per equal-width bin between each key's minimum and maximum.
 
-    The maximum belongs to the last bin; equal values all share bin 0.  Rows
-    are counted per value first, so the join that brings in the bounds sees
-    each value of a key once.
+    The maximum belongs to the last bin; equal values all share bin 0.  With
+    ``members`` only those keys are counted; their bounds are one row each, so
+    they are broadcast and no raw row is exchanged.  Without, rows are counted
+    per value before the join.
     """
-    per_value = (
-        df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-    )
-    bounds = df.groupBy(*keys).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
+    df = df.filter(F.col(value).isNotNull()).select(key, value)
+    if members is not None:
+        df = df.filter(F.col(key).isin(list(members)))
+    bounds = df.groupBy(key).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
+    if members is not None:
+        rows, bounds = df.withColumn("_n", F.lit(1).cast("bigint")), F.broadcast(bounds)
+    else:
+        rows = df.groupBy(key, value).agg(F.count(F.lit(1)).alias("_n"))
     place = F.floor((F.col(value) - F.col("_lo")) * bins / (F.col("_hi") - F.col("_lo")))
     spot = F.when(F.col("_hi") > F.col("_lo"), F.least(place, F.lit(bins - 1))).otherwise(F.lit(0))
-    width = (F.col("_hi") - F.col("_lo")) / bins
+    start = F.col("_lo") + F.col("bin") * ((F.col("_hi") - F.col("_lo")) / bins)
     return (
-        per_value.join(bounds, list(keys))
+        rows.join(bounds, key)
         .withColumn("bin", spot.cast("int"))
-        .groupBy(*keys, "bin", (F.col("_lo") + F.col("bin") * width).alias("bin_start"))
+        .groupBy(key, "bin", start.alias("bin_start"))
         .agg(F.sum("_n").alias("n"))
     )
 

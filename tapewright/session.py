@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # A hot join key is split even where that costs one more exchange.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Rank bounds up to this are applied inside the map tasks.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "100000",
 }
 
 

@@ -25,11 +25,14 @@ def page_links(
     pages: DataFrame, pattern: str = strings.DOCUMENT_LINK, below: int | None = WRAPPER_CHARS,
     mentions: tuple[str, ...] = (),
 ) -> DataFrame:
-    """(page_id, pos, link) with absolute links, of wrapper pages or (``below=None``) of all."""
+    """(page_id, chars, pos, link) with absolute links, of wrapper pages or (``below=None``) of all."""
     if below is not None:
         pages = pages.filter(is_wrapper(F.col("html"), below, mentions))
-    found = pages.select("page_id", "url", F.posexplode(strings.links(F.col("html"), pattern)).alias("pos", "_link"))
-    return found.select("page_id", "pos", strings.resolve(F.col("_link"), F.col("url")).alias("link"))
+    found = pages.select(
+        "page_id", "url", F.length("html").alias("chars"),
+        F.posexplode(strings.links(F.col("html"), pattern)).alias("pos", "_link"),
+    )
+    return found.select("page_id", "chars", "pos", strings.resolve(F.col("_link"), F.col("url")).alias("link"))
 
 
 def follow_wrappers(
@@ -42,9 +45,7 @@ def follow_wrappers(
     lengths travel; the texts are looked up for the winners alone.
     """
     sizes = store.select(F.col("url").alias("link"), F.length("html").alias("_linked_chars"))
-    links = page_links(pages, pattern, below, mentions).join(sizes, "link")
-    own = pages.select("page_id", F.length("html").alias("_chars"))
-    longer = links.join(own, "page_id").filter("_linked_chars > _chars")
+    longer = page_links(pages, pattern, below, mentions).join(sizes, "link").filter("_linked_chars > chars")
     first = longer.groupBy("page_id").agg(F.min_by("link", "pos").alias("link"))
     texts = store.select(F.col("url").alias("link"), F.col("html").alias("_linked"))
     chosen = first.join(texts, "link")

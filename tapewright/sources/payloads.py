@@ -54,11 +54,12 @@ def filing_rows(
 ) -> DataFrame:
     """Filing records of pages of parallel arrays (columns: entity, cik, company_name, page).
 
-    Positions an array is too short for are NULL.  ``limit`` keeps the first
+    Positions an array is too short for, or missing for, are NULL.  ``limit`` keeps the first
     filings of each entity in page and position order.
     """
     names = schemas.FILING_ARRAYS.fieldNames()
-    zipped = F.arrays_zip(*[F.col(f"{arrays}.{n}") for n in names])
+    present = [F.coalesce(F.col(f"{arrays}.{n}"), F.array().cast("array<string>")).alias(n) for n in names]
+    zipped = F.arrays_zip(*present)
     rows = (
         pages.select(entity, "cik", "company_name", "page", F.posexplode(zipped).alias("pos", "_f"))
         .filter(F.col("_f.form").isin(list(forms)))
