@@ -9,28 +9,31 @@ from pyspark.sql import functions as F
 from tapewright.catalogue import query, standins
 from tapewright.catalogue.standins import sql
 from tapewright.functions import dates
-from tapewright.operators import dedupe, series, summary
+from tapewright.operators import dedupe, joins, series, summary
 from tapewright.plans import reports
 from tapewright.sources.tables import all_of, append_pages, bound_query, parquet
 from tapewright.streaming import feeds
 
 AS_OF = dt.date(2001, 6, 30)
 PERIOD = (dt.date(1996, 1, 1), dt.date(2000, 12, 31))
-WATCH = ["1", "4", "7", "10", "13"]
 IN_PERIOD = "filed_at BETWEEN DATE '1996-01-01' AND DATE '2000-12-31'"
 
 
 @query("counts_by_entity_form", sql("""
-SELECT ticker, form_type, COUNT(*) AS n FROM filings WHERE ticker IN ('1','4','7','10','13')
+SELECT ticker, form_type, COUNT(*) AS n FROM filings WHERE sector = 'BUILDING'
 GROUP BY 1, 2""", "filings"))
 def counts_by_entity_form(spark, sf):
-    return reports.filings_by_company(standins.filing_facts(spark, sf), WATCH)
+    """Of the tickers of a sector."""
+    members = joins.member_filter(
+        standins.filing_facts(spark, sf), standins.companies(spark, sf), "ticker", "ticker", "sector", "BUILDING"
+    )
+    return reports.filings_by_company(members)
 
 
 @query("filings_by_company", sql("""
 SELECT ticker, form_type, COUNT(*) AS n FROM filings GROUP BY 1, 2""", "filings"))
 def filings_by_company(spark, sf):
-    return series.label_counts(standins.filing_facts(spark, sf), "ticker", "form_type")
+    return reports.filings_by_company(standins.filing_facts(spark, sf))
 
 
 @query("counts_by_category", sql("SELECT category, COUNT(*) AS n FROM news GROUP BY 1", "news"))
@@ -138,19 +141,20 @@ def recent_filings(spark, sf):
 
 @query("alerts", sql("""
 SELECT accession_number, ticker, company_name, form_type, filed_at, document_url FROM filings
-WHERE ticker IN ('1','4','7','10','13') AND filed_at >= DATE '2001-06-30' - 900
-  AND form_type = '1-URGENT'""", "filings"))
+WHERE sector = 'BUILDING' AND filed_at >= DATE '2001-06-30' - 90 AND form_type = '1-URGENT'""", "filings"))
 def alerts(spark, sf):
-    fired = feeds.alerts(standins.filings(spark, sf), WATCH, AS_OF, 900, standins.MATERIAL)
+    """The watch list is a whole sector."""
+    fired = feeds.alerts(standins.filings(spark, sf), standins.watched(spark, sf), AS_OF, 90, standins.MATERIAL)
     columns = ("accession_number", "ticker", "company_name", "form_type", "filed_at", "document_url")
     return fired.select(*columns).orderBy(F.col("filed_at").desc(), "accession_number")
 
 
 @query("alert_weeks", sql("""
 SELECT strftime(filed_at, '%G-W%V') AS week, ticker, COUNT(*) AS n FROM filings
-WHERE filed_at >= DATE '2001-06-30' - 90 AND ticker IN ('1','4','7','10','13') GROUP BY 1, 2""", "filings"))
+WHERE filed_at >= DATE '2001-06-30' - 90 AND sector = 'BUILDING' GROUP BY 1, 2""", "filings"))
 def alert_weeks(spark, sf):
-    return reports.alert_weeks(feeds.alerts(standins.filing_facts(spark, sf), WATCH, AS_OF, 90))
+    fired = feeds.alerts(standins.filing_facts(spark, sf), standins.watched(spark, sf), AS_OF, 90)
+    return reports.alert_weeks(fired)
 
 
 @query("range_presets", sql("""

@@ -134,13 +134,13 @@ def flatten_parallel_arrays(spark, sf):
 @query("flatten_filings_capped", f"""
 WITH f AS ({FLAT_FILINGS})
 SELECT ticker, accession_number FROM (
-  SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY accession_number) AS rn FROM f) WHERE rn <= 5""")
+  SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY accession_number) AS rn FROM f) WHERE rn <= 20""")
 def flatten_filings_capped(spark, sf):
-    """The first five filings of each company in page and position order."""
+    """The first twenty filings of each group in page and position order."""
     pages = _filing_payloads(spark, sf).select(
         "ticker", F.lit("0").alias("cik"), F.lit("-").alias("company_name"), F.col("block").alias("page"), "arrays"
     )
-    rows = payloads.filing_rows(pages, "arrays", "ticker", ["1-URGENT", "2-HIGH", "5-LOW"], limit=5, run_ts=RUN)
+    rows = payloads.filing_rows(pages, "arrays", "ticker", ["1-URGENT", "2-HIGH", "5-LOW"], limit=20, run_ts=RUN)
     return rows.select("ticker", "accession_number")
 
 

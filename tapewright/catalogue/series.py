@@ -164,10 +164,15 @@ def ohlcv_bars(spark, sf):
 @query("price_view", sql("""
 SELECT ticker, date, value / first_value(value) OVER (PARTITION BY ticker ORDER BY date) * 100 AS value
 FROM (SELECT ticker, date, close AS value FROM prices
-      WHERE ticker IN ('1','2','3','4','5') AND date BETWEEN DATE '2024-01-05' AND DATE '2024-01-25')""", "prices"))
+      WHERE date BETWEEN DATE '2024-01-05' AND DATE '2024-01-25')""", "prices"))
 def price_view(spark, sf):
     period = (dt.date(2024, 1, 5), dt.date(2024, 1, 25))
-    return reports.price_view(standins.prices(spark, sf), ["1", "2", "3", "4", "5"], period, "close", True)
+    return reports.price_view(standins.prices(spark, sf), [], period, "close", True)
+
+
+@query("price_view_volume", sql("SELECT ticker, date, CAST(volume AS DOUBLE) AS value FROM type_prices", "type_prices"))
+def price_view_volume(spark, sf):
+    return reports.price_view(standins.type_prices(spark, sf), EVENT_TYPES, ALL_TIME, "volume")
 
 
 @query("price_changes", sql("""
@@ -178,10 +183,9 @@ b AS (SELECT ticker, MAX(close) FILTER (WHERE rn = 1) AS latest, MAX(date) FILTE
       FROM r GROUP BY 1)
 SELECT *, latest - prev AS change, CASE WHEN prev <> 0 THEN (latest - prev) / abs(prev) * 100 END AS pct,
        CASE WHEN latest >= prev THEN 'up' ELSE 'down' END AS direction
-FROM b WHERE ticker IN ('1','2','3','4','5','6','7','8','9','10')""", "prices"))
+FROM b""", "prices"))
 def price_changes(spark, sf):
-    tickers = [str(i) for i in range(1, 11)]
-    return reports.price_changes(standins.prices(spark, sf), tickers, ALL_TIME)
+    return reports.price_changes(standins.prices(spark, sf), [], ALL_TIME)
 
 
 @query("avg_volume_rank", sql("""
@@ -190,11 +194,6 @@ def avg_volume_rank(spark, sf):
     return series.mean_rank(standins.prices(spark, sf), "ticker", "volume", "avg_volume")
 
 
-def _type_bars(spark, sf):
-    events = parquet(spark, sf, "events")
-    return series.bars(events, "event_type", "ts", "value", ["event_id"])
-
-
 PAIR_SQL = """
 SELECT x.k AS a, y.k AS b, COUNT(*) AS n, round(corr(x.v, y.v), 6) AS corr
 FROM ret x JOIN ret y ON x.d = y.d AND x.k < y.k GROUP BY 1, 2"""
@@ -208,19 +207,21 @@ r AS (SELECT k, d, (v / NULLIF(lag(v) OVER (PARTITION BY k ORDER BY d), 0) - 1)
 ret AS (SELECT * FROM r WHERE d IN (SELECT d FROM r GROUP BY 1 HAVING COUNT(v) = 5))
 """ + PAIR_SQL)
 def return_corr(spark, sf):
-    corr = correlation.return_corr(_type_bars(spark, sf), "ticker", "date", "close", EVENT_TYPES)
+    corr = correlation.return_corr(standins.type_prices(spark, sf), "ticker", "date", "close", EVENT_TYPES)
     return corr.withColumn("corr", F.round("corr", 6))
 
 
 @query("price_correlation", sql("""
-WITH c AS (SELECT ticker AS k, date AS d, close AS v FROM prices WHERE ticker IN ('1','2','3','4','5')),
+WITH c AS (SELECT ticker AS k, date AS d, close AS v FROM type_prices
+           WHERE date BETWEEN DATE '2024-01-05' AND DATE '2024-01-25'),
 g AS (SELECT k, d, v FROM (SELECT DISTINCT d FROM c) CROSS JOIN (SELECT DISTINCT k FROM c) LEFT JOIN c USING (k, d)),
 f AS (SELECT k, d, last_value(v IGNORE NULLS) OVER (PARTITION BY k ORDER BY d ROWS UNBOUNDED PRECEDING) AS v FROM g),
 r AS (SELECT k, d, (v / NULLIF(lag(v) OVER (PARTITION BY k ORDER BY d), 0) - 1) * 100 AS v FROM f),
 ret AS (SELECT * FROM r WHERE d IN (SELECT d FROM r GROUP BY 1 HAVING COUNT(v) = 5))
-""" + PAIR_SQL, "prices"))
+""" + PAIR_SQL, "type_prices"))
 def price_correlation(spark, sf):
-    corr = reports.price_correlation(standins.prices(spark, sf), ["1", "2", "3", "4", "5"], ALL_TIME)
+    period = (dt.date(2024, 1, 5), dt.date(2024, 1, 25))
+    corr = reports.price_correlation(standins.type_prices(spark, sf), EVENT_TYPES, period)
     return corr.withColumn("corr", F.round("corr", 6))
 
 

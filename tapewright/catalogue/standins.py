@@ -48,6 +48,11 @@ def companies(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def watched(spark: SparkSession, sf: str) -> DataFrame:
+    """The companies of one sector as a watch list."""
+    return companies(spark, sf).filter("sector = 'BUILDING'").select("ticker")
+
+
 def filings(spark: SparkSession, sf: str) -> DataFrame:
     return filing_facts(spark, sf).join(companies(spark, sf), "ticker")
 
@@ -82,6 +87,11 @@ def prices(spark: SparkSession, sf: str) -> DataFrame:
     return bars.withColumn("ticker", F.col("ticker").cast("string"))
 
 
+def type_prices(spark: SparkSession, sf: str) -> DataFrame:
+    """The same per event type: five tickers hold all rows."""
+    return series.bars(parquet(spark, sf, "events"), "event_type", "ts", "value", ["event_id"])
+
+
 VIEWS = {
     "filings": """
         SELECT CAST(o_orderkey AS VARCHAR) AS accession_number, CAST(o_custkey AS VARCHAR) AS ticker,
@@ -107,6 +117,10 @@ VIEWS = {
                last(value ORDER BY ts, event_id) AS close, COUNT(value) AS volume,
                CAST(SUM(CAST(value AS DECIMAL(18,6))) AS DOUBLE) / COUNT(value) AS vwap
         FROM events GROUP BY 1, 2""",
+    "type_prices": """
+        SELECT event_type AS ticker, CAST(ts AS DATE) AS date, last(value ORDER BY ts, event_id) AS close,
+               COUNT(value) AS volume
+        FROM events GROUP BY 1, 2""",
 }
 
 

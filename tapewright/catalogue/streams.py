@@ -103,7 +103,7 @@ def stream_window_join(spark, sf):
 
 @query("stream_alerts", sql("""
 SELECT accession_number, ticker, filed_at FROM filings
-WHERE ticker IN ('1','4','7','10','13') AND filed_at >= DATE '2001-06-30' - 900 AND form_type = '1-URGENT'""", "filings"))
+WHERE sector = 'BUILDING' AND filed_at >= DATE '2001-06-30' - 90 AND form_type = '1-URGENT'""", "filings"))
 def stream_alerts(spark, sf):
     out, mark = _folders(spark, "alerts", "checkpoint")
     orders = _table_stream(spark, sf, "orders").select(
@@ -113,7 +113,7 @@ def stream_alerts(spark, sf):
         F.to_date("o_orderdate").alias("filed_at"),
     )
     fired = feeds.alerts(
-        orders, ["1", "4", "7", "10", "13"], dt.date(2001, 6, 30), 900, standins.MATERIAL
+        orders, standins.watched(spark, sf), dt.date(2001, 6, 30), 90, standins.MATERIAL
     ).drop("form_type")
     feeds.to_parquet(fired, out, mark)
     return spark.read.schema(fired.schema).parquet(out)

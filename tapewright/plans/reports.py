@@ -20,6 +20,10 @@ def between(day: str, period: Range) -> Column:
     return F.col(day).between(F.lit(period[0]), F.lit(period[1]))
 
 
+def _picked(tickers: Sequence[str]) -> Column:
+    return F.col("ticker").isin(list(tickers)) if tickers else F.lit(True)
+
+
 # --- Overview ---------------------------------------------------------------
 
 
@@ -29,9 +33,9 @@ def index_with_mean(market: DataFrame, code: str, width: int = 50) -> DataFrame:
     return series.rolling_mean(line, ["series_code"], "date", "value", width).orderBy("date")
 
 
-def filings_by_company(filings: DataFrame, tickers: Sequence[str]) -> DataFrame:
-    picked = filings.filter(F.col("ticker").isin(list(tickers)))
-    return label_counts(picked, "ticker", "form_type").orderBy("ticker", "form_type")
+def filings_by_company(filings: DataFrame, tickers: Sequence[str] = ()) -> DataFrame:
+    """Filings per ticker and form; no tickers means all."""
+    return label_counts(filings.filter(_picked(tickers)), "ticker", "form_type").orderBy("ticker", "form_type")
 
 
 def macro_snapshot(
@@ -93,7 +97,8 @@ def newest_points(market: DataFrame, code: str, period: Range, n: int = 500) ->
 
 
 def price_rows(prices: DataFrame, tickers: Sequence[str], period: Range) -> DataFrame:
-    chosen = F.col("ticker").isin(list(tickers)) & between("date", period)
+    """Bars of the tickers (none means all) in a period."""
+    chosen = _picked(tickers) & between("date", period)
     columns = ("ticker", "date", "open", "high", "low", "close", "volume", "vwap")
     return prices.filter(chosen).select(*columns)
 
@@ -146,7 +151,7 @@ def filing_selection(
     search = strings.contains_wild if wildcards else strings.contains_literal
     return filings.filter(all_of([
         between("filed_at", period),
-        F.col("ticker").isin(list(tickers)) if tickers else None,
+        _picked(tickers),
         F.col("form_type") == form if form else None,
         F.col("is_material_event") if material_only else None,
         search(F.col("company_name"), company) if company else None,

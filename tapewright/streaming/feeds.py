@@ -147,14 +147,19 @@ def window_counts(
 
 
 def alerts(
-    stream: DataFrame, watch: Sequence[str], as_of: dt.date, days: int, form: str | None = None,
+    stream: DataFrame, watch: Sequence[str] | DataFrame, as_of: dt.date, days: int, form: str | None = None,
     ticker: str = "ticker", filed_at: str = "filed_at", form_type: str = "form_type",
 ) -> DataFrame:
-    """Filings of watched tickers in the look-back period (batch or stream)."""
-    hit = F.col(ticker).isin(list(watch)) & dates.since(F.col(filed_at), as_of, days)
+    """Filings of watched tickers in the look-back period (batch or stream).
+
+    ``watch`` is a list, or a frame with the ticker column when it is long.
+    """
+    hit = dates.since(F.col(filed_at), as_of, days)
     if form is not None:
         hit = hit & (F.col(form_type) == form)
-    return stream.filter(hit)
+    if isinstance(watch, DataFrame):
+        return stream.filter(hit).join(watch.select(ticker), ticker, "left_semi")
+    return stream.filter(hit & F.col(ticker).isin(list(watch)))
 
 
 def weekly_counts(stream: DataFrame, time: str, key: str, delay: str, offset: str = "4 days") -> DataFrame:
