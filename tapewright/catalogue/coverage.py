@@ -158,3 +158,11 @@ def sector_filter(spark, sf):
         standins.filing_facts(spark, sf), standins.companies(spark, sf), "ticker", "ticker", "sector", "BUILDING"
     )
     return found.select("accession_number", "ticker", "filed_at")
+
+
+@query("first_members", """
+SELECT c_mktsegment, c_custkey, c_name FROM (
+  SELECT *, row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_custkey) AS rn FROM customer) WHERE rn <= 5""")
+def first_members(spark, sf):
+    members = parquet(spark, sf, "customer").select("c_mktsegment", "c_custkey", "c_name")
+    return joins.first_members(members, "c_mktsegment", "c_custkey")

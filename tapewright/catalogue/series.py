@@ -161,6 +161,13 @@ def ohlcv_bars(spark, sf):
     return standins.prices(spark, sf)
 
 
+@query("price_table", sql("""
+SELECT * FROM prices WHERE date BETWEEN DATE '2024-01-05' AND DATE '2024-01-25'""", "prices"))
+def price_table(spark, sf):
+    period = (dt.date(2024, 1, 5), dt.date(2024, 1, 25))
+    return reports.price_table(standins.prices(spark, sf), [], period)
+
+
 @query("price_view", sql("""
 SELECT ticker, date, value / first_value(value) OVER (PARTITION BY ticker ORDER BY date) * 100 AS value
 FROM (SELECT ticker, date, close AS value FROM prices

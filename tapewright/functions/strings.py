@@ -93,8 +93,12 @@ def resolve(link: Column, page_url: Column) -> Column:
     )
 
 
+def words(c: Column, strip_punct: bool = False) -> Column:
+    """Lower-case words between white space, repeats and empty ones included."""
+    text = F.lower(or_default(c, ""))
+    return F.split(blanked(text, SPACES + PUNCTUATION if strip_punct else SPACES), " ")
+
+
 def word_set(c: Column, strip_punct: bool = False) -> Column:
     """Distinct lower-case words between white space."""
-    text = F.lower(or_default(c, ""))
-    words = F.split(blanked(text, SPACES + PUNCTUATION if strip_punct else SPACES), " ")
-    return F.array_distinct(F.array_remove(words, ""))
+    return F.array_distinct(F.array_remove(words(c, strip_punct), ""))

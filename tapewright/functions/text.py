@@ -39,7 +39,7 @@ def tag_by_rules(
 
 
 def lexicon_hits(words: Column, lexicon: Sequence[str]) -> Column:
-    """How many different words of the lexicon are in the word set."""
+    """How many different words of the lexicon are among the words."""
     return F.size(F.array_intersect(words, F.array(*[F.lit(w) for w in lexicon])))
 
 
@@ -61,7 +61,7 @@ def with_sentiment(
     """Add ``positive_hits``, ``negative_hits`` and ``sentiment`` of the joined texts."""
     joined = F.concat_ws(" ", *[strings.or_default(F.col(t), "") for t in texts])
     return (
-        df.withColumn("_words", strings.word_set(joined, strip_punct))
+        df.withColumn("_words", strings.words(joined, strip_punct))
         .withColumns({
             "positive_hits": lexicon_hits(F.col("_words"), positive),
             "negative_hits": lexicon_hits(F.col("_words"), negative),

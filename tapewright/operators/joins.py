@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tapewright.functions import dates, strings
+from tapewright.operators.dedupe import top_n_per_key
 
 
 def date_window_count(
@@ -218,3 +219,8 @@ def member_filter(
     if picked:
         pool = pool.filter(F.col(key).isin(list(picked)))
     return df.join(pool, key, "left_semi")
+
+
+def first_members(groups: DataFrame, group: str, ordinal: str, k: int = 5) -> DataFrame:
+    """The first ``k`` members of each group, the default pick of a list."""
+    return top_n_per_key(groups, [group], [ordinal], k, "_rank").drop("_rank")

@@ -103,6 +103,11 @@ def price_rows(prices: DataFrame, tickers: Sequence[str], period: Range) -> Data
     return prices.filter(chosen).select(*columns)
 
 
+def price_table(prices: DataFrame, tickers: Sequence[str], period: Range) -> DataFrame:
+    """The bars themselves: by ticker, newest first."""
+    return price_rows(prices, tickers, period).orderBy("ticker", F.col("date").desc())
+
+
 def price_view(
     prices: DataFrame, tickers: Sequence[str], period: Range, measure: str = "close", rebased: bool = False
 ) -> DataFrame:

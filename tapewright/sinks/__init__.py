@@ -6,10 +6,10 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
-from pyspark.storagelevel import StorageLevel
 
 from tapewright.operators import merge, summary
 from tapewright.operators.clean import conform
+from tapewright.session import shared_folder
 from tapewright.sources.messages import encode
 
 JDBC_BATCH = 500
@@ -43,17 +43,17 @@ def dual(
 ) -> int:
     """Typed columns to a table and whole records to documents; returns the row count.
 
-    The cleaned frame is computed once and spills to disk.  The count comes
-    from the job that writes the documents.
+    The cleaned frame is computed once, into a staged table in the shared
+    folder: a lost executor costs neither sink a second pass over the sources,
+    and the typed sink reads only its own columns.
     """
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        to_table(conform(kept, table_schema))
-        watched, watch = summary.observed(kept, "dual")
-        to_documents(watched)
-        return watch.get["rows"]
-    finally:
-        kept.unpersist()
+    spark, stage = df.sparkSession, shared_folder(df.sparkSession, "stage")
+    watched, watch = summary.observed(df, "dual")
+    watched.write.parquet(stage)
+    kept = stored_table(spark, stage, df.schema)
+    to_table(conform(kept, table_schema))
+    to_documents(kept)
+    return watch.get["rows"]
 
 
 def stored_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
