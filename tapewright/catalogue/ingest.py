@@ -55,6 +55,30 @@ def flatten_articles(spark, sf):
     )
 
 
+@query("first_seen_articles", """
+SELECT doc_id, url, search_query FROM (
+  SELECT doc_id, md5(text) AS url, lang AS search_query, row_number() OVER (PARTITION BY md5(text)
+    ORDER BY CASE lang WHEN 'en' THEN 1 WHEN 'de' THEN 2 WHEN 'fr' THEN 3 ELSE 4 END, doc_id) AS rn
+  FROM documents) WHERE rn = 1""")
+def first_seen_articles(spark, sf):
+    """The same article found by several searches belongs to the first of them."""
+    docs = parquet(spark, sf, "documents")
+    article = F.struct(
+        F.col("doc_id").alias("k"),
+        F.format_string("%d", "doc_id").alias("title"),
+        F.md5(F.col("text").cast("binary")).alias("url"),
+    )
+    pages = (
+        docs.groupBy("lang", F.floor(F.col("doc_id") / PAGE).alias("page"))
+        .agg(F.array_sort(F.collect_list(article)).alias("articles"))
+        .select("lang", "page", _json("articles"))
+    )
+    phrases = literal_frame(spark, [(1, "en"), (2, "de"), (3, "fr"), (4, "es")], "ordinal", "search_query")
+    found = payloads.articles(pages, "payload", "lang", RUN, carry=["page"])
+    seen = payloads.first_seen(found, phrases, ["page", "pos"])
+    return seen.select(F.col("title").cast("bigint").alias("doc_id"), "url", "search_query")
+
+
 def _arrays(entries: str):
     """Sorted entries as parallel arrays; the document array is one too short."""
     def pick(field: str):

@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from tapewright import schemas, sinks
+from tapewright import sinks
 from tapewright.catalogue import query, standins
 from tapewright.catalogue.coverage import WINDOW_SQL
 from tapewright.catalogue.merges import INSERT_SQL, STORED, UPSERT_SQL, _bar_parts
@@ -27,20 +27,21 @@ def _folders(spark, *names):
 
 
 @query("stream_ingest", """
-SELECT CAST(user_id AS VARCHAR) AS series_code, CAST(ts AS DATE) AS date, value FROM events WHERE event_type <> 'error'""")
+SELECT CAST(event_id AS VARCHAR) AS series_code, event_type AS series_name, CAST(ts AS DATE) AS date, value
+FROM events WHERE event_type <> 'error'""")
 def stream_ingest(spark, sf):
-    """Published messages, decoded; those without a value are dropped."""
+    """Messages published twice, ingested once; those without a value are dropped."""
     source, out, mark = _folders(spark, "messages", "market", "checkpoint")
     wire = parquet(spark, sf, "events").select(
-        F.col("user_id").cast("string").alias("series_code"),
+        F.col("event_id").cast("string").alias("series_code"),
+        F.col("event_type").alias("series_name"),
         F.date_format("ts", "yyyy-MM-dd").alias("date"),
         F.when(F.col("event_type") != "error", F.col("value")).alias("value"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("fetched_at"),
     )
-    sinks.publish_files(wire, source)
-    rows = feeds.decoded(feeds.file_stream(spark, source), schemas.MARKET_WIRE, ["value"])
-    typed = rows.select("series_code", F.col("date").try_cast("date").alias("date"), "value")
-    feeds.to_parquet(typed, out, mark)
-    return spark.read.schema(typed.schema).parquet(out)
+    sinks.publish_files(wire.unionByName(wire), source)
+    feeds.ingest(feeds.file_stream(spark, source), "market", out, mark, "60 days")
+    return spark.read.parquet(out).drop("fetched_at")
 
 
 @query("stream_dedupe", """

@@ -72,6 +72,9 @@ def with_sentiment(
 
 
 def page_text(html: Column, max_chars: int | None = None) -> Column:
-    """Text of a page: tags become blanks, white space is squashed and stripped."""
+    """Text of a page: tags become blanks, white space is squashed and stripped.
+
+    Whole by default; ``dims.FILING_TEXT_CHARS`` is the usual cap for filings.
+    """
     text = F.trim(strings.squash(F.regexp_replace(html, r"<[^>]+>", " ")))
     return strings.clip(text, max_chars)

@@ -1,4 +1,8 @@
-"""From wire records to clean rows: drop unusable, dedupe on the natural key, type."""
+"""From wire records to clean rows: drop unusable, type, dedupe on the natural key.
+
+The first two steps look at one row at a time and serve batch and stream
+alike; the ``clean_*`` functions add the batch dedupe.
+"""
 
 from __future__ import annotations
 
@@ -7,34 +11,44 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
-from tapewright.dims import MATERIAL_FORM, TAG_DEFAULT
+from tapewright.dims import MATERIAL_FORM, TAG_DEFAULT, TITLE_CHARS
 from tapewright.functions import dates, strings
 from tapewright.operators.dedupe import keep_first
 from tapewright.schemas import NATURAL_KEY
 
-TITLE_CHARS = 500
 Order = Sequence[str | Column] | None
 
 
-def clean_news(df: DataFrame, order: Order = None) -> DataFrame:
-    kept = keep_first(df.dropna(subset=["url", "title"]), NATURAL_KEY["news"], order)
-    return kept.withColumns({
+def usable_news(df: DataFrame) -> DataFrame:
+    return df.dropna(subset=["url", "title"])
+
+
+def type_news(df: DataFrame) -> DataFrame:
+    published = dates.to_ts(F.col("published_at"))
+    return df.withColumns({
         "title": strings.clip(F.trim(F.col("title")), TITLE_CHARS),
-        "published_at": dates.to_ts(F.col("published_at")),
-        "date_only": dates.to_day(dates.to_ts(F.col("published_at"))),
+        "published_at": published,
+        "date_only": dates.to_day(published),
         "category": strings.or_default(F.col("category"), TAG_DEFAULT),
         "fetched_at": dates.to_ts(F.col("fetched_at")),
     })
 
 
+def clean_news(df: DataFrame, order: Order = None) -> DataFrame:
+    return type_news(keep_first(usable_news(df), NATURAL_KEY["news"], order))
+
+
 def is_material(form: Column, material_form: str = MATERIAL_FORM) -> Column:
     """True for exactly that form (an amendment is another form); NULL counts as false."""
     return F.coalesce(form == material_form, F.lit(False))
 
 
-def clean_filings(df: DataFrame, order: Order = None, material_form: str = MATERIAL_FORM) -> DataFrame:
-    kept = keep_first(df.dropna(subset=["accession_number"]), NATURAL_KEY["filings"], order)
-    return kept.withColumns({
+def usable_filings(df: DataFrame) -> DataFrame:
+    return df.dropna(subset=["accession_number"])
+
+
+def type_filings(df: DataFrame, material_form: str = MATERIAL_FORM) -> DataFrame:
+    return df.withColumns({
         "filed_at": dates.to_day(F.col("filed_at")),
         "period": dates.to_day(F.col("period")),
         "is_material_event": is_material(F.col("form_type"), material_form),
@@ -42,21 +56,42 @@ def clean_filings(df: DataFrame, order: Order = None, material_form: str = MATER
     })
 
 
-def clean_market(df: DataFrame, order: Order = None) -> DataFrame:
-    return _clean_daily(df, "value", NATURAL_KEY["market"], order)
-
-
-def clean_prices(df: DataFrame, order: Order = None) -> DataFrame:
-    return _clean_daily(df, "close", NATURAL_KEY["prices"], order)
+def clean_filings(df: DataFrame, order: Order = None, material_form: str = MATERIAL_FORM) -> DataFrame:
+    return type_filings(keep_first(usable_filings(df), NATURAL_KEY["filings"], order), material_form)
 
 
-def _clean_daily(df: DataFrame, measure: str, keys: Sequence[str], order: Order) -> DataFrame:
-    typed = df.dropna(subset=[measure]).withColumns({
+def type_daily(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Typed day and load time; rows without a valid day or key are dropped."""
+    typed = df.withColumns({
         "date": dates.to_day(F.col("date")),
         "fetched_at": dates.to_ts(F.col("fetched_at")),
     })
+    return typed.dropna(subset=list(keys))
+
+
+def usable_market(df: DataFrame) -> DataFrame:
+    return df.dropna(subset=["value"])
+
+
+def type_market(df: DataFrame) -> DataFrame:
+    return type_daily(df, NATURAL_KEY["market"])
+
+
+def clean_market(df: DataFrame, order: Order = None) -> DataFrame:
     # Typed first: two spellings of one day are the same key.
-    return keep_first(typed.dropna(subset=list(keys)), keys, order)
+    return keep_first(type_market(usable_market(df)), NATURAL_KEY["market"], order)
+
+
+def usable_prices(df: DataFrame) -> DataFrame:
+    return df.dropna(subset=["close"])
+
+
+def type_prices(df: DataFrame) -> DataFrame:
+    return type_daily(df, NATURAL_KEY["prices"])
+
+
+def clean_prices(df: DataFrame, order: Order = None) -> DataFrame:
+    return keep_first(type_prices(usable_prices(df)), NATURAL_KEY["prices"], order)
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tapewright.dims import CARD_TEXT_CHARS, CARD_TITLE_CHARS
 from tapewright.functions import dates, strings
 from tapewright.functions.text import with_sentiment
 from tapewright.operators import correlation, joins, series
@@ -252,9 +253,9 @@ def cards(feed: DataFrame) -> DataFrame:
     """Display fields: cut to size, with a default for whatever is missing."""
     return feed.select(
         strings.or_default(F.col("category"), "general").alias("category"),
-        strings.clip(strings.or_default(F.col("title"), ""), 100).alias("title"),
+        strings.clip(strings.or_default(F.col("title"), ""), CARD_TITLE_CHARS).alias("title"),
         strings.or_default(F.col("source_name"), "?").alias("source_name"),
-        strings.clip_marked(F.col("description"), 130).alias("description"),
+        strings.clip_marked(F.col("description"), CARD_TEXT_CHARS).alias("description"),
         strings.clip(F.col("published_at").cast("string"), 10).alias("published"),
         strings.or_default(F.col("url"), "#").alias("url"),
         "sentiment",

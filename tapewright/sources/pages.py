@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tapewright.dims import WRAPPER_CHARS
 from tapewright.functions import strings
 
-WRAPPER_CHARS = 5000
-
 
 def is_wrapper(html: Column, below: int = WRAPPER_CHARS, mentions: tuple[str, ...] = ()) -> Column:
-    """A short page, that (if ``mentions`` is given) also contains one of those texts."""
+    """A short page, that also contains one of the ``mentions`` where those are given."""
     short = F.length(html) < below
     if not mentions:
         return short

@@ -9,11 +9,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
 from tapewright import schemas
-from tapewright.dims import FORM_TYPES, MATERIAL_FORM
+from tapewright.dims import FORM_TYPES, MATERIAL_FORM, TAG_RULES_V2
 from tapewright.functions import dates, strings
 from tapewright.functions.text import tag_by_rules
 from tapewright.operators.clean import is_material
-from tapewright.operators.dedupe import top_n_per_key
+from tapewright.operators.dedupe import keep_first, top_n_per_key
 from tapewright.operators.joins import name_lookup
 
 MISSING = "."
@@ -27,12 +27,18 @@ def _parsed(df: DataFrame, payload: str, schema: T.DataType) -> DataFrame:
     return df.withColumn(payload, F.from_json(payload, schema))
 
 
-def articles(df: DataFrame, payload: str, query: str, run_ts: dt.datetime | None = None) -> DataFrame:
-    """News records of article pages; the category is tagged from the title."""
+def articles(
+    df: DataFrame, payload: str, query: str, run_ts: dt.datetime | None = None,
+    rules: Sequence[tuple[str, Sequence[str]]] = TAG_RULES_V2, carry: Sequence[str] = (),
+) -> DataFrame:
+    """News records of article pages; the category is tagged from the title.
+
+    ``carry`` names columns of the page to keep; ``pos`` is the place on it.
+    """
     a = F.col("_a")
     return (
         _parsed(df, payload, schemas.ARTICLES_PAYLOAD)
-        .select(query, F.explode(f"{payload}.articles").alias("_a"))
+        .select(query, *carry, F.posexplode(f"{payload}.articles").alias("pos", "_a"))
         .select(
             a["source"]["name"].alias("source_name"),
             a["title"].alias("title"),
@@ -41,13 +47,21 @@ def articles(df: DataFrame, payload: str, query: str, run_ts: dt.datetime | None
             a["publishedAt"].alias("published_at"),
             a["content"].alias("content"),
             F.col(query).alias("search_query"),
-            tag_by_rules(a["title"]).alias("category"),
+            tag_by_rules(a["title"], rules).alias("category"),
             load_stamp(run_ts).alias("fetched_at"),
+            *carry,
+            "pos",
         )
         .filter(~strings.is_blank(F.col("url")))
     )
 
 
+def first_seen(found: DataFrame, phrases: DataFrame, order: Sequence[str] = ("pos",)) -> DataFrame:
+    """One record per url: the first in order of the search phrases, then of ``order``."""
+    ranked = found.join(phrases, "search_query")
+    return keep_first(ranked, ["url"], ["ordinal", *order]).drop("ordinal", *order)
+
+
 def filing_rows(
     pages: DataFrame, arrays: str, entity: str, forms: Sequence[str] = tuple(FORM_TYPES),
     limit: int | None = None, material_form: str = MATERIAL_FORM, run_ts: dt.datetime | None = None,

@@ -14,9 +14,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
-from tapewright import sinks
+from tapewright import schemas, sinks
 from tapewright.functions import dates
-from tapewright.operators import joins
+from tapewright.operators import clean, joins
 from tapewright.sources import messages
 
 SALTS = 16
@@ -64,11 +64,6 @@ def to_batches(
     _drain(stream.writeStream.foreachBatch(each).outputMode(mode), checkpoint)
 
 
-def decoded(stream: DataFrame, schema: T.StructType, required: Sequence[str]) -> DataFrame:
-    """Typed records of a message stream that have every required field."""
-    return messages.decode(stream, schema).dropna(subset=list(required))
-
-
 def _clocked(stream: DataFrame, time: str, delay: str) -> DataFrame:
     """Watermark on ``time``; a time without zone is taken in the session's zone."""
     return stream.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, delay)
@@ -89,6 +84,33 @@ def dedupe(
     return marked.dropDuplicatesWithinWatermark(list(keys))
 
 
+# Per feed: wire schema, rows worth keeping, typed columns.
+FEEDS = {
+    "news": (schemas.NEWS_WIRE, clean.usable_news, clean.type_news),
+    "filings": (schemas.FILING_WIRE, clean.usable_filings, clean.type_filings),
+    "market": (schemas.MARKET_WIRE, clean.usable_market, clean.type_market),
+    "prices": (schemas.PRICE_WIRE, clean.usable_prices, clean.type_prices),
+}
+
+
+def clean_stream(stream: DataFrame, feed: str, delay: str, spread: bool = True) -> DataFrame:
+    """Messages of a feed decoded, filtered and typed as in batch, once per natural key.
+
+    The watermark runs on the load time; a record without one counts as new.
+    """
+    wire, usable, typed = FEEDS[feed]
+    rows = typed(usable(messages.decode(stream, wire)))
+    clock = F.coalesce(F.col("fetched_at"), F.current_timestamp())
+    salt = F.xxhash64(*rows.columns) if spread else None
+    unique = dedupe(rows.withColumn("_clock", clock), schemas.NATURAL_KEY[feed], "_clock", delay, salt)
+    return unique.drop("_clock")
+
+
+def ingest(stream: DataFrame, feed: str, path: str, checkpoint: str, delay: str = "30 days") -> None:
+    """Clean rows of a feed, appended to a Parquet table run by run."""
+    to_parquet(clean_stream(stream, feed, delay), path, checkpoint)
+
+
 def merge_into(
     spark: SparkSession, stream: DataFrame, path: str, schema: T.StructType, keys: Sequence[str], checkpoint: str
 ) -> None:

@@ -137,3 +137,29 @@ def test_hot_key_join_is_whole(spark):
     hot = got.filter("k = 'hot'").select("d", "news_count").distinct().collect()
     assert {r.d: r.news_count for r in hot} == want
     assert got.count() == 3000
+
+
+def test_hot_lookup_key_is_split_at_run_time(spark):
+    """With broadcasts off, the partition of a key that holds a third of all rows is split."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "64",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        facts = spark.range(0, 60_000, 1, 8).select(
+            F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).cast("string").alias("k"), "id")
+        dim = spark.range(0, 60_000, 1, 4).select(F.col("id").cast("string").alias("code"), (F.col("id") * 2).alias("v"))
+        joined = joins.lookup(facts, dim, "k", "code")
+        assert joined.count() == 60_000
+        got = joined.groupBy("k").agg(F.sum(F.col("v") + F.col("id")).alias("s"))
+        got.collect()
+        assert "skew=true" in plan_of(got)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

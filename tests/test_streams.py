@@ -5,8 +5,8 @@ from conftest import day, rows
 
 from pyspark.sql import functions as F
 
-from tapewright import schemas, session, sinks
-from tapewright.operators import joins, merge
+from tapewright import session, sinks
+from tapewright.operators import clean, joins, merge
 from tapewright.streaming import feeds
 
 KV = "k string, v int"
@@ -28,15 +28,36 @@ def test_ingest_goes_on_where_it_stopped(spark, frame, tmp_path):
     source, out, mark = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "mark")
 
     def run():
-        stream = feeds.file_stream(spark, str(source / "*"))
-        feeds.to_parquet(feeds.decoded(stream, schemas.MARKET_WIRE, ["value"]).select("series_code", "value"), out, mark)
-        return rows(spark.read.parquet(out))
+        feeds.ingest(feeds.file_stream(spark, str(source / "*")), "market", out, mark)
+        return rows(spark.read.parquet(out).select("series_code", "date", "value"))
 
     _publish(frame, source, "a", [("s", "2024-01-01", 1.0), ("t", "2024-01-01", None)], ddl)
-    assert run() == [("s", 1.0)]
-    _publish(frame, source, "b", [("u", "2024-01-01", 2.0)], ddl)
-    assert run() == [("s", 1.0), ("u", 2.0)]
-    assert run() == [("s", 1.0), ("u", 2.0)]
+    assert run() == [("s", day("2024-01-01"), 1.0)]
+    _publish(frame, source, "b", [("u", "2024-01-01", 2.0), ("s", "2024-1-1", 9.0), ("v", "bad", 1.0)], ddl)
+    assert run() == [("s", day("2024-01-01"), 1.0), ("u", day("2024-01-01"), 2.0)]
+    assert run() == [("s", day("2024-01-01"), 1.0), ("u", day("2024-01-01"), 2.0)]
+
+
+WIRE = {
+    "news": [{"url": "u", "title": " T ", "published_at": "2024-01-02T03:00:00Z"}, {"url": None, "title": "t"}],
+    "filings": [{"accession_number": "1", "form_type": "8-K", "filed_at": "2024-01-02", "fetched_at": "2024-01-03T00:00:00"},
+                {"accession_number": None}],
+    "market": [{"series_code": "s", "date": "2024-01-02", "value": 1.5}, {"series_code": "s", "date": "bad", "value": 1.5}],
+    "prices": [{"ticker": "a", "date": "2024-01-02", "close": 1.5, "volume": 3}, {"ticker": "a", "date": "2024-01-03"}],
+}
+BATCH = {"news": clean.clean_news, "filings": clean.clean_filings, "market": clean.clean_market, "prices": clean.clean_prices}
+
+
+@pytest.mark.parametrize("feed", list(WIRE))
+def test_streamed_feed_equals_batch(spark, frame, tmp_path, feed):
+    schema = feeds.FEEDS[feed][0]
+    data = [tuple(r.get(f.name) for f in schema) for r in WIRE[feed] + WIRE[feed]]
+    sinks.publish_files(frame(data, schema), str(tmp_path / "in"))
+    feeds.ingest(feeds.file_stream(spark, str(tmp_path / "in")), feed, str(tmp_path / "out"), str(tmp_path / "mark"))
+    want = BATCH[feed](frame(data, schema))
+    got = spark.read.parquet(str(tmp_path / "out"))
+    assert rows(got.select(*want.columns)) == rows(want)
+    assert got.count() == 1
 
 
 @pytest.mark.parametrize("spread", [False, True])
