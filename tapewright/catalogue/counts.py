@@ -254,8 +254,11 @@ def dedupe_natural_key(spark, sf):
 SELECT doc_id, md5(text) AS digest, source FROM (
   SELECT *, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS rn FROM documents) WHERE rn = 1""")
 def dedupe_first_seen(spark, sf):
-    kept = dedupe.keep_first(parquet(spark, sf, "documents").select("doc_id", "text", "source"), ["text"], ["doc_id"])
-    return kept.select("doc_id", F.md5(F.col("text").cast("binary")).alias("digest"), "source")
+    """Only a digest of each text travels."""
+    rows = parquet(spark, sf, "documents").select(
+        "doc_id", F.md5(F.col("text").cast("binary")).alias("digest"), "source"
+    )
+    return dedupe.keep_first(rows, ["digest"], ["doc_id"])
 
 
 @query("ordered_distinct", """

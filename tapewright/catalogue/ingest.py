@@ -34,6 +34,7 @@ SELECT source AS source_name, split_part(text, chr(10), 1) AS title, md5(text) A
        '2024-02-01 06:00:00' AS fetched
 FROM documents""")
 def flatten_articles(spark, sf):
+    """Whole texts as article content; an article without an address is left out."""
     article = F.struct(
         F.struct(F.col("source").alias("name")).alias("source"),
         F.substring_index("text", "\n", 1).alias("title"),
@@ -43,8 +44,7 @@ def flatten_articles(spark, sf):
     )
     pages = (
         parquet(spark, sf, "documents")
-        .groupBy("lang", F.floor(F.col("doc_id") / PAGE).alias("page"))
-        .agg(F.collect_list(article).alias("articles"))
+        .withColumn("articles", F.array(article.withField("url", F.lit("")), article))
         .select("lang", _json("articles"))
     )
     flat = payloads.articles(pages, "payload", "lang", RUN)

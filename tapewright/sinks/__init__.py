@@ -13,6 +13,8 @@ from tapewright.session import shared_folder
 from tapewright.sources.messages import encode
 
 JDBC_BATCH = 500
+# Up to this many touched parts are named in the plan.
+MAX_PART_FILTER = 2000
 
 
 def relational(df: DataFrame, url: str, table: str, properties: dict[str, str], mode: str = "append") -> None:
@@ -75,13 +77,19 @@ def replace_parts(
 ) -> None:
     """Merge a batch into a Parquet table laid out by ``part``, which the key determines.
 
-    Only the parts the batch touches are read and rewritten.  Their values are
-    few (one per folder of the table), so they are broadcast and prune the
-    scan.
+    Only the parts the batch touches are read and rewritten.  Up to a limit
+    their values become a filter, which prunes the folders to scan; beyond it
+    they are joined.
     """
     stored = stored_table(spark, path, schema)
-    touched = F.broadcast(batch.select(part).distinct())
-    affected = stored.join(touched, part, "left_semi").select(*schema.fieldNames())
+    touched = batch.select(part).distinct()
+    values = [row[0] for row in touched.limit(MAX_PART_FILTER + 1).collect()]
+    if len(values) <= MAX_PART_FILTER:
+        known = [v for v in values if v is not None]
+        hit = F.col(part).isin(known)
+        affected = stored.filter(hit | F.col(part).isNull() if len(known) < len(values) else hit)
+    else:
+        affected = stored.join(touched, part, "left_semi").select(*schema.fieldNames())
     merged(affected, batch).write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"
     ).partitionBy(part).parquet(path)

@@ -41,16 +41,18 @@ def follow_wrappers(
     """Each page with the HTML of its first linked page that is longer, if it is a wrapper.
 
     ``store`` holds one page per url.  Until the winning link is known only
-    lengths travel; the texts are looked up for the winners alone.
+    lengths travel; the texts are looked up for the winners alone.  Pages that
+    are no wrappers pass through without an exchange.
     """
+    wrapper = F.coalesce(is_wrapper(F.col("html"), below, mentions), F.lit(False))
+    short, others = pages.filter(wrapper), pages.filter(~wrapper)
     sizes = store.select(F.col("url").alias("link"), F.length("html").alias("_linked_chars"))
-    longer = page_links(pages, pattern, below, mentions).join(sizes, "link").filter("_linked_chars > chars")
-    first = longer.groupBy("page_id").agg(F.min_by("link", "pos").alias("link"))
-    texts = store.select(F.col("url").alias("link"), F.col("html").alias("_linked"))
-    chosen = first.join(texts, "link")
-    return (
-        pages.join(chosen, "page_id", "left")
-        .withColumn("html", F.coalesce("_linked", "html"))
-        .withColumnRenamed("link", "taken_from")
-        .drop("_linked")
+    longer = page_links(short, pattern, None).join(sizes, "link").filter("_linked_chars > chars")
+    first = longer.groupBy("page_id").agg(F.min_by("link", "pos").alias("taken_from"))
+    texts = store.select(F.col("url").alias("taken_from"), F.col("html").alias("_linked"))
+    followed = short.join(first.join(texts, "taken_from"), "page_id", "left").withColumn(
+        "html", F.coalesce("_linked", "html")
+    )
+    return others.withColumn("taken_from", F.lit(None).cast("string")).unionByName(
+        followed.select(*pages.columns, "taken_from")
     )

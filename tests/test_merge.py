@@ -79,6 +79,17 @@ def test_replace_parts_rewrites_only_touched_parts(spark, frame, tmp_path):
     assert sorted(p.name for p in (tmp_path / "t" / "part=q").iterdir()) == untouched
 
 
+@pytest.mark.parametrize("limit", [0, 10])
+def test_replace_parts_beyond_the_filter_limit(spark, frame, tmp_path, monkeypatch, limit):
+    monkeypatch.setattr(sinks, "MAX_PART_FILTER", limit)
+    path, ddl = str(tmp_path / "t"), "k string, v int, part string"
+    stored = frame([("a", 1, "p"), ("b", 1, "q"), ("c", 1, "r")], ddl)
+    stored.write.partitionBy("part").parquet(path)
+    batch = frame([("a", 2, "p"), ("b", 2, "q")], ddl)
+    sinks.replace_parts(spark, path, stored.schema, batch, "part", lambda old, new: merge.upsert(old, new, ["k"]))
+    assert rows(sinks.stored_table(spark, path, stored.schema)) == [("a", 2, "p"), ("b", 2, "q"), ("c", 1, "r")]
+
+
 def test_dual_sink_splits_and_counts(spark, frame, tmp_path):
     df = frame([("acme", "1", "2024-01-01", "long"), ("acme", "2", "bad", "text")],
                "ticker string, accession_number string, filed_at string, full_text string")
