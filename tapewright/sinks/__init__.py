@@ -90,6 +90,7 @@ def replace_parts(
         affected = stored.filter(hit | F.col(part).isNull() if len(known) < len(values) else hit)
     else:
         affected = stored.join(touched, part, "left_semi").select(*schema.fieldNames())
-    merged(affected, batch).write.mode("overwrite").option(
+    # Few files per part; Spark splits a part that is too large for one task.
+    merged(affected, batch).hint("rebalance", part).write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"
     ).partitionBy(part).parquet(path)

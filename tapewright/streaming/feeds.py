@@ -151,7 +151,7 @@ def count_days(stream: DataFrame, day: str, path: str, checkpoint: str) -> None:
             .agg(F.count(F.lit(1)).alias("n"))
             .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         )
-        counts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        counts.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
             "batch_id"
         ).parquet(path)
 
