@@ -51,7 +51,7 @@ def stream_dedupe(spark, sf):
     rows = _table_stream(spark, sf, "events").select(
         "user_id", "event_type", F.to_date("ts").alias("date"), "ts", "event_id"
     )
-    unique = feeds.dedupe(rows, ["user_id", "event_type", "date"], "ts", "60 days", F.xxhash64("event_id"))
+    unique = feeds.dedupe(rows, ["user_id", "event_type", "date"], "ts", "60 days")
     keys = unique.select("user_id", "event_type", "date")
     feeds.to_parquet(keys, out, mark)
     return spark.read.schema(keys.schema).parquet(out)

@@ -14,7 +14,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tapewright.functions import numbers
 from tapewright.operators import series
 
 

@@ -20,6 +20,15 @@ def _columns(order: Sequence[str | Column]) -> list[Column]:
     return [F.col(o) if isinstance(o, str) else o for o in order]
 
 
+def salt(columns: Sequence[str], n: int) -> Column:
+    """A number below ``n`` that splits any group, also one of identical rows.
+
+    It depends on the row and on the task that reads it, so copies in one task
+    share it, copies in different tasks do not, and a repeated task repeats it.
+    """
+    return F.pmod(F.xxhash64(*columns, F.spark_partition_id()), F.lit(n))
+
+
 def with_rank(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], name: str) -> DataFrame:
     window = Window.partitionBy(*keys).orderBy(*_columns(order))
     return df.withColumn(name, F.row_number().over(window))
@@ -53,7 +62,7 @@ def top_n_per_key(
     its first ``n`` rows per salt: the same result, with hot keys split.
     """
     if n > int(df.sparkSession.conf.get(*PUSHED_LIMIT)):
-        salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)))
+        salted = df.withColumn("_salt", salt(df.columns, SALTS))
         rounds = with_rank(salted, [*keys, "_salt"], order, rank)
         df = rounds.filter(F.col(rank) <= n).drop("_salt", rank)
     return with_rank(df, keys, order, rank).filter(F.col(rank) <= n)

@@ -10,13 +10,14 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from tapewright import schemas, sinks
 from tapewright.functions import dates
 from tapewright.operators import clean, joins
+from tapewright.operators.dedupe import salt
 from tapewright.sources import messages
 
 SALTS = 16
@@ -70,16 +71,16 @@ def _clocked(stream: DataFrame, time: str, delay: str) -> DataFrame:
 
 
 def dedupe(
-    stream: DataFrame, keys: Sequence[str], time: str, delay: str, spread: Column | None = None
+    stream: DataFrame, keys: Sequence[str], time: str, delay: str, spread: bool = True
 ) -> DataFrame:
     """One row per key within the watermark, also across runs.
 
-    With ``spread`` (a hash of the row) the rows of a key are first deduped in
-    salted groups, so a hot key does not end up whole in one state partition.
+    With ``spread`` the rows of a key are first deduped in salted groups, so a
+    hot key does not end up whole in one state partition.
     """
     marked = _clocked(stream, time, delay)
-    if spread is not None:
-        salted = marked.withColumn("_salt", F.pmod(spread, F.lit(SALTS)))
+    if spread:
+        salted = marked.withColumn("_salt", salt(stream.columns, SALTS))
         marked = salted.dropDuplicatesWithinWatermark([*keys, "_salt"]).drop("_salt")
     return marked.dropDuplicatesWithinWatermark(list(keys))
 
@@ -101,8 +102,7 @@ def clean_stream(stream: DataFrame, feed: str, delay: str, spread: bool = True)
     wire, usable, typed = FEEDS[feed]
     rows = typed(usable(messages.decode(stream, wire)))
     clock = F.coalesce(F.col("fetched_at"), F.current_timestamp())
-    salt = F.xxhash64(*rows.columns) if spread else None
-    unique = dedupe(rows.withColumn("_clock", clock), schemas.NATURAL_KEY[feed], "_clock", delay, salt)
+    unique = dedupe(rows.withColumn("_clock", clock), schemas.NATURAL_KEY[feed], "_clock", delay, spread)
     return unique.drop("_clock")
 
 

@@ -59,6 +59,21 @@ def test_salted_top_n_equals_plain(spark):
         spark.conf.set(key, before)
 
 
+def test_copies_are_split_by_task(spark):
+    """Identical rows get different salts in different tasks, the same one when asked again."""
+    copies = spark.range(0, 4000, 1, 8).select(F.lit(1).alias("k"), F.lit("x").alias("v"))
+    salted = copies.withColumn("s", dedupe.salt(["k", "v"], 1024))
+    counts = rows(salted.groupBy("s").count())
+    assert len(counts) == 8 and rows(salted.groupBy("s").count()) == counts
+    key = dedupe.PUSHED_LIMIT[0]
+    before = spark.conf.get(key)
+    spark.conf.set(key, "10")
+    try:
+        assert dedupe.top_n_per_key(copies, ["k"], ["v"], 1500).count() == 1500
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_null_keys_are_rejects(frame):
     df = frame([("a", 1), (None, 2), ("b", None)], "k string, j int")
     assert rows(dedupe.null_key_rejects(df, ["k", "j"])) == sorted([(None, 2), ("b", None)], key=repr)

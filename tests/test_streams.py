@@ -3,8 +3,6 @@ import datetime as dt
 import pytest
 from conftest import day, rows
 
-from pyspark.sql import functions as F
-
 from tapewright import session, sinks
 from tapewright.operators import clean, joins, merge
 from tapewright.streaming import feeds
@@ -67,8 +65,7 @@ def test_dedupe_across_runs(spark, frame, tmp_path, spread):
     at = lambda d: dt.datetime(2024, 1, d)
 
     def run():
-        salt = F.xxhash64("t") if spread else None
-        unique = feeds.dedupe(_stream(spark, source, ddl), ["k"], "t", "30 days", salt)
+        unique = feeds.dedupe(_stream(spark, source, ddl), ["k"], "t", "30 days", spread)
         feeds.to_parquet(unique.select("k"), out, mark)
         return rows(spark.read.parquet(out))
 
