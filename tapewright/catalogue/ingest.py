@@ -42,9 +42,10 @@ def flatten_articles(spark, sf):
         F.lit("2024-01-01T00:00:00Z").alias("publishedAt"),
         F.col("text").alias("content"),
     )
+    unaddressed = article.withField("url", F.lit("")).withField("content", F.lit(None).cast("string"))
     pages = (
         parquet(spark, sf, "documents")
-        .withColumn("articles", F.array(article.withField("url", F.lit("")), article))
+        .withColumn("articles", F.array(unaddressed, article))
         .select("lang", _json("articles"))
     )
     flat = payloads.articles(pages, "payload", "lang", RUN)
