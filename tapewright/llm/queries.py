@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tapewright.catalogue import Query
-from tapewright.llm import packing, quality_rules
+from tapewright.llm import packing, quality_rules, simhash
 from tapewright.sources.tables import parquet
 
 QUERIES: dict[str, Query] = {}
@@ -56,3 +56,8 @@ def op4_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
 def op9_packing(spark: SparkSession, sf: str) -> DataFrame:
     packed = packing.pack(parquet(spark, sf, "documents"))
     return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+@query("op3_simhash")
+def op3_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    return simhash.near_duplicates(parquet(spark, sf, "documents"))
