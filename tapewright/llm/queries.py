@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tapewright.catalogue import Query
-from tapewright.llm import packing, quality_rules, simhash
+from tapewright.llm import kneser_ney, packing, quality_rules, simhash
 from tapewright.sources.tables import parquet
 
 QUERIES: dict[str, Query] = {}
@@ -61,3 +61,14 @@ def op9_packing(spark: SparkSession, sf: str) -> DataFrame:
 @query("op3_simhash")
 def op3_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.near_duplicates(parquet(spark, sf, "documents"))
+
+
+def trusted(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents labelled as good and not toxic."""
+    return parquet(spark, sf, "labels").filter("quality = 1 AND toxic = 0").select("doc_id")
+
+
+@query("op1_quality_classifier")
+def op1_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
+    docs = parquet(spark, sf, "documents")
+    return kneser_ney.judged(docs, trusted(spark, sf), ["doc_id", "lang"])
