@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tapewright.catalogue import Query
-from tapewright.llm import kneser_ney, packing, quality_rules, simhash
+from tapewright.llm import kneser_ney, packing, pii, quality_rules, simhash
 from tapewright.sources.tables import parquet
 
 QUERIES: dict[str, Query] = {}
@@ -72,3 +74,20 @@ def trusted(spark: SparkSession, sf: str) -> DataFrame:
 def op1_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
     docs = parquet(spark, sf, "documents")
     return kneser_ney.judged(docs, trusted(spark, sf), ["doc_id", "lang"])
+
+
+@query("op7_pii")
+def op7_pii(spark: SparkSession, sf: str) -> DataFrame:
+    found = pii.spans(parquet(spark, sf, "documents"))
+
+    def of_kind(kind: str) -> Callable[[Column], Column]:
+        return lambda x: x["kind"] == kind
+
+    def listed(spans: str) -> Column:
+        return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+
+    return found.select(
+        "doc_id",
+        *[F.size(F.filter("base", of_kind(k))).cast("bigint").alias(f"n_{k}") for k in pii.KINDS],
+        F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans"),
+    )
