@@ -104,15 +104,13 @@ def rules_on_base() -> list[Rule]:
     ]
 
 
-def ordered(docs: DataFrame, rules: Sequence[Rule], rows: int = SAMPLE) -> list[Rule]:
+def ordered(sample: DataFrame, rules: Sequence[Rule]) -> list[Rule]:
     """The rules by rejections per second on a sample, best first.
 
     Each rule is run alone over the sample, a small table of its own.  The
     order decides what a run costs, never which documents it keeps.
     """
-    if len(rules) < 2:
-        return list(rules)
-    sample = written(sample_of(docs, rows), "rule-sample")
+    sample = written(sample, "rule-sample")
     rates = {}
     for rule in rules:
         start = time.perf_counter()
@@ -136,7 +134,7 @@ def filtered(docs: DataFrame, text: str = "text", rules: Sequence[Rule] | None =
     rows share one verdict; an empty table stays empty.
     """
     rules = default_rules(text) if rules is None else rules
-    return docs.filter(verdict(ordered(docs.select(text), rules, rows)))
+    return docs.filter(verdict(ordered(sample_of(docs.select(text), rows), rules)))
 
 
 def judged(docs: DataFrame, text: str = "text", rows: int = SAMPLE) -> DataFrame:
@@ -148,6 +146,7 @@ def judged(docs: DataFrame, text: str = "text", rows: int = SAMPLE) -> DataFrame
     """
     counts = boxed(docs, text=F.col(text)).withColumns(base_counts(F.col("text")))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    rules = ordered(counts.select("text", *BASE), rules_on_base(), rows)
+    sample = sample_of(docs.select(F.col(text).alias("text")), rows).withColumns(base_counts(F.col("text")))
+    rules = ordered(sample, rules_on_base())
     result = counts.withColumns({"base_failed": failed, "kept": F.when(failed, F.lit(False)).otherwise(verdict(rules))})
     return unboxed(result, [*BASE, "base_failed", "kept"])
