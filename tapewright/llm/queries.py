@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tapewright.catalogue import Query
-from tapewright.llm import kneser_ney, packing, pii, quality_rules, simhash
+from tapewright.llm import kneser_ney, packing, pii, quality_rules, sharding, simhash
 from tapewright.sources.tables import parquet
 
 QUERIES: dict[str, Query] = {}
@@ -91,3 +91,8 @@ def op7_pii(spark: SparkSession, sf: str) -> DataFrame:
         *[F.size(F.filter("base", of_kind(k))).cast("bigint").alias(f"n_{k}") for k in pii.KINDS],
         F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans"),
     )
+
+
+@query("op10_sharding")
+def op10_sharding(spark: SparkSession, sf: str) -> DataFrame:
+    return sharding.sharded(parquet(spark, sf, "documents"))
