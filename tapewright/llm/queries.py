@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tapewright.catalogue import Query
-from tapewright.llm import chat, kneser_ney, packing, pii, quality_rules, sharding, simhash
+from tapewright.llm import chat, kneser_ney, nearest, packing, pii, quality_rules, sharding, simhash
 from tapewright.sources.tables import parquet
 
 QUERIES: dict[str, Query] = {}
@@ -122,3 +122,9 @@ def op6_chat(spark: SparkSession, sf: str) -> DataFrame:
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(HOSTILE).alias("text"))
     turns = parquet(spark, sf, "conversations").select("conv_id", "turn", "role", "text").union(more)
     return chat.digests(chat.assemble(turns))
+
+
+@query("op5_nearest")
+def op5_nearest(spark: SparkSession, sf: str) -> DataFrame:
+    embeddings = parquet(spark, sf, "embeddings")
+    return nearest.search(embeddings, embeddings.filter("vec_id % 20 = 0"))
