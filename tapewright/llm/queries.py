@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tapewright.catalogue import Query
-from tapewright.llm import chat, kneser_ney, nearest, packing, pii, quality_rules, sharding, simhash
+from tapewright.llm import chat, kneser_ney, nearest, packing, pii, quality_rules, revisits, sharding, simhash
 from tapewright.sources.tables import parquet
 
 QUERIES: dict[str, Query] = {}
@@ -128,3 +128,82 @@ def op6_chat(spark: SparkSession, sf: str) -> DataFrame:
 def op5_nearest(spark: SparkSession, sf: str) -> DataFrame:
     embeddings = parquet(spark, sf, "embeddings")
     return nearest.search(embeddings, embeddings.filter("vec_id % 20 = 0"))
+
+
+def captures(pages: DataFrame) -> DataFrame:
+    """Archive records of the pages: a response for each, a later revisit, and for some a revisit before it.
+
+    Revisits spell addresses differently, some bring no validator or a changed one.
+    """
+    p, url = F.col("page_id"), F.col("url")
+    digest = F.md5(F.coalesce("html", F.lit("")))
+    tag = F.concat(F.lit('"'), F.left(digest, F.lit(16)), F.lit('"'))
+    base = pages.select(
+        p, url, digest.alias("digest"), tag.alias("tag"), (F.lit(1704067200) + 60 * p).alias("at"))
+    respelt = F.when(p % 3 == 0, url).when(p % 3 == 1, F.concat(F.regexp_replace(url, "^https?://", "HTTPS://WWW."), F.lit("#again"))).otherwise(
+        F.regexp_replace(url, r"^(https?://[^/?#]*)", "$1:443"))
+
+    def record(kind: str, status: int, shift: int, uri: Column, digest: Column, **headers: Column) -> Column:
+        named = [F.struct(F.lit(k.replace("_", "-")).alias("key"), v.alias("value")) for k, v in headers.items()]
+        return F.struct(
+            F.concat(F.lit(f"{kind}{shift}-"), p).alias("record_id"), F.lit(kind).alias("type"), uri.alias("target_uri"),
+            F.timestamp_seconds(F.col("at") + shift).alias("date"), F.lit(status).alias("status"),
+            F.map_from_entries(F.filter(F.array(*named), lambda e: e["value"].isNotNull())).alias("headers"), digest.alias("payload_digest"))
+
+    changed = F.when(p % 5 == 1, F.lit('"changed"')).when(p % 7 != 3, F.concat(F.lit("W/"), F.col("tag")))
+    modified = F.concat(F.lit("m"), p)
+    again = record(
+        "revisit", 304, 86400, respelt, F.when(p % 11 == 5, F.col("digest")), ETag=changed, Date=F.concat(F.lit("d"), p),
+        Expires=F.concat(F.lit("e"), p), Content_Length=F.lit("0"), Last_Modified=F.when(p % 2 == 0, modified))
+    first = record(
+        "response", 200, 0, url, F.col("digest"), ETag=F.col("tag"), Date=F.lit("d0"), Server=F.lit("s"),
+        Content_Type=F.lit("text/html"), Last_Modified=modified)
+    early = record("revisit", 304, -30, url, F.col("digest"), Date=F.lit("d1"))
+    listed = F.filter(F.array(first, again, F.when(p % 13 == 4, early)), lambda r: r.isNotNull())
+    return base.select(F.inline(listed))
+
+
+@query("op2_warc_revisits", r"""
+WITH b AS (
+  SELECT page_id AS p, url, md5(coalesce(html, '')) AS digest, '"' || left(md5(coalesce(html, '')), 16) || '"' AS tag,
+    1704067200 + 60 * page_id AS s FROM pages),
+r AS (
+  SELECT 'response0-' || p AS id, 'response' AS type, url AS uri, s, digest, tag AS etag, 'm' || p AS modified, p, 'd0' AS d, NULL AS e FROM b
+  UNION ALL
+  SELECT 'revisit86400-' || p, 'revisit',
+    CASE p % 3 WHEN 0 THEN url WHEN 1 THEN regexp_replace(url, '^https?://', 'HTTPS://WWW.') || '#again'
+      ELSE regexp_replace(url, '^(https?://[^/?#]*)', '\1:443') END,
+    s + 86400, CASE WHEN p % 11 = 5 THEN digest END,
+    CASE WHEN p % 5 = 1 THEN '"changed"' WHEN p % 7 <> 3 THEN 'W/' || tag END, CASE WHEN p % 2 = 0 THEN 'm' || p END, p, 'd' || p, 'e' || p FROM b
+  UNION ALL
+  SELECT 'revisit-30-' || p, 'revisit', url, s - 30, digest, NULL, NULL, p, 'd1', NULL FROM b WHERE p % 13 = 4),
+x AS (SELECT *, regexp_replace(regexp_replace(uri, '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS rest FROM r),
+c AS (
+  SELECT *, regexp_replace(regexp_replace(lower(regexp_extract(rest, '^[^/?]*')), '^www\.', ''), ':(80|443)$', '')
+    || regexp_replace(regexp_extract(rest, '^[^/?]*([^?]*)', 1), '/+$', '') AS place,
+    list_sort(list_filter(string_split(regexp_extract(rest, '\?(.*)$', 1), '&'), lambda x: x <> '' AND NOT starts_with(x, 'utm_'))) AS query
+  FROM x),
+u AS (SELECT *, place || CASE WHEN len(query) > 0 THEN '?' || array_to_string(query, '&') ELSE '' END AS url FROM c),
+m AS (
+  SELECT v.*, f.id AS response_id, f.s AS response_s, f.digest AS response_digest, f.etag AS response_etag, f.modified AS response_modified
+  FROM u v LEFT JOIN u f ON f.type = 'response' AND f.url = v.url AND f.s < v.s
+  WHERE v.type = 'revisit'
+  QUALIFY row_number() OVER (PARTITION BY v.id ORDER BY f.s DESC NULLS LAST, f.id DESC) = 1),
+k AS (
+  SELECT *, CASE WHEN response_id IS NULL THEN 'no_response'
+      WHEN etag IS NULL AND modified IS NULL AND digest IS NULL THEN 'unverified'
+      WHEN regexp_replace(etag, '^W/', '') <> response_etag OR modified <> response_modified OR digest <> response_digest THEN 'mismatch'
+      ELSE 'resolved' END AS resolution FROM m)
+SELECT id AS record_id, url, s AS date_s, resolution, response_id, response_s,
+  CASE WHEN resolution = 'resolved' THEN response_digest END AS payload_digest,
+  CASE WHEN resolution = 'resolved' THEN 'content-type=text/html;date=' || d || ';etag=' || coalesce(etag, response_etag)
+    || coalesce(';expires=' || e, '') || ';last-modified=' || response_modified || ';server=s' END AS headers
+FROM k
+""")
+def op2_warc_revisits(spark: SparkSession, sf: str) -> DataFrame:
+    found = revisits.resolve(captures(parquet(spark, sf, "pages")))
+    named = F.transform(F.map_entries("headers"), lambda e: F.concat_ws("=", e["key"], e["value"]))
+    return found.select(
+        "record_id", "url", F.unix_seconds("date").alias("date_s"), "resolution", "response_id",
+        F.unix_seconds("response_date").alias("response_s"), "payload_digest",
+        F.when(F.col("headers").isNotNull(), F.array_join(F.array_sort(named), ";")).alias("headers"))
