@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
 import numpy as np
@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
-from tapewright.llm.common import ROW, boxed, unboxed, written
+from tapewright.llm.common import ROW, written
 
 # Four symbols of 16 bits fill a long: grams, their contexts and their suffixes are shifts and masks of it.
 ORDER = 4
@@ -160,8 +160,11 @@ def _log_p(grams: DataFrame, model: DataFrame) -> DataFrame:
     return got.select("g", F.log(p).alias("logp"))
 
 
-def scored(docs: DataFrame, model: DataFrame, key: str = "doc_id", text: str = "text", batch: int = BATCH) -> DataFrame:
-    """The rows in a struct, with ``n_scored`` characters and their ``perplexity`` (NULL where there is none).
+def scored(
+    docs: DataFrame, model: DataFrame, columns: Sequence[str], key: str = "doc_id", text: str = "text", batch: int = BATCH,
+) -> DataFrame:
+    """The named columns in a struct (the text, if named, beside it), with ``n_scored`` characters and their
+    ``perplexity`` (NULL where there is none).
 
     Texts cross one exchange, into batches of documents.  A batch sends each of
     its grams once to the shards of the model and gets its probability back,
@@ -169,8 +172,10 @@ def scored(docs: DataFrame, model: DataFrame, key: str = "doc_id", text: str = "
     per document.
     """
     parts = max(1, -(-docs.count() // batch))
-    dealt = boxed(docs, text=F.col(text).cast("string"), part=F.pmod(F.xxhash64(key, text), F.lit(parts)))
-    dealt = dealt.repartition("part")
+    others = [F.col(f"`{c}`") for c in columns if c != text]
+    part = F.pmod(F.xxhash64(key, text), F.lit(parts))
+    dealt = docs.select(F.struct(*others).alias(ROW), F.col(text).cast("string").alias("text"), part.alias("part")).repartition("part")
+    passed = [ROW, *["text"] * (text in columns)]
 
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, np.ndarray] = {}
@@ -186,7 +191,7 @@ def scored(docs: DataFrame, model: DataFrame, key: str = "doc_id", text: str = "
     pairs = dealt.mapInArrow(distinct, "part bigint, g bigint").repartition("g")
     known = pairs.join(_log_p(pairs.select("g").distinct(), model), "g").select("part", "g", "logp")
 
-    schema = T.StructType([dealt.schema[ROW], T.StructField("n_scored", T.LongType()), T.StructField("perplexity", T.DoubleType())])
+    schema = T.StructType([*[dealt.schema[c] for c in passed], T.StructField("n_scored", T.LongType()), T.StructField("perplexity", T.DoubleType())])
 
     def score(rows: pa.Table, found: pa.Table) -> pa.Table:
         order = np.argsort(found.column("g").to_numpy())
@@ -209,7 +214,7 @@ def scored(docs: DataFrame, model: DataFrame, key: str = "doc_id", text: str = "
                 held, first, size = [], i + 1, 0
         empty = counts == 0
         perplexity = np.exp(-sums / np.maximum(counts, 1))
-        return pa.table({ROW: rows.column(ROW), "n_scored": counts, "perplexity": pa.array(perplexity, mask=empty)})
+        return pa.table({c: rows.column(c) for c in passed} | {"n_scored": counts, "perplexity": pa.array(perplexity, mask=empty)})
 
     return dealt.groupBy("part").cogroup(known.groupBy("part")).applyInArrow(score, schema)
 
@@ -233,15 +238,14 @@ DEVIATION = 2.0
 
 
 def _judged(
-    docs: DataFrame, trusted: DataFrame, columns: list[str], key: str = "doc_id", text: str = "text",
+    docs: DataFrame, trusted: DataFrame, columns: Sequence[str], key: str = "doc_id", text: str = "text",
     lang: str = "lang", quantile: float = QUANTILE, slack: float = SLACK,
 ) -> DataFrame:
     ids = ids_of(trusted, key)
     model = train(docs.join(ids, key, "left_semi").select(F.col(text).cast("string")))
     row = F.col(ROW)
-    result = written(scored(docs, model, key, text).select(
-        F.struct(*[row.getField(c).alias(c) for c in columns]).alias(ROW), "n_scored", "perplexity",
-        row.getField(key).alias("_key"), row.getField(lang).alias("_lang")), "perplexities")
+    result = written(scored(docs, model, list(dict.fromkeys([*columns, key, lang])), key, text).withColumns({
+        "_key": row.getField(key), "_lang": row.getField(lang)}), "perplexities")
     good = result.select("_key", "_lang", "perplexity").join(ids.withColumnRenamed(key, "_key"), "_key", "left_semi")
     limit = written(limits(good, "_lang", quantile, slack), "limits")
     most = limit.agg(F.max("limit")).first()[0]
@@ -251,7 +255,7 @@ def _judged(
     return met.withColumn("limit", bound).withColumn("kept", F.coalesce(F.col("perplexity") <= allowed, F.lit(False)))
 
 
-def judged(docs: DataFrame, trusted: DataFrame, columns: list[str] | None = None, **options) -> DataFrame:
+def judged(docs: DataFrame, trusted: DataFrame, columns: Sequence[str] | None = None, **options) -> DataFrame:
     """The documents (all their columns, or those named) with ``n_scored``, ``perplexity``, ``limit`` and ``kept``.
 
     The model is trained on the texts of all documents whose key is among
@@ -264,9 +268,16 @@ def judged(docs: DataFrame, trusted: DataFrame, columns: list[str] | None = None
     language is a language, a NULL key is never trusted, and repeated rows are
     judged alike.  Input columns with the added names give way.
     """
-    return unboxed(_judged(docs, trusted, columns or docs.columns, **options), ["n_scored", "perplexity", "limit", "kept"])
+    return _columns(_judged(docs, trusted, columns or docs.columns, **options), columns or docs.columns,
+                    ["n_scored", "perplexity", "limit", "kept"], options.get("text", "text"))
 
 
 def filtered(docs: DataFrame, trusted: DataFrame, **options) -> DataFrame:
     """The documents that ``judged`` keeps, all columns as they were."""
-    return unboxed(_judged(docs, trusted, docs.columns, **options).filter("kept"), [])
+    kept = _judged(docs, trusted, docs.columns, **options).filter("kept")
+    return _columns(kept, docs.columns, [], options.get("text", "text"))
+
+
+def _columns(df: DataFrame, columns: Sequence[str], added: Sequence[str], text: str) -> DataFrame:
+    kept = [c for c in columns if c.lower() not in added]
+    return df.select(*[F.col("text").alias(c) if c == text else F.col(ROW).getField(c).alias(c) for c in kept], *added)
