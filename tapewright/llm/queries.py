@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tapewright.catalogue import Query
-from tapewright.llm import chat, kneser_ney, nearest, packing, pii, quality_rules, revisits, sharding, simhash
+from tapewright.llm import chat, kneser_ney, nearest, packing, pieces, pii, quality_rules, revisits, sharding, simhash
 from tapewright.sources.tables import parquet
 
 QUERIES: dict[str, Query] = {}
@@ -207,3 +207,10 @@ def op2_warc_revisits(spark: SparkSession, sf: str) -> DataFrame:
         "record_id", "url", F.unix_seconds("date").alias("date_s"), "resolution", "response_id",
         F.unix_seconds("response_date").alias("response_s"), "payload_digest",
         F.when(F.col("headers").isNotNull(), F.array_join(F.array_sort(named), ";")).alias("headers"))
+
+
+@query("op8_pieces")
+def op8_pieces(spark: SparkSession, sf: str) -> DataFrame:
+    """The four best segmentations of every text, as their scores, lengths and checksums."""
+    best = pieces.encode(parquet(spark, sf, "documents"))
+    return best.select("doc_id", "rank", "score", (F.octet_length("ids") / 4).cast("bigint").alias("n_ids"), F.crc32("ids").alias("ids_crc32"))
