@@ -105,7 +105,8 @@ def _close(fps: np.ndarray, table: np.ndarray, i: np.ndarray, j: np.ndarray | in
     close = apart <= DISTANCE
     i = i[close]
     j = j[close] if isinstance(j, np.ndarray) else j
-    close[close] = np.bitwise_count(fps[i] ^ fps[j]) <= DISTANCE
+    # Unsigned: numpy counts the bits of a negative number's absolute value.
+    close[close] = np.bitwise_count((fps[i] ^ fps[j]).view(np.uint64)) <= DISTANCE
     return close
 
 
