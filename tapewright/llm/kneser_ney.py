@@ -136,7 +136,8 @@ def train(texts: DataFrame) -> DataFrame:
         levels.append(grown.select("g", p.alias("p")))
     rows = []
     for n, level in enumerate(levels, 1):
-        full = level.join(weights[n - 1], "g", "left") if n < ORDER else level.withColumn("bow", F.lit(None).cast("double"))
+        # The start of a text is a context, though no gram ends in it.
+        full = level.join(weights[n - 1], "g", "full") if n < ORDER else level.withColumn("bow", F.lit(None).cast("double"))
         rows.append(full.select(F.lit(n).alias("n"), "g", "p", "bow"))
     floor = texts.sparkSession.range(1).select(F.lit(0), F.lit(0).cast("bigint"), F.lit(unseen), F.lit(1.0))
     return written(reduce(DataFrame.union, rows).union(floor), "model")
