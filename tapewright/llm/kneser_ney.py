@@ -7,10 +7,11 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
-from tapewright.llm.common import ROW, written
+from tapewright.llm.common import ROW, map_batches, written
 
 # Four symbols of 16 bits fill a long: grams, their contexts and their suffixes are shifts and masks of it.
 ORDER = 4
@@ -60,6 +61,12 @@ def _parts(texts: Iterator[str | None]) -> Iterator[np.ndarray]:
         yield np.concatenate(held)
 
 
+def _unpacked(column: pa.Array | pa.ChunkedArray) -> Iterator[str | None]:
+    grow = zstandard.ZstdDecompressor().decompress
+    for raw in column:
+        yield grow(raw.as_py()).decode() if raw.is_valid else None
+
+
 def _merged(a: tuple[np.ndarray, np.ndarray] | None, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     g, n = np.unique(grams, return_counts=True)
     if a is None:
@@ -167,7 +174,7 @@ def scored(
     """The named columns in a struct (the text, if named, beside it), with ``n_scored`` characters and their
     ``perplexity`` (NULL where there is none).
 
-    Texts cross one exchange, into batches of documents.  A batch sends each of
+    Texts cross one exchange, compressed, into batches of documents.  A batch sends each of
     its grams once to the shards of the model and gets its probability back,
     so the model is never held whole anywhere and common grams are not sent
     per document.
@@ -175,24 +182,34 @@ def scored(
     parts = max(1, -(-docs.count() // batch))
     others = [F.col(f"`{c}`") for c in columns if c != text]
     part = F.pmod(F.xxhash64(key, text), F.lit(parts))
-    dealt = docs.select(F.struct(*others).alias(ROW), F.col(text).cast("string").alias("text"), part.alias("part")).repartition("part")
-    passed = [ROW, *["text"] * (text in columns)]
+    rows = docs.select(F.struct(*others).alias(ROW), F.col(text).cast("string").alias("text"), part.alias("part"))
+    packed = T.StructType([rows.schema[ROW], T.StructField("packed", T.BinaryType()), rows.schema["part"]])
+
+    def pack(batch: pa.RecordBatch) -> pa.RecordBatch:
+        squeeze = zstandard.ZstdCompressor(level=1).compress
+        texts = [squeeze(t.as_py().encode()) if t.is_valid else None for t in batch.column("text")]
+        return pa.record_batch([batch.column(ROW), pa.array(texts, pa.binary()), batch.column("part")], packed.names)
+
+    dealt = map_batches(rows, pack, packed).repartition("part")
+    keeps = text in columns
+    passed = [ROW, *["text"] * keeps]
 
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, np.ndarray] = {}
         for b in batches:
             column = b.column("part").to_numpy()
             for part in np.unique(column):
-                texts = b.column("text").filter(pa.array(column == part))
-                for grams in _parts(t.as_py() for t in texts):
+                for grams in _parts(_unpacked(b.column("packed").filter(pa.array(column == part)))):
                     held[part] = np.union1d(held.get(part, grams[:0]), grams)
         for part, grams in held.items():
             yield pa.record_batch({"part": np.full(len(grams), part, np.int64), "g": grams})
 
     pairs = dealt.mapInArrow(distinct, "part bigint, g bigint").repartition("g")
-    known = pairs.join(_log_p(pairs.select("g").distinct(), model), "g").select("part", "g", "logp")
+    # The count keeps both columns, so that this and the join share one exchange.
+    once = pairs.groupBy("g").agg(F.count("part").alias("n")).filter("n > 0")
+    known = pairs.join(_log_p(once, model), "g").select("part", "g", "logp")
 
-    schema = T.StructType([*[dealt.schema[c] for c in passed], T.StructField("n_scored", T.LongType()), T.StructField("perplexity", T.DoubleType())])
+    schema = T.StructType([*[rows.schema[c] for c in passed], T.StructField("n_scored", T.LongType()), T.StructField("perplexity", T.DoubleType())])
 
     def score(rows: pa.Table, found: pa.Table) -> pa.Table:
         order = np.argsort(found.column("g").to_numpy())
@@ -207,15 +224,19 @@ def scored(
                 values = logp[np.searchsorted(grams, np.concatenate(held))]
                 sums[first:until] = np.bincount(np.repeat(np.arange(len(sizes)), sizes), weights=values, minlength=len(sizes))
 
-        for i, t in enumerate(rows.column("text")):
-            held.append(grams_of(t.as_py()))
+        texts = []
+        for i, t in enumerate(_unpacked(rows.column("packed"))):
+            if keeps:
+                texts.append(t)
+            held.append(grams_of(t))
             size += len(held[-1])
             if size >= CHARS or i + 1 == rows.num_rows:
                 flush(i + 1)
                 held, first, size = [], i + 1, 0
         empty = counts == 0
         perplexity = np.exp(-sums / np.maximum(counts, 1))
-        return pa.table({c: rows.column(c) for c in passed} | {"n_scored": counts, "perplexity": pa.array(perplexity, mask=empty)})
+        kept = {ROW: rows.column(ROW)} | ({"text": pa.array(texts, pa.string())} if keeps else {})
+        return pa.table(kept | {"n_scored": counts, "perplexity": pa.array(perplexity, mask=empty)})
 
     return dealt.groupBy("part").cogroup(known.groupBy("part")).applyInArrow(score, schema)
 
