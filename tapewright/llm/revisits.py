@@ -59,21 +59,25 @@ def _asof(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fresh = 0 if held is None else 1
         want = place[(place >= fresh) & rows.column("revisit").to_numpy(zero_copy_only=False)]
         if len(want):
-            yield _out(rows, want, last[want], task, False)
+            yield _out(rows, want, last[want], task)
         url = address[-1]
         end = rows.slice(int(last[-1]), 1) if last[-1] >= 0 else None
         held = end
     if url is not None:
-        one = pa.record_batch([pa.array([None if n != "url" else url], t) for n, t in zip(batch.schema.names, batch.schema.types)], batch.schema.names)
-        rows = pa.Table.from_batches([one, *([end] if end is not None else [])], one.schema).combine_chunks().to_batches()[0]
-        yield _out(rows, np.array([0]), np.array([1 if end is not None else -1]), task, True)
+        kind = batch.schema.field("record").type
+        answer = end.column("record") if end is not None else pa.nulls(1, kind)
+        yield _batch(pa.array([url]), pa.nulls(1, kind), answer, task, True)
 
 
-def _out(rows: pa.RecordBatch, at: np.ndarray, found: np.ndarray, task: int, ends: bool) -> pa.RecordBatch:
+def _out(rows: pa.RecordBatch, at: np.ndarray, found: np.ndarray, task: int) -> pa.RecordBatch:
     answer = rows.column("record").take(pa.array(np.where(found < 0, 0, found), mask=found < 0))
+    return _batch(rows.column("url").take(pa.array(at)), rows.column("record").take(pa.array(at)), answer, task, False)
+
+
+def _batch(url: pa.Array, record: pa.Array, response: pa.Array, task: int, ends: bool) -> pa.RecordBatch:
+    n = len(url)
     return pa.record_batch(
-        [rows.column("url").take(pa.array(at)), rows.column("record").take(pa.array(at)), answer,
-         pa.array([task] * len(at), pa.int64()), pa.array([ends] * len(at))],
+        [url, record, response, pa.array([task] * n, pa.int64()), pa.array([ends] * n)],
         ["url", "record", "response", "task", "ends"])
 
 
