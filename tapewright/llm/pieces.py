@@ -321,9 +321,9 @@ def _encoded(m: Model, ways, batch: pa.RecordBatch, n: int) -> pa.RecordBatch:
         for rank, (total, at) in enumerate(combined([[w[0] for w in c] for c in choices], n), 1):
             parts, done = [], 0
             for p, c, i in zip(picked, choices, at):
-                if i:
-                    parts += [ids[done:ends[p] - size[p]], spelt(m, np.array(c[i][1]))[0].astype("<u4")]
-                    done = ends[p]
+                # Of equally good ways the search may put another first than the forward pass took.
+                parts += [ids[done:ends[p] - size[p]], spelt(m, np.array(c[i][1]))[0].astype("<u4")]
+                done = ends[p]
             out.append((key, rank, rest + total, b"".join(x.tobytes() for x in [*parts, ids[done:]])))
     keys, ranks, scores, ids = zip(*out)
     return pa.record_batch({
