@@ -120,7 +120,7 @@ def filing_links(spark, sf):
 SELECT accession_number, form_type, filed_at, period, is_material_event, document_url
 FROM filings WHERE ticker = '7'""", "filings"))
 def company_drilldown(spark, sf):
-    return reports.company_history(standins.filing_facts(spark, sf), "7")
+    return reports.company_history(standins.filing_facts(spark, sf, "bigint"), 7)
 
 
 @query("company_yearly", sql("""
@@ -284,7 +284,7 @@ SELECT l_returnflag, l_orderkey, l_extendedprice, rank FROM (
     ORDER BY l_extendedprice DESC, l_orderkey, l_partkey, l_suppkey) AS INTEGER) AS rank
   FROM lineitem) WHERE rank <= 1500""")
 def top_n_per_hot_key(spark, sf):
-    """Three keys hold all rows, and n is beyond the bound Spark pushes down."""
+    """Three keys hold all rows; each is cut to its first n per salt before its rows meet."""
     lines = parquet(spark, sf, "lineitem").select(
         "l_returnflag", "l_orderkey", "l_extendedprice", "l_partkey", "l_suppkey"
     )

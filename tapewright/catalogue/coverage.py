@@ -44,6 +44,14 @@ def news_window_nd(spark, sf):
     return reports.coverage(standins.filings(spark, sf), standins.news(spark, sf), 2).drop("min_days_apart")
 
 
+@query("news_window_timestamps", sql(WINDOW_SQL.format(n=7) + "SELECT accession_number, news_count, min_days_apart FROM covered", "filings", "news"))
+def news_window_timestamps(spark, sf):
+    """Both sides at some time of their day: counted by calendar day all the same."""
+    filings = standins.filings(spark, sf).withColumn("filed_at", F.expr("timestamp(filed_at) + INTERVAL 10 HOURS"))
+    news = standins.news(spark, sf).withColumn("date_only", F.expr("timestamp(date_only) + INTERVAL 9 HOURS"))
+    return reports.coverage(filings, news).select("accession_number", "news_count", "min_days_apart")
+
+
 @query("top_covered_filings", sql(WINDOW_SQL.format(n=7) + """
 SELECT * FROM covered WHERE news_count > 0
 ORDER BY news_count DESC, filed_at DESC, accession_number LIMIT 50""", "filings", "news"))
@@ -91,6 +99,19 @@ def asof_nearest_value(spark, sf):
     )
 
 
+@query("asof_timestamps", sql("""
+WITH line AS (SELECT date, value FROM market WHERE series_code = '5-LOW'),
+days AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d FROM orders),
+hit AS (SELECT o_orderkey, date AS matched_date, value FROM days ASOF LEFT JOIN line ON days.d >= line.date)
+SELECT * FROM hit""", "market"))
+def asof_timestamps(spark, sf):
+    """Orders and points at some time of their day, matched by calendar day."""
+    orders = parquet(spark, sf, "orders").select("o_orderkey", F.expr("timestamp(to_date(o_orderdate)) + INTERVAL 1 HOUR").alias("at"))
+    line = standins.market(spark, sf).filter("series_code = '5-LOW'").select(
+        F.expr("timestamp(date) + INTERVAL 20 HOURS").alias("date"), "value")
+    return joins.asof_join(orders, line, "at", "date", ["value"], direction="backward").drop("at")
+
+
 @query("asof_price_by_ticker", sql("""
 WITH wanted AS (SELECT DISTINCT CAST(user_id AS VARCHAR) AS ticker, CAST(ts AS DATE) AS date
                 FROM events WHERE event_type = 'purchase'),

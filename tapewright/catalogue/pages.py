@@ -37,26 +37,26 @@ def all_links(spark, sf):
 
 
 def _linked(spark, sf):
-    """Each page with two more links in front, to the next two pages by id."""
+    """Each page with links in front to the next two pages by id, as far as there are any."""
     pages = parquet(spark, sf, "pages")
     targets = pages.select(F.col("url").alias("_u"), F.col("page_id").alias("_p"))
     one = targets.select((F.col("_p") - 1).alias("page_id"), F.col("_u").alias("_one"))
     two = targets.select((F.col("_p") - 2).alias("page_id"), F.col("_u").alias("_two"))
-    links = F.format_string('<a href="%s"></a><a href="%s"></a>', "_one", "_two")
+    links = [F.when(F.col(c).isNotNull(), F.format_string('<a href="%s"></a>', F.col(c))).otherwise("") for c in ("_one", "_two")]
     return (
-        pages.join(one, "page_id").join(two, "page_id")
-        .select("page_id", "url", F.concat(links, F.col("html")).alias("html"))
+        pages.join(one, "page_id", "left").join(two, "page_id", "left")
+        .select("page_id", "url", F.concat(*links, F.col("html")).alias("html"))
     )
 
 
 @query("linked_page_replace", """
 WITH w AS (
-  SELECT p.page_id, p.url, '<a href="' || a.url || '"></a><a href="' || b.url || '"></a>' || p.html AS html,
+  SELECT p.page_id, p.url, coalesce('<a href="' || a.url || '"></a>', '') || coalesce('<a href="' || b.url || '"></a>', '') || p.html AS html,
          a.url AS ua, a.html AS ha, b.url AS ub, b.html AS hb
-  FROM pages p JOIN pages a ON a.page_id = p.page_id + 1 JOIN pages b ON b.page_id = p.page_id + 2),
+  FROM pages p LEFT JOIN pages a ON a.page_id = p.page_id + 1 LEFT JOIN pages b ON b.page_id = p.page_id + 2),
 c AS (
-  SELECT *, length(html) < 5000 AND length(ha) > length(html) AS fa,
-         length(html) < 5000 AND length(hb) > length(html) AS fb FROM w)
+  SELECT *, coalesce(length(html) < 5000 AND length(ha) > length(html), false) AS fa,
+         coalesce(length(html) < 5000 AND length(hb) > length(html), false) AS fb FROM w)
 SELECT page_id, CASE WHEN fa THEN ua WHEN fb THEN ub END AS taken_from,
        md5(CASE WHEN fa THEN ha WHEN fb THEN hb ELSE html END) AS digest FROM c""")
 def linked_page_replace(spark, sf):

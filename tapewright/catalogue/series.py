@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tapewright.catalogue import query, standins
 from tapewright.catalogue.coverage import BANDS
-from tapewright.catalogue.standins import ALL_TIME, CODES, COLUMNS, EVENT_TYPES, sql
+from tapewright.catalogue.standins import ALL_TIME, CODES, COLUMNS, EVENT_TYPES, EXACT, sql
 from tapewright.operators import correlation, series
 from tapewright.operators.dedupe import nth_per_key
 from tapewright.plans import reports
@@ -50,14 +50,14 @@ SELECT series_code, date, value, {MEAN.format(n=50)} AS rolling_mean FROM market
 WINDOW w AS (PARTITION BY series_code ORDER BY date ROWS BETWEEN 49 PRECEDING AND CURRENT ROW)""", "market"))
 def rolling_mean_50(spark, sf):
     rows = standins.market(spark, sf).select("series_code", "date", "value")
-    return series.rolling_mean(rows, ["series_code"], "date", "value", 50)
+    return series.rolling_mean(rows, ["series_code"], "date", "value", 50, exact=EXACT)
 
 
 @query("index_with_mean_50", sql(f"""
 SELECT series_code, date, value, {MEAN.format(n=50)} AS rolling_mean FROM market WHERE series_code = '1-URGENT'
 WINDOW w AS (PARTITION BY series_code ORDER BY date ROWS BETWEEN 49 PRECEDING AND CURRENT ROW)""", "market"))
 def index_with_mean_50(spark, sf):
-    return reports.index_with_mean(standins.market(spark, sf), "1-URGENT")
+    return reports.index_with_mean(standins.market(spark, sf), "1-URGENT", exact=EXACT)
 
 
 @query("pct_change", sql(f"""
@@ -76,7 +76,7 @@ l AS (SELECT *, lag(known) {LINE}) AS p FROM k)
 SELECT series_code, date, value, CASE WHEN p <> 0 THEN (known / p - 1) * 100 END AS pct_change FROM l""", "market"))
 def pct_change_filled(spark, sf):
     """Days without a value carry the last one forward."""
-    wide = series.pivot_mean(standins.market(spark, sf), "date", "series_code", "value", {c: c for c in CODES})
+    wide = series.pivot_mean(standins.market(spark, sf), "date", "series_code", "value", {c: c for c in CODES}, EXACT)
     grid = wide.unpivot(["date"], CODES, "series_code", "value")
     return series.pct_change(grid, ["series_code"], "date", "value")
 
@@ -136,7 +136,7 @@ SELECT series_code, date, value, rolling_mean, CASE WHEN p <> 0 THEN (value / p
        value / f * 100 AS rebased, band
 FROM r LEFT JOIN bands ON date BETWEEN s AND e""", "market"))
 def indicator_lines(spark, sf):
-    return reports.indicator_lines(standins.market(spark, sf), CODES[:2], PERIOD, 20, BANDS)
+    return reports.indicator_lines(standins.market(spark, sf), CODES[:2], PERIOD, 20, BANDS, EXACT)
 
 
 @query("indicator_list", sql("SELECT DISTINCT series_code, series_name FROM market", "market"))
@@ -214,7 +214,7 @@ r AS (SELECT k, d, (v / NULLIF(lag(v) OVER (PARTITION BY k ORDER BY d), 0) - 1)
 ret AS (SELECT * FROM r WHERE d IN (SELECT d FROM r GROUP BY 1 HAVING COUNT(v) = 5))
 """ + PAIR_SQL)
 def return_corr(spark, sf):
-    corr = correlation.return_corr(standins.type_prices(spark, sf), "ticker", "date", "close", EVENT_TYPES)
+    corr = correlation.return_corr(standins.type_prices(spark, sf), "ticker", "date", "close", EVENT_TYPES, EXACT)
     return corr.withColumn("corr", F.round("corr", 6))
 
 
@@ -228,7 +228,7 @@ ret AS (SELECT * FROM r WHERE d IN (SELECT d FROM r GROUP BY 1 HAVING COUNT(v) =
 """ + PAIR_SQL, "type_prices"))
 def price_correlation(spark, sf):
     period = (dt.date(2024, 1, 5), dt.date(2024, 1, 25))
-    corr = reports.price_correlation(standins.type_prices(spark, sf), EVENT_TYPES, period)
+    corr = reports.price_correlation(standins.type_prices(spark, sf), EVENT_TYPES, period, EXACT)
     return corr.withColumn("corr", F.round("corr", 6))
 
 
@@ -237,7 +237,7 @@ WITH m AS (SELECT series_code AS k, last_day(date) AS d, arg_max(value, date) AS
 ret AS (SELECT * FROM m WHERE d IN (SELECT d FROM m GROUP BY 1 HAVING COUNT(v) >= 3))
 """ + PAIR_SQL, "market"))
 def monthly_corr(spark, sf):
-    corr = reports.macro_correlation(standins.market(spark, sf), CODES, ALL_TIME)
+    corr = reports.macro_correlation(standins.market(spark, sf), CODES, ALL_TIME, exact=EXACT)
     return corr.withColumn("corr", F.round("corr", 6))
 
 
@@ -246,7 +246,7 @@ WIDE = ", ".join(f"AVG(value) FILTER (WHERE series_code = '{c}') AS {n}" for c,
 
 @query("pivot_daily", sql(f"SELECT date, {WIDE} FROM market GROUP BY 1", "market"))
 def pivot_daily(spark, sf):
-    return series.pivot_mean(standins.market(spark, sf), "date", "series_code", "value", COLUMNS)
+    return series.pivot_mean(standins.market(spark, sf), "date", "series_code", "value", COLUMNS, EXACT)
 
 
 FILLED = " + ".join(f"CASE WHEN {n} IS NULL THEN 0 ELSE 1 END" for n in COLUMNS.values())
@@ -257,3 +257,21 @@ FILLED = " + ".join(f"CASE WHEN {n} IS NULL THEN 0 ELSE 1 END" for n in COLUMNS.
 ))
 def drop_sparse_rows(spark, sf):
     return series.drop_sparse(pivot_daily(spark, sf), list(COLUMNS.values()), 3)
+
+
+@query("tiny_and_huge_values", """
+SELECT event_type AS series_code, CAST(ts AS DATE) AS date,
+       CAST(SUM(CAST(value AS DECIMAL(18,6))) AS DOUBLE) / COUNT(value) > 0 AS positive,
+       MIN(value) / 1e7 AS least, round(AVG(value * 1e9) / 1e9, 3) AS huge
+FROM events WHERE value > 0 GROUP BY 1, 2""")
+def tiny_and_huge_values(spark, sf):
+    """Means keep values far below 1e-6 and far above 1e12."""
+    events = parquet(spark, sf, "events").filter("value > 0").select(
+        F.col("event_type").alias("series_code"), F.to_date("ts").alias("date"), "value")
+    keys = ["series_code"]
+    tiny = series.one_per_day(events.withColumn("value", F.col("value") / 1e7), keys, "date", "value")
+    huge = series.one_per_day(events.withColumn("value", F.col("value") * 1e9), keys, "date", "value")
+    least = events.groupBy(*keys, "date").agg((F.min("value") / 1e7).alias("least"))
+    both = tiny.withColumnRenamed("value", "tiny").join(huge.withColumnRenamed("value", "huge"), [*keys, "date"])
+    return both.join(least, [*keys, "date"]).select(
+        *keys, "date", (F.col("tiny") > 0).alias("positive"), "least", F.round(F.col("huge") / 1e9, 3).alias("huge"))

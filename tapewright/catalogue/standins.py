@@ -19,15 +19,17 @@ CODES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 COLUMNS = dict(zip(CODES, ["urgent", "high", "medium", "unspecified", "low"]))
 MATERIAL = "1-URGENT"
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
+# The type in which the means of the stand-ins are added up, in Spark as in SQL.
+EXACT = "decimal(18,6)"
 ALL_TIME = (dt.date(1990, 1, 1), dt.date(2030, 1, 1))
 
 
-def filing_facts(spark: SparkSession, sf: str) -> DataFrame:
-    """Filings without the company's own fields (no join)."""
+def filing_facts(spark: SparkSession, sf: str, key: str = "string") -> DataFrame:
+    """Filings without the company's own fields (no join); the key's stored type lets filters reach the scan."""
     day = F.to_date("o_orderdate")
     return parquet(spark, sf, "orders").select(
         F.col("o_orderkey").cast("string").alias("accession_number"),
-        F.col("o_custkey").cast("string").alias("ticker"),
+        F.col("o_custkey").cast(key).alias("ticker"),
         F.col("o_orderpriority").alias("form_type"),
         day.alias("filed_at"),
         F.date_sub(day, 30).alias("period"),
@@ -83,13 +85,13 @@ def market(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def prices(spark: SparkSession, sf: str) -> DataFrame:
-    bars = series.bars(parquet(spark, sf, "events"), "user_id", "ts", "value", ["event_id"])
+    bars = series.bars(parquet(spark, sf, "events"), "user_id", "ts", "value", ["event_id"], exact=EXACT)
     return bars.withColumn("ticker", F.col("ticker").cast("string"))
 
 
 def type_prices(spark: SparkSession, sf: str) -> DataFrame:
     """The same per event type: five tickers hold all rows."""
-    return series.bars(parquet(spark, sf, "events"), "event_type", "ts", "value", ["event_id"])
+    return series.bars(parquet(spark, sf, "events"), "event_type", "ts", "value", ["event_id"], exact=EXACT)
 
 
 VIEWS = {

@@ -1,21 +1,22 @@
-"""Column functions on numbers.
-
-Sums run on decimals: exact, and the same whatever order the rows arrive in.
-"""
+"""Column functions on numbers."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-EXACT = "decimal(18,6)"
 
+def total(c: Column, exact: str | None = None) -> Column:
+    """Sum as a double.
 
-def exact_sum(c: Column) -> Column:
-    return F.sum(c.cast(EXACT)).cast("double")
+    The values are added up in their own type: decimals exactly, doubles as
+    doubles, whose last digits depend on the order of rows.  ``exact`` names a
+    decimal type to add up instead, for values that all fit it.
+    """
+    return F.sum(c.cast(exact) if exact else c).cast("double")
 
 
-def exact_mean(c: Column) -> Column:
-    return F.try_divide(exact_sum(c), F.count(c))
+def mean(c: Column, exact: str | None = None) -> Column:
+    return F.try_divide(total(c, exact), F.count(c))
 
 
 def pct_change(new: Column, old: Column) -> Column:

@@ -2,7 +2,8 @@
 
 Rows are laid out one per date with one column per series, and each task adds
 up the products of its dates as k x k matrices.  Only those sums leave a task:
-no row is ever emitted per pair and date.
+no row is ever emitted per pair and date.  The sums are doubles, so the last
+digits of a correlation depend on how dates were dealt to tasks.
 """
 
 from __future__ import annotations
@@ -95,7 +96,7 @@ def _centred(df: DataFrame, key: str, value: str) -> DataFrame:
 
 
 def return_corr(
-    df: DataFrame, key: str, day: str, value: str, members: Sequence[str]
+    df: DataFrame, key: str, day: str, value: str, members: Sequence[str], exact: str | None = None
 ) -> DataFrame:
     """Correlation of daily returns over the dates on which every member has one.
 
@@ -104,7 +105,7 @@ def return_corr(
     columns = _columns(members)
     names = list(columns.values())
     picked = df.filter(F.col(key).isin(list(members)))
-    wide = series.pivot_mean(picked, day, key, value, columns)
+    wide = series.pivot_mean(picked, day, key, value, columns, exact)
     # Back to long rows: now with a NULL for every missing (day, member).
     grid = wide.unpivot([day], names, "_member", "_value")
     returns = series.pct_change(grid, ["_member"], day, "_value", "_return")
@@ -114,7 +115,8 @@ def return_corr(
 
 
 def monthly_corr(
-    df: DataFrame, key: str, day: str, value: str, members: Sequence[str], at_least: int = 3
+    df: DataFrame, key: str, day: str, value: str, members: Sequence[str], at_least: int = 3,
+    exact: str | None = None,
 ) -> DataFrame:
     """Correlation of month-end values, over months in which enough series have one.
 
@@ -122,7 +124,7 @@ def monthly_corr(
     """
     columns = _columns(members)
     picked = df.filter(F.col(key).isin(list(members)))
-    monthly = series.month_end(series.one_per_day(picked, [key], day, value), [key], day, value)
+    monthly = series.month_end(series.one_per_day(picked, [key], day, value, exact), [key], day, value)
     wide = _wide(_centred(monthly, key, value), "month_end", key, value, columns)
     names = list(columns.values())
     return pairwise(series.drop_sparse(wide, names, at_least), names, members)

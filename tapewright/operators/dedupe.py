@@ -1,6 +1,6 @@
 """Rows per key: first, n-th, top n.
 
-Each is ``row_number`` with a bound on the rank.  Spark applies that bound
+Each is ``row_number`` with a bound on the rank.  Spark applies a small bound
 inside every map task before the exchange (WindowGroupLimit), so a key that
 holds a third of all rows still sends at most n rows per task.
 """
@@ -10,10 +10,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import types as T
 
-# Up to this rank bound Spark works inside the map tasks (setting and its default).
-PUSHED_LIMIT = ("spark.sql.optimizer.windowGroupLimitThreshold", "1000")
 SALTS = 1024
+# Columns that hold whole texts: orders compare a digest of them, and only after everything else.
+TEXTS = ("content", "full_text", "html", "text")
 
 
 def _columns(order: Sequence[str | Column]) -> list[Column]:
@@ -37,14 +38,21 @@ def with_rank(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
 def keep_first(
     df: DataFrame, keys: Sequence[str], order: Sequence[str | Column] | None = None
 ) -> DataFrame:
-    """One row per key: the first in ``order``, by default of all other columns.
+    """One row per key: the first in ``order``.
 
-    The survivor depends on the data alone, never on which task came first.
+    By default the order is of all other columns, load time and short ones
+    before digests of whole texts.  The survivor depends on the data alone,
+    never on which task came first.
     """
-    order = order or [c for c in df.columns if c not in keys]
-    if not order:
+    if order:
+        return with_rank(df, keys, order, "_rank").filter("_rank = 1").drop("_rank")
+    others = [c for c in df.columns if c not in keys]
+    if not others:
         return df.dropDuplicates(list(keys))
-    return with_rank(df, keys, order, "_rank").filter("_rank = 1").drop("_rank")
+    short = sorted((c for c in others if c not in TEXTS), key=lambda c: c != "fetched_at")
+    digests = {f"_digest{i}": F.md5(F.col(c).cast("binary")) for i, c in enumerate(c for c in others if c in TEXTS)}
+    ranked = with_rank(df.withColumns(digests), keys, [*short, *digests], "_rank")
+    return ranked.filter("_rank = 1").drop("_rank", *digests)
 
 
 def nth_per_key(
@@ -58,14 +66,14 @@ def top_n_per_key(
 ) -> DataFrame:
     """First ``n`` rows per key with their rank.
 
-    Above the bound Spark pushes down, a salted round first cuts every key to
-    its first ``n`` rows per salt: the same result, with hot keys split.
+    A salted round cuts every key to its first ``n`` rows per salt before the
+    rows of a key meet: hot keys are split whatever ``n`` is.
     """
-    if n > int(df.sparkSession.conf.get(*PUSHED_LIMIT)):
-        salted = df.withColumn("_salt", salt(df.columns, SALTS))
-        rounds = with_rank(salted, [*keys, "_salt"], order, rank)
-        df = rounds.filter(F.col(rank) <= n).drop("_salt", rank)
-    return with_rank(df, keys, order, rank).filter(F.col(rank) <= n)
+    plain = [f.name for f in df.schema if isinstance(f.dataType, T.AtomicType)]
+    salted = df.withColumn("_salt", salt(plain, SALTS))
+    rounds = with_rank(salted, [*keys, "_salt"], order, rank)
+    first = rounds.filter(F.col(rank) <= n).drop("_salt", rank)
+    return with_rank(first, keys, order, rank).filter(F.col(rank) <= n)
 
 
 def without_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -25,7 +25,8 @@ def date_window_count(
 ) -> DataFrame:
     """Per left row: how many right rows lie within ``n_days``, and how near the nearest is.
 
-    0 and NULL where there is none.  ``on`` adds equality keys; ``by`` first
+    Days may be dates or timestamps: they are compared by calendar day.  0 and
+    NULL where there is none.  ``on`` adds equality keys; ``by`` first
     reduces the left side to distinct rows of those columns.  ``weight`` is the
     number of rows a right row stands for, when it holds counts already.
 
@@ -39,15 +40,16 @@ def date_window_count(
     if by is not None:
         left = left.select(*by).distinct()
     rows = F.col(weight) if weight else F.lit(1)
-    right = right.filter(F.col(right_day).isNotNull()).select(
-        *on, F.col(right_day).alias("_day"), rows.cast("bigint").alias("_n")
+    columns, left = left.columns, left.withColumn("_left_day", F.to_date(left_day))
+    right = right.withColumn("_day", F.to_date(right_day)).filter("_day IS NOT NULL").select(
+        *on, "_day", rows.cast("bigint").alias("_n")
     )
     if on:
-        near = _near_by_key(left, right, left_day, n_days, on, count, gap)
+        near = _near_by_key(left, right, "_left_day", n_days, on, count, gap)
     else:
-        near = F.broadcast(_near_by_day(right, left_day, n_days, count, gap))
+        near = F.broadcast(_near_by_day(right, "_left_day", n_days, count, gap))
     found = F.coalesce(F.col(count), F.lit(0).cast("bigint")).alias(count)
-    return left.join(near, [*on, left_day], "left").select(*left.columns, found, gap)
+    return left.join(near, [*on, "_left_day"], "left").select(*columns, found, gap)
 
 
 def _near_by_day(right: DataFrame, day: str, n_days: int, count: str, gap: str) -> DataFrame:
@@ -96,7 +98,8 @@ def asof_join(
 ) -> DataFrame:
     """Add the series values of the observation nearest to each left row's day.
 
-    At equal distance the earlier one wins.  Of several observations on a day
+    Days may be dates or timestamps: they are compared by calendar day.  At
+    equal distance the earlier one wins.  Of several observations on a day
     the last in ``last_by`` (default: the values) counts.  A NULL value on the
     matched day stays NULL.  ``direction`` may also be backward or forward,
     and ``tolerance`` limits the distance in days.
@@ -109,12 +112,13 @@ def asof_join(
         raise ValueError(f"unknown direction {direction!r}")
     order = list(last_by or values)
     clock = F.col(order[0]) if len(order) == 1 else F.struct(*order)
-    points = series.filter(F.col(series_day).isNotNull()).select(
-        *by, F.col(series_day).alias("_day"), F.lit(1).alias("_known"), F.lit(None).cast("int").alias("_wanted"),
+    columns, left = left.columns, left.withColumn("_left_day", F.to_date(left_day))
+    points = series.withColumn("_day", F.to_date(series_day)).filter("_day IS NOT NULL").select(
+        *by, "_day", F.lit(1).alias("_known"), F.lit(None).cast("int").alias("_wanted"),
         clock.alias("_clock"), *[F.col(v).alias(f"_v{i}") for i, v in enumerate(values)],
     )
-    wanted = left.filter(F.col(left_day).isNotNull()).select(
-        *by, F.col(left_day).alias("_day"), F.lit(1).alias("_wanted")
+    wanted = left.filter("_left_day IS NOT NULL").select(
+        *by, F.col("_left_day").alias("_day"), F.lit(1).alias("_wanted")
     )
     numbered = [f"_v{i}" for i in range(len(values))]
     calendar = (
@@ -151,13 +155,13 @@ def asof_join(
         found = found.withColumn("_hit", F.when(near, F.col("_hit")))
     found = found.select(
         *by,
-        F.col("_day").alias(left_day),
+        F.col("_day").alias("_left_day"),
         F.col("_hit.day").alias(matched),
         *[F.col(f"_hit.{n}").alias(v) for n, v in zip(numbered, values)],
     )
     if not by:
         found = F.broadcast(found)  # at most one row per calendar day
-    return left.join(found, [*by, left_day], "left").select(*left.columns, matched, *values)
+    return left.join(found, [*by, "_left_day"], "left").select(*columns, matched, *values)
 
 
 def interval_tag(

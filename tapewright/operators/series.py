@@ -17,9 +17,11 @@ from tapewright.operators.dedupe import top_n_per_key
 MEASURES = ("open", "high", "low", "close", "volume", "vwap")
 
 
-def one_per_day(df: DataFrame, keys: Sequence[str], day: str, value: str) -> DataFrame:
-    """Mean value per key and day."""
-    return df.groupBy(*keys, day).agg(numbers.exact_mean(F.col(value)).alias(value))
+def one_per_day(
+    df: DataFrame, keys: Sequence[str], day: str, value: str, exact: str | None = None
+) -> DataFrame:
+    """Mean value per key and day.  ``exact``, here and below: see ``numbers.total``."""
+    return df.groupBy(*keys, day).agg(numbers.mean(F.col(value), exact).alias(value))
 
 
 def measure(name: str) -> Column:
@@ -34,7 +36,8 @@ def _line(keys: Sequence[str], day: str):
 
 
 def rolling_mean(
-    df: DataFrame, keys: Sequence[str], day: str, value: str, width: int, name: str = "rolling_mean"
+    df: DataFrame, keys: Sequence[str], day: str, value: str, width: int, name: str = "rolling_mean",
+    exact: str | None = None,
 ) -> DataFrame:
     """Mean of the last ``width`` rows; NULL before that many, or with a NULL among them.
 
@@ -43,7 +46,7 @@ def rolling_mean(
     if width == 0:
         return df
     frame = _line(keys, day).rowsBetween(-(width - 1), 0)
-    total = F.sum(F.col(value).cast(numbers.EXACT)).over(frame).cast("double")
+    total = F.sum(F.col(value).cast(exact) if exact else F.col(value)).over(frame).cast("double")
     return df.withColumn(name, F.when(F.count(value).over(frame) == width, total / width))
 
 
@@ -150,7 +153,8 @@ def month_end(df: DataFrame, keys: Sequence[str], day: str, value: str, name: st
 
 
 def bars(
-    df: DataFrame, key: str, time: str, price: str, order: Sequence[str] = (), day: str = "date"
+    df: DataFrame, key: str, time: str, price: str, order: Sequence[str] = (), day: str = "date",
+    exact: str | None = None,
 ) -> DataFrame:
     """Daily open, high, low, close, row count and mean price per key.
 
@@ -163,14 +167,16 @@ def bars(
         F.min(price).alias("low"),
         F.max_by(price, clock).alias("close"),
         F.count(price).alias("volume"),
-        numbers.exact_mean(F.col(price)).alias("vwap"),
+        numbers.mean(F.col(price), exact).alias("vwap"),
     )
 
 
-def pivot_mean(df: DataFrame, index: str | Column, key: str, value: str, members: dict[str, str]) -> DataFrame:
+def pivot_mean(
+    df: DataFrame, index: str | Column, key: str, value: str, members: dict[str, str], exact: str | None = None
+) -> DataFrame:
     """One column of means per member (key value -> column name), one row per index value."""
     return df.groupBy(index).agg(*[
-        numbers.exact_mean(F.when(F.col(key) == member, F.col(value))).alias(name)
+        numbers.mean(F.when(F.col(key) == member, F.col(value)), exact).alias(name)
         for member, name in members.items()
     ])
 
@@ -180,8 +186,8 @@ def drop_sparse(df: DataFrame, columns: Sequence[str], at_least: int) -> DataFra
     return df.dropna(thresh=at_least, subset=list(columns))
 
 
-def mean_rank(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
-    return df.groupBy(key).agg(numbers.exact_mean(F.col(value)).alias(name)).orderBy(F.col(name), key)
+def mean_rank(df: DataFrame, key: str, value: str, name: str, exact: str | None = None) -> DataFrame:
+    return df.groupBy(key).agg(numbers.mean(F.col(value), exact).alias(name)).orderBy(F.col(name), key)
 
 
 def label_counts(df: DataFrame, *labels: Column | str) -> DataFrame:

@@ -28,10 +28,10 @@ def _picked(tickers: Sequence[str]) -> Column:
 # --- Overview ---------------------------------------------------------------
 
 
-def index_with_mean(market: DataFrame, code: str, width: int = 50) -> DataFrame:
+def index_with_mean(market: DataFrame, code: str, width: int = 50, exact: str | None = None) -> DataFrame:
     """Level of one series with its rolling mean, by date."""
     line = market.filter(F.col("series_code") == code).select("series_code", "date", "value")
-    return series.rolling_mean(line, ["series_code"], "date", "value", width).orderBy("date")
+    return series.rolling_mean(line, ["series_code"], "date", "value", width, exact=exact).orderBy("date")
 
 
 def filings_by_company(filings: DataFrame, tickers: Sequence[str] = ()) -> DataFrame:
@@ -79,12 +79,12 @@ def indicator(market: DataFrame, codes: Sequence[str], period: Range) -> DataFra
 
 def indicator_lines(
     market: DataFrame, codes: Sequence[str], period: Range, width: int = 0,
-    bands: Sequence[tuple[str, str, str]] = (),
+    bands: Sequence[tuple[str, str, str]] = (), exact: str | None = None,
 ) -> DataFrame:
     """Value, mean, change and rebased value per day, with the interval the day is in."""
     lines = indicator(market, codes, period)
     keys = ["series_code"]
-    lines = series.rolling_mean(lines, keys, "date", "value", width)
+    lines = series.rolling_mean(lines, keys, "date", "value", width, exact=exact)
     lines = series.pct_change(lines, keys, "date", "value")
     lines = series.rebase(lines, keys, "date", "value")
     return joins.interval_tag(lines, "date", bands) if bands else lines
@@ -134,9 +134,11 @@ def volume_ranking(prices: DataFrame, tickers: Sequence[str], period: Range) ->
     return series.mean_rank(price_rows(prices, tickers, period), "ticker", "volume", "avg_volume")
 
 
-def price_correlation(prices: DataFrame, tickers: Sequence[str], period: Range) -> DataFrame:
+def price_correlation(
+    prices: DataFrame, tickers: Sequence[str], period: Range, exact: str | None = None
+) -> DataFrame:
     return correlation.return_corr(
-        price_rows(prices, tickers, period), "ticker", "date", "close", tickers
+        price_rows(prices, tickers, period), "ticker", "date", "close", tickers, exact
     )
 
 
@@ -206,7 +208,7 @@ def document_links(selection: DataFrame) -> DataFrame:
     )
 
 
-def company_history(filings: DataFrame, ticker: str) -> DataFrame:
+def company_history(filings: DataFrame, ticker) -> DataFrame:
     columns = ("accession_number", "form_type", "filed_at", "period", "is_material_event", "document_url")
     return (
         filings.filter(F.col("ticker") == ticker)
@@ -280,8 +282,8 @@ def coverage(
 
     ``by`` gives a coarser grain: one row per distinct combination of those columns.
     """
-    if not 1 <= n_days <= 14:
-        raise ValueError("the window is 1 to 14 days")
+    if n_days < 0:
+        raise ValueError("a window has no negative number of days")
     if by is None:
         filings = filings.select("accession_number", "ticker", "company_name", "form_type", "filed_at")
     return joins.date_window_count(filings, news, "filed_at", "date_only", n_days, on, by)
@@ -309,9 +311,11 @@ def filing_markers(
     return joins.asof_join(days, line, "date", "date", ["value"])
 
 
-def macro_correlation(market: DataFrame, codes: Sequence[str], period: Range, at_least: int = 3) -> DataFrame:
+def macro_correlation(
+    market: DataFrame, codes: Sequence[str], period: Range, at_least: int = 3, exact: str | None = None
+) -> DataFrame:
     return correlation.monthly_corr(
-        market.filter(between("date", period)), "series_code", "date", "value", codes, at_least
+        market.filter(between("date", period)), "series_code", "date", "value", codes, at_least, exact
     )
 
 

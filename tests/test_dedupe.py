@@ -45,18 +45,19 @@ def test_nth_per_key(frame):
     assert rows(dedupe.nth_per_key(df, ["k"], [F.col("v").desc()], 2)) == [("a", 1)]
 
 
-def test_salted_top_n_equals_plain(spark):
+def test_top_n_splits_every_key(spark):
     df = spark.range(5000).select((F.col("id") % 2).alias("k"), F.col("id").alias("v"))
-    plain = rows(dedupe.top_n_per_key(df, ["k"], ["v"], 40))
-    key = dedupe.PUSHED_LIMIT[0]
-    before = spark.conf.get(key)
-    spark.conf.set(key, "10")
-    try:
-        salted = dedupe.top_n_per_key(df, ["k"], ["v"], 40)
-        assert "_salt" in salted._jdf.queryExecution().analyzed().toString()
-        assert rows(salted) == plain
-    finally:
-        spark.conf.set(key, before)
+    top = dedupe.top_n_per_key(df, ["k"], ["v"], 40)
+    assert "_salt" in plan_of(top)
+    assert rows(top) == sorted([(k, 2 * i + k, i + 1) for k in (0, 1) for i in range(40)], key=repr)
+
+
+def test_texts_are_no_sort_keys(frame):
+    df = frame([("a", "t", "x", 1), ("a", "s", "x", 1)], "k string, full_text string, fetched_at string, n int")
+    once = dedupe.keep_first(df, ["k"])
+    assert once.columns == df.columns and once.count() == 1
+    keys = [line.split("], [")[0] for line in plan_of(once).split("\n") if "Sort [" in line]
+    assert keys and all("full_text" not in key for key in keys)
 
 
 def test_copies_are_split_by_task(spark):
@@ -65,13 +66,7 @@ def test_copies_are_split_by_task(spark):
     salted = copies.withColumn("s", dedupe.salt(["k", "v"], 1024))
     counts = rows(salted.groupBy("s").count())
     assert len(counts) == 8 and rows(salted.groupBy("s").count()) == counts
-    key = dedupe.PUSHED_LIMIT[0]
-    before = spark.conf.get(key)
-    spark.conf.set(key, "10")
-    try:
-        assert dedupe.top_n_per_key(copies, ["k"], ["v"], 1500).count() == 1500
-    finally:
-        spark.conf.set(key, before)
+    assert dedupe.top_n_per_key(copies, ["k"], ["v"], 1500).count() == 1500
 
 
 def test_null_keys_are_rejects(frame):

@@ -123,12 +123,19 @@ def test_numbers(frame):
 def test_exact_sums_do_not_depend_on_order(frame):
     values = [0.1, 1e9, 0.2, -1e9, 0.3] * 50
     sums = {
-        frame([(v,) for v in vs], "v double").agg(numbers.exact_sum(F.col("v"))).first()[0]
+        frame([(v,) for v in vs], "v double").agg(numbers.total(F.col("v"), "decimal(18,6)")).first()[0]
         for vs in (values, values[::-1], sorted(values))
     }
     assert sums == {30.0}
 
 
+def test_means_keep_tiny_and_huge_values(frame):
+    def mean(*values):
+        return frame([(v,) for v in values], "v double").agg(numbers.mean(F.col("v"))).first()[0]
+
+    assert abs(mean(1e-7, 3e-7) - 2e-7) < 1e-15 and mean(2e12, 4e12) == 3e12 and mean() is None
+
+
 @pytest.mark.parametrize("form, flag", [("8-K", True), ("8-K/A", False), (None, False)])
 def test_material_flag(frame, form, flag):
     assert _one(frame, form)(is_material) is flag

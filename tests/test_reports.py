@@ -67,7 +67,7 @@ def test_coverage(filings, frame):
         ("1", 2, 4), ("2", 2, 4), ("3", 0, None), ("4", 0, None)]
     assert [r[0] for r in reports.top_coverage(got).collect()] == ["1", "2"]
     with pytest.raises(ValueError):
-        reports.coverage(filings, news, 15)
+        reports.coverage(filings, news, -1)
 
 
 def test_snapshot(market):
