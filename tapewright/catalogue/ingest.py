@@ -271,7 +271,20 @@ def csv_export_roundtrip(spark, sf):
     )
     path = shared_folder(spark, "csv")
     sinks.csv(rows, path)
-    return spark.read.schema(rows.schema).option("header", True).csv(path)
+    return sinks.read_csv(spark, path, rows.schema)
+
+
+@query("csv_texts_roundtrip", """
+SELECT doc_id, lang, md5(CASE WHEN lang = 'de' THEN '' ELSE '"' || text || chr(10) || ',"' END) AS digest,
+       lang = 'fr' AS without FROM documents""")
+def csv_texts_roundtrip(spark, sf):
+    """Whole texts with quotes and line breaks, empty texts and missing ones."""
+    text = F.when(F.col("lang") != "de", F.concat(F.lit('"'), "text", F.lit('\n,"'))).otherwise("")
+    rows = parquet(spark, sf, "documents").select("doc_id", "lang", text.alias("text"), F.when(F.col("lang") != "fr", F.lit("x")).alias("note"))
+    path = shared_folder(spark, "csv")
+    sinks.csv(rows, path)
+    back = sinks.read_csv(spark, path, rows.schema)
+    return back.select("doc_id", "lang", F.md5(F.col("text").cast("binary")).alias("digest"), F.col("note").isNull().alias("without"))
 
 
 @query("dual_sink", sql("""
@@ -352,8 +365,8 @@ def clean_market(spark, sf):
 
 @query("clean_news", """
 SELECT url, title, category, date_only FROM (
-  SELECT source || '/' || lang AS url, trim(split_part(text, chr(10), 1), ' ') AS t,
-         substring(trim(split_part(text, chr(10), 1), ' '), 1, 500) AS title,
+  SELECT source || '/' || lang AS url,
+         trim(split_part(text, chr(10), 1), ' ') AS title,
          CASE WHEN lang = 'en' THEN 'general' ELSE lang END AS category,
          DATE '2024-01-01' + CAST(doc_id % 28 AS INTEGER) AS date_only,
          row_number() OVER (PARTITION BY source, lang ORDER BY doc_id) AS rn FROM documents) WHERE rn = 1""")

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tapewright import sinks
 from tapewright.catalogue import query
+from tapewright.catalogue.standins import EXACT
 from tapewright.operators import dedupe, merge, series
 from tapewright.session import shared_folder
+from tapewright.sinks import store
 from tapewright.sources.tables import parquet
 
+# Orders by a range of their key, which a batch of new orders hardly shares with old ones.
+KEY_PART = "floor(o_orderkey / 100000)"
 STORED = "o_orderstatus IN ('F', 'P')"
 BATCH = "o_orderstatus IN ('P', 'O')"
 
@@ -42,10 +45,9 @@ def insert_twice_into_table(spark, sf):
     """The same batch appended twice to a stored table: the second run adds nothing."""
     stored, batch = _insert_parts(spark, sf)
     path = shared_folder(spark, "orders")
-    stored.write.parquet(path)
-    for _ in range(2):
-        sinks.append_new(spark, path, stored.schema, batch, ["o_orderkey"])
-    return sinks.stored_table(spark, path, stored.schema)
+    for rows in (stored, batch, batch):
+        store.insert_new(spark, path, stored.schema, rows, ["o_orderkey"], KEY_PART)
+    return store.read(spark, path, stored.schema)
 
 
 @query("new_rows", """
@@ -54,6 +56,7 @@ def new_rows(spark, sf):
     return merge.new_rows(*_insert_parts(spark, sf), ["o_orderkey"]).select("o_orderkey")
 
 
+WEEK = "cast(date_trunc('week', date) AS date)"
 BARS = """SELECT CAST(user_id AS VARCHAR) AS ticker, CAST(ts AS DATE) AS date,
   first(value ORDER BY ts, event_id) AS open, MAX(value) AS high, MIN(value) AS low,
   last(value ORDER BY ts, event_id) AS close, COUNT(value) AS volume FROM events WHERE event_type <> '{}' GROUP BY 1, 2"""
@@ -70,7 +73,7 @@ def _bar_parts(spark, sf):
 
     def bars(without: str):
         rows = events.filter(F.col("event_type") != without)
-        made = series.bars(rows, "user_id", "ts", "value", ["event_id"])
+        made = series.bars(rows, "user_id", "ts", "value", ["event_id"], exact=EXACT)
         return made.withColumn("ticker", F.col("ticker").cast("string")).drop("vwap")
 
     return bars("purchase"), bars("view")
@@ -84,15 +87,12 @@ def upsert_partial(spark, sf):
 
 @query("upsert_twice_into_table", UPSERT_SQL)
 def upsert_twice_into_table(spark, sf):
-    """The same on a stored table laid out by week, twice; only the touched weeks are rewritten."""
-    stored, batch = [
-        df.withColumn("week", F.date_trunc("week", "date").cast("date")) for df in _bar_parts(spark, sf)
-    ]
+    """The same on a stored table in parts by week, twice; only the touched weeks are written anew."""
+    stored, batch = _bar_parts(spark, sf)
     path = shared_folder(spark, "bars")
-    stored.write.partitionBy("week").parquet(path)
-    for _ in range(2):
-        sinks.replace_parts(spark, path, stored.schema, batch, "week", merge.upsert_prices)
-    return sinks.stored_table(spark, path, stored.schema).drop("week")
+    for rows in (stored, batch, batch):
+        store.replace_parts(spark, path, stored.schema, rows, WEEK, merge.upsert_prices)
+    return store.read(spark, path, stored.schema)
 
 
 def _digest(column: str):
@@ -105,7 +105,7 @@ SELECT 'https://news.example/' || doc_id AS url,
        CAST(length(COALESCE(c, '')) AS INTEGER) AS content_length, length(COALESCE(c, '')) > 0 AS has_full_content,
        md5(COALESCE(c, '')) AS digest
 FROM (SELECT *, CASE WHEN NOT b THEN text WHEN lang = 'de' THEN NULL WHEN lang = 'fr' THEN '' ELSE upper(source) END AS c
-      FROM (SELECT *, n_chars < 2000 AS b FROM documents WHERE source < 'src15' OR n_chars < 2000))""")
+      FROM (SELECT *, n_chars < 2000 OR source >= 'src15' AS b FROM documents))""")
 def upsert_doc(spark, sf):
     """Articles replaced field by field: a NULL in the new article is stored too."""
     docs = parquet(spark, sf, "documents").withColumn(
@@ -115,7 +115,7 @@ def upsert_doc(spark, sf):
         docs.filter("source < 'src15'").select("url", F.col("lang").alias("title"), F.col("text").alias("content"))
     )
     content = F.when(F.col("lang") == "fr", "").when(F.col("lang") != "de", F.upper("source"))
-    batch = docs.filter("n_chars < 2000").select(
+    batch = docs.filter("n_chars < 2000 OR source >= 'src15'").select(
         "url", F.when(F.col("lang") != "fr", "new").alias("title"), content.alias("content")
     )
     merged = merge.upsert_articles(stored, batch)
@@ -128,7 +128,7 @@ def upsert_doc(spark, sf):
 SELECT doc_id AS accession_number, CASE WHEN b THEN 'new' ELSE 'old' END AS form_type,
        md5(CASE WHEN NOT b THEN text WHEN lang <> 'fr' THEN upper(source)
                 WHEN source < 'src15' THEN text ELSE '' END) AS digest
-FROM (SELECT *, n_chars < 2000 AS b FROM documents WHERE source < 'src15' OR n_chars < 2000)""")
+FROM (SELECT *, n_chars < 2000 OR source >= 'src15' AS b FROM documents)""")
 def upsert_keep_text(spark, sf):
     """Filings without new text keep the stored text; new ones start with an empty text."""
     docs = parquet(spark, sf, "documents").withColumnRenamed("doc_id", "accession_number")
@@ -136,7 +136,7 @@ def upsert_keep_text(spark, sf):
         "accession_number", F.lit("old").alias("form_type"), F.col("text").alias("full_text")
     )
     text = F.when(F.col("lang") == "fr", "").otherwise(F.upper("source"))
-    batch = docs.filter("n_chars < 2000").select(
+    batch = docs.filter("n_chars < 2000 OR source >= 'src15'").select(
         "accession_number", F.lit("new").alias("form_type"), text.alias("full_text")
     )
     merged = merge.upsert_filing_texts(stored, batch)

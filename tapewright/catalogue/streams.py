@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 from tapewright import sinks
 from tapewright.catalogue import query, standins
 from tapewright.catalogue.coverage import WINDOW_SQL
-from tapewright.catalogue.merges import INSERT_SQL, STORED, UPSERT_SQL, _bar_parts
+from tapewright.catalogue.merges import INSERT_SQL, KEY_PART, STORED, UPSERT_SQL, WEEK, _bar_parts
 from tapewright.catalogue.standins import sql
 from tapewright.operators import merge
+from tapewright.plans import loads
 from tapewright.session import shared_folder
+from tapewright.sinks import store
 from tapewright.sources.tables import parquet
 from tapewright.streaming import feeds
 
@@ -27,21 +29,29 @@ def _folders(spark, *names):
 
 
 @query("stream_ingest", """
-SELECT CAST(event_id AS VARCHAR) AS series_code, event_type AS series_name, CAST(ts AS DATE) AS date, value
+SELECT CAST(event_id AS VARCHAR) AS series_code, event_type AS series_name, CAST(ts AS DATE) AS date,
+       CAST(CAST(value AS DECIMAL(18,6)) AS DOUBLE) AS value
 FROM events WHERE event_type <> 'error'""")
 def stream_ingest(spark, sf):
-    """Messages published twice, ingested once; those without a value are dropped."""
+    """Messages published twice, a file per trigger, ingested once; those without a value are rejects.
+
+    Some have no load time, and one file has all of a day months after the others.
+    """
     source, out, mark = _folders(spark, "messages", "market", "checkpoint")
     wire = parquet(spark, sf, "events").select(
         F.col("event_id").cast("string").alias("series_code"),
         F.col("event_type").alias("series_name"),
         F.date_format("ts", "yyyy-MM-dd").alias("date"),
         F.when(F.col("event_type") != "error", F.col("value")).alias("value"),
-        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("fetched_at"),
+        F.when(F.col("event_id") % 10 > 0, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")).alias("fetched_at"),
     )
-    sinks.publish_files(wire.unionByName(wire), source)
-    feeds.ingest(feeds.file_stream(spark, source), "market", out, mark, "60 days")
-    return spark.read.parquet(out).drop("fetched_at")
+    late = F.col("event_id") % 97 == 0
+    events = parquet(spark, sf, "events")
+    newest_first = wire.join(events.select(F.col("event_id").cast("string").alias("series_code"), late.alias("late")), "series_code")
+    for rows in (newest_first.filter("NOT late"), newest_first, newest_first.filter("late")):
+        sinks.publish_files(rows.drop("late").coalesce(1), source, "append")
+    feeds.ingest(feeds.file_stream(spark, source, files_per_trigger=1), "market", out, mark)
+    return loads.table(spark, out, "market").select("series_code", "series_name", "date", F.col("value").cast("double").alias("value"))
 
 
 @query("stream_dedupe", """
@@ -63,26 +73,24 @@ def stream_merge(spark, sf):
     path, mark = _folders(spark, "orders", "checkpoint")
     columns = ("o_orderkey", "o_custkey", "o_totalprice")
     stored = parquet(spark, sf, "orders").filter(STORED).select(*columns)
-    stored.write.parquet(path)
+    store.insert_new(spark, path, stored.schema, stored, ["o_orderkey"], KEY_PART)
     rows = _table_stream(spark, sf, "orders").filter("o_orderstatus IN ('P', 'O')").select(
         "o_orderkey", "o_custkey", (F.col("o_totalprice") + 1).alias("o_totalprice")
     )
-    feeds.merge_into(spark, rows, path, stored.schema, ["o_orderkey"], mark)
-    return sinks.stored_table(spark, path, stored.schema)
+    feeds.merge_into(spark, rows, path, stored.schema, ["o_orderkey"], KEY_PART, mark)
+    return store.read(spark, path, stored.schema)
 
 
 @query("stream_upsert", UPSERT_SQL)
 def stream_upsert(spark, sf):
-    """Bars published as files and upserted into a table laid out by week."""
+    """Bars published as files and upserted into a table in parts by week."""
     source, path, mark = _folders(spark, "bars-in", "bars", "checkpoint")
-    stored, batch = [
-        df.withColumn("week", F.date_trunc("week", "date").cast("date")) for df in _bar_parts(spark, sf)
-    ]
-    stored.write.partitionBy("week").parquet(path)
+    stored, batch = _bar_parts(spark, sf)
+    store.replace_parts(spark, path, stored.schema, stored, WEEK, merge.upsert_prices)
     batch.write.parquet(source)
     rows = feeds.file_stream(spark, source, batch.schema, "parquet")
-    feeds.upsert_into(spark, rows, path, stored.schema, "week", merge.upsert_prices, mark)
-    return sinks.stored_table(spark, path, stored.schema).drop("week")
+    feeds.upsert_into(spark, rows, path, stored.schema, WEEK, merge.upsert_prices, mark)
+    return store.read(spark, path, stored.schema)
 
 
 @query("stream_window_join", sql(WINDOW_SQL.format(n=7) + """
@@ -121,11 +129,9 @@ def stream_alerts(spark, sf):
 
 
 @query("stream_weekly_counts", """
-WITH w AS (SELECT CAST(date_trunc('week', ts) AS DATE) AS week_start, event_type, COUNT(*) AS n FROM events GROUP BY 1, 2)
-SELECT * FROM w WHERE week_start + INTERVAL 7 DAY <= (SELECT MAX(ts) FROM events) - INTERVAL 1 DAY""")
+SELECT CAST(date_trunc('week', ts) AS DATE) AS week_start, event_type, COUNT(*) AS n FROM events GROUP BY 1, 2""")
 def stream_weekly_counts(spark, sf):
-    """Weeks the watermark has passed."""
+    """Every week, the open one included."""
     out, mark = _folders(spark, "weeks", "checkpoint")
-    counts = feeds.weekly_counts(_table_stream(spark, sf, "events"), "ts", "event_type", "1 day")
-    feeds.to_parquet(counts, out, mark)
-    return spark.read.schema(counts.schema).parquet(out)
+    feeds.count_weeks(_table_stream(spark, sf, "events"), "ts", "event_type", out, mark)
+    return feeds.week_counts(spark, "event_type", out)

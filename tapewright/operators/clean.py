@@ -7,13 +7,15 @@ alike; the ``clean_*`` functions add the batch dedupe.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
-from tapewright.dims import MATERIAL_FORM, TAG_DEFAULT, TITLE_CHARS
+from tapewright.dims import MATERIAL_FORM, TAG_DEFAULT
 from tapewright.functions import dates, strings
-from tapewright.operators.dedupe import keep_first
+from tapewright.operators.dedupe import keep_first, without_null_keys
 from tapewright.schemas import NATURAL_KEY
 
 Order = Sequence[str | Column] | None
@@ -26,7 +28,7 @@ def usable_news(df: DataFrame) -> DataFrame:
 def type_news(df: DataFrame) -> DataFrame:
     published = dates.to_ts(F.col("published_at"))
     return df.withColumns({
-        "title": strings.clip(F.trim(F.col("title")), TITLE_CHARS),
+        "title": F.trim(F.col("title")),
         "published_at": published,
         "date_only": dates.to_day(published),
         "category": strings.or_default(F.col("category"), TAG_DEFAULT),
@@ -60,13 +62,12 @@ def clean_filings(df: DataFrame, order: Order = None, material_form: str = MATER
     return type_filings(keep_first(usable_filings(df), NATURAL_KEY["filings"], order), material_form)
 
 
-def type_daily(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Typed day and load time; rows without a valid day or key are dropped."""
-    typed = df.withColumns({
+def type_daily(df: DataFrame) -> DataFrame:
+    """Typed day and load time; a day that is none becomes NULL."""
+    return df.withColumns({
         "date": dates.to_day(F.col("date")),
         "fetched_at": dates.to_ts(F.col("fetched_at")),
     })
-    return typed.dropna(subset=list(keys))
 
 
 def usable_market(df: DataFrame) -> DataFrame:
@@ -74,12 +75,12 @@ def usable_market(df: DataFrame) -> DataFrame:
 
 
 def type_market(df: DataFrame) -> DataFrame:
-    return type_daily(df, NATURAL_KEY["market"])
+    return type_daily(df)
 
 
 def clean_market(df: DataFrame, order: Order = None) -> DataFrame:
     # Typed first: two spellings of one day are the same key.
-    return keep_first(type_market(usable_market(df)), NATURAL_KEY["market"], order)
+    return keep_first(without_null_keys(type_market(usable_market(df)), NATURAL_KEY["market"]), NATURAL_KEY["market"], order)
 
 
 def usable_prices(df: DataFrame) -> DataFrame:
@@ -87,20 +88,35 @@ def usable_prices(df: DataFrame) -> DataFrame:
 
 
 def type_prices(df: DataFrame) -> DataFrame:
-    return type_daily(df, NATURAL_KEY["prices"])
+    return type_daily(df)
 
 
 def clean_prices(df: DataFrame, order: Order = None) -> DataFrame:
-    return keep_first(type_prices(usable_prices(df)), NATURAL_KEY["prices"], order)
-
-
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Columns and types of a target table; rows without a required value are dropped."""
-    required = [f.name for f in schema if not f.nullable]
-    typed = df.select(*[
-        F.col(f.name).try_cast(f.dataType).alias(f.name)
-        if f.name in df.columns
-        else F.lit(None).cast(f.dataType).alias(f.name)
-        for f in schema
-    ])
-    return typed.dropna(subset=required) if required else typed
+    return keep_first(without_null_keys(type_prices(usable_prices(df)), NATURAL_KEY["prices"]), NATURAL_KEY["prices"], order)
+
+
+def _lacking(df: DataFrame, schema: T.StructType) -> Column:
+    """Whether a row has no value of the right type in a column that the schema requires."""
+    required = [f for f in schema if not f.nullable]
+    return reduce(or_, [
+        F.col(f.name).try_cast(f.dataType).isNull() if f.name in df.columns else F.lit(True) for f in required
+    ], F.lit(False))
+
+
+def conform(df: DataFrame, schema: T.StructType, clip: dict[str, int] | None = None) -> DataFrame:
+    """Columns and types of a target table, texts in ``clip`` cut to so many characters.
+
+    Rows without a required value are left out: they are ``nonconforming``.
+    """
+
+    def column(f: T.StructField) -> Column:
+        typed = F.col(f.name).try_cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType)
+        chars = (clip or {}).get(f.name)
+        return (typed if chars is None else strings.clip(typed, chars)).alias(f.name)
+
+    return df.filter(~_lacking(df, schema)).select(*[column(f) for f in schema])
+
+
+def nonconforming(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The rows that ``conform`` leaves out, as they came."""
+    return df.filter(_lacking(df, schema))

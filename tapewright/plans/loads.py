@@ -1,94 +1,182 @@
-"""One run of each feed: messages decoded, cleaned, and merged into its tables.
+"""One run of each feed: messages decoded, screened, cleaned, and merged into its tables.
 
 Every run may be repeated: the tables are the same afterwards.  The feeds do
-not depend on each other.
+not depend on each other.  A run returns what became of its messages and keeps
+those it could not use, with the reason, as a table of rejects.
 """
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Callable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from tapewright import schemas, sinks
 from tapewright.operators import clean, merge
+from tapewright.operators.dedupe import keep_first
 from tapewright.schemas import NATURAL_KEY
-from tapewright.sources.messages import decode
+from tapewright.session import shared_folder
+from tapewright.sinks import store
 
-# Parts of a document table.  A run rewrites the parts it touches, so a large
-# table gets more; the number stays the same for the life of a table.
-DOCUMENT_PARTS = 32
+# Parts of a table whose key says nothing about time.  The number stays the same for the life of a table.
+PARTS = 32
 
 
-def part_of(key: str, parts: int) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")
+@dataclasses.dataclass(frozen=True)
+class Feed:
+    """Wire record, fields without which a record is no use, typed columns, target table, and the part of a key."""
 
+    wire: T.StructType
+    needs: tuple[str, ...]
+    typed: Callable[[DataFrame], DataFrame]
+    table: T.StructType
+    part: str
 
-def _create(spark: SparkSession, path: str, schema: T.StructType, part: str | None = None) -> None:
-    """An empty table, unless there is one."""
-    writer = spark.createDataFrame([], schema).write.mode("ignore")
-    (writer.partitionBy(part) if part else writer).parquet(path)
 
+MONTH = "date_format(date, 'yyyy-MM')"
+FEEDS = {
+    "news": Feed(schemas.NEWS_WIRE, ("url", "title"), clean.type_news, schemas.NEWS_TABLE, f"pmod(xxhash64(url), {PARTS})"),
+    "filings": Feed(
+        schemas.FILING_WIRE, ("accession_number",), clean.type_filings, schemas.FILING_TABLE,
+        f"pmod(xxhash64(accession_number), {PARTS})"),
+    "market": Feed(schemas.MARKET_WIRE, ("value",), clean.type_market, schemas.MARKET_TABLE, MONTH),
+    "prices": Feed(schemas.PRICE_WIRE, ("close",), clean.type_prices, schemas.PRICE_TABLE, MONTH),
+}
 
-def _relaxed(schema: T.StructType, *more: T.StructField) -> T.StructType:
+
+@dataclasses.dataclass(frozen=True)
+class Run:
+    """What became of a run's messages; ``rejects`` is a Parquet folder of (value, reason)."""
+
+    messages: int
+    kept: int
+    rejected: dict[str, int]
+    rejects: str
+
+    @property
+    def usable(self) -> int:
+        return self.messages - sum(self.rejected.values())
+
+
+def relaxed(schema: T.StructType) -> T.StructType:
     """The schema as files hold it: every column may be NULL."""
-    return T.StructType([*[T.StructField(f.name, f.dataType) for f in schema], *more])
+    return T.StructType([T.StructField(f.name, f.dataType) for f in schema])
+
+
+def _missing(columns) -> Column:
+    return reduce(or_, [F.col(c).isNull() for c in columns], F.lit(False))
+
+
+def screened(messages: DataFrame, feed: str) -> DataFrame:
+    """Typed records beside their message and the ``reason`` for which each cannot be used (NULL if it can).
+
+    ``undecodable``: no field could be read.  ``incomplete``: a needed field is
+    missing.  ``no_key``: the natural key is.  ``nonconforming``: a value that
+    the target table requires has the wrong type.
+    """
+    spec = FEEDS[feed]
+    names = [f.name for f in spec.wire]
+    wire = messages.select(F.col("value").cast("string").alias("_value"), F.from_json(F.col("value").cast("string"), spec.wire).alias("_data"))
+    wire = wire.select("_value", *[F.col(f"_data.{n}").alias(n) for n in names])
+    unread = ~reduce(or_, [F.col(n).isNotNull() for n in names])
+    marked = wire.withColumns({"_unread": unread, "_incomplete": _missing(spec.needs)})
+    typed = spec.typed(marked)
+    reason = (
+        F.when(F.col("_unread"), "undecodable").when(F.col("_incomplete"), "incomplete")
+        .when(_missing(NATURAL_KEY[feed]), "no_key").when(clean._lacking(typed, spec.table), "nonconforming"))
+    return typed.withColumn("reason", reason).drop("_unread", "_incomplete")
+
+
+def _run(
+    spark: SparkSession, messages: DataFrame, feed: str, rejects: str | None, sink: Callable[[DataFrame], None],
+) -> Run:
+    """Stage the screened messages once, keep the rejects, and hand the clean rows on."""
+    stage = shared_folder(spark, feed)
+    rows = screened(messages, feed)
+    rows.write.parquet(stage)
+    stored = spark.read.schema(relaxed(rows.schema)).parquet(stage)
+    counts = {r["reason"]: r["count"] for r in stored.groupBy("reason").count().collect()}
+    rejects = rejects or shared_folder(spark, f"{feed}-rejects")
+    stored.filter("reason IS NOT NULL").select(F.col("_value").alias("value"), "reason").write.mode("append").parquet(rejects)
+    unique = shared_folder(spark, feed)
+    kept = keep_first(stored.filter("reason IS NULL").drop("_value", "reason"), NATURAL_KEY[feed])
+    kept.write.parquet(unique)
+    clean_rows = spark.read.schema(relaxed(kept.schema)).parquet(unique)
+    sink(clean_rows)
+    run = Run(sum(counts.values()), clean_rows.count(), {k: v for k, v in counts.items() if k}, rejects)
+    store.release(spark, stage)
+    store.release(spark, unique)
+    return run
+
+
+def _insert(spark: SparkSession, rows: DataFrame, path: str, feed: str) -> None:
+    spec = FEEDS[feed]
+    table = clean.conform(rows, spec.table, clip=sinks.CLIPPED)
+    store.insert_new(spark, path, relaxed(spec.table), table, NATURAL_KEY[feed], spec.part)
+
+
+def table(spark: SparkSession, path: str, feed: str) -> DataFrame:
+    """The stored rows of a feed."""
+    return store.read(spark, path, relaxed(FEEDS[feed].table))
+
+
+def load_market(spark: SparkSession, messages: DataFrame, path: str, rejects: str | None = None) -> Run:
+    return _run(spark, messages, "market", rejects, lambda rows: _insert(spark, rows, path, "market"))
+
+
+def upsert_bars(spark: SparkSession, rows: DataFrame, path: str) -> None:
+    """Upserted by month; the stored open stays."""
+    spec = FEEDS["prices"]
+    bars = clean.conform(rows, spec.table)
+    store.replace_parts(spark, path, relaxed(spec.table), bars, spec.part, merge.upsert_prices)
 
 
-def _append(spark: SparkSession, rows: DataFrame, path: str, schema: T.StructType, feed: str) -> None:
-    _create(spark, path, _relaxed(schema))
-    sinks.append_new(spark, path, _relaxed(schema), rows, NATURAL_KEY[feed])
+def load_prices(spark: SparkSession, messages: DataFrame, path: str, rejects: str | None = None) -> Run:
+    return _run(spark, messages, "prices", rejects, lambda rows: upsert_bars(spark, rows, path))
 
 
-def load_market(spark: SparkSession, messages: DataFrame, path: str) -> None:
-    cleaned = clean.clean_market(decode(messages, schemas.MARKET_WIRE))
-    _append(spark, clean.conform(cleaned, schemas.MARKET_TABLE), path, schemas.MARKET_TABLE, "market")
+def article_schema() -> T.StructType:
+    typed = {"published_at": T.TimestampType(), "fetched_at": T.TimestampType()}
+    return T.StructType([
+        *[T.StructField(f.name, typed.get(f.name, f.dataType)) for f in schemas.NEWS_WIRE], T.StructField("date_only", T.DateType()),
+        T.StructField("content_length", T.IntegerType()), T.StructField("has_full_content", T.BooleanType())])
 
 
-def load_prices(spark: SparkSession, messages: DataFrame, path: str) -> None:
-    """Upserted by month; the stored open stays."""
-    cleaned = clean.clean_prices(decode(messages, schemas.PRICE_WIRE))
-    month = F.date_format("date", "yyyy-MM")
-    rows = clean.conform(cleaned, schemas.PRICE_TABLE).withColumn("month", month)
-    schema = _relaxed(schemas.PRICE_TABLE, T.StructField("month", T.StringType()))
-    _create(spark, path, schema, "month")
-    sinks.replace_parts(spark, path, schema, rows, "month", merge.upsert_prices)
-
-
-def _documents(
-    spark: SparkSession, rows: DataFrame, path: str, key: str, parts: int,
-    merged: Callable[[DataFrame, DataFrame], DataFrame],
-) -> None:
-    rows = rows.withColumn("part", part_of(key, parts))
-    schema = _relaxed(rows.schema)
-    _create(spark, path, schema, "part")
-    sinks.replace_parts(spark, path, schema, rows, "part", merged)
-
-
-def load_news(
-    spark: SparkSession, messages: DataFrame, path: str, documents: str, parts: int = DOCUMENT_PARTS
-) -> int:
-    """Metadata to the table, whole articles to the documents; returns the row count."""
-    cleaned = clean.clean_news(decode(messages, schemas.NEWS_WIRE))
-    return sinks.dual(
-        cleaned, schemas.NEWS_TABLE,
-        lambda rows: _append(spark, rows, path, schemas.NEWS_TABLE, "news"),
-        lambda rows: _documents(
-            spark, merge.with_content_fields(rows), documents, "url", parts, merge.upsert_articles
-        ),
-    )
-
-
-def load_filings(
-    spark: SparkSession, messages: DataFrame, path: str, documents: str, parts: int = DOCUMENT_PARTS
-) -> int:
+def filing_schema() -> T.StructType:
+    typed = {"filed_at": T.DateType(), "period": T.DateType(), "fetched_at": T.TimestampType()}
+    return T.StructType([T.StructField(f.name, typed.get(f.name, f.dataType)) for f in schemas.FILING_WIRE])
+
+
+def articles(spark: SparkSession, path: str) -> DataFrame:
+    """Whole articles: the newest version of each."""
+    return store.documents(spark, path, article_schema(), "url")
+
+
+def filing_texts(spark: SparkSession, path: str) -> DataFrame:
+    """Filings with the newest text each ever had; ``text_chars`` follows the text."""
+    found = store.documents(spark, path, filing_schema(), "accession_number", ["full_text"])
+    return found.withColumn("text_chars", F.length("full_text").cast("bigint"))
+
+
+def load_news(spark: SparkSession, messages: DataFrame, path: str, documents: str, rejects: str | None = None) -> Run:
+    """Metadata to the table, whole articles to the documents."""
+
+    def both(rows: DataFrame) -> None:
+        _insert(spark, rows, path, "news")
+        store.append_documents(spark, documents, article_schema(), merge.with_content_fields(rows), "url")
+
+    return _run(spark, messages, "news", rejects, both)
+
+
+def load_filings(spark: SparkSession, messages: DataFrame, path: str, documents: str, rejects: str | None = None) -> Run:
     """Metadata to the table, texts to the documents (an empty text keeps the stored one)."""
-    cleaned = clean.clean_filings(decode(messages, schemas.FILING_WIRE))
-    return sinks.dual(
-        cleaned, schemas.FILING_TABLE,
-        lambda rows: _append(spark, rows, path, schemas.FILING_TABLE, "filings"),
-        lambda rows: _documents(
-            spark, rows, documents, "accession_number", parts, merge.upsert_filing_texts
-        ),
-    )
+
+    def both(rows: DataFrame) -> None:
+        _insert(spark, rows, path, "filings")
+        store.append_documents(spark, documents, filing_schema(), rows, "accession_number")
+
+    return _run(spark, messages, "filings", rejects, both)

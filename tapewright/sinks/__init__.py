@@ -2,19 +2,26 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tapewright.operators import merge, summary
+from tapewright.dims import TITLE_CHARS
+from tapewright.operators import summary
 from tapewright.operators.clean import conform
 from tapewright.session import shared_folder
+from tapewright.sinks import store
 from tapewright.sources.messages import encode
 
 JDBC_BATCH = 500
-# Up to this many touched parts are named in the plan.
-MAX_PART_FILTER = 2000
+# Any text survives: quotes are doubled, and what is read back may have line breaks inside.
+CSV = {"header": True, "quote": '"', "escape": '"', "multiLine": True, "nullValue": "\\N", "emptyValue": "",
+       "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
+# Columns of the relational tables that hold a part of a longer text.
+CLIPPED = {"title": TITLE_CHARS}
 
 
 def relational(df: DataFrame, url: str, table: str, properties: dict[str, str], mode: str = "append") -> None:
@@ -26,9 +33,9 @@ def collection(df: DataFrame, fmt: str, mode: str = "append", **options: str) ->
     df.write.format(fmt).mode(mode).options(**options).save()
 
 
-def publish_files(df: DataFrame, path: str) -> None:
+def publish_files(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """One JSON message per line."""
-    encode(df).write.mode("overwrite").text(path)
+    encode(df).write.mode(mode).text(path)
 
 
 def publish_topic(df: DataFrame, servers: str, topic: str) -> None:
@@ -36,7 +43,11 @@ def publish_topic(df: DataFrame, servers: str, topic: str) -> None:
 
 
 def csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").options(**CSV).option("quoteAll", True).csv(path)
+
+
+def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    return spark.read.schema(schema).options(**CSV).csv(path)
 
 
 def dual(
@@ -47,50 +58,19 @@ def dual(
 
     The cleaned frame is computed once, into a staged table in the shared
     folder: a lost executor costs neither sink a second pass over the sources,
-    and the typed sink reads only its own columns.
+    and the typed sink reads only its own columns.  Both sinks write at once;
+    the staged table goes when they are done.  Only the typed table has its
+    texts cut to their columns' lengths.
     """
     spark, stage = df.sparkSession, shared_folder(df.sparkSession, "stage")
     watched, watch = summary.observed(df, "dual")
     watched.write.parquet(stage)
     kept = stored_table(spark, stage, df.schema)
-    to_table(conform(kept, table_schema))
+    to_table(conform(kept, table_schema, clip=CLIPPED))
     to_documents(kept)
+    store.release(spark, stage)
     return watch.get["rows"]
 
 
 def stored_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
-
-
-def append_new(spark: SparkSession, path: str, schema: T.StructType, batch: DataFrame, keys: Sequence[str]) -> None:
-    """Insert-if-absent on a Parquet table: only new keys are written, nothing is rewritten.
-
-    Running the same batch again adds nothing.
-    """
-    fresh = merge.new_rows(stored_table(spark, path, schema), batch, keys)
-    fresh.select(*schema.fieldNames()).write.mode("append").parquet(path)
-
-
-def replace_parts(
-    spark: SparkSession, path: str, schema: T.StructType, batch: DataFrame, part: str,
-    merged: Callable[[DataFrame, DataFrame], DataFrame],
-) -> None:
-    """Merge a batch into a Parquet table laid out by ``part``, which the key determines.
-
-    Only the parts the batch touches are read and rewritten.  Up to a limit
-    their values become a filter, which prunes the folders to scan; beyond it
-    they are joined.
-    """
-    stored = stored_table(spark, path, schema)
-    touched = batch.select(part).distinct()
-    values = [row[0] for row in touched.limit(MAX_PART_FILTER + 1).collect()]
-    if len(values) <= MAX_PART_FILTER:
-        known = [v for v in values if v is not None]
-        hit = F.col(part).isin(known)
-        affected = stored.filter(hit | F.col(part).isNull() if len(known) < len(values) else hit)
-    else:
-        affected = stored.join(touched, part, "left_semi").select(*schema.fieldNames())
-    # Few files per part; Spark splits a part that is too large for one task.
-    merged(affected, batch).hint("rebalance", part).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).partitionBy(part).parquet(path)

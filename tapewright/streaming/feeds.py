@@ -10,15 +10,16 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from tapewright import schemas, sinks
 from tapewright.functions import dates
 from tapewright.operators import clean, joins
-from tapewright.operators.dedupe import salt
-from tapewright.sources import messages
+from tapewright.operators.dedupe import keep_first, salt
+from tapewright.plans import loads
+from tapewright.sinks import store
 
 SALTS = 16
 
@@ -75,6 +76,10 @@ def dedupe(
 ) -> DataFrame:
     """One row per key within the watermark, also across runs.
 
+    ``delay`` is how late a row may come: one that is later by ``time`` is
+    dropped, and a copy that comes later is a new row.  Which of the copies
+    stays is whichever came first.  ``ingest`` has neither limit.
+
     With ``spread`` the rows of a key are first deduped in salted groups, so a
     hot key does not end up whole in one state partition.
     """
@@ -85,38 +90,31 @@ def dedupe(
     return marked.dropDuplicatesWithinWatermark(list(keys))
 
 
-# Per feed: wire schema, rows worth keeping, typed columns.
-FEEDS = {
-    "news": (schemas.NEWS_WIRE, clean.usable_news, clean.type_news),
-    "filings": (schemas.FILING_WIRE, clean.usable_filings, clean.type_filings),
-    "market": (schemas.MARKET_WIRE, clean.usable_market, clean.type_market),
-    "prices": (schemas.PRICE_WIRE, clean.usable_prices, clean.type_prices),
-}
-
+def ingest(stream: DataFrame, feed: str, path: str, checkpoint: str) -> None:
+    """Clean rows of a feed, once per natural key, in a keyed table (``loads.table`` reads it).
 
-def clean_stream(stream: DataFrame, feed: str, delay: str, spread: bool = True) -> DataFrame:
-    """Messages of a feed decoded, filtered and typed as in batch, once per natural key.
-
-    The watermark runs on the load time; a record without one counts as new.
+    Each micro-batch is screened and cleaned as in batch and inserted where its
+    keys are absent.  Nothing depends on a clock: a row is kept however late it
+    comes, also one without a load time, and a copy of a stored key adds
+    nothing whenever it comes.  A batch that is replayed adds nothing either.
     """
-    wire, usable, typed = FEEDS[feed]
-    rows = typed(usable(messages.decode(stream, wire)))
-    clock = F.coalesce(F.col("fetched_at"), F.current_timestamp())
-    unique = dedupe(rows.withColumn("_clock", clock), schemas.NATURAL_KEY[feed], "_clock", delay, spread)
-    return unique.drop("_clock")
 
+    def each(batch: DataFrame, _: int) -> None:
+        spec = loads.FEEDS[feed]
+        rows = loads.screened(batch, feed).filter("reason IS NULL").drop("_value", "reason")
+        table = clean.conform(keep_first(rows, schemas.NATURAL_KEY[feed]), spec.table, clip=sinks.CLIPPED)
+        store.insert_new(batch.sparkSession, path, loads.relaxed(spec.table), table, schemas.NATURAL_KEY[feed], spec.part)
 
-def ingest(stream: DataFrame, feed: str, path: str, checkpoint: str, delay: str = "30 days") -> None:
-    """Clean rows of a feed, appended to a Parquet table run by run."""
-    to_parquet(clean_stream(stream, feed, delay), path, checkpoint)
+    to_batches(stream, each, checkpoint)
 
 
 def merge_into(
-    spark: SparkSession, stream: DataFrame, path: str, schema: T.StructType, keys: Sequence[str], checkpoint: str
+    spark: SparkSession, stream: DataFrame, path: str, schema: T.StructType, keys: Sequence[str], part: str,
+    checkpoint: str,
 ) -> None:
     """Insert-if-absent per micro-batch; a batch replayed after a failure adds nothing."""
     to_batches(
-        stream, lambda batch, _: sinks.append_new(spark, path, schema, batch, keys), checkpoint
+        stream, lambda batch, _: store.insert_new(batch.sparkSession, path, schema, batch, keys, part), checkpoint
     )
 
 
@@ -126,7 +124,7 @@ def upsert_into(
 ) -> None:
     """Keyed upsert per micro-batch into the parts the batch touches."""
     to_batches(
-        stream, lambda batch, _: sinks.replace_parts(spark, path, schema, batch, part, merged), checkpoint
+        stream, lambda batch, _: store.replace_parts(batch.sparkSession, path, schema, batch, part, merged), checkpoint
     )
 
 
@@ -137,8 +135,8 @@ DAILY_COUNTS = T.StructType([
 ])
 
 
-def count_days(stream: DataFrame, day: str, path: str, checkpoint: str) -> None:
-    """Rows per day of a stream, as one small set of partial counts per micro-batch.
+def _count_batches(stream: DataFrame, groups: dict[str, Column], path: str, checkpoint: str) -> None:
+    """Rows per group of a stream, as one small set of partial counts per micro-batch.
 
     A replayed batch replaces its own folder, so nothing is counted twice and
     no late row is lost; the counts of all batches add up.
@@ -146,18 +144,31 @@ def count_days(stream: DataFrame, day: str, path: str, checkpoint: str) -> None:
 
     def each(batch: DataFrame, batch_id: int) -> None:
         counts = (
-            batch.filter(F.col(day).isNotNull())
-            .groupBy(F.col(day).alias("day"))
+            batch.groupBy(*[c.alias(name) for name, c in groups.items()])
             .agg(F.count(F.lit(1)).alias("n"))
             .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         )
-        counts.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-            "batch_id"
-        ).parquet(path)
+        counts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path)
 
     to_batches(stream, each, checkpoint)
 
 
+def count_days(stream: DataFrame, day: str, path: str, checkpoint: str) -> None:
+    """Rows per day of a stream."""
+    _count_batches(stream.filter(F.col(day).isNotNull()), {"day": F.col(day)}, path, checkpoint)
+
+
+def count_weeks(stream: DataFrame, time: str, key: str, path: str, checkpoint: str) -> None:
+    """Rows per week (from Monday) and key of a stream; ``week_counts`` adds them up."""
+    week = F.date_trunc("week", F.col(time)).cast("date")
+    _count_batches(stream.filter(F.col(time).isNotNull()), {"week_start": week, key: F.col(key)}, path, checkpoint)
+
+
+def week_counts(spark: SparkSession, key: str, path: str) -> DataFrame:
+    """All rows so far per week and key, open weeks and late rows included."""
+    return spark.read.parquet(path).groupBy("week_start", key).agg(F.sum("n").alias("n"))
+
+
 def window_counts(
     spark: SparkSession, filings: DataFrame, filed_at: str, counts_path: str, n_days: int = 7
 ) -> DataFrame:
@@ -182,13 +193,3 @@ def alerts(
     if isinstance(watch, DataFrame):
         return stream.filter(hit).join(watch.select(ticker), ticker, "left_semi")
     return stream.filter(hit & F.col(ticker).isin(list(watch)))
-
-
-def weekly_counts(stream: DataFrame, time: str, key: str, delay: str, offset: str = "4 days") -> DataFrame:
-    """Rows per week (from Monday) and key; a week is final once the watermark passed it."""
-    return (
-        _clocked(stream, time, delay)
-        .groupBy(F.window(time, "7 days", startTime=offset), key)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select(F.to_date("window.start").alias("week_start"), key, "n")
-    )

@@ -9,9 +9,13 @@ from conftest import SMALL, plan_of
 import __spark_entry__ as entry_point
 import check
 
-QUERIES, SQL = entry_point.queries(), entry_point.oracle_sql()
+from tapewright import catalogue
+
+# The queries of the training-data folder have tests of their own.
+QUERIES = {name: q for name, q in entry_point.queries().items() if name in catalogue.QUERIES}
+SQL = {name: text for name, text in entry_point.oracle_sql().items() if name in catalogue.QUERIES}
 # These write and read back their own files, so there is no lazy plan of the whole.
-EAGER = re.compile(r"^stream_|_roundtrip$|_into_table$|^dual_sink$")
+EAGER = re.compile(r"^stream_|_roundtrip$|_into_table$|^dual_sink$|^load_|^long_titles$|^reset_stored|^op\d+_|^pipeline$")
 
 
 @pytest.fixture(scope="module")
@@ -46,6 +50,6 @@ def test_no_nested_loops_and_few_python_steps(spark):
 
 def test_filters_and_columns_reach_the_scan(spark):
     plan = plan_of(QUERIES["company_drilldown"](spark, SMALL))
-    assert "PushedFilters: [IsNotNull" in plan or "o_custkey" in plan
+    assert re.search(r"PushedFilters: \[[^]]*EqualTo\(o_custkey,7\)", plan)
     read = re.search(r"ReadSchema: struct<([^>]*)>", plan_of(QUERIES["counts_by_form"](spark, SMALL))).group(1)
     assert read == "o_orderpriority:string"

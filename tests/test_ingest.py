@@ -101,7 +101,7 @@ def test_clean_news(frame):
         {"url": None, "title": "t"}, {"url": "v", "title": None}])
     got = clean.clean_news(df, ["fetched_at"]).collect()
     assert len(got) == 1
-    assert (len(got[0].title), got[0].title[:5], got[0].category) == (500, "First", "general")
+    assert (len(got[0].title), got[0].title[:5], got[0].category) == (605, "First", "general")
     assert (got[0].published_at, got[0].date_only) == (None, None)
 
 

@@ -1,10 +1,11 @@
 import pytest
-from conftest import day, rows
+from conftest import day, plan_of, rows
 
 from pyspark.sql import functions as F
 
 from tapewright import schemas, sinks
 from tapewright.operators import merge
+from tapewright.sinks import store
 
 KV = "k string, v int"
 
@@ -57,37 +58,91 @@ def test_reset_where(frame):
     assert rows(got) == [("a", ""), ("b", ""), ("c", None)]
 
 
-def test_append_new_twice(spark, frame, tmp_path):
+def test_insert_twice(spark, frame, tmp_path):
     path, schema = str(tmp_path / "t"), frame([], KV).schema
-    frame([("a", 1)], KV).write.parquet(path)
-    for _ in range(2):
-        sinks.append_new(spark, path, schema, frame([("a", 9), ("b", 2)], KV), ["k"])
-    assert rows(sinks.stored_table(spark, path, schema)) == [("a", 1), ("b", 2)]
+    assert rows(store.read(spark, path, schema)) == []
+    for batch in ([("a", 1)], [("a", 9), ("b", 2), (None, 3)], [("a", 9), ("b", 2)]):
+        store.insert_new(spark, path, schema, frame(batch, KV), ["k"], "k")
+    assert rows(store.read(spark, path, schema)) == [("a", 1), ("b", 2)]
+
+
+def _files(folder):
+    return {str(p): p.stat().st_mtime_ns for p in folder.rglob("*.parquet")}
 
 
-def test_replace_parts_rewrites_only_touched_parts(spark, frame, tmp_path):
+def test_replace_parts_writes_only_touched_parts(spark, frame, tmp_path):
     path, ddl = str(tmp_path / "t"), "k string, v int, part string"
-    stored = frame([("a", 1, "p"), ("b", 1, "q")], ddl)
-    stored.write.partitionBy("part").parquet(path)
-    untouched = sorted(p.name for p in (tmp_path / "t" / "part=q").iterdir())
-    batch = frame([("a", 2, "p"), ("c", 3, "r")], ddl)
+    upsert = lambda old, new: merge.upsert(old, new, ["k"])
+    stored = frame([("a", 1, "p"), ("b", 1, "q"), ("n", 1, None)], ddl)
+    store.replace_parts(spark, path, stored.schema, stored, "part", upsert)
+    before = store.live(spark, path)[1]
     for _ in range(2):
-        sinks.replace_parts(
-            spark, path, stored.schema, batch, "part", lambda old, new: merge.upsert(old, new, ["k"])
-        )
-    assert rows(sinks.stored_table(spark, path, stored.schema)) == [("a", 2, "p"), ("b", 1, "q"), ("c", 3, "r")]
-    assert sorted(p.name for p in (tmp_path / "t" / "part=q").iterdir()) == untouched
+        store.replace_parts(spark, path, stored.schema, frame([("a", 2, "p"), ("c", 3, "r")], ddl), "part", upsert)
+    after = store.live(spark, path)[1]
+    assert rows(store.read(spark, path, stored.schema)) == sorted([("a", 2, "p"), ("b", 1, "q"), ("c", 3, "r"), ("n", 1, None)], key=repr)
+    assert after["_part=q"] == before["_part=q"] and after["_part=p"] != before["_part=p"]
 
 
-@pytest.mark.parametrize("limit", [0, 10])
-def test_replace_parts_beyond_the_filter_limit(spark, frame, tmp_path, monkeypatch, limit):
-    monkeypatch.setattr(sinks, "MAX_PART_FILTER", limit)
+def test_a_run_that_dies_before_the_switch_leaves_the_table_whole(spark, frame, tmp_path, monkeypatch):
     path, ddl = str(tmp_path / "t"), "k string, v int, part string"
-    stored = frame([("a", 1, "p"), ("b", 1, "q"), ("c", 1, "r")], ddl)
-    stored.write.partitionBy("part").parquet(path)
-    batch = frame([("a", 2, "p"), ("b", 2, "q")], ddl)
-    sinks.replace_parts(spark, path, stored.schema, batch, "part", lambda old, new: merge.upsert(old, new, ["k"]))
-    assert rows(sinks.stored_table(spark, path, stored.schema)) == [("a", 2, "p"), ("b", 2, "q"), ("c", 1, "r")]
+    upsert = lambda old, new: merge.upsert(old, new, ["k"])
+    stored, batch = frame([("a", 1, "p"), ("b", 1, "p")], ddl), frame([("a", 2, "p")], ddl)
+    store.replace_parts(spark, path, stored.schema, stored, "part", upsert)
+
+    def lost(*_):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(store, "commit", lost)
+        with pytest.raises(RuntimeError):
+            store.replace_parts(spark, path, stored.schema, batch, "part", upsert)
+    assert rows(store.read(spark, path, stored.schema)) == [("a", 1, "p"), ("b", 1, "p")]
+    store.replace_parts(spark, path, stored.schema, batch, "part", upsert)
+    assert rows(store.read(spark, path, stored.schema)) == [("a", 2, "p"), ("b", 1, "p")]
+
+
+def test_two_runs_cannot_write_the_same_version(spark, tmp_path):
+    path = str(tmp_path / "t")
+    store.commit(spark, path, 1, {})
+    with pytest.raises(RuntimeError):
+        store.commit(spark, path, 1, {"x": []})
+
+
+DOC = "k string, form string, text string"
+
+
+def test_documents_are_appended_and_never_rewritten(spark, frame, tmp_path):
+    path, schema = tmp_path / "d", frame([], DOC).schema
+    first = [(str(i), "old", f"text {i}") for i in range(200)]
+    store.append_documents(spark, str(path), schema, frame(first, DOC), "k")
+    before = _files(path)
+    again = [("1", "new", ""), ("2", "new", "newer"), ("x", "new", None), (None, "new", "lost"), ("2", "new", "newer")]
+    for _ in range(2):
+        store.append_documents(spark, str(path), schema, frame(again, DOC), "k")
+    assert before.items() <= _files(path).items()
+    want = {k: (form, text) for k, form, text in first} | {"1": ("new", "text 1"), "2": ("new", "newer"), "x": ("new", "")}
+    read = lambda: {r[0]: tuple(r)[1:] for r in store.documents(spark, str(path), schema, "k", ["text"]).collect()}
+    assert read() == want
+    store.compact(spark, str(path), schema, "k", ["text"])
+    assert read() == want
+    store.reset_documents(spark, str(path), schema, "k", F.col("form") == "new", "text")
+    assert read() == want | {k: ("new", "") for k in ("1", "2", "x")}
+    plain = store.documents(spark, str(path), schema, "k")
+    assert rows(plain.filter("k = '2'")) == [("2", "new", "")]
+
+
+def test_only_keys_of_touched_parts_are_read(spark, frame, tmp_path, monkeypatch):
+    path, ddl = str(tmp_path / "t"), "k string, v string, part string"
+    schema = frame([], ddl).schema
+    store.insert_new(spark, path, schema, frame([("a", "x", "p"), ("b", "x", "q")], ddl), ["k"], "part")
+    plans, folders = [], []
+    write, read = store._write, store._rows
+    monkeypatch.setattr(store, "_write", lambda spark, rows, *a: (plans.append(plan_of(rows)), write(spark, rows, *a))[1])
+    monkeypatch.setattr(store, "_rows", lambda spark, where, *a: (folders.extend(where), read(spark, where, *a))[1])
+    store.insert_new(spark, path, schema, frame([("c", "x", "q")], ddl), ["k"], "part")
+    assert [f.rpartition("/")[2] for f in folders if f.startswith(path)] == ["_part=q"]
+    scans = [line for line in plans[0].split("\n") if "FileScan" in line]
+    assert len(scans) == 2 and sum("ReadSchema: struct<k:string>" in s for s in scans) == 1
 
 
 def test_dual_sink_splits_and_counts(spark, frame, tmp_path):
@@ -104,9 +159,9 @@ def test_dual_sink_splits_and_counts(spark, frame, tmp_path):
 
 
 def test_csv_round_trip(spark, frame, tmp_path):
-    df = frame([("a, \"b\"", 1), (None, 2)], KV)
+    df = frame([("a, \"b\"", 1), (None, 2), ("line\nbreak\r\n \"", 3), ("", 4), (" \\ ", 5), ("\\N?", 6)], KV)
     sinks.csv(df, str(tmp_path / "c"))
-    assert rows(spark.read.schema(df.schema).option("header", True).option("escape", "\\").csv(str(tmp_path / "c"))) == rows(df)
+    assert rows(sinks.read_csv(spark, str(tmp_path / "c"), df.schema)) == rows(df)
 
 
 @pytest.mark.parametrize("hot", [0.34])

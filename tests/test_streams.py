@@ -5,6 +5,8 @@ from conftest import day, rows
 
 from tapewright import session, sinks
 from tapewright.operators import clean, joins, merge
+from tapewright.plans import loads
+from tapewright.sinks import store
 from tapewright.streaming import feeds
 
 KV = "k string, v int"
@@ -27,7 +29,7 @@ def test_ingest_goes_on_where_it_stopped(spark, frame, tmp_path):
 
     def run():
         feeds.ingest(feeds.file_stream(spark, str(source / "*")), "market", out, mark)
-        return rows(spark.read.parquet(out).select("series_code", "date", "value"))
+        return rows(loads.table(spark, out, "market").selectExpr("series_code", "date", "double(value)"))
 
     _publish(frame, source, "a", [("s", "2024-01-01", 1.0), ("t", "2024-01-01", None)], ddl)
     assert run() == [("s", day("2024-01-01"), 1.0)]
@@ -48,16 +50,35 @@ BATCH = {"news": clean.clean_news, "filings": clean.clean_filings, "market": cle
 
 @pytest.mark.parametrize("feed", list(WIRE))
 def test_streamed_feed_equals_batch(spark, frame, tmp_path, feed):
-    schema = feeds.FEEDS[feed][0]
+    schema = loads.FEEDS[feed].wire
     data = [tuple(r.get(f.name) for f in schema) for r in WIRE[feed] + WIRE[feed]]
     sinks.publish_files(frame(data, schema), str(tmp_path / "in"))
     feeds.ingest(feeds.file_stream(spark, str(tmp_path / "in")), feed, str(tmp_path / "out"), str(tmp_path / "mark"))
-    want = BATCH[feed](frame(data, schema))
-    got = spark.read.parquet(str(tmp_path / "out"))
+    want = clean.conform(BATCH[feed](frame(data, schema)), loads.FEEDS[feed].table, sinks.CLIPPED)
+    got = loads.table(spark, str(tmp_path / "out"), feed)
     assert rows(got.select(*want.columns)) == rows(want)
     assert got.count() == 1
 
 
+def test_four_runs_equal_one_batch(spark, frame, tmp_path):
+    """Late rows, rows without a load time and copies far apart: nothing depends on a clock."""
+    ddl = "series_code string, date string, value double, fetched_at string"
+    files = [
+        [("X", "2024-06-01", 1.0, "2024-06-01T00:00:00")], [("OLD", "2024-01-01", 2.0, "2024-01-01T00:00:00")],
+        [("NF", "2024-06-02", 3.0, None)], [("AFTER", "2024-06-03", 4.0, "2024-06-03T00:00:00"), ("X", "2024-06-01", 9.0, "2024-11-01T00:00:00")],
+    ]
+    source, out, mark = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "mark")
+    for i, data in enumerate(files):
+        _publish(frame, source, str(i), data, ddl)
+        feeds.ingest(feeds.file_stream(spark, str(source / "*")), "market", out, mark)
+    got = rows(loads.table(spark, out, "market").selectExpr("series_code", "double(value)"))
+    once = str(tmp_path / "once")
+    messages = frame([r for f in files for r in f], ddl).selectExpr("to_json(struct(*)) AS value")
+    loads.load_market(spark, messages, once)
+    assert got == rows(loads.table(spark, once, "market").selectExpr("series_code", "double(value)"))
+    assert got == [("AFTER", 4.0), ("NF", 3.0), ("OLD", 2.0), ("X", 1.0)]
+
+
 @pytest.mark.parametrize("spread", [False, True])
 def test_dedupe_across_runs(spark, frame, tmp_path, spread):
     ddl = "k string, t timestamp"
@@ -77,26 +98,26 @@ def test_dedupe_across_runs(spark, frame, tmp_path, spread):
 
 def test_merge_per_batch(spark, frame, tmp_path):
     source, path, mark = tmp_path / "in", str(tmp_path / "t"), str(tmp_path / "mark")
-    frame([("a", 1)], KV).write.parquet(path)
     schema = frame([], KV).schema
+    store.insert_new(spark, path, schema, frame([("a", 1)], KV), ["k"], "k")
     _publish(frame, source, "a", [("a", 9), ("b", 2)])
     _publish(frame, source, "b", [("c", 4), ("c", 3)])
-    feeds.merge_into(spark, _stream(spark, source, files_per_trigger=1), path, schema, ["k"], mark)
-    assert rows(sinks.stored_table(spark, path, schema)) == [("a", 1), ("b", 2), ("c", 3)]
+    feeds.merge_into(spark, _stream(spark, source, files_per_trigger=1), path, schema, ["k"], "k", mark)
+    assert rows(store.read(spark, path, schema)) == [("a", 1), ("b", 2), ("c", 3)]
 
 
 def test_upsert_per_batch(spark, frame, tmp_path):
     ddl = "k string, v int, part string"
     source, path, mark = tmp_path / "in", str(tmp_path / "t"), str(tmp_path / "mark")
     stored = frame([("a", 1, "p"), ("b", 1, "q")], ddl)
-    stored.write.partitionBy("part").parquet(path)
+    store.replace_parts(spark, path, stored.schema, stored, "part", lambda old, new: merge.upsert(old, new, ["k"]))
     _publish(frame, source, "a", [("a", 2, "p")], ddl)
     _publish(frame, source, "b", [("c", 3, "q")], ddl)
     feeds.upsert_into(
         spark, _stream(spark, source, ddl, files_per_trigger=1), path, stored.schema, "part",
         lambda old, new: merge.upsert(old, new, ["k"]), mark,
     )
-    assert rows(sinks.stored_table(spark, path, stored.schema)) == [("a", 2, "p"), ("b", 1, "q"), ("c", 3, "q")]
+    assert rows(store.read(spark, path, stored.schema)) == [("a", 2, "p"), ("b", 1, "q"), ("c", 3, "q")]
 
 
 def test_streamed_window_counts_equal_the_batch_join(spark, frame, tmp_path):
@@ -121,13 +142,15 @@ def test_a_replayed_batch_of_counts_adds_nothing(spark, frame, tmp_path):
     assert rows(spark.read.schema(feeds.DAILY_COUNTS).parquet(counts).select("day", "n")) == [(day("2024-01-01"), 1)]
 
 
-def test_weekly_counts_close_with_the_watermark(spark, frame, tmp_path):
+def test_weekly_counts_have_open_weeks_and_late_rows(spark, frame, tmp_path):
     ddl = "k string, t timestamp"
     source, out, mark = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "mark")
     at = lambda d: dt.datetime(2024, 1, d)
-    _publish(frame, source, "a", [("a", at(1)), ("a", at(7)), ("b", at(8)), ("a", at(16))], ddl)
-    feeds.to_parquet(feeds.weekly_counts(_stream(spark, source, ddl), "t", "k", "1 day"), out, mark)
-    assert rows(spark.read.parquet(out)) == [(day("2024-01-01"), "a", 2), (day("2024-01-08"), "b", 1)]
+    for i, data in enumerate([[("a", at(1)), ("b", at(8)), ("a", at(16))], [("a", at(7)), ("a", None)]]):
+        _publish(frame, source, str(i), data, ddl)
+        feeds.count_weeks(_stream(spark, source, ddl), "t", "k", out, mark)
+    assert sorted(map(tuple, feeds.week_counts(spark, "k", out).collect())) == [
+        (day("2024-01-01"), "a", 2), (day("2024-01-08"), "b", 1), (day("2024-01-15"), "a", 1)]
 
 
 def test_alerts_are_the_same_for_batch_and_stream(spark, frame, tmp_path):
@@ -154,5 +177,7 @@ def test_shared_folder_needs_the_cluster_setting(spark, monkeypatch):
         class sparkContext:
             master = "yarn"
 
-    with pytest.raises(ValueError):
-        session.shared_folder(Cluster, "x")
+    for master in ("yarn", "local-cluster[2,1,1024]"):
+        Cluster.sparkContext.master = master
+        with pytest.raises(ValueError):
+            session.shared_folder(Cluster, "x")
