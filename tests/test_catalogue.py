@@ -15,7 +15,7 @@ from tapewright import catalogue
 QUERIES = {name: q for name, q in entry_point.queries().items() if name in catalogue.QUERIES}
 SQL = {name: text for name, text in entry_point.oracle_sql().items() if name in catalogue.QUERIES}
 # These write and read back their own files, so there is no lazy plan of the whole.
-EAGER = re.compile(r"^stream_|_roundtrip$|_into_table$|^dual_sink$|^load_|^long_titles$|^reset_stored|^op\d+_|^pipeline$")
+EAGER = re.compile(r"^stream_|_roundtrip$|_into_table$|^dual_sink$|^load_|^run_|^long_titles$|^reset_stored|^op\d+_|^pipeline$")
 
 
 @pytest.fixture(scope="module")
