@@ -19,6 +19,8 @@ LIST, LISTS = 800, 4096
 BLOCK, EPSILON = 16, 1.2
 # Share of the sample's true neighbours that the probed lists must hold.
 RECALL = 0.97
+# Vectors of the sample from which a query's first radius is taken.
+NEAR = 8192
 # A task compares so many candidates with so many queries at a time.
 CANDIDATES, QUERIES = 4096, 512
 
@@ -82,7 +84,7 @@ def fit(vectors: DataFrame, total: int, k: int, sample: int = SAMPLE, recall: fl
     centres = _centres(stored, lists, rng)
     some = rng.choice(len(x), min(len(x), 256), replace=False)
     probes = _probes(stored, index.asked(x[some]), centres, k, recall)
-    return dataclasses.replace(index, centres=centres, sample=stored[rng.permutation(len(stored))[:2048]], probes=probes)
+    return dataclasses.replace(index, centres=centres, sample=stored[rng.permutation(len(stored))[:NEAR]], probes=probes)
 
 
 def usable(embeddings: DataFrame, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -147,8 +149,9 @@ def _listed(vectors: DataFrame, index: Index) -> DataFrame:
 def _probing(queries: DataFrame, index: Index, k: int, everything: bool) -> DataFrame:
     """Each query with the lists it probes and its first radius.
 
-    The radius is the distance of its 4k-th neighbour in a part of the sample:
-    some forty times as many vectors lie within it as are wanted.
+    The radius is the distance of its 2k-th neighbour in a part of the sample,
+    so at least twice as many vectors lie within it as are wanted, and of a
+    large table a small share.
     """
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -156,8 +159,9 @@ def _probing(queries: DataFrame, index: Index, k: int, everything: bool) -> Data
         probes = len(index.centres) if everything else index.probes
         lists = np.argsort(_squares(asked, index.centres), axis=1, kind="stable")[:, :probes]
         radius = np.full(len(asked), np.inf)
-        if not everything and len(index.sample) > 4 * k:
-            radius = np.partition(_squares(asked, index.sample), 4 * k, axis=1)[:, 4 * k]
+        if not everything and len(index.sample) > 2 * k:
+            # A little more, so that rounding loses no vector of the same distance.
+            radius = np.partition(_squares(asked, index.sample), 2 * k, axis=1)[:, 2 * k] + 1e-9 * index.longest ** 2
         return pa.record_batch(
             [*batch.columns, pa.array(list(lists), pa.list_(pa.int32())), pa.array(radius)], ["vec_id", "vec", "lists", "radius"])
 
