@@ -45,7 +45,7 @@ def test_no_nested_loops_and_few_python_steps(spark):
             continue
         plan = plan_of(fn(spark, SMALL))
         assert "NestedLoop" not in plan and "Cartesian" not in plan, name
-        assert ("InPandas" in plan) == name.endswith("_corr") or name == "price_correlation", name
+        assert ("InArrow" in plan) == name.endswith("_corr") or name == "price_correlation", name
 
 
 def test_filters_and_columns_reach_the_scan(spark):

@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 import math
 
 import numpy as np
@@ -158,14 +159,32 @@ def test_monthly_corr_equals_pandas(frame):
 
 
 def test_constant_series_and_single_points_have_no_correlation(frame):
-    wide = frame([(1.0, 0.1, None), (2.0, 0.1, 3.0), (4.0, 0.1, None)], "x double, y double, z double")
-    got = {(r.a, r.b): (r.n, r["corr"]) for r in correlation.pairwise(wide, ["x", "y", "z"]).collect()}
+    wide = [(1.0, 0.1, None), (2.0, 0.1, 3.0), (4.0, 0.1, None)]
+    long = frame([(i, m, v) for i, row in enumerate(wide) for m, v in enumerate(row)], "i int, m int, v double")
+    got = {(r.a, r.b): (r.n, r["corr"]) for r in correlation.pairwise(long, "i", "m", "v", ["x", "y", "z"]).collect()}
     assert got == {("x", "y"): (3, None), ("x", "z"): (1, None), ("y", "z"): (1, None)}
 
 
 def test_no_pair_rows_are_emitted(frame):
     plan = plan_of(correlation.return_corr(frame(LINE, SCHEMA), "k", "d", "v", ["s", "t"]))
-    assert "Join" not in plan and "Cartesian" not in plan
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_many_members_in_blocks(frame):
+    """Three hundred members: several blocks, the same plan as for two but for the list of names."""
+    rng = np.random.default_rng(4)
+    common = rng.normal(size=40)
+    names = [f"m{i:03d}" for i in range(300)]
+    x = {n: common * rng.normal() + rng.normal(size=40) for n in names}
+    data = [(n, day("2024-01-01") + dt.timedelta(i), float(v)) for n in names for i, v in enumerate(x[n]) if (i + len(n)) % 39]
+    few, many = (correlation.monthly_corr(frame(data, SCHEMA), "k", "d", "v", m, 1) for m in (names[:2], names))
+    strip = lambda plan: re.sub(r"\[[^]]*\]|#\d+|\d+", "", plan_of(plan))
+    assert len(strip(few).split("\n")) == len(strip(many).split("\n"))
+    rows_ = frame([(i, m, float(v)) for m, n in enumerate(names) for i, v in enumerate(x[n])], "i int, m int, v double")
+    got = {(r.a, r.b): r["corr"] for r in correlation.pairwise(rows_, "i", "m", "v", names).collect()}
+    want = np.corrcoef(np.stack([x[n] for n in names]))
+    assert len(got) == 300 * 299 // 2
+    assert max(abs(got[names[a], names[b]] - want[a, b]) for a in range(300) for b in range(a + 1, 300)) < 1e-9
 
 
 def test_mean_rank_is_ascending(frame):
