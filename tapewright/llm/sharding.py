@@ -30,15 +30,17 @@ def _values(spark: SparkSession, names: str, rows: Sequence[Sequence[int]]) -> D
 def _crossings(rows: DataFrame, asked: list[dict]) -> dict[int, dict]:
     """Of each node the bin in which its weight passes the half: one histogram round for all nodes.
 
-    Bins are added up inside the map tasks; what is exchanged are the bins.
+    Bins are added up inside the map tasks; what is exchanged are the bins, at
+    most ``BINS`` of a node.
     """
     spark = rows.sparkSession
-    wanted = _values(spark, "node, dim, tied, v, lo, width, half", [
-        [q["node"], q["dim"], q["tied"], q["v"], q["lo"], max(1, -(-(q["hi"] - q["lo"] + 1) // BINS)), q["half"]] for q in asked])
+    wanted = _values(spark, "node, dim, tied, v, lo, hi, width, half", [
+        [q["node"], q["dim"], q["tied"], q["v"], q["lo"], q["hi"], max(1, -(-(q["hi"] - q["lo"] + 1) // BINS)), q["half"]]
+        for q in asked])
     met = rows.join(wanted, "node").withColumn("x", F.get("dims", F.col("dim").cast("int")))
     met = met.filter((F.col("tied") == 0) | (F.col("x") == F.col("v")))
     met = met.withColumn("y", F.when(F.col("tied") == 1, F.col("tie")).otherwise(F.col("x")))
-    met = met.filter("y >= lo").withColumn("bin", F.expr("(y - lo) div width"))
+    met = met.filter("y BETWEEN lo AND hi").withColumn("bin", F.expr("(y - lo) div width"))
     bins = met.groupBy("node", "half", "bin").agg(
         F.sum("size").alias("w"), F.count(F.lit(1)).alias("n"), F.min("y").alias("least"), F.max("y").alias("most"))
     upto = F.sum("w").over(Window.partitionBy("node").orderBy("bin"))
