@@ -260,7 +260,7 @@ def combined(lists: Sequence[Sequence[float]], n: int) -> list[tuple[float, tupl
 
 
 def encode(
-    docs: DataFrame, n: int = 4, path: str | None = None, key: str = "doc_id", text: str = "text", at_once: int = 1 << 24,
+    docs: DataFrame, n: int = 4, path: str | None = None, key: str = "doc_id", text: str = "text", at_once: int = 1 << 23,
 ) -> DataFrame:
     """``doc_id, rank, score, ids`` of the ``n`` best segmentations of every whole text.
 
@@ -287,20 +287,26 @@ def encode(
         def ways(segment: str) -> list[Way]:
             return n_best(m, codes_of(segment).tolist(), n)
 
+        held, chars = [], 0
         for batch in batches:
-            sizes = np.cumsum([len(t) if (t := x.as_py()) else 0 for x in batch.column(1)])
-            cuts = np.flatnonzero(np.diff(sizes // at_once, prepend=0)).tolist()
-            for first, end in zip([0, *cuts], [*cuts, batch.num_rows]):
-                if end > first:
-                    yield _encoded(m, ways, batch.slice(first, end - first), n)
+            for start in range(0, batch.num_rows, 100):
+                part = batch.slice(start, 100)
+                held.append(part)
+                chars += sum(len(t.as_py()) for t in part.column(1) if t.is_valid)
+                if chars >= at_once:
+                    yield _encoded(m, ways, held, n)
+                    held, chars = [], 0
+        if held:
+            yield _encoded(m, ways, held, n)
 
     return docs.select(F.col(key).cast("bigint"), F.col(text).cast("string")).mapInArrow(
         run, "doc_id bigint, rank int, score double, ids binary")
 
 
-def _encoded(m: Model, ways, batch: pa.RecordBatch, n: int) -> pa.RecordBatch:
+def _encoded(m: Model, ways, batches: Sequence[pa.RecordBatch], n: int) -> pa.RecordBatch:
     index: dict[str, int] = {}
-    docs = [np.array([index.setdefault(s, len(index)) for s in segments(t.as_py() or "")]) for t in batch.column(1)]
+    docs = [np.array([index.setdefault(s, len(index)) for s in segments(t.as_py() or "")]) for b in batches for t in b.column(1)]
+    keys = [k for b in batches for k in b.column(0).to_pylist()]
     distinct = list(index)
     known = ways_of(m, distinct)
     loss = known.score - known.second
@@ -309,7 +315,7 @@ def _encoded(m: Model, ways, batch: pa.RecordBatch, n: int) -> pa.RecordBatch:
     bounds = np.concatenate([[0], np.cumsum(counts)])
     start, stop = bounds[known.starts], bounds[known.starts + known.sizes]
     out: list[tuple] = []
-    for key, doc in zip(batch.column(0).to_pylist(), docs):
+    for key, doc in zip(keys, docs):
         size = stop[doc] - start[doc]
         ends = np.cumsum(size)
         ids = flat[np.repeat(start[doc] - (ends - size), size) + np.arange(ends[-1])].astype("<u4")
@@ -325,9 +331,9 @@ def _encoded(m: Model, ways, batch: pa.RecordBatch, n: int) -> pa.RecordBatch:
                 parts += [ids[done:ends[p] - size[p]], spelt(m, np.array(c[i][1]))[0].astype("<u4")]
                 done = ends[p]
             out.append((key, rank, rest + total, b"".join(x.tobytes() for x in [*parts, ids[done:]])))
-    keys, ranks, scores, ids = zip(*out)
+    owners, ranks, scores, ids = zip(*out)
     return pa.record_batch({
-        "doc_id": pa.array(keys, pa.int64()), "rank": pa.array(ranks, pa.int32()),
+        "doc_id": pa.array(owners, pa.int64()), "rank": pa.array(ranks, pa.int32()),
         "score": pa.array(scores, pa.float64()), "ids": pa.array(ids, pa.binary())})
 
 

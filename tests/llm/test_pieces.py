@@ -29,7 +29,7 @@ def all_ways(m, codes):
 
 def one(m, text, n):
     batch = pa.record_batch({"doc_id": pa.array([1]), "text": pa.array([text], pa.string())})
-    out = pieces._encoded(m, lambda s: pieces.n_best(m, pieces.codes_of(s).tolist(), n), batch, n)
+    out = pieces._encoded(m, lambda s: pieces.n_best(m, pieces.codes_of(s).tolist(), n), [batch], n)
     return [(r["score"], np.frombuffer(r["ids"], "<u4").tolist()) for r in out.to_pylist()]
 
 
