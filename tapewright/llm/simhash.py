@@ -224,7 +224,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     unless the component has no other.  An empty table gives no rows.
     """
     prints = written(prints_of(docs, key, text), "prints")
-    grouped = _grouped(prints, F.min("doc_id"))
+    # Written, so that both sides of the last join are plain exchanges and Spark can split a fingerprint of many copies.
+    grouped = written(_grouped(prints, F.min("doc_id")), "groups")
     return prints.join(grouped, "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
