@@ -6,7 +6,7 @@ import hashlib
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from tapewright.session import shared_folder
@@ -16,6 +16,15 @@ SPACES = r"[\x20\x09-\x0D]+"
 
 ROW = "_row"
 
+# Rows that go to Python at once: whole texts are long, and a task holds a batch on either side.
+ROWS_AT_ONCE = ("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
+
+def small_batches(spark: SparkSession) -> SparkSession:
+    """The session with batches that fit tables of whole texts."""
+    spark.conf.set(*ROWS_AT_ONCE)
+    return spark
+
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is computed once, however often the body names it."""

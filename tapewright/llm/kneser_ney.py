@@ -17,11 +17,11 @@ from tapewright.llm.common import ROW, map_batches, written
 ORDER = 4
 SYMBOL = 16
 # Documents per scoring batch: the wider, the fewer grams are looked up twice.
-BATCH = 8192
+BATCH = 4096
 # Trusted ids are broadcast up to this number (32 MB) and joined beyond it.
 BROADCAST_IDS = 4_000_000
 # Characters whose grams a task holds at once.
-CHARS = 1 << 21
+CHARS = 1 << 19
 
 
 def symbols(text: str | None) -> np.ndarray:

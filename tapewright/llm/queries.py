@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tapewright.catalogue import Query
 from tapewright.llm import chat, kneser_ney, nearest, packing, pieces, pii, quality_rules, revisits, sharding, simhash
+from tapewright.llm.common import small_batches
 from tapewright.sources.tables import parquet
 
 QUERIES: dict[str, Query] = {}
@@ -16,7 +17,7 @@ SQL: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None):
     def register(fn: Query) -> Query:
-        QUERIES[name] = fn
+        QUERIES[name] = lambda spark, sf: fn(small_batches(spark), sf)
         if sql is not None:
             SQL[name] = sql
         return fn
