@@ -59,7 +59,8 @@ def test_probabilities_add_up_to_one(spark):
     for context in ("the", " ca", "zzz"):
         assert sum(p(context + x) for x in letters | {"￿"}) == pytest.approx(1)
     texts = spark.createDataFrame([("the cat sat on the mat",), ("a cat is a cat",)], "text string")
-    rows = kn.train(texts).collect()
+    # A context that no gram ends in has a weight but no probability.
+    rows = [r for r in kn.train(texts).collect() if r["p"] is not None]
     assert sum(r["p"] for r in rows if r["n"] < 2) == pytest.approx(1)
     by_order = defaultdict(int)
     for r in rows:
