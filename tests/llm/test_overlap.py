@@ -1,0 +1,79 @@
+import random
+
+import pytest
+from awkward import awkward, docs, none  # noqa: F401
+
+from tapewright.llm import overlap, simhash
+
+
+def slow_set(text):
+    text = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    words = [w for w in text.translate({i: " " for i in range(9, 14)}).split(" ") if w]
+    return {" ".join(words[i:i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def slow_kept(rows):
+    """The smallest key of all that is reachable by pairs with a common share of 0.8."""
+    sets, left, out = [slow_set(t) for _, t in rows], set(range(len(rows))), []
+    while left:
+        todo = [left.pop()]
+        group = list(todo)
+        while todo:
+            a = todo.pop()
+            near = [b for b in left if sets[a] == sets[b] or len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+            left -= set(near)
+            todo += near
+            group += near
+        out.append(min((rows[i][0] for i in group if rows[i][0] is not None), default=None))
+    return sorted(out, key=str)
+
+
+def edited(rng, words, n):
+    words = list(words)
+    for i in rng.sample(range(len(words)), n):
+        words[i] = f"new{rng.randrange(10 ** 6)}"
+    return words
+
+
+def test_edited_copies_leave_one(spark):
+    """Texts that share 0.8 to 0.95 of their shingles, and chains of them; texts that share less stay."""
+    rng = random.Random(3)
+    rows = []
+    for _ in range(40):
+        text = [f"w{rng.randrange(4000)}" for _ in range(rng.choice([60, 150, 400]))]
+        for n in (0, len(text) // 90, len(text) // 60, len(text) // 45, len(text) // 20):
+            rows.append((len(rows), " ".join(edited(rng, text, n))))
+    chain = [f"w{rng.randrange(4000)}" for _ in range(200)]
+    for _ in range(20):
+        rows.append((len(rows), " ".join(chain)))
+        chain = edited(rng, chain, 4)
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = sorted((r["doc_id"] for r in overlap.representatives(frame).collect()), key=str)
+    assert got == slow_kept(rows)
+    # Three bits of a fingerprint leave copies that are this much alike.
+    assert len(got) < simhash.representatives(frame).count()
+
+
+def test_awkward_documents(docs):  # noqa: F811
+    got = overlap.representatives(docs)
+    assert got.columns == docs.columns
+    assert sorted((r["doc_id"] for r in got.collect()), key=str) == slow_kept([r[:2] for r in awkward()])
+
+
+def test_no_rows(none):  # noqa: F811
+    assert overlap.representatives(none).collect() == []
+
+
+def test_a_dense_group_gives_few_links():
+    sets = [overlap.shingles(" ".join([*(f"w{k}" for k in range(100)), f"x{i}"]).encode()) for i in range(500)]
+    assert len(list(overlap.spread([bytes([i >> 8, i & 255]) for i in range(500)], sets, 0.8))) == 499
+
+
+@pytest.mark.parametrize("sf", ["0.001", "0.01"])
+def test_pipeline_stage(spark, sf):
+    import corpus_pipeline
+
+    frame = spark.read.parquet(f"/root/testdata/sf{sf}/documents.parquet")
+    got = corpus_pipeline.simhash_stage(spark, frame, "")
+    wanted = slow_kept([(r["doc_id"], r["text"]) for r in frame.select("doc_id", "text").collect()])
+    assert sorted((r["doc_id"] for r in got.collect()), key=str) == wanted
