@@ -95,7 +95,7 @@ def pack(
         for batch in batches:
             for one, string in zip(batch.column(0).to_pylist(), batch.column(1)):
                 keys.append(one)
-                ids.append(np.append(tokens.encode(string.as_py(), path), np.uint32(end)).astype("<u4"))
+                ids.append(np.append(tokens.encode_added(string.as_py(), path), np.uint32(end)).astype("<u4"))
                 if len(ids) == block:
                     yield flush()
         if ids:

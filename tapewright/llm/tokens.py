@@ -33,6 +33,15 @@ def _plain(path: str | None) -> tokenizers.Tokenizer:
     return tokenizer
 
 
+@functools.cache
+def _whole(path: str | None) -> tuple[tokenizers.Tokenizer, re.Pattern[str] | None]:
+    """The tokenizer as its file has it, and what finds one of its added tokens (None: it has none)."""
+    file = path.removesuffix(".tiktoken") + ".json" if path else public_tokenizers.path("byte_bpe_50k.json")
+    tokenizer = tokenizers.Tokenizer.from_file(file)
+    added = [re.escape(t.content) for t in tokenizer.get_added_tokens_decoder().values()]
+    return tokenizer, re.compile("|".join(added)) if added else None
+
+
 # A run of white space this long may exceed the stack of the fast encoder.
 LONG_SPACE = re.compile(r"\s{100000}")
 
@@ -43,3 +52,11 @@ def encode(text: str | None, path: str | None = None) -> np.ndarray:
     if len(text) >= 100_000 and LONG_SPACE.search(text):
         return np.array(_plain(path).encode(text, add_special_tokens=False).ids, dtype="<u4")
     return np.array(byte_pairs(path).encode_ordinary(text), dtype="<u4")
+
+
+def encode_added(text: str | None, path: str | None = None) -> np.ndarray:
+    """As ``encode``, but a string of an added token is that token's id, as the tokenizer's file has it."""
+    tokenizer, added = _whole(path)
+    if text and added and added.search(text):
+        return np.array(tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
+    return encode(text, path)
