@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from tapewright.session import shared_folder
+from tapewright.sinks.store import release
 
 # A word is a run of anything but these six characters.
 SPACES = r"[\x20\x09-\x0D]+"
@@ -81,3 +82,18 @@ def crc_of(text: Column) -> Column:
 def seeded(*parts: object) -> int:
     """A number that depends on the parts alone, alike in every process."""
     return int.from_bytes(hashlib.sha256(repr(parts).encode()).digest()[:8], "little")
+
+
+def replaced(df: DataFrame, name: str, before: DataFrame | None = None) -> DataFrame:
+    """Like ``written``; then the table ``before``, of which nothing reads any more, is removed."""
+    after = written(df, name)
+    if before is not None:
+        forget(before)
+    return after
+
+
+def forget(df: DataFrame) -> None:
+    """Remove the folder of a table that ``written`` made and nothing reads any more."""
+    spark = df.sparkSession
+    for folder in {path.rsplit("/", 1)[0] for path in df.inputFiles()}:
+        release(spark, folder)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tapewright.catalogue import Query
-from tapewright.llm import chat, kneser_ney, nearest, packing, pieces, pii, quality_rules, revisits, sharding, simhash
+from tapewright.llm import chat, clusters, kneser_ney, nearest, packing, pieces, pii, quality_rules, revisits, sharding, simhash
 from tapewright.llm.common import small_batches
 from tapewright.sources.tables import parquet
 
@@ -215,3 +215,35 @@ def op8_pieces(spark: SparkSession, sf: str) -> DataFrame:
     """The four best segmentations of every text, as their scores, lengths and checksums."""
     best = pieces.encode(parquet(spark, sf, "documents"))
     return best.select("doc_id", "rank", "score", (F.octet_length("ids") / 4).cast("bigint").alias("n_ids"), F.crc32("ids").alias("ids_crc32"))
+
+
+def _rounds_sql(rounds: int) -> str:
+    """The rounds of op11, one after the other."""
+    near = """a{i} AS MATERIALIZED (
+  SELECT v.vec_id, v.x, c.c, list_sum(list_transform(list_zip(v.x, c.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+  FROM v, c{i} c QUALIFY row_number() OVER (PARTITION BY v.n ORDER BY d, c.c) = 1)"""
+    move = """s{i} AS (SELECT c, generate_subscripts(x, 1) AS j, unnest(x) AS y FROM a{i}),
+m{i} AS (SELECT c, j, sum(y)::HUGEINT AS s, count(*)::HUGEINT AS n FROM s{i} GROUP BY c, j),
+c{next} AS MATERIALIZED (
+  SELECT c{i}.c, coalesce(moved, x) AS x FROM c{i} LEFT JOIN (
+    SELECT c, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY j) AS moved FROM m{i} GROUP BY c) m ON m.c = c{i}.c)"""
+    steps = [near.format(i=0)]
+    for i in range(rounds):
+        steps += [move.format(i=i, next=i + 1), near.format(i=i + 1)]
+    return ",\n".join(steps)
+
+
+@query("op11_clusters", rf"""
+WITH v AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda e: floor(e::DOUBLE * 256)::BIGINT) AS x, row_number() OVER () AS n FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = 64),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id) NULLS LAST, x) - 1 AS c, x FROM v QUALIFY c < {clusters.CLUSTERS}),
+{_rounds_sql(clusters.ROUNDS)}
+SELECT vec_id, c::INTEGER AS cluster, d AS distance, (sum(d) OVER (PARTITION BY c))::BIGINT AS cluster_inertia,
+  (sum(d) OVER ())::BIGINT AS inertia, sha256(array_to_string(cs.x, ',')) AS centroid_sha256
+FROM a{clusters.ROUNDS} JOIN c{clusters.ROUNDS} cs USING (c)
+""")
+def op11_clusters(spark: SparkSession, sf: str) -> DataFrame:
+    found = clusters.clustered(parquet(spark, sf, "embeddings"))
+    return found.withColumn("centroid_sha256", F.sha2(F.array_join("centroid", ","), 256)).drop("centroid")
