@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tapewright.catalogue import Query
-from tapewright.llm import chat, clusters, kneser_ney, nearest, packing, pieces, pii, quality_rules, revisits, sharding, simhash
+from tapewright.llm import chat, clusters, kneser_ney, nearest, packing, phrases, pieces, pii, quality_rules, revisits, sharding, simhash
 from tapewright.llm.common import small_batches
 from tapewright.sources.tables import parquet
 
@@ -247,3 +247,34 @@ FROM a{clusters.ROUNDS} JOIN c{clusters.ROUNDS} cs USING (c)
 def op11_clusters(spark: SparkSession, sf: str) -> DataFrame:
     found = clusters.clustered(parquet(spark, sf, "embeddings"))
     return found.withColumn("centroid_sha256", F.sha2(F.array_join("centroid", ","), 256)).drop("centroid")
+
+
+@query("op13_phrases", rf"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM p),
+t AS (SELECT lang, sum(len(words))::HUGEINT AS n FROM w GROUP BY lang),
+s AS (SELECT lang, words, unnest(range(1, len(words) + 1)) AS i FROM w),
+f AS (
+  SELECT lang, list_slice(words, i, i + m - 1) AS path, count(*)::HUGEINT AS f
+  FROM s, range(1, {phrases.LONGEST + 1}) AS lengths(m) WHERE i + m - 1 <= len(words) GROUP BY lang, path),
+c AS (SELECT * FROM f WHERE len(path) > 1 AND f >= {phrases.LEAST}),
+k AS (SELECT lang, path, f AS a, unnest(range(1, len(path))) AS k FROM c),
+b AS (
+  SELECT k.*, l.f AS l, r.f AS r, n, (1000::HUGEINT * a * n) // (l.f * r.f) AS score
+  FROM k JOIN f l ON l.lang = k.lang AND l.path = list_slice(k.path, 1, k.k)
+    JOIN f r ON r.lang = k.lang AND r.path = list_slice(k.path, k.k + 1, len(k.path)) JOIN t ON t.lang = k.lang
+  QUALIFY row_number() OVER (PARTITION BY k.lang, k.path ORDER BY score, k.k) = 1),
+i AS (
+  SELECT lang, list_slice(path, s, s + m - 1) AS path, max(f) AS over
+  FROM (SELECT *, unnest(range(1, len(path) + 1)) AS s FROM c), range(2, {phrases.LONGEST}) AS lengths(m)
+  WHERE m < len(path) AND s + m - 1 <= len(path) GROUP BY ALL),
+d AS (SELECT b.* FROM b LEFT JOIN i USING (lang, path) WHERE over IS NULL OR over < a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(path, ' ')) AS rank,
+  array_to_string(path, ' ') AS phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM d QUALIFY rank <= {phrases.FIRST}
+""")
+def op13_phrases(spark: SparkSession, sf: str) -> DataFrame:
+    return phrases.collocations(parquet(spark, sf, "documents"))
