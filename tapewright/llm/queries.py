@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tapewright.catalogue import Query
-from tapewright.llm import chat, clusters, kneser_ney, nearest, packing, phrases, pieces, pii, quality_rules, revisits, sharding, simhash
+from tapewright.llm import chat, clusters, kneser_ney, nearest, packing, phrases, pieces, pii, quality_rules, repeats, revisits, sharding, simhash
 from tapewright.llm.common import small_batches
 from tapewright.sources.tables import parquet
 
@@ -278,3 +278,26 @@ FROM d QUALIFY rank <= {phrases.FIRST}
 """)
 def op13_phrases(spark: SparkSession, sf: str) -> DataFrame:
     return phrases.collocations(parquet(spark, sf, "documents"))
+
+
+@query("op12_repeats", rf"""
+WITH h AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n FROM documents),
+p AS (SELECT doc_id, i, substr(h, 2 * i + 1, {2 * repeats.LENGTH}) AS s FROM (
+  SELECT doc_id, h, unnest(range(0, greatest(n - {repeats.LENGTH - 1}, 0))) AS i FROM h)),
+m AS (SELECT s, min(doc_id) AS least FROM p GROUP BY s HAVING count(DISTINCT doc_id) > 1),
+c AS (SELECT doc_id, i FROM p JOIN m USING (s) WHERE least < doc_id),
+g AS (SELECT *, coalesce(i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + {repeats.LENGTH}, true)::INTEGER AS new FROM c),
+r AS (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM g),
+x AS (SELECT doc_id, run, min(i) AS s, max(i) + {repeats.LENGTH} AS e FROM r GROUP BY doc_id, run),
+y AS (SELECT *, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY s), 0) AS after FROM x),
+z AS (
+  SELECT doc_id, sum(e - s) AS n_removed, count(*) AS n_spans, max(e) AS upto,
+    string_agg(substr(h, 2 * after + 1, 2 * (s - after)), '' ORDER BY s) AS kept
+  FROM y JOIN h USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, n::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(CASE WHEN upto IS NULL THEN h ELSE kept || substr(h, 2 * upto + 1) END)) AS kept_sha256
+FROM h LEFT JOIN z USING (doc_id)
+""")
+def op12_repeats(spark: SparkSession, sf: str) -> DataFrame:
+    return repeats.removed(parquet(spark, sf, "documents"))
