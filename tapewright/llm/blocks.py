@@ -17,7 +17,7 @@ from tapewright.llm.common import forget
 from tapewright.session import shared_folder
 
 # Bytes of text and rows in a block; a longer text is a block of its own.
-BYTES = 8 << 20
+BYTES = 4 << 20
 ROWS = 4096
 
 

@@ -19,11 +19,13 @@ ROW = "_row"
 
 # Rows that go to Python at once: whole texts are long, and a task holds a batch on either side.
 ROWS_AT_ONCE = ("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+BYTES_AT_ONCE = ("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
 
 
 def small_batches(spark: SparkSession) -> SparkSession:
     """The session with batches that fit tables of whole texts."""
     spark.conf.set(*ROWS_AT_ONCE)
+    spark.conf.set(*BYTES_AT_ONCE)
     return spark
 
 

@@ -20,7 +20,7 @@ FIRST = 2000
 # Words of the whole table for one range of prefixes.
 RANGE = 1 << 20
 # Words a task counts before it passes its counts on, and arcs it holds before it unites them.
-HELD = 1 << 20
+HELD = 1 << 18
 
 # A-Z in lower case, what ends a piece, and the tab as a space.
 ENDS = b".,;:!?\n\x0b\x0c\r"
@@ -163,7 +163,8 @@ def shard(ids: np.ndarray, names: np.ndarray, ranges: int, longest: int) -> Iter
 
 def _by_language(batch: pa.RecordBatch) -> Iterator[tuple[int, int, str, list[bytes]]]:
     """(row, part, language, words) of every block."""
-    for i, (part, langs, sizes, texts) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("part", "langs", "sizes", "texts")))):
+    for i in range(batch.num_rows):
+        part, langs, sizes, texts = (batch.column(c)[i].as_py() for c in ("part", "langs", "sizes", "texts"))
         own = defaultdict(list)
         for lang, text in zip(langs, blocks.texts_of(sizes, texts)):
             own[lang].append(text)
@@ -193,11 +194,11 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _shards(ranges: int, longest: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, names = None, {}
         for batch in batches:
-            row, names = -1, {}
-            for i, _, lang, words in _by_language(batch):
-                if i != row:
-                    row, known = i, batch.column("known")[i].values
+            for i, part, lang, words in _by_language(batch):
+                if part != here:
+                    here, known = part, batch.column("known")[i].values
                     known = known.take(pc.sort_indices(known.field("id")))
                     langs = known.field("lang").to_numpy(zero_copy_only=False)
                     told, ids = np.array(known.field("word").to_pylist(), object), known.field("id").to_numpy()
@@ -233,7 +234,7 @@ def _united(least: int):
                     yield flush()
                 key = (r, lang)
                 held.append(Automaton.unpack(data))
-                if len(held) > 1 and sum(a.arcs() for a in held) > 4 * HELD:
+                if len(held) > 1 and sum(a.arcs() for a in held) > 16 * HELD:
                     held[:] = [Automaton.union(held)]
         if held:
             yield flush()
