@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,8 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
-from tapewright.llm.common import forget
-from tapewright.session import shared_folder
+from tapewright.llm.common import bucketed
 
 # Bytes of text and rows in a block; a longer text is a block of its own.
 BYTES = 4 << 20
@@ -41,7 +38,6 @@ def stored(docs: DataFrame, text: str, **carried: Column) -> DataFrame:
     bucketed by part, so what other passes find out for a part is joined to it
     without another exchange of texts.  A NULL text counts as empty.
     """
-    spark = docs.sparkSession
     rows = docs.select(*[c.alias(n) for n, c in carried.items()], F.col(text).cast("binary").alias("_text"))
     schema = T.StructType([
         T.StructField("part", T.IntegerType()), T.StructField("seq", T.IntegerType()),
@@ -80,17 +76,7 @@ def stored(docs: DataFrame, text: str, **carried: Column) -> DataFrame:
         if held:
             yield flush()
 
-    name = f"blocks_{uuid.uuid4().hex}"
-    buckets = min(100_000, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    rows.mapInArrow(run, schema).write.bucketBy(buckets, "part").option("path", shared_folder(spark, "blocks")).saveAsTable(name)
-    return spark.table(name).alias(name)
-
-
-def released(blocks: DataFrame) -> None:
-    """Remove a table of blocks that nothing reads any more."""
-    forget(blocks)
-    name = re.search(r"blocks_[0-9a-f]{32}", blocks._jdf.queryExecution().logical().toString())
-    blocks.sparkSession.sql(f"DROP TABLE IF EXISTS {name[0]}")
+    return bucketed(rows.mapInArrow(run, schema), "blocks", "part")
 
 
 def texts_of(sizes: bytes, texts: bytes) -> list[bytes]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
@@ -95,7 +96,36 @@ def replaced(df: DataFrame, name: str, before: DataFrame | None = None) -> DataF
 
 
 def forget(df: DataFrame) -> None:
-    """Remove the folder of a table that ``written`` made and nothing reads any more."""
+    """Remove the folder of a table that ``written`` or ``bucketed`` made and nothing reads any more."""
     spark = df.sparkSession
     for folder in {path.rsplit("/", 1)[0] for path in df.inputFiles()}:
         release(spark, folder)
+
+
+def bucketed(df: DataFrame, name: str, by: str) -> DataFrame:
+    """A table in the shared folder, bucketed: what is joined to it by that column moves, the table does not."""
+    spark = df.sparkSession
+    table = f"{name}_{uuid.uuid4().hex}"
+    buckets = min(100_000, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    df.write.bucketBy(buckets, by).option("path", shared_folder(spark, name)).saveAsTable(table)
+    return spark.table(table)
+
+
+def placed(df: DataFrame) -> DataFrame:
+    """The whole rows beside ``part, pos``, the task that read them and their number in it, bucketed by part."""
+    at = F.monotonically_increasing_id()
+    rows = boxed(df).select(ROW, F.shiftright(at, 33).cast("int").alias("part"), at.bitwiseAND(F.lit((1 << 33) - 1)).alias("pos"))
+    return bucketed(rows, "rows", "part")
+
+
+def selected(rows: DataFrame, every: DataFrame, chosen: DataFrame) -> DataFrame:
+    """Of ``placed`` rows those chosen, as they were.  ``every`` and ``chosen`` hold ``part, pos``.
+
+    What is chosen of a part comes to it as a bit per row, so the rows stay where they are.
+    """
+    bit = F.expr("shiftleft(1L, cast(pos % 64 AS int))")
+    marks = every.select("part", "pos", F.lit(0).cast("bigint").alias("bit")).union(chosen.select("part", "pos", bit.alias("bit")))
+    words = marks.groupBy("part", F.expr("pos div 64").alias("w")).agg(F.bit_or("bit").alias("bits"))
+    bits = words.groupBy("part").agg(F.sort_array(F.collect_list(F.struct("w", "bits")))["bits"].alias("bits"))
+    is_on = F.getbit(F.get("bits", F.expr("pos div 64").cast("int")), (F.col("pos") % 64).cast("int")) == 1
+    return unboxed(rows.join(bits, "part").filter(is_on), [])

@@ -305,7 +305,7 @@ def collocations(
     made = shards.mapInArrow(_shards(ranges, longest), "range bigint, lang string, automaton array<binary>")
     united = written(made.repartition("range", "lang").sortWithinPartitions("range", "lang").mapInArrow(
         _united(least), "range bigint, lang string, automaton array<binary>"), "automata")
-    blocks.released(held)
+    forget(held)
     forget(said)
 
     found = written(united.mapInArrow(_candidates, "lang string, path array<bigint>, along array<bigint>"), "candidates")

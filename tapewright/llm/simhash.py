@@ -10,22 +10,24 @@ from operator import add
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from tapewright.llm.common import ROW, boxed, map_batches, seeded, unboxed, written
+from tapewright.llm.common import ROW, map_batches, placed, seeded, selected, written
 from tapewright.llm.components import components
 
 SHINGLE = 3
 DISTANCE = 3
-# Bits of a fingerprint in five blocks: two fingerprints that differ in at most three bits agree in two of them.
+# Reference fingerprints of two neighbouring bits each.  With the zero word their distances give 32 coordinates from 0
+# to 2, of which two fingerprints that differ in at most three bits share all but three: in five blocks, two agree.
+PAIRS = [3 << b for b in range(0, 64, 2)]
 BLOCKS = 5
-# Blocks that the other bits of a large bucket are cut into: three of six agree.
+# Large buckets are dealt out by the reference fingerprints of one bit: two of five blocks and three of six of the rest.
 FINER = 6
 # Larger buckets are split by further blocks.
 BUCKET = 4096
 # Runs up to this length are compared place by place, all runs of a batch at once.
 SHORT = 32
-# Reference fingerprints; one byte of the table for each.
+# Reference fingerprints at large; one byte of the table for each.
 PIVOTS = [seeded("pivot", i) for i in range(16)]
 SEED = 42
 
@@ -49,19 +51,6 @@ def fingerprint(text: bytes | None) -> int:
     return int(np.packbits(2 * counts > len(hashes), bitorder="little").view("<i8")[0])
 
 
-def fingerprinted(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The rows in a struct with the ``fp`` (as a signed long) of their whole text; a NULL text counts as empty."""
-
-    def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-        prints = pa.array([fingerprint(t.as_py()) for t in batch.column("text")], pa.int64())
-        return pa.record_batch([*[batch.column(n) for n in names], prints], [*names, "fp"])
-
-    rows = boxed(docs, text=F.col(text).cast("binary"))
-    names = [ROW]
-    schema = rows.select(ROW, F.lit(0).cast("bigint").alias("fp")).schema
-    return map_batches(rows, each, schema)
-
-
 def prints_of(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Only the key and the fingerprint."""
     schema = "doc_id bigint, fp bigint"
@@ -77,19 +66,25 @@ def _signed(word: int) -> int:
     return word - (1 << 64) if word >> 63 else word
 
 
-def _masks(bits: list[int], blocks: int, equal: int) -> list[int]:
-    """One mask per choice of ``equal`` of the blocks into which the bits are cut."""
-    cut = [sum(1 << b for b in part.tolist()) for part in np.array_split(bits, blocks)]
+def _masks(words: list[int], blocks: int, equal: int) -> list[int]:
+    """One mask per choice of ``equal`` of the blocks into which the words are cut."""
+    cut = [sum(words[i] for i in part.tolist()) for part in np.array_split(np.arange(len(words)), blocks)]
     return [reduce(add, chosen) for chosen in combinations(cut, equal)]
 
 
-def _keyed(prints: DataFrame, masks: list[int]) -> DataFrame:
-    """Each row once per mask, under the bits that mask selects.
+def coordinates(fp: Column) -> Column:
+    """Half of what the distances to the zero word and to each of ``PAIRS`` differ by, plus one: two bits for each.
 
-    A bit is half of what the distances to the zero word and to the word of
-    that bit alone differ by, plus a half: equal keys are equal coordinates.
+    That is how many of the pair's two bits are set.
     """
-    keys = [F.struct(F.lit(i).alias("t"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("k")) for i, m in enumerate(masks)]
+    every = F.lit(_signed(sum(w // 3 for w in PAIRS)))
+    one, other = fp.bitwiseAND(every), F.shiftrightunsigned(fp, 1).bitwiseAND(every)
+    return one.bitwiseXOR(other).bitwiseOR(F.shiftleft(one.bitwiseAND(other), 1))
+
+
+def _keyed(prints: DataFrame, word: Column, masks: list[int]) -> DataFrame:
+    """Each row once per mask, under the part of the word that the mask selects."""
+    keys = [F.struct(F.lit(i).alias("t"), word.bitwiseAND(F.lit(_signed(m))).alias("k")) for i, m in enumerate(masks)]
     return prints.select("fp", "near", "far", F.inline(F.array(*keys)))
 
 
@@ -178,30 +173,25 @@ def _linked(keyed: DataFrame) -> DataFrame:
 def links(prints: DataFrame, bucket: int = BUCKET) -> DataFrame:
     """Links between distinct fingerprints (``fp``): enough to connect all that lie within the distance.
 
-    Fingerprints meet under the coordinates that close ones must share.  A
-    bucket above ``bucket`` rows is dealt out under further shared coordinates,
-    which leave 19 bits or 20 to differ, so no bucket ever holds more than
-    2^20 fingerprints.  In a bucket the table of distances discards pairs and
-    the fingerprints verify the rest.
+    Distances to the reference fingerprints decide who meets: close ones share
+    the coordinates of two of five blocks of ``PAIRS``.  The fingerprints of
+    buckets above ``bucket`` rows are dealt out anew under the coordinates of
+    one-bit references, which leave 19 bits or 20 to differ, so no bucket of
+    those ever holds more than 2^20 fingerprints.  In a bucket the distances to
+    ``PIVOTS`` discard pairs by their largest difference, and the fingerprints
+    verify the rest.
     """
     prints = prints.select("fp", _table(PIVOTS[:8]).alias("near"), _table(PIVOTS[8:]).alias("far"))
-    bits = list(range(64))
     equal = BLOCKS - DISTANCE
-    masks = _masks(bits, BLOCKS, equal)
-    keyed = _keyed(prints, masks)
+    keyed = _keyed(prints, coordinates(F.col("fp")), _masks(PAIRS, BLOCKS, equal))
     large = written(keyed.groupBy("t", "k").count().filter(F.col("count") > bucket).select("t", "k"), "buckets")
-    finer = keyed.join(large, ["t", "k"], "left_semi")
-    choices = []
-    for i, mask in enumerate(masks):
-        others = [b for b in bits if not mask >> b & 1]
-        for j, more in enumerate(_masks(others, FINER, FINER - DISTANCE)):
-            key = F.col("fp").bitwiseAND(F.lit(_signed(mask | more)))
-            choices.append((i, F.struct(F.lit(100 * (i + 1) + j).alias("t"), key.alias("k"))))
-    dealt = reduce(lambda rest, i: F.when(F.col("t") == i, F.array(*[c for n, c in choices if n == i])).otherwise(rest),
-                   range(len(masks)), F.array().cast("array<struct<t:int,k:bigint>>"))
-    finer = finer.select("fp", "near", "far", F.inline(dealt))
     plain = keyed.join(large, ["t", "k"], "left_anti")
-    return _linked(plain).union(_linked(finer))
+    crowded = keyed.join(large, ["t", "k"], "left_semi").select("fp", "near", "far").distinct()
+    bits = [1 << b for b in range(64)]
+    finer = []
+    for mask in _masks(bits, BLOCKS, equal):
+        finer += [mask | more for more in _masks([b for b in bits if not mask & b], FINER, FINER - DISTANCE)]
+    return _linked(plain).union(_linked(_keyed(crowded, F.col("fp"), finer)))
 
 
 def _grouped(prints: DataFrame, first: Column) -> DataFrame:
@@ -233,17 +223,20 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 def representatives(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One document of each group, with all its columns: the one with the smallest key.
 
-    Rows with equal keys are told apart by their texts; of rows that are alike
-    one stays.  A NULL key comes last.  Copies of a fingerprint are reduced
-    inside the map tasks, and texts cross one exchange.
+    Rows with equal keys are told apart by a hash of their texts; of rows that
+    are alike in both, one stays.  A NULL key comes last.  Copies of a fingerprint are reduced inside the
+    map tasks; no text crosses an exchange.
     """
-    rows = written(fingerprinted(docs, text), "printed")
+    rows = placed(docs)
     id_, string = F.col(ROW).getField(key), F.col(ROW).getField(text)
-    order = F.struct(id_.isNull().alias("none"), id_.cast("bigint").alias("id"), F.xxhash64(string).alias("text"))
-    grouped = _grouped(rows.select("fp", order.alias("o")), F.min("o"))
-    # Two fingerprints of a group may have equal firsts: the smaller fingerprint decides.
-    ahead = grouped.groupBy("component_id").agg(F.min_by("fp", F.struct("first", "fp")).alias("fp"))
-    others = grouped.join(ahead, ["component_id", "fp"], "left_anti").select("fp")
-    first = Window.partitionBy("fp").orderBy(order)
-    one = rows.withColumn("_n", F.row_number().over(first)).filter("_n = 1").drop("_n")
-    return unboxed(one.join(others, "fp", "left_anti"), [])
+    order = F.struct(id_.isNull().alias("none"), id_.cast("bigint").alias("id"), F.xxhash64(string).alias("text"), "part", "pos")
+
+    def each(batch: pa.RecordBatch) -> pa.RecordBatch:
+        prints = pa.array([fingerprint(t.as_py()) for t in batch.column("text")], pa.int64())
+        return pa.record_batch([batch.column("o"), prints], ["o", "fp"])
+
+    narrow = rows.select(order.alias("o"), string.cast("binary").alias("text"))
+    schema = narrow.select("o", F.lit(0).cast("bigint").alias("fp")).schema
+    prints = written(map_batches(narrow, each, schema), "prints")
+    firsts = _grouped(prints, F.min("o")).select("component_id.part", "component_id.pos").distinct()
+    return selected(rows, prints.select("o.part", "o.pos"), firsts)

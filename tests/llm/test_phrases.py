@@ -91,4 +91,3 @@ def test_blocks_keep_every_text(docs, spark, monkeypatch):  # noqa: F811
     out = [(i, t) for r in held.collect() for i, t in zip(r["ids"], blocks.texts_of(r["sizes"], r["texts"]))]
     assert sorted(out, key=str) == sorted(((r[0], (r[1] or "").encode()) for r in awkward()), key=str)
     assert len({(r["part"], r["seq"]) for r in held.collect()}) == held.count() > 2
-    blocks.released(held)

@@ -93,3 +93,21 @@ def test_components_of_long_chains(spark):
 
 def test_no_rows(none):  # noqa: F811
     assert simhash.near_duplicates(none).collect() == [] and simhash.representatives(none).collect() == []
+
+
+def test_coordinates_are_differences_of_distances(spark):
+    from pyspark.sql import functions as F
+    rng = random.Random(8)
+    words = [rng.getrandbits(64) for _ in range(50)] + [0, (1 << 64) - 1]
+    frame = spark.createDataFrame([(w - (1 << 64) if w >> 63 else w,) for w in words], "fp bigint")
+    for w, r in zip(words, frame.select(simhash.coordinates(F.col("fp")).alias("c")).collect()):
+        c = r["c"] & (1 << 64) - 1
+        for i, pair in enumerate(simhash.PAIRS):
+            assert c >> 2 * i & 3 == (w.bit_count() - (w ^ pair).bit_count() + 2) // 2
+
+
+def test_rows_stay_where_they_are(spark, docs):  # noqa: F811
+    plan = simhash.representatives(docs)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("_row") and not any("Exchange" in line and "_row" in line for line in plan.splitlines())
+    scan = plan.index("Scan parquet spark_catalog.default.rows_")
+    assert "Exchange" not in plan[:scan].replace("BroadcastExchange", "").split("SortMergeJoin")[-1] or "Broadcast" in plan[:scan]
