@@ -10,13 +10,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tapewright.llm import blocks
-from tapewright.llm.common import map_batches, written
+from tapewright.llm.common import forget, map_batches, written
 
 LENGTH = 50
 # Bytes of a gram.  Every string of 50 bytes has 31 grams, of which the least in hash order is its anchor.
 GRAM = 20
 # Grams of all blocks that meet in one task at a time.
 GROUP = 1 << 18
+# Bytes of text whose grams are hashed at once.
+AT_ONCE = 1 << 20
 # Suffixes that are sorted at once.
 SORTED = 1 << 17
 # Rows of segments that are looked at together, and whole groups besides.
@@ -48,41 +50,47 @@ def grams(text: bytes) -> np.ndarray:
     return h ^ h >> np.uint64(29)
 
 
-def anchors(text: bytes, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """``hash, place, first, last``: the anchors of a text, and the strings of ``length`` bytes that each is the anchor of.
+def _least(value: np.ndarray, wide: int) -> np.ndarray:
+    """The place of the least of every ``wide`` neighbours, the first of equal ones."""
+    at, size = np.arange(len(value), dtype=np.int32), 1
+    while size < wide:
+        step = min(size, wide - size)
+        less = value[step:] < value[:-step]
+        value, at = np.where(less, value[step:], value[:-step]), np.where(less, at[step:], at[:-step])
+        size += step
+    return at
+
+
+def anchored(texts: list[bytes], length: int = LENGTH) -> dict[str, np.ndarray]:
+    """``text, hash, place, first, last``: the anchors of all texts, and the strings of ``length`` bytes that each is the anchor of.
 
     The anchor of a string is the least of its grams in hash order, the first
     of equal ones.  It follows from the string alone, so equal strings have
     equal anchors at equal places, wherever they are.
     """
-    if len(text) < length:
-        none = np.zeros(0, np.int64)
-        return none.astype(np.uint64), none, none, none
-    value = grams(text)
-    at = np.arange(len(value))
-    wide, size = length - GRAM + 1, 1
-    hashes = value
-
-    def first_least(value: np.ndarray, at: np.ndarray, step: int) -> tuple[np.ndarray, np.ndarray]:
-        less = value[step:] < value[:-step]
-        return np.where(less, value[step:], value[:-step]), np.where(less, at[step:], at[:-step])
-
-    while 2 * size <= wide:
-        value, at = first_least(value, at, size)
-        size *= 2
-    if size < wide:
-        value, at = first_least(value, at, wide - size)
-    first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
-    last = np.append(first[1:], len(at)) - 1
-    return hashes[at[first]], at[first], first, last
-
-
-def _anchored(texts: list[bytes], length: int) -> dict[str, np.ndarray]:
-    """The anchors of all texts of a block, one after the other, with the number of their text."""
-    found = [anchors(t, length) for t in texts]
-    names = ("hash", "place", "first", "last")
-    out = {n: np.concatenate([f[i] for f in found]) if found else np.zeros(0, np.int64) for i, n in enumerate(names)}
-    return out | {"text": np.repeat(np.arange(len(texts)), [len(f[0]) for f in found])}
+    found = {n: [] for n in ("text", "hash", "place", "first", "last")}
+    sizes = np.array([len(t) for t in texts], np.int64)
+    ends = np.cumsum(sizes)
+    i = 0
+    while i < len(texts):
+        # Texts are looked at together, one after the other; strings that would cross from one to the next are left out.
+        j = max(i + 1, int(np.searchsorted(ends, (ends[i - 1] if i else 0) + AT_ONCE)))
+        whole, upto = b"".join(texts[i:j]), np.cumsum(sizes[i:j])
+        if len(whole) >= length:
+            value = grams(whole)
+            at = _least(value, length - GRAM + 1)
+            owner = np.repeat(np.arange(j - i), sizes[i:j])[:len(at)]
+            inside = np.flatnonzero(np.arange(len(at)) + length <= upto[owner])
+            at, owner = at[inside], owner[inside]
+            new = np.ones(len(at), bool)
+            new[1:] = (at[1:] != at[:-1]) | (owner[1:] != owner[:-1])
+            starts = np.flatnonzero(new)
+            before = (upto - sizes[i:j])[owner[starts]]
+            for n, x in (("text", owner[starts] + i), ("hash", value[at[starts]]), ("place", at[starts] - before),
+                         ("first", inside[starts] - before), ("last", inside[np.append(starts[1:], len(at)) - 1] - before)):
+                found[n].append(x)
+        i = j
+    return {n: np.concatenate(x) if x else np.zeros(0, np.uint64 if n == "hash" else np.int64) for n, x in found.items()}
 
 
 def _own_grams(own: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -111,7 +119,7 @@ def _gathered(groups: int, length: int):
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows = []
         for row in batch.to_pylist():
-            value, several = _own_grams(_anchored(_chosen(row), length))
+            value, several = _own_grams(anchored(_chosen(row), length))
             group = (value >> np.uint64(32)) * np.uint64(groups) >> np.uint64(32)
             cuts = np.searchsorted(group, np.arange(groups + 1, dtype=np.uint64))
             low = (value & np.uint64(0xFFFFFFFF)).astype("<u4")
@@ -164,7 +172,7 @@ def _segments(groups: int, length: int):
 
     def rows_of(row: dict) -> Iterator[tuple]:
         texts = _chosen(row)
-        own = _anchored(texts, length)
+        own = anchored(texts, length)
         value, _ = _own_grams(own)
         masks = {m["grp"]: m["mask"] for m in row["masks"] if m["seq"] == row["seq"]}
         group = (value >> np.uint64(32)) * np.uint64(groups) >> np.uint64(32)
@@ -173,18 +181,24 @@ def _segments(groups: int, length: int):
         for g, mask in masks.items():
             s, e = int(cuts[g]), int(cuts[g + 1])
             shared[s:e] = np.unpackbits(np.frombuffer(mask, np.uint8), count=e - s)
-        asked = np.flatnonzero(shared[np.searchsorted(value, own["hash"])]) if len(value) else []
+        asked = np.flatnonzero(shared[np.searchsorted(value, own["hash"])]) if len(value) else np.zeros(0, np.int64)
         keys = [NO_KEY if k is None else k for k in row["keys"]]
-        met: dict[tuple, list] = {}
-        signed = own["hash"].view(np.int64)
-        for i, h, place, first, last in zip(own["text"][asked].tolist(), signed[asked].tolist(), own["place"][asked].tolist(),
-                                            own["first"][asked].tolist(), own["last"][asked].tolist()):
+        its = {n: x[asked] for n, x in own.items()}
+        where = np.stack([its["text"], its["first"]], axis=1).astype("<i4").tobytes()
+        met: dict[tuple, list[int]] = {}
+        for n, (i, h, place, first, last) in enumerate(zip(*(x.tolist() for x in (
+                its["text"], its["hash"].view(np.int64), its["place"], its["first"], its["last"])))):
             lead = first > 0
-            mark = (h, texts[i][first - lead:last + length], lead, place - first)
-            met.setdefault(mark, []).append((i, first))
-        for (h, segment, lead, at), places in met.items():
-            its = [keys[i] for i, _ in places]
-            yield h, segment, lead, at, min(its), max(its), row["part"], row["seq"], np.array(places, "<i4").tobytes()
+            met.setdefault((h, texts[i][first - lead:last + length], lead, place - first), []).append(n)
+        text = its["text"].tolist()
+        for (h, segment, lead, at), ns in met.items():
+            if len(ns) == 1:
+                n = ns[0]
+                yield h, segment, lead, at, keys[text[n]], keys[text[n]], row["part"], row["seq"], where[8 * n:8 * n + 8]
+            else:
+                own_keys = [keys[text[n]] for n in ns]
+                yield (h, segment, lead, at, min(own_keys), max(own_keys), row["part"], row["seq"],
+                       b"".join([where[8 * n:8 * n + 8] for n in ns]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         types = (pa.int64(), pa.binary(), pa.bool_(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
@@ -280,7 +294,14 @@ def _repeats(chunk: pa.Table, length: int, names: bool) -> pa.RecordBatch | None
         while j < len(rest) and group[rest[j]] == group[rest[j - 1]]:
             j += 1
         table, size, owner, start, before = _suffixes(segments, rest[i:j], length, wide)
+        # A string that one segment alone has is no repeat beyond that segment's own texts.
         words = table.view(">u8").astype(np.uint64)
+        mark = group[owner].astype(np.uint64)
+        for word in words[:, :length // 8].T:
+            mark = _mixed(mark, word, _ODD[1])
+        _, at, count = np.unique(mark, return_inverse=True, return_counts=True)
+        worth = np.flatnonzero((count[at] > 1) | ((low[owner] < high[owner]) & (before < 0)))
+        table, words, size, owner, start, before = (x[worth] for x in (table, words, size, owner, start, before))
         order = np.lexsort((size, *words.T[::-1], group[owner]))
         table, size, owner, start, before = table[order], size[order], owner[order], start[order], before[order]
         differ = table[1:] != table[:-1]
@@ -430,7 +451,7 @@ def removed(docs: DataFrame, key: str = "doc_id", text: str = "text", length: in
     spans = repeats.groupBy("part").agg(F.collect_list(F.struct("seq", "places", "start", "size", "least")).alias("spans"))
     rows = ours.join(spans, "part", "left").select("part", "seq", "keys", "sizes", "texts", "firsts", "spans")
     done = written(map_batches(rows, _removed(length), "digest binary, n_removed bigint, n_spans bigint, kept_sha256 string"), "removed")
-    blocks.released(held)
+    forget(held)
     classes = firsts.select("digest", F.col("key").alias("first")).join(done, "digest")
     # A copy of a document with a smaller key goes whole; a short one has nothing that could be removed.
     copy = F.col("first").isNotNull() & ~F.col("key").eqNullSafe(F.col("first")) & (F.col("n_bytes") >= length)

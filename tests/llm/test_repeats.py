@@ -122,12 +122,16 @@ def test_tree_gives_nested_repeats():
     assert sorted(nested) == [(2, 0, 2, 1), (4, 0, 1, 5)]
 
 
-def test_equal_strings_have_equal_anchors():
+@pytest.mark.parametrize("at_once", [1, 700, 1 << 20])
+def test_equal_strings_have_equal_anchors(monkeypatch, at_once):
+    monkeypatch.setattr(repeats, "AT_ONCE", at_once)
     rng = np.random.default_rng(2)
-    text = bytes(rng.integers(97, 100, 5000, dtype=np.uint8))
-    where = {}
-    for h, place, first, last in zip(*repeats.anchors(text)):
+    texts = [bytes(rng.integers(97, 100, n, dtype=np.uint8)) for n in (5000, 0, 49, 50, 51, 300)]
+    where, strings = {}, 0
+    found = repeats.anchored(texts)
+    for i, h, place, first, last in zip(*(found[n].tolist() for n in ("text", "hash", "place", "first", "last"))):
         for p in range(first, last + 1):
             assert 0 <= place - p <= 30
-            assert where.setdefault(text[p:p + 50], (h, place - p)) == (h, place - p)
-    assert len(where) > 4000 and sum(b - a + 1 for _, _, a, b in zip(*repeats.anchors(text))) == 4951
+            assert where.setdefault(texts[i][p:p + 50], (h, place - p)) == (h, place - p)
+            strings += 1
+    assert strings == sum(max(0, len(t) - 49) for t in texts)
