@@ -7,7 +7,6 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tapewright.llm import blocks
@@ -19,8 +18,10 @@ LEAST = 100
 FIRST = 2000
 # Words of the whole table for one range of prefixes.
 RANGE = 1 << 20
-# Words a task counts before it passes its counts on, and arcs it holds before it unites them.
+# Words a task counts before it passes its counts on, and a sixteenth of the arcs it holds before it unites them.
 HELD = 1 << 18
+# Words of a shard.
+SHARD = 1 << 21
 
 # A-Z in lower case, what ends a piece, and the tab as a space.
 ENDS = b".,;:!?\n\x0b\x0c\r"
@@ -121,12 +122,12 @@ class Automaton:
         return sum(len(x) for _, x, _ in self.levels)
 
     def pack(self) -> list[bytes]:
-        return [packed(column) for level in self.levels for column in level]
+        return [packed(x) for before, label, weight in self.levels for x in (np.diff(before, prepend=0), label, weight)]
 
     @classmethod
     def unpack(cls, data: list[bytes]) -> Automaton:
         columns = [unpacked(x, "<i8") for x in data]
-        return cls([tuple(columns[i:i + 3]) for i in range(0, len(columns), 3)])
+        return cls([(np.cumsum(columns[i]), columns[i + 1], columns[i + 2]) for i in range(0, len(columns), 3)])
 
 
 def sequences(ids: np.ndarray, longest: int) -> np.ndarray:
@@ -161,7 +162,7 @@ def shard(ids: np.ndarray, names: np.ndarray, ranges: int, longest: int) -> Iter
         yield int(dealt[s]), Automaton.of_sorted(named[s:e], weights[s:e])
 
 
-def _by_language(batch: pa.RecordBatch) -> Iterator[tuple[int, int, str, list[bytes]]]:
+def _by_language(batch: pa.RecordBatch | pa.Table) -> Iterator[tuple[int, int, str, list[bytes]]]:
     """(row, part, language, words) of every block."""
     for i in range(batch.num_rows):
         part, langs, sizes, texts = (batch.column(c)[i].as_py() for c in ("part", "langs", "sizes", "texts"))
@@ -193,27 +194,35 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _shards(ranges: int, longest: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        here, names = None, {}
-        for batch in batches:
-            for i, part, lang, words in _by_language(batch):
-                if part != here:
-                    here, known = part, batch.column("known")[i].values
-                    known = known.take(pc.sort_indices(known.field("id")))
-                    langs = known.field("lang").to_numpy(zero_copy_only=False)
-                    told, ids = np.array(known.field("word").to_pylist(), object), known.field("id").to_numpy()
-                    names = {one: (told[langs == one], ids[langs == one]) for one in set(langs.tolist())}
-                if lang not in names:
-                    continue
-                place = dict(zip(names[lang][0].tolist(), range(len(names[lang][0]))))
-                ids = np.fromiter((place.get(w, -1) for w in words), np.int64, len(words))
-                made = list(shard(ids, names[lang][1], ranges, longest))
-                if made:
-                    yield pa.record_batch({
-                        "range": pa.array([r for r, _ in made], pa.int64()), "lang": pa.array([lang] * len(made), pa.string()),
-                        "automaton": pa.array([a.pack() for _, a in made], pa.list_(pa.binary()))})
-
-    return run
+    """The automata of every block of a part.  ``known``: the frequent words of the part with their numbers."""
+
+    def each(key: tuple, held: pa.Table, known: pa.Table) -> pa.Table:
+        names, out = {}, []
+        known = known.sort_by("id")
+        langs = np.array(known.column("lang").to_pylist(), object)
+        told, ids = np.array(known.column("word").to_pylist(), object), known.column("id").to_numpy()
+        for lang in set(langs.tolist()):
+            own = langs == lang
+            names[lang] = dict(zip(told[own].tolist(), range(own.sum()))), ids[own]
+        said: dict[str, list[np.ndarray]] = defaultdict(list)
+
+        def flush(lang: str) -> None:
+            ids = np.concatenate(said.pop(lang))
+            out.extend((r, lang, a.pack()) for r, a in shard(ids, names[lang][1], ranges, longest))
+
+        for _, _, lang, words in _by_language(held):
+            if lang in names:
+                place = names[lang][0]
+                # A text ends where the next begins.
+                said[lang].append(np.fromiter((place.get(w, -1) for w in [*words, b"\n"]), np.int32, len(words) + 1))
+                if sum(map(len, said[lang])) >= SHARD:
+                    flush(lang)
+        for lang in list(said):
+            flush(lang)
+        types = (pa.int64(), pa.string(), pa.list_(pa.binary()))
+        return pa.table([pa.array(c, t) for c, t in zip(list(zip(*out)) or [()] * 3, types)], ["range", "lang", "automaton"])
+
+    return each
 
 
 def _united(least: int):
@@ -281,7 +290,7 @@ def collocations(
     dropped if one with a word more holds it and is as frequent, which is so
     whenever any longer one is.
 
-    Every block of texts is a shard: its sorted sequences of words that are
+    Some two million words are a shard: its sorted sequences of words that are
     frequent at all make an automaton, cut by ranges of two-word prefixes;
     ranges are united across shards, which adds the counts up, and pruned.  A
     shard sends a sequence once, so neither a frequent word nor a repeated
@@ -293,20 +302,24 @@ def collocations(
     """
     held = blocks.stored(docs, text, langs=F.coalesce(F.col(lang).cast("string"), F.lit("und")))
     said = written(held.mapInArrow(_counted, "part int, lang string, word binary, n bigint"), "words")
-    counts = said.groupBy("lang", "word").agg(F.sum("n").alias("f"))
-    # Numbers of words ascend within a task's rows; only that they are stored and unique matters.
-    known = written(counts.filter(F.col("f") >= least).withColumn("id", F.monotonically_increasing_id()), "vocabulary")
+    # A word's number is the least of its rows': any will do that is its own.
+    word = Window.partitionBy("lang", "word")
+    numbered = said.withColumn("id", F.monotonically_increasing_id()).withColumns(
+        {"f": F.sum("n").over(word), "id": F.min("id").over(word)})
+    told = written(numbered.filter(F.col("f") >= least).drop("n"), "vocabulary")
     total = written(said.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
     ranges = max(1, -(-int(total.agg(F.sum("n")).first()[0] or 0) // RANGE))
+    forget(said)
+    known = told.select("lang", "word", "id", "f").distinct()
 
-    told = said.select("part", "lang", "word").join(known.select("lang", "word", "id"), ["lang", "word"])
-    told = told.groupBy("part").agg(F.collect_set(F.struct("lang", "word", "id")).alias("known"))
-    shards = held.join(told, "part").select("part", "langs", "sizes", "texts", "known")
-    made = shards.mapInArrow(_shards(ranges, longest), "range bigint, lang string, automaton array<binary>")
+    # Blocks lie in buckets by part, so only the words move.
+    shards = held.groupBy("part").cogroup(told.select("part", "lang", "word", "id").groupBy("part"))
+    made = shards.applyInArrow(_shards(ranges, longest), "range bigint, lang string, automaton array<binary>")
     united = written(made.repartition("range", "lang").sortWithinPartitions("range", "lang").mapInArrow(
         _united(least), "range bigint, lang string, automaton array<binary>"), "automata")
     forget(held)
-    forget(said)
+    known = written(known, "known")
+    forget(told)
 
     found = written(united.mapInArrow(_candidates, "lang string, path array<bigint>, along array<bigint>"), "candidates")
     found = found.withColumn("a", F.element_at("along", -1))
