@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from tapewright.llm.common import bucketed
 
 # Bytes of text and rows in a block; a longer text is a block of its own.
-BYTES = 4 << 20
+BYTES = 1 << 20
 ROWS = 4096
 
 

@@ -106,7 +106,8 @@ def bucketed(df: DataFrame, name: str, by: str) -> DataFrame:
     """A table in the shared folder, bucketed: what is joined to it by that column moves, the table does not."""
     spark = df.sparkSession
     table = f"{name}_{uuid.uuid4().hex}"
-    buckets = min(100_000, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    # More buckets than tasks, so that few tasks get the parts of several.
+    buckets = min(100_000, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     df.write.bucketBy(buckets, by).option("path", shared_folder(spark, name)).saveAsTable(table)
     return spark.table(table)
 

@@ -93,17 +93,17 @@ def anchored(texts: list[bytes], length: int = LENGTH) -> dict[str, np.ndarray]:
     return {n: np.concatenate(x) if x else np.zeros(0, np.uint64 if n == "hash" else np.int64) for n, x in found.items()}
 
 
-def _own_grams(own: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct hashes of a block, ascending, and whether several of its texts have them."""
-    if not len(own["hash"]):
-        return np.zeros(0, np.uint64), np.zeros(0, bool)
+def _own_grams(own: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct hashes of a block, ascending, whether several of its texts have them, and the number of each anchor's."""
     order = np.lexsort((own["text"], own["hash"]))
     value, text = own["hash"][order], own["text"][order]
     new = np.ones(len(value), bool)
     new[1:] = value[1:] != value[:-1]
     starts = np.flatnonzero(new)
     ends = np.append(starts[1:], len(value)) - 1
-    return value[starts], text[starts] != text[ends]
+    at = np.empty(len(value), np.int64)
+    at[order] = np.cumsum(new) - 1
+    return value[starts], text[starts] != text[ends[:len(starts)]], at
 
 
 def _chosen(row: dict) -> list[bytes]:
@@ -119,7 +119,7 @@ def _gathered(groups: int, length: int):
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows = []
         for row in batch.to_pylist():
-            value, several = _own_grams(anchored(_chosen(row), length))
+            value, several, _ = _own_grams(anchored(_chosen(row), length))
             group = (value >> np.uint64(32)) * np.uint64(groups) >> np.uint64(32)
             cuts = np.searchsorted(group, np.arange(groups + 1, dtype=np.uint64))
             low = (value & np.uint64(0xFFFFFFFF)).astype("<u4")
@@ -173,7 +173,7 @@ def _segments(groups: int, length: int):
     def rows_of(row: dict) -> Iterator[tuple]:
         texts = _chosen(row)
         own = anchored(texts, length)
-        value, _ = _own_grams(own)
+        value, _, at = _own_grams(own)
         masks = {m["grp"]: m["mask"] for m in row["masks"] if m["seq"] == row["seq"]}
         group = (value >> np.uint64(32)) * np.uint64(groups) >> np.uint64(32)
         cuts = np.searchsorted(group, np.arange(groups + 1, dtype=np.uint64))
@@ -181,7 +181,7 @@ def _segments(groups: int, length: int):
         for g, mask in masks.items():
             s, e = int(cuts[g]), int(cuts[g + 1])
             shared[s:e] = np.unpackbits(np.frombuffer(mask, np.uint8), count=e - s)
-        asked = np.flatnonzero(shared[np.searchsorted(value, own["hash"])]) if len(value) else np.zeros(0, np.int64)
+        asked = np.flatnonzero(shared[at])
         keys = [NO_KEY if k is None else k for k in row["keys"]]
         its = {n: x[asked] for n, x in own.items()}
         where = np.stack([its["text"], its["first"]], axis=1).astype("<i4").tobytes()
@@ -244,22 +244,17 @@ def tree(sizes: list[int], common: list[int], least: list[int], most: list[int],
                 stack.append([shared, low, a, b, byte])
 
 
-def _suffixes(segments: list[tuple[bytes, bool]], which: np.ndarray, length: int, wide: int) -> tuple[np.ndarray, ...]:
+def _suffixes(texts: list[bytes], which: np.ndarray, sizes: np.ndarray, length: int, wide: int) -> tuple[np.ndarray, ...]:
     """Every suffix of at least ``length`` bytes of some segments: bytes, size, segment, start, and the byte before (-1 at the start)."""
-    raw, sizes, owner, start, before = [], [], [], [], []
-    for s in which.tolist():
-        segment, lead = segments[s]
-        text = segment[lead:]
-        n = len(text) - length + 1
-        raw += [text[t:] for t in range(n)]
-        sizes.append(len(text) - np.arange(n))
-        owner.append(np.full(n, s))
-        start.append(np.arange(n))
-        own = np.frombuffer(text, np.uint8)[:n].astype(np.int64)
-        own = np.append(-1, own[:-1])
-        before.append(own)
-    table = np.array(raw, f"S{wide}").view(np.uint8).reshape(-1, wide)
-    return table, np.concatenate(sizes), np.concatenate(owner), np.concatenate(start), np.concatenate(before)
+    room = wide + wide - length
+    flat = np.array(texts, f"S{room}").view(np.uint8)
+    count = sizes - length + 1
+    row = np.repeat(np.arange(len(which)), count)
+    start = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+    place = row * room + start
+    table = np.lib.stride_tricks.sliding_window_view(np.append(flat, np.zeros(wide, np.uint8)), wide)[place]
+    before = np.where(start > 0, flat[place - 1].astype(np.int64), -1)
+    return table, sizes[row] - start, which[row], start, before
 
 
 def _repeats(chunk: pa.Table, length: int, names: bool) -> pa.RecordBatch | None:
@@ -283,17 +278,17 @@ def _repeats(chunk: pa.Table, length: int, names: bool) -> pa.RecordBatch | None
     found += [(s, 0, len(distinct[s][1]) - distinct[s][2], int(low[s])) for s in alone.tolist()]
     rest = np.flatnonzero(many[group] > 1)
     rest = rest[np.argsort(group[rest], kind="stable")]
-    segments = [(m[1], m[2]) for m in distinct]
+    texts = [m[1][m[2]:] for m in distinct]
+    sizes = np.array([len(t) for t in texts], np.int64)
     wide = 8 * -(-(2 * length - GRAM + 1) // 8)
-    counts = np.array([len(distinct[s][1]) - distinct[s][2] - length + 1 for s in rest.tolist()], np.int64)
-    ends = np.cumsum(counts)
+    ends = np.cumsum(sizes[rest] - length + 1)
     i = 0
     while i < len(rest):
         # Whole groups, as many as are sorted at once.
         j = max(i + 1, int(np.searchsorted(ends, (ends[i - 1] if i else 0) + SORTED)))
         while j < len(rest) and group[rest[j]] == group[rest[j - 1]]:
             j += 1
-        table, size, owner, start, before = _suffixes(segments, rest[i:j], length, wide)
+        table, size, owner, start, before = _suffixes([texts[n] for n in rest[i:j].tolist()], rest[i:j], sizes[rest[i:j]], length, wide)
         # A string that one segment alone has is no repeat beyond that segment's own texts.
         words = table.view(">u8").astype(np.uint64)
         mark = group[owner].astype(np.uint64)
@@ -396,26 +391,28 @@ def _found(held: DataFrame, length: int, names: bool) -> tuple[DataFrame, DataFr
     return held.join(chosen, "part"), said, firsts, repeats
 
 
+_REMOVED = "digest binary, n_removed bigint, n_spans bigint, kept_sha256 string"
+
+
 def _removed(length: int):
-    """What is removed of every text, by its digest."""
+    """What is removed of every text of a part, by its digest."""
 
-    def each(batch: pa.RecordBatch) -> pa.RecordBatch:
+    def each(key: tuple, held: pa.Table, spans: pa.Table) -> pa.Table:
+        spans = spans.sort_by("seq")
+        seqs = spans.column("seq").to_numpy()
         rows = []
-        for i, row in enumerate(batch.select(["part", "seq", "keys", "sizes", "texts", "firsts"]).to_pylist()):
+        for n in range(held.num_rows):
+            row = {c: held.column(c)[n].as_py() for c in ("seq", "keys", "sizes", "texts", "firsts")}
             texts = _chosen(row)
-            ours = sorted(r["pos"] for r in row["firsts"] if r["seq"] == row["seq"])
             keys = [NO_KEY if k is None else k for k in row["keys"]]
             covered: dict[int, list] = {}
-            spans = batch.column("spans")[i].values
-            if spans is not None and len(spans):
-                here = spans.filter(pa.array(spans.field("seq").to_numpy() == row["seq"]))
-                for places, start, size, least in zip(*(here.field(c).to_pylist() for c in ("places", "start", "size", "least"))):
-                    for pos, first in np.frombuffer(places, "<i4").reshape(-1, 2).tolist():
-                        if least < keys[pos]:
-                            covered.setdefault(pos, []).append((first + start, first + start + size))
-            for pos in ours:
-                kept, removed, runs, upto = [], 0, 0, 0
-                reach = -1
+            here = spans.slice(int(np.searchsorted(seqs, row["seq"])), int((seqs == row["seq"]).sum()))
+            for places, start, size, least in zip(*(here.column(c).to_pylist() for c in ("places", "start", "size", "least"))):
+                for pos, first in np.frombuffer(places, "<i4").reshape(-1, 2).tolist():
+                    if least < keys[pos]:
+                        covered.setdefault(pos, []).append((first + start, first + start + size))
+            for pos in sorted(r["pos"] for r in row["firsts"] if r["seq"] == row["seq"]):
+                kept, removed, runs, upto, reach = [], 0, 0, 0, -1
                 for start, end in sorted(covered.get(pos, ())):
                     if start > reach:
                         runs += 1
@@ -428,8 +425,8 @@ def _removed(length: int):
                 kept.append(texts[pos][upto:])
                 rows.append((hashlib.sha256(texts[pos]).digest(), removed, runs, hashlib.sha256(b"".join(kept)).hexdigest()))
         types = (pa.binary(), pa.int64(), pa.int64(), pa.string())
-        return pa.record_batch([pa.array(c, t) for c, t in zip(list(zip(*rows)) or [()] * 4, types)],
-                               ["digest", "n_removed", "n_spans", "kept_sha256"])
+        return pa.table([pa.array(c, t) for c, t in zip(list(zip(*rows)) or [()] * 4, types)],
+                        ["digest", "n_removed", "n_spans", "kept_sha256"])
 
     return each
 
@@ -448,9 +445,9 @@ def removed(docs: DataFrame, key: str = "doc_id", text: str = "text", length: in
     """
     held = blocks.stored(docs, text, keys=F.col(key).cast("bigint"))
     ours, said, firsts, repeats = _found(held, length, False)
-    spans = repeats.groupBy("part").agg(F.collect_list(F.struct("seq", "places", "start", "size", "least")).alias("spans"))
-    rows = ours.join(spans, "part", "left").select("part", "seq", "keys", "sizes", "texts", "firsts", "spans")
-    done = written(map_batches(rows, _removed(length), "digest binary, n_removed bigint, n_spans bigint, kept_sha256 string"), "removed")
+    rows = ours.select("part", "seq", "keys", "sizes", "texts", "firsts").groupBy("part")
+    done = rows.cogroup(repeats.groupBy("part")).applyInArrow(_removed(length), _REMOVED)
+    done = written(done, "removed")
     forget(held)
     classes = firsts.select("digest", F.col("key").alias("first")).join(done, "digest")
     # A copy of a document with a smaller key goes whole; a short one has nothing that could be removed.
