@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import dataclasses
+import itertools
 import math
+import random
 import re
 import zlib
 from collections.abc import Iterator, Sequence
@@ -15,7 +17,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
-from tapewright.llm.common import ROW, boxed, sample_of, written
+from tapewright.llm.common import ROW, boxed, forget, sample_of, written
 
 # Documents whose candidates train the trees; the model sees no more however large the table is.
 SAMPLE = 20_000
@@ -40,7 +42,7 @@ NUMBERS = (
     ("phone", re.compile(r"(?<![\w.])(?:\+|00)?[0-9]{0,3}[\x20.-]?\(?[0-9]{2,4}\)?[\x20.-][0-9]{3}[\x20.-]?[0-9]{3,4}(?!\w)")),
 )
 AT = re.compile(r"\s?(?:@|\(at\)|\[at\])\s?")
-LOCAL = re.compile(r"[\w.%+-]{1,64}$")
+LOCAL = re.compile(r"[\w.%+-]")
 DOMAIN = re.compile(r"[\w-]{1,64}(?:\s?(?:\.|\(dot\)|\[dot\])\s?[\w-]{1,32}){1,4}")
 MARKERS = re.compile(r"[0-9@]|[(\[]at[)\]]")
 # Words shortly before a span that speak of personal data.
@@ -84,9 +86,11 @@ def proposed(text: str) -> list[tuple[str, int, int]]:
     """Spans that might be personal data.  They may overlap each other and the base spans."""
     found = []
     for at in AT.finditer(text) if "@" in text or "at)" in text or "at]" in text else ():
-        local, domain = LOCAL.search(text[max(0, at.start() - 64):at.start()]), DOMAIN.match(text, at.end())
-        if local and domain:
-            found.append(("email", at.start() - len(local[0]), domain.end()))
+        start, domain = at.start(), DOMAIN.match(text, at.end())
+        while domain and start and LOCAL.match(text, start - 1):
+            start -= 1
+        if domain and start < at.start():
+            found.append(("email", start, domain.end()))
     for stretch in STRETCH.finditer(text):
         for kind, pattern in NUMBERS:
             found += [(kind, *m.span()) for m in pattern.finditer(text, stretch.start(), stretch.end() + 1)]
@@ -125,6 +129,8 @@ class Trees:
     value: np.ndarray
     weight: np.ndarray
     limit: dict[str, float]
+    # Per form: candidates held out, precision and recall at its limit.
+    measured: dict[str, dict[str, float]]
 
     def margin(self, x: np.ndarray) -> np.ndarray:
         total = np.zeros(len(x))
@@ -136,8 +142,8 @@ class Trees:
             total += weight * self.value[t][at]
         return total
 
-    def chosen(self, x: np.ndarray, kinds: Sequence[str]) -> np.ndarray:
-        return self.margin(x) >= np.array([self.limit.get(k, math.inf) for k in kinds])
+    def chosen(self, x: np.ndarray, forms: Sequence[str]) -> np.ndarray:
+        return self.margin(x) >= np.array([self.limit.get(f, math.inf) for f in forms])
 
 
 def _arrays(model) -> tuple[np.ndarray, ...]:
@@ -159,38 +165,149 @@ def _arrays(model) -> tuple[np.ndarray, ...]:
     return feature, split, left, right, value, np.array(model.treeWeights)
 
 
-def limits(margins: np.ndarray, labels: np.ndarray, kinds: np.ndarray, precision: float) -> dict[str, float]:
-    """Per kind the lowest margin above which the held-out candidates are right often enough."""
+def form(kind: str, span: str) -> str:
+    """The way a candidate is written.  Every kind and form has a limit of its own."""
+    if kind == "email":
+        return "email" if "@" in span else "email, spelt"
+    if kind == "phone":
+        return "phone" if span.startswith(("+", "00")) else "phone, bare"
+    if kind == "card":
+        return "card" if sum("0" <= c <= "9" for c in span) >= 16 else "card, short"
+    return kind
+
+
+def limits(margins: np.ndarray, labels: np.ndarray, forms: np.ndarray, precision: float) -> dict[str, float]:
+    """Per form the margin above which the held-out candidates are right often enough.
+
+    It lies midway to the first candidate that stays out; where none does, it is
+    no more than 0, the trees' own boundary.
+    """
     found = {}
-    for kind in np.unique(kinds):
-        m, y = margins[kinds == kind], labels[kinds == kind]
+    for one in np.unique(forms):
+        m, y = margins[forms == one], labels[forms == one]
         order = np.argsort(-m, kind="stable")
         m, right = m[order], np.cumsum(y[order]) / np.arange(1, len(m) + 1)
         # Equal margins stand or fall together.
         ends = np.flatnonzero(np.append(m[1:] != m[:-1], True) & (right >= precision))
         if len(ends) and y.any():
-            found[str(kind)] = float(m[ends[-1]])
+            last = ends[-1]
+            found[str(one)] = float((m[last] + m[last + 1]) / 2) if last + 1 < len(m) else min(float(m[last]), 0.0)
     return found
 
 
+# What stands before planted personal data, and before planted numbers that are none.
+CUES = {
+    "phone": ("phone", "call", "tel.", "fax", "mobile", "reach me on", ""), "email": ("mail", "write to", "contact", "e-mail:", ""),
+    "card": ("card", "paid by", "visa", "card number:", ""), "ip": ("host", "from", ""),
+}
+OTHERS = ("order", "part", "on", "pages", "lot", "between", "version", "sum", "record", "")
+
+
+def _number(rng: random.Random, n: int) -> str:
+    return str(rng.randrange(1, 10)) + "".join(str(rng.randrange(10)) for _ in range(n - 1))
+
+
+def _checked(rng: random.Random, n: int, right: bool = True) -> str:
+    """A number of n digits that passes the checksum, or just fails it."""
+    head = _number(rng, n - 1)
+    last = next(d for d in "0123456789" if luhn(head + d))
+    return head + (last if right else str((int(last) + rng.randrange(1, 10)) % 10))
+
+
+def _grouped(digits: str, sizes: Sequence[int], sign: str) -> str:
+    """The digits in groups of these sizes, what is left over as one more."""
+    ends = list(itertools.accumulate(sizes))
+    return sign.join(filter(None, [digits[e - n:e] for e, n in zip([*ends, len(digits)], [*sizes, len(digits) - ends[-1]])]))
+
+
+def variant(rng: random.Random, kind: str, span: str | None = None) -> str:
+    """Personal data in a form that the base patterns do not know: of a base span, or made up."""
+    if kind == "email":
+        local, _, domain = (span or f"{rng.choice('abcdefgh')}{_word(rng)}.{_word(rng)}@{_word(rng)}.{rng.choice(('example', 'org', 'net'))}").partition("@")
+        at = rng.choice((" (at) ", "(at)", " [at] ", "[at]"))
+        return local + at + (domain.replace(".", rng.choice((".", " (dot) ", "[dot]"))))
+    if kind == "phone":
+        digits = "".join(c for c in span or "" if "0" <= c <= "9")[-10:]
+        digits = digits if len(digits) == 10 else _number(rng, 10)
+        return rng.choice((
+            _grouped(digits, (3, 3, 4), "-"), _grouped(digits, (3, 3, 4), " "), f"({digits[:3]}) {digits[3:6]} {digits[6:]}",
+            f"({digits[:3]}) {digits[3:6]}-{digits[6:]}", _grouped(digits, (3, 3, 4), ".")))
+    if kind == "card":
+        digits = "".join(c for c in span or "" if "0" <= c <= "9") if rng.random() < 0.5 else ""
+        digits = digits or _checked(rng, rng.choice((13, 14, 15, 16)))
+        return _grouped(digits, (4, 4, 4), rng.choice((".", "/", "-", " ", "")) if len(digits) < 16 else rng.choice("./"))
+    return span or ".".join(str(rng.randrange(256)) for _ in range(4))
+
+
+def _word(rng: random.Random) -> str:
+    return "".join(rng.choice("abcdefghijklmnoprstuvw") for _ in range(rng.randrange(3, 8)))
+
+
+def other_number(rng: random.Random) -> str:
+    """A number that looks like personal data to the generators and is none."""
+    return rng.choice((
+        f"{rng.randrange(1900, 2040)}-{rng.randrange(1, 13):02d}-{rng.randrange(1, 29):02d} {rng.randrange(10, 24)}:{rng.randrange(10, 60)}",
+        f"{rng.randrange(1, 29):02d}.{rng.randrange(1, 13):02d}.{rng.randrange(1900, 2040)} {_number(rng, 4)}",
+        _grouped(_checked(rng, 16, False), (4, 4, 4), rng.choice("-. /")), _checked(rng, rng.choice((13, 14, 15)), False),
+        f"{_number(rng, 3)} {_number(rng, 3)} {_number(rng, 3)} {_number(rng, 3)}", f"{_number(rng, 2)},{_number(rng, 3)},{_number(rng, 3)},{_number(rng, 3)}",
+        f"{_number(rng, 3)}.{_number(rng, 3)} {_number(rng, 4)}", f"{_number(rng, 2)}-{_number(rng, 3)}-{_number(rng, 5)}-{_number(rng, 2)}",
+    ))
+
+
+def examples(text: str) -> Iterator[tuple[str, float, list[float], str]]:
+    """(kind, label, features, form) of candidates whose truth does not come from the base patterns' shape.
+
+    Three readings of a text.  As it is: what the generators propose beside
+    base spans is taken for ordinary text.  Its base spans rewritten into forms
+    that the patterns do not know: those are personal data.  With one planted
+    sentence of either sort.  Candidates that only overlap one of these are
+    left out, and so are those beside which more numbers stand.
+    """
+    rng = random.Random(zlib.crc32(text.encode()))
+
+    def read(text: str, true: set, silent: list[tuple[int, int]]) -> Iterator[tuple]:
+        for k, s, e in dict.fromkeys(proposed(text)):
+            if (k, s, e) in true:
+                yield k, 1.0, features(text, k, s, e), form(k, text[s:e])
+            elif all(e <= a or b <= s for a, b in silent) and not runs_on(text, s, e):
+                yield k, 0.0, features(text, k, s, e), form(k, text[s:e])
+
+    base = sorted(base_spans(text), key=lambda x: x[1:]) if MARKERS.search(text) else []
+    yield from read(text, set(), [(s, e) for _, s, e in base])
+    if base:
+        parts, true, at, size = [], set(), 0, 0
+        for k, s, e in base:
+            if s >= at and k != "ip":
+                new = variant(rng, k, text[s:e])
+                parts += [text[at:s], new]
+                size += s - at
+                true.add((k, size, size + len(new)))
+                size, at = size + len(new), e
+        yield from (x for x in read("".join([*parts, text[at:]]), true, [(0, size + len(text))]) if x[1])
+    if rng.random() < 0.5:
+        # Beside the planted sentence stands what stands there in the table.
+        near = text[:200] if len(text) < 400 else text[(i := rng.randrange(len(text) - 200)):i + 200]
+        cut = near.find(" ") + 1
+        kind = rng.choice(("phone", "email", "card", ""))
+        value = variant(rng, kind) if kind else other_number(rng)
+        cue = rng.choice(CUES[kind]) if kind else rng.choice((*OTHERS, *CUES["phone"]))
+        head = near[:cut] + (cue + " " if cue else "")
+        planted = head + value + rng.choice((" ", ". ", ", ", "\n")) + near[cut:]
+        start, end = len(head), len(head) + len(value)
+        for x in read(planted, {(kind, start, end)}, [(0, start), (end, len(planted))] if not kind else [(0, len(planted))]):
+            yield x
+
+
 def _candidates(docs: DataFrame, text: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for string in batch.column(0):
-                t = string.as_py() or ""
-                if not MARKERS.search(t):
-                    continue
-                base = set(base_spans(t))
-                rows += [
-                    (k, float((k, s, e) in base), features(t, k, s, e), zlib.crc32(t.encode()) % 4) for k, s, e in proposed(t)
-                    if (k, s, e) in base or not runs_on(t, s, e)]
+            rows = [(*x, zlib.crc32(t.encode()) % 4) for t in batch.column(0).to_pylist() if t for x in examples(t)]
             if rows:
-                kinds, labels, x, folds = zip(*rows)
+                kinds, labels, x, forms, folds = zip(*rows)
                 yield pa.record_batch({"kind": pa.array(kinds), "label": pa.array(labels), "x": pa.array(x, pa.list_(pa.float64())),
-                                       "fold": pa.array(folds, pa.int32())})
+                                       "form": pa.array(forms), "fold": pa.array(folds, pa.int32())})
 
-    return docs.select(F.col(text).cast("string")).mapInArrow(run, "kind string, label double, x array<double>, fold int")
+    return docs.select(F.col(text).cast("string")).mapInArrow(run, "kind string, label double, x array<double>, form string, fold int")
 
 
 # Candidates that train and calibrate, at most.
@@ -198,25 +315,32 @@ CANDIDATES = 50_000
 
 
 def train(docs: DataFrame, text: str = "text", rows: int = SAMPLE, precision: float = PRECISION) -> Trees | None:
-    """Trees from the candidates of about ``rows`` documents; None if they show one class only.
+    """Trees from the ``examples`` of about ``rows`` documents; None if they show one class only.
 
-    A candidate that is a base span is an example of its kind, any other one is
-    not; those beside which more numbers stand are left out.
-    The candidates of three quarters of the documents train the trees, the rest sets the limits.
+    Three quarters of the documents train the trees, the rest sets a limit for
+    every kind and form and measures what it gives (``Trees.measured``).
     """
-    found = written(sample_of(_candidates(sample_of(docs, rows), text), CANDIDATES), "candidates")
+    every = written(_candidates(sample_of(docs, rows), text), "candidates")
+    found = written(sample_of(every, CANDIDATES), "chosen")
+    forget(every)
     seen = {r["label"] for r in found.filter("fold > 0").select("label").distinct().collect()}
     if len(seen) < 2:
         return None
     learn = found.filter("fold > 0").select("label", array_to_vector("x").alias("features"))
     model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=1, cacheNodeIds=False).fit(learn)
-    trees = Trees(*_arrays(model), limit={})
+    trees = Trees(*_arrays(model), limit={}, measured={})
     test = found.filter("fold = 0").toPandas()  # a quarter of a bounded sample
+    forget(found)
     if test.empty:
         return None
-    margins = trees.margin(np.stack(test["x"].to_numpy()))
-    return dataclasses.replace(
-        trees, limit=limits(margins, test["label"].to_numpy(), test["kind"].to_numpy(dtype=str), precision))
+    margins, labels, forms = trees.margin(np.stack(test["x"].to_numpy())), test["label"].to_numpy(), test["form"].to_numpy(dtype=str)
+    limit = limits(margins, labels, forms, precision)
+    measured = {}
+    for one in limit:
+        its, picked = forms == one, margins >= limit[one]
+        right = float(labels[its & picked].sum())
+        measured[one] = {"n": int(its.sum()), "precision": right / (its & picked).sum(), "recall": right / labels[its].sum()}
+    return dataclasses.replace(trees, limit=limit, measured=measured)
 
 
 def spans_of(text: str, trees: Trees | None) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
@@ -230,7 +354,7 @@ def spans_of(text: str, trees: Trees | None) -> tuple[list[tuple[str, int, int]]
     if not rest:
         return base, []
     x = np.array([features(text, *c) for c in rest])
-    picked = trees.chosen(x, [k for k, _, _ in rest])
+    picked = trees.chosen(x, [form(k, text[s:e]) for k, s, e in rest])
     margins = trees.margin(x)
     taken = sorted((s, e) for _, s, e in base)
     more = []
