@@ -6,6 +6,7 @@ import dataclasses
 import functools
 import heapq
 import re
+import zlib
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -125,8 +126,9 @@ def n_best(m: Model, codes: Sequence[int], n: int) -> list[Way]:
     """The ``n`` best ways through the lattice, by A-star from the end to the start.
 
     The forward scores are exactly what is still to come, so no step is taken
-    that is not on one of the best ways.  Equal scores: the way that is found
-    first, which prefers long pieces at the end.
+    that is not on one of the best ways.  Of equal scores the way with the
+    shorter last piece comes first, then with the shorter one before it, and so
+    on, which is the way the forward pass takes too.
     """
     best = forward(m, codes)
     found: list[Way] = []
@@ -142,7 +144,8 @@ def n_best(m: Model, codes: Sequence[int], n: int) -> list[Way]:
                 out.append(edge)
             found.append((behind, tuple(out)))
             continue
-        for start, score, edge in edges(m, codes, at):
+        # The last to come is the first to go among equals: the shortest piece.
+        for start, score, edge in reversed(list(edges(m, codes, at))):
             count -= 1
             total = behind + score
             heapq.heappush(heap, (-(total + best[start]), count, start, total, (edge, ways)))
@@ -261,6 +264,7 @@ def combined(lists: Sequence[Sequence[float]], n: int) -> list[tuple[float, tupl
 
 def encode(
     docs: DataFrame, n: int = 4, path: str | None = None, key: str = "doc_id", text: str = "text", at_once: int = 1 << 23,
+    proof: bool = False,
 ) -> DataFrame:
     """``doc_id, rank, score, ids`` of the ``n`` best segmentations of every whole text.
 
@@ -271,6 +275,7 @@ def encode(
     that lose the least by their second way.  Those words are searched from the
     end, and their ways are combined.  ``ids`` are unsigned little-endian
     32-bit numbers.  About ``at_once`` characters are looked at together.
+    ``proof`` adds the checksums of the text and of what the ids decode to.
 
     A text has fewer segmentations than ``n`` if its lattice has; a NULL or
     empty text has the one of the space in front.  Of equal scores the earlier
@@ -294,16 +299,16 @@ def encode(
                 held.append(part)
                 chars += sum(len(t.as_py()) for t in part.column(1) if t.is_valid)
                 if chars >= at_once:
-                    yield _encoded(m, ways, held, n)
+                    yield _encoded(m, ways, held, n, proof)
                     held, chars = [], 0
         if held:
-            yield _encoded(m, ways, held, n)
+            yield _encoded(m, ways, held, n, proof)
 
     return docs.select(F.col(key).cast("bigint"), F.col(text).cast("string")).mapInArrow(
-        run, "doc_id bigint, rank int, score double, ids binary")
+        run, "doc_id bigint, rank int, score double, ids binary" + ", text_crc32 bigint, decoded_crc32 bigint" * proof)
 
 
-def _encoded(m: Model, ways, batches: Sequence[pa.RecordBatch], n: int) -> pa.RecordBatch:
+def _encoded(m: Model, ways, batches: Sequence[pa.RecordBatch], n: int, proof: bool) -> pa.RecordBatch:
     index: dict[str, int] = {}
     docs = [np.array([index.setdefault(s, len(index)) for s in segments(t.as_py() or "")]) for b in batches for t in b.column(1)]
     keys = [k for b in batches for k in b.column(0).to_pylist()]
@@ -332,9 +337,19 @@ def _encoded(m: Model, ways, batches: Sequence[pa.RecordBatch], n: int) -> pa.Re
                 done = ends[p]
             out.append((key, rank, rest + total, b"".join(x.tobytes() for x in [*parts, ids[done:]])))
     owners, ranks, scores, ids = zip(*out)
-    return pa.record_batch({
+    columns = {
         "doc_id": pa.array(owners, pa.int64()), "rank": pa.array(ranks, pa.int32()),
-        "score": pa.array(scores, pa.float64()), "ids": pa.array(ids, pa.binary())})
+        "score": pa.array(scores, pa.float64()), "ids": pa.array(ids, pa.binary())}
+    if proof:
+        # A text has as many rows as ways; its first has rank one.
+        texts = (zlib.crc32((t.as_py() or "").encode()) for b in batches for t in b.column(1))
+        of_text, crcs = 0, []
+        for rank in ranks:
+            of_text = next(texts) if rank == 1 else of_text
+            crcs.append(of_text)
+        columns["text_crc32"] = pa.array(crcs, pa.int64())
+        columns["decoded_crc32"] = pa.array([zlib.crc32(decoded(m, np.frombuffer(x, "<u4").tolist()).encode()) for x in ids], pa.int64())
+    return pa.record_batch(columns)
 
 
 def decoded(m: Model, ids: Sequence[int]) -> str:

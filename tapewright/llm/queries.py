@@ -212,9 +212,10 @@ def op2_warc_revisits(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("op8_pieces")
 def op8_pieces(spark: SparkSession, sf: str) -> DataFrame:
-    """The four best segmentations of every text, as their scores, lengths and checksums."""
-    best = pieces.encode(parquet(spark, sf, "documents"))
-    return best.select("doc_id", "rank", "score", (F.octet_length("ids") / 4).cast("bigint").alias("n_ids"), F.crc32("ids").alias("ids_crc32"))
+    """The four best segmentations of every text, as their scores, lengths and checksums, and what they decode to."""
+    best = pieces.encode(parquet(spark, sf, "documents"), proof=True)
+    n_ids = (F.octet_length("ids") / 4).cast("bigint").alias("n_ids")
+    return best.select("doc_id", "rank", "score", n_ids, F.crc32("ids").alias("ids_crc32"), "text_crc32", "decoded_crc32")
 
 
 def _rounds_sql(rounds: int) -> str:

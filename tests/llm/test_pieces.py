@@ -29,7 +29,7 @@ def all_ways(m, codes):
 
 def one(m, text, n):
     batch = pa.record_batch({"doc_id": pa.array([1]), "text": pa.array([text], pa.string())})
-    out = pieces._encoded(m, lambda s: pieces.n_best(m, pieces.codes_of(s).tolist(), n), [batch], n)
+    out = pieces._encoded(m, lambda s: pieces.n_best(m, pieces.codes_of(s).tolist(), n), [batch], n, False)
     return [(r["score"], np.frombuffer(r["ids"], "<u4").tolist()) for r in out.to_pylist()]
 
 
@@ -54,6 +54,22 @@ def test_a_star_takes_no_step_off_the_best_ways(m):
     assert [s for s, _ in got] == pytest.approx([s for s, _ in ways[:50]])
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.text(alphabet="%a1e. -=", min_size=1, max_size=70))
+def test_first_way_does_not_depend_on_how_many_are_asked(text):
+    m = pieces.model()
+    ways = {n: one(m, text, n)[0] for n in (1, 2, 4)}
+    assert ways[1] == ways[2] == ways[4]
+
+
+def test_ties_on_given_documents(spark):
+    frame = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    first = [sorted((r["doc_id"], bytes(r["ids"])) for r in pieces.encode(frame, n).filter("rank = 1").collect()) for n in (1, 4)]
+    assert first[0] == first[1]
+    proved = pieces.encode(frame, 2, proof=True).collect()
+    assert len(proved) >= frame.count() and all(r["text_crc32"] == r["decoded_crc32"] for r in proved)
+
+
 def test_combined_sums():
     lists = [[5.0, 4, 1], [3.0, 2.5], [0.0]]
     wanted = sorted((sum(c) for c in itertools.product(*lists)), reverse=True)
