@@ -15,10 +15,15 @@ MISS = 1e-4
 TIES = 1 << 62
 
 
-def code(string: Column) -> Column:
-    """The first seven bytes of a string as a number that sorts like them; NULL: 0."""
-    head = F.rpad(F.hex(F.substring(F.coalesce(string, F.lit("")).cast("binary"), 1, 7)), 14, "0")
-    return F.conv(head, 16, 10).cast("bigint")
+def ranked(rows: DataFrame, column: str, name: str) -> DataFrame:
+    """The rows with the place of a string among all distinct ones in order, from 1; NULL: 0.
+
+    Whole strings are sorted across tasks and numbered there, however long they are and however much they agree in.
+    """
+    distinct = rows.select(F.col(column).alias("_string")).filter("_string IS NOT NULL").distinct().withColumn("_all", F.lit(0))
+    places = slots(distinct, "_all", ["_string"]).select("_string", (F.col("slot") + 1).alias(name))
+    return rows.join(places, F.col(column) == F.col("_string"), "left").drop("_string").withColumn(
+        name, F.coalesce(name, F.lit(0).cast("bigint")))
 
 
 def _values(spark: SparkSession, names: str, rows: Sequence[Sequence[int]]) -> DataFrame:
@@ -28,7 +33,7 @@ def _values(spark: SparkSession, names: str, rows: Sequence[Sequence[int]]) -> D
 
 
 def _crossings(rows: DataFrame, asked: list[dict]) -> dict[int, dict]:
-    """Of each node the bin in which its weight passes the half: one histogram round for all nodes.
+    """Of each node the bin in which its weight passes the share that goes left (``half``): one histogram round for all nodes.
 
     Bins are added up inside the map tasks; what is exchanged are the bins, at
     most ``BINS`` of a node.
@@ -56,7 +61,7 @@ def _cuts(rows: DataFrame, nodes: list[dict]) -> list[tuple[int, int, int, int]]
     median.  Where a single value holds it, rows of that value are told apart
     by their ties, so a value with a third of all rows is cut like any other.
     """
-    asked = [dict(n, tied=0, v=0, half=-(-n["w"] // 2), miss=int(n["w"] * MISS)) for n in nodes]
+    asked = [dict(n, tied=0, v=0, miss=int(n["w"] * MISS)) for n in nodes]
     done = []
     while asked:
         found, todo = _crossings(rows, asked), []
@@ -80,18 +85,23 @@ def _cut(q: dict, at: int) -> tuple[int, int, int, int]:
     return (q["node"], q["dim"], q["v"], at) if q["tied"] else (q["node"], q["dim"], at, TIES)
 
 
-def tree(rows: DataFrame, target: int, depth: int | None = None) -> DataFrame:
+def tree(rows: DataFrame, target: int, depth: int | None = None, shards: int | None = None) -> DataFrame:
     """The rows (``size``, ``dims``, ``tie`` and more) with ``leaf``, the place of their leaf from the left.
 
     A node is cut in two at the weighted median of its widest dimension
     (against the width at the root) while it has more than one and a half times
-    the target, and not below ``depth`` levels.  A node of rows that are alike
-    stays whole.  The driver sees a row per open node and round.
+    the target, and not below ``depth`` levels.  With ``shards`` a node is cut
+    while it is to hold several of them, in proportion to those on either side,
+    and ``leaf`` is the shard.  A node of rows that are alike stays whole.  The
+    driver sees a row per open node and round: leaves are as many as the caller
+    asks for, not as the rows are.
     """
     one = rows.select(F.size("dims").alias("n")).first()
     n_dims = one["n"] if one else 0
     nodes = rows.withColumn("node", F.lit(1).cast("bigint"))
     level, widths = 0, None
+    # First shard and number of shards of each node.
+    held = {1: (0, shards or 1)}
     while n_dims and (depth is None or level < depth):
         ends = [f(F.get("dims", F.lit(i))).alias(f"{name}{i}") for i in range(n_dims) for name, f in (("a", F.min), ("z", F.max))]
         stats = nodes.groupBy("node").agg(
@@ -101,9 +111,12 @@ def tree(rows: DataFrame, target: int, depth: int | None = None) -> DataFrame:
             spans = [r[f"z{i}"] - r[f"a{i}"] for i in range(n_dims)]
             widths = widths or [max(1, s) for s in spans]
             alike = not any(spans) and r["t0"] == r["t1"]
-            if r["w"] * 2 > 3 * target and not alike:
+            first, n = held.get(r["node"], (0, 2))
+            if (n > 1 if shards else r["w"] * 2 > 3 * target) and not alike:
                 dim = max(range(n_dims), key=lambda i: spans[i] / widths[i])
-                open_.append({"node": r["node"], "w": r["w"], "dim": dim, "lo": r[f"a{dim}"], "hi": r[f"z{dim}"]})
+                left, of = (n // 2, n) if shards else (1, 2)
+                open_.append({"node": r["node"], "w": r["w"], "dim": dim, "lo": r[f"a{dim}"], "hi": r[f"z{dim}"], "half": -(-r["w"] * left // of)})
+                held |= {2 * r["node"]: (first, left), 2 * r["node"] + 1: (first + left, n - left)}
         if not open_:
             break
         cuts = _values(rows.sparkSession, "node, dim, v, t", _cuts(nodes, open_))
@@ -118,7 +131,8 @@ def tree(rows: DataFrame, target: int, depth: int | None = None) -> DataFrame:
         return nodes.withColumn("leaf", F.lit(0)).drop("node")
     deepest = max(found).bit_length()
     places = sorted(found, key=lambda n: n << deepest - n.bit_length())
-    return nodes.join(_values(rows.sparkSession, "node, place", [(n, i) for i, n in enumerate(places)]), "node").select(
+    numbered = [(n, held[n][0] if shards else i) for i, n in enumerate(places)]
+    return nodes.join(_values(rows.sparkSession, "node, place", numbered), "node").select(
         *[c for c in nodes.columns if c != "node"], F.col("place").cast("int").alias("leaf"))
 
 
@@ -144,25 +158,32 @@ def sharded(
 ) -> DataFrame:
     """One row per document: ``doc_id, size, text_crc32, law, shard, slot, grown_shard``.
 
-    ``shards`` is a power of two; the tree cuts the bytes in halves until a
-    leaf has a shard's share.  Dimensions are the size, the language and the
-    source.  Equal texts have neighbouring ties, so they stay together unless
-    a cut goes through them.
+    The tree cuts the bytes in two, in proportion to the shards on either side,
+    until a leaf is a shard.  ``shards`` may be any number.  Dimensions are the
+    size, and the places of the language and of the source among all of them in
+    order.  Equal texts have neighbouring ties, so they stay together unless a
+    cut goes through them.
 
     A NULL text has size 1 and the sum of no bytes; NULL dimensions are the
     smallest; repeated rows that are alike in key and text are never parted.
     A table with fewer rows than shards leaves some empty; an empty one gives
     no rows.  Only key, size, checksum and dimensions are ever exchanged.
     """
+    if shards < 1:
+        raise ValueError("shards count from one")
     size = F.coalesce(F.octet_length(text), F.lit(0)).cast("bigint") + 1
-    given = dims if dims is not None else {c: code(F.col(c)) for c in ("lang", "source") if c in docs.columns}
     low = F.lit((1 << 31) - 1)
     tie = F.shiftleft(F.xxhash64(text).bitwiseAND(low), 31).bitwiseOR(F.xxhash64(key).bitwiseAND(low))
+    strings = [c for c in ("lang", "source") if dims is None and c in docs.columns]
+    named = {f"_d{i}": c.cast("bigint") for i, c in enumerate((dims or {}).values())} | {f"_s{i}": F.col(c).cast("string") for i, c in enumerate(strings)}
     rows = written(docs.select(
-        F.col(key).cast("bigint").alias("doc_id"), size.alias("size"), crc_of(F.col(text)).alias("text_crc32"),
-        F.array(size, *[F.coalesce(c.cast("bigint"), F.lit(0)) for c in given.values()]).alias("dims"), tie.alias("tie")), "sizes")
-    total = rows.agg(F.sum("size")).first()[0] or 0
-    leaves = tree(rows, max(1, total // shards), (shards - 1).bit_length())
+        F.col(key).cast("bigint").alias("doc_id"), size.alias("size"), crc_of(F.col(text)).alias("text_crc32"), tie.alias("tie"),
+        *[c.alias(n) for n, c in named.items()]), "sizes")
+    for i in range(len(strings)):
+        rows = ranked(rows, f"_s{i}", f"_r{i}")
+    values = [F.coalesce(n, F.lit(0).cast("bigint")) for n in named if n.startswith("_d")] + [F.col(f"_r{i}") for i in range(len(strings))]
+    rows = written(rows.select("doc_id", "size", "text_crc32", "tie", F.array("size", *values).alias("dims")), "points")
+    leaves = tree(rows, 1, shards=shards)
     placed = slots(leaves.withColumnRenamed("leaf", "shard"), "shard", ["tie", "doc_id"])
     return placed.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",

@@ -57,10 +57,31 @@ def test_rows_that_are_alike_stay_whole(spark):
     assert sharding.tree(rows, 10).select("leaf").distinct().count() == 1
 
 
-def test_codes_sort_like_strings(spark):
-    names = ["", "a", "ab", "b", "src1", "src10", "src2", "é"]
-    got = spark.createDataFrame([(n,) for n in [*names, None]], "n string").select("n", sharding.code(F.col("n")).alias("c")).collect()
-    assert [r["n"] or "" for r in sorted(got, key=lambda r: r["c"])] == ["", *names]
+def test_whole_strings_are_ranked(spark):
+    names = ["", "a", "ab", "b", "https://site0/a", "https://site0/b", "https://site1", "src1", "src10", "src2", "é"]
+    frame = spark.createDataFrame([(n,) for n in [*names, None, "b", "b"]], "n string")
+    got = {(r["n"], r["c"]) for r in sharding.ranked(frame, "n", "c").collect()}
+    assert got == {(n, i) for i, n in enumerate(names, 1)} | {(None, 0)}
+
+
+def test_sources_with_a_common_prefix_are_split(spark):
+    rows = [(i, f"text {i:04d}", "en", f"https://site{i % 4}.example/") for i in range(2000)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    got = sharding.sharded(frame, 4).join(frame.select("doc_id", "source"), "doc_id")
+    assert got.groupBy("shard").agg(F.count_distinct("source").alias("n")).agg(F.max("n")).first()[0] <= 2
+
+
+@pytest.mark.parametrize("shards", [3, 5, 6, 7, 12])
+def test_any_number_of_shards_is_even(spark, shards):
+    rows = [(i, f"text {i} " * (i % 50 + 1), "en", f"s{i % 7}") for i in range(3000)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    sizes = check(sharding.sharded(frame, shards).collect(), [r[:2] for r in rows])
+    assert sorted(sizes) == list(range(shards)) and max(sizes.values()) - min(sizes.values()) <= 6 * 550
+
+
+def test_no_shards_are_refused(spark):
+    with pytest.raises(ValueError):
+        sharding.sharded(spark.createDataFrame([(1, "a")], "doc_id bigint, text string"), 0)
 
 
 def test_no_rows(none):  # noqa: F811
