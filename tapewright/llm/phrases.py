@@ -132,7 +132,7 @@ class Automaton:
 
 def sequences(ids: np.ndarray, longest: int) -> np.ndarray:
     """For every place the words from there on, at most ``longest``, cut at the first -1; places with one word are left out."""
-    ended = np.append(ids, np.full(longest, -1))
+    ended = np.append(ids, np.full(longest, -1, ids.dtype))
     starts = np.flatnonzero((ended[:-1] >= 0) & (ended[1:] >= 0))
     rows = np.empty((len(starts), longest), np.int32)
     on = np.ones(len(starts), bool)
@@ -156,10 +156,9 @@ def shard(ids: np.ndarray, names: np.ndarray, ranges: int, longest: int) -> Iter
     starts = np.flatnonzero(new)
     weights = np.diff(np.append(starts, len(rows)))
     rows, dealt = rows[starts], dealt[starts]
-    named = np.where(rows >= 0, names[rows], -1)
     cuts = np.flatnonzero(np.append(True, dealt[1:] != dealt[:-1]))
     for s, e in zip(cuts, np.append(cuts[1:], len(rows))):
-        yield int(dealt[s]), Automaton.of_sorted(named[s:e], weights[s:e])
+        yield int(dealt[s]), Automaton.of_sorted(np.where(rows[s:e] >= 0, names[rows[s:e]], -1), weights[s:e])
 
 
 def _by_language(batch: pa.RecordBatch | pa.Table) -> Iterator[tuple[int, int, str, list[bytes]]]:
