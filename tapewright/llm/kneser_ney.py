@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from functools import reduce
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -16,10 +17,12 @@ from tapewright.llm.common import ROW, map_batches, written
 # Four symbols of 16 bits fill a long: grams, their contexts and their suffixes are shifts and masks of it.
 ORDER = 4
 SYMBOL = 16
-# Documents per scoring batch: the wider, the fewer grams are looked up twice.
-BATCH = 4096
-# Trusted ids are broadcast up to this number (32 MB) and joined beyond it.
+# Bytes of text per scoring batch: the wider, the fewer grams are looked up twice.
+BATCH = 12 << 20
+# Trusted ids are broadcast up to this number (32 MB), so that no text moves, and joined beyond it.  The rows are the same.
 BROADCAST_IDS = 4_000_000
+# Characters of a window; windows overlap by half.
+WINDOW = 24
 # Characters whose grams a task holds at once.
 CHARS = 1 << 19
 
@@ -151,35 +154,59 @@ def train(texts: DataFrame) -> DataFrame:
 
 
 def _log_p(grams: DataFrame, model: DataFrame) -> DataFrame:
-    """``g, logp`` of distinct grams: every gram asks for its suffixes and contexts in one join."""
+    """``g, logp`` of distinct grams: every gram asks for its longer suffixes and contexts in one join.
+
+    The row of order 0 is one number, and those of order 1 are as many as there
+    are symbols, 65,536 at most, so both are at hand in every task: what all
+    grams ask for is never a key of an exchange.
+    """
     g = F.col("g")
-    asked = [(f"p{n}", n, _tail(g, n)) for n in range(1, ORDER + 1)]
-    asked += [(f"w{n}", n - 1, _context(_tail(g, n))) for n in range(2, ORDER + 1)]
-    asked.append(("p0", 0, F.lit(0).cast("bigint")))
+    floor = model.filter("n = 0").first()["p"]
+    single = F.broadcast(model.filter("n = 1").select(F.col("g").alias("one"), F.col("p").alias("p1"), F.col("bow").alias("w2")))
+    asked = [(f"p{n}", n, _tail(g, n)) for n in range(2, ORDER + 1)]
+    asked += [(f"w{n}", n - 1, _context(_tail(g, n))) for n in range(3, ORDER + 1)]
     rows = grams.select("g", F.inline(F.array(*[
         F.struct(F.lit(role).alias("role"), F.lit(n).alias("n"), key.alias("key")) for role, n, key in asked])))
-    met = rows.join(model.withColumnRenamed("g", "key"), ["n", "key"])
+    # A gram that the model does not have at any order is still one.
+    met = rows.join(model.filter("n > 1").withColumnRenamed("g", "key"), ["n", "key"], "left")
     got = met.groupBy("g").agg(*[
         F.max(F.when(F.col("role") == role, F.col("p" if role[0] == "p" else "bow"))).alias(role) for role, _, _ in asked])
-    p = F.col("p0")
+    got = got.withColumns({"_last": _tail(g, 1), "_before": _context(_tail(g, 2))})
+    got = got.join(single.select(F.col("one").alias("_last"), "p1"), "_last", "left")
+    got = got.join(single.select(F.col("one").alias("_before"), "w2"), "_before", "left")
+    p = F.lit(floor)
     for n in range(1, ORDER + 1):
         lower = p if n == 1 else F.coalesce(F.col(f"w{n}"), F.lit(1.0)) * p
         p = F.coalesce(F.col(f"p{n}"), lower)
     return got.select("g", F.log(p).alias("logp"))
 
 
+def _worst(values: np.ndarray, sizes: np.ndarray, width: int = WINDOW) -> np.ndarray:
+    """The largest mean surprise of any window of each text; a text that is shorter is one window."""
+    upto = np.concatenate([[0.0], np.cumsum(-values)])
+    ends = np.cumsum(sizes)
+    starts = ends - sizes
+    steps = np.maximum(1, -(-(sizes - width) // (width // 2)) + 1)
+    owner = np.repeat(np.arange(len(sizes)), steps)
+    at = starts[owner] + (np.arange(len(owner)) - np.repeat(np.cumsum(steps) - steps, steps)) * (width // 2)
+    at = np.maximum(starts[owner], np.minimum(at, ends[owner] - width))
+    until = np.minimum(at + width, ends[owner])
+    mean = (upto[until] - upto[at]) / np.maximum(until - at, 1)
+    return np.maximum.reduceat(mean, np.cumsum(steps) - steps)
+
+
 def scored(
     docs: DataFrame, model: DataFrame, columns: Sequence[str], key: str = "doc_id", text: str = "text", batch: int = BATCH,
 ) -> DataFrame:
-    """The named columns in a struct (the text, if named, beside it), with ``n_scored`` characters and their
-    ``perplexity`` (NULL where there is none).
+    """The named columns in a struct (the text, if named, beside it), with ``n_scored`` characters, their
+    ``perplexity``, and that of the ``worst`` window (NULL where there is none).
 
-    Texts cross one exchange, compressed, into batches of documents.  A batch sends each of
+    Texts cross one exchange, compressed, into batches of about ``batch`` bytes.  A batch sends each of
     its grams once to the shards of the model and gets its probability back,
     so the model is never held whole anywhere and common grams are not sent
     per document.
     """
-    parts = max(1, -(-docs.count() // batch))
+    parts = max(1, -(-int(docs.agg(F.sum(F.octet_length(text))).first()[0] or 0) // batch))
     others = [F.col(f"`{c}`") for c in columns if c != text]
     part = F.pmod(F.xxhash64(key, text), F.lit(parts))
     rows = docs.select(F.struct(*others).alias(ROW), F.col(text).cast("string").alias("text"), part.alias("part"))
@@ -209,12 +236,13 @@ def scored(
     once = pairs.groupBy("g").agg(F.count("part").alias("n")).filter("n > 0")
     known = pairs.join(_log_p(once, model), "g").select("part", "g", "logp")
 
-    schema = T.StructType([*[rows.schema[c] for c in passed], T.StructField("n_scored", T.LongType()), T.StructField("perplexity", T.DoubleType())])
+    schema = T.StructType([*[rows.schema[c] for c in passed], T.StructField("n_scored", T.LongType()),
+                            T.StructField("perplexity", T.DoubleType()), T.StructField("worst", T.DoubleType())])
 
     def score(rows: pa.Table, found: pa.Table) -> pa.Table:
         order = np.argsort(found.column("g").to_numpy())
         grams, logp = found.column("g").to_numpy()[order], found.column("logp").to_numpy()[order]
-        counts, sums = np.zeros(rows.num_rows, np.int64), np.zeros(rows.num_rows)
+        counts, sums, worst = np.zeros(rows.num_rows, np.int64), np.zeros(rows.num_rows), np.zeros(rows.num_rows)
         held, first, size = [], 0, 0
 
         def flush(until: int) -> None:
@@ -222,7 +250,9 @@ def scored(
             counts[first:until] = sizes
             if sizes.any():
                 values = logp[np.searchsorted(grams, np.concatenate(held))]
-                sums[first:until] = np.bincount(np.repeat(np.arange(len(sizes)), sizes), weights=values, minlength=len(sizes))
+                owner = np.repeat(np.arange(len(sizes)), sizes)
+                sums[first:until] = np.bincount(owner, weights=values, minlength=len(sizes))
+                worst[first:until] = _worst(values, sizes)
 
         texts = []
         for i, t in enumerate(_unpacked(rows.column("packed"))):
@@ -236,62 +266,90 @@ def scored(
         empty = counts == 0
         perplexity = np.exp(-sums / np.maximum(counts, 1))
         kept = {ROW: rows.column(ROW)} | ({"text": pa.array(texts, pa.string())} if keeps else {})
-        return pa.table(kept | {"n_scored": counts, "perplexity": pa.array(perplexity, mask=empty)})
+        return pa.table(kept | {
+            "n_scored": counts, "perplexity": pa.array(perplexity, mask=empty), "worst": pa.array(np.exp(worst), mask=empty)})
 
     return dealt.groupBy("part").cogroup(known.groupBy("part")).applyInArrow(score, schema)
 
 
 def limits(trusted: DataFrame, lang: str, quantile: float, slack: float) -> DataFrame:
-    """``lang, limit`` from the perplexities of trusted documents; the NULL language has a row of its own."""
-    return trusted.groupBy(F.col(lang).alias("lang")).agg(
-        (F.percentile_approx("perplexity", quantile, 10_000) * F.lit(slack)).alias("limit"))
+    """``lang, limit, worst_limit`` from the scores of trusted documents; the NULL language has a row of its own.
+
+    The quantile of a few documents is little more than their largest.  The
+    limit is not below what a normal distribution of their logarithms would
+    give, wider by 12 / n of n documents for what so few can tell.
+    """
+    wide = NormalDist().inv_cdf(min(quantile, 1 - 1e-6))
+
+    def limit(c: str) -> Column:
+        spread = F.greatest(F.coalesce(F.stddev_samp(F.log(c)), F.lit(0.0)), F.lit(LEAST_SPREAD))
+        likely = F.exp(F.avg(F.log(c)) + F.lit(wide) * spread * (F.lit(1.0) + F.lit(12.0) / F.count(c)))
+        return F.greatest(F.percentile_approx(c, quantile, 10_000), likely) * F.lit(slack)
+
+    return trusted.groupBy(F.col(lang).alias("lang")).agg(limit("perplexity").alias("limit"), limit("worst").alias("worst_limit"))
 
 
-def ids_of(trusted: DataFrame, key: str = "doc_id") -> DataFrame:
+def ids_of(trusted: DataFrame, key: str = "doc_id", most: int = BROADCAST_IDS) -> DataFrame:
     """The distinct ids, to be broadcast if their counted number is small and joined if not."""
     ids = written(trusted.select(key).dropna().distinct(), "trusted")
-    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    return F.broadcast(ids) if ids.count() <= most else ids
 
 
-# Of the trusted documents of a language this share, and what is up to half as much worse, is ordinary.
-QUANTILE, SLACK = 0.99, 1.5
+# This share of the trusted documents of a language that the model has not seen is ordinary.
+QUANTILE = 0.998
+# Logarithms of perplexities are taken to differ by this much at least.
+LEAST_SPREAD = 0.05
+# One trusted document of so many sets the limits and trains nothing.
+HELD = 5
+# Where there are too few to hold any out, the limits come from what the model was trained on, with this factor.
+SLACK = 1.5
 # A log-probability varies by about this much around its mean, so the mean over few characters is uncertain.
 DEVIATION = 2.0
 
 
 def _judged(
     docs: DataFrame, trusted: DataFrame, columns: Sequence[str], key: str = "doc_id", text: str = "text",
-    lang: str = "lang", quantile: float = QUANTILE, slack: float = SLACK,
+    lang: str = "lang", quantile: float = QUANTILE, held: int = HELD, broadcast_ids: int = BROADCAST_IDS,
 ) -> DataFrame:
-    ids = ids_of(trusted, key)
-    model = train(docs.join(ids, key, "left_semi").select(F.col(text).cast("string")))
+    ids = ids_of(trusted, key, broadcast_ids)
+    out = F.pmod(F.xxhash64(key), F.lit(held)) == 0
+    counts = ids.agg(F.count_if(out), F.count_if(~out)).first()
+    apart = held > 1 and all(counts)
+    learnt, tested = (ids.filter(~out), ids.filter(out)) if apart else (ids, ids)
+    model = train(docs.join(learnt, key, "left_semi").select(F.col(text).cast("string")))
     row = F.col(ROW)
     result = written(scored(docs, model, list(dict.fromkeys([*columns, key, lang])), key, text).withColumns({
         "_key": row.getField(key), "_lang": row.getField(lang)}), "perplexities")
-    good = result.select("_key", "_lang", "perplexity").join(ids.withColumnRenamed(key, "_key"), "_key", "left_semi")
-    limit = written(limits(good, "_lang", quantile, slack), "limits")
-    most = limit.agg(F.max("limit")).first()[0]
-    met = result.join(limit, F.col("_lang").eqNullSafe(F.col("lang")), "left")
-    bound = F.coalesce(F.col("limit"), F.lit(most).cast("double"), F.lit(float("inf")))
-    allowed = F.col("limit") * F.exp(F.lit(DEVIATION) / F.sqrt("n_scored"))
-    return met.withColumn("limit", bound).withColumn("kept", F.coalesce(F.col("perplexity") <= allowed, F.lit(False)))
+    good = result.select("_key", "_lang", "perplexity", "worst").join(tested.withColumnRenamed(key, "_key"), "_key", "left_semi")
+    limit = written(limits(good, "_lang", quantile, 1.0 if apart else SLACK), "limits")
+    names = ("limit", "worst_limit")
+    most = limit.agg(*[F.max(n).alias(n) for n in names]).first()
+    met = result.join(limit, F.col("_lang").eqNullSafe(F.col("lang")), "left").withColumns({
+        n: F.coalesce(F.col(n), F.lit(most[n]).cast("double"), F.lit(float("inf"))) for n in names})
+    ordinary = F.col("perplexity") <= F.col("limit") * F.exp(F.lit(DEVIATION) / F.sqrt("n_scored"))
+    return met.withColumn("kept", F.coalesce(ordinary & (F.col("worst") <= F.col("worst_limit")), F.lit(False)))
+
+
+ADDED = ["n_scored", "perplexity", "worst", "limit", "worst_limit", "kept"]
 
 
 def judged(docs: DataFrame, trusted: DataFrame, columns: Sequence[str] | None = None, **options) -> DataFrame:
-    """The documents (all their columns, or those named) with ``n_scored``, ``perplexity``, ``limit`` and ``kept``.
-
-    The model is trained on the texts of all documents whose key is among
-    ``trusted``.  A document is kept if its perplexity is within the limit of
-    its language: a quantile over that language's trusted documents, with some
-    slack, and one standard error of the document's own mean, which matters
-    for texts of a few words.  A language without trusted documents takes the largest limit of
-    the others; without any trusted document every text with a character is
-    kept.  A NULL or empty text has no perplexity and is not kept.  A NULL
+    """The documents (all their columns, or those named) with ``ADDED``.
+
+    The model is trained on the texts of four fifths of the documents whose key
+    is among ``trusted``; the others, which it has not seen, set two limits for
+    their language: a quantile of their perplexities, and one of the
+    perplexities of their worst windows (``limits``).  A document is kept if it is within
+    both, the first widened by one standard error of the document's own mean,
+    which matters for texts of a few words.  A language without such documents
+    takes the largest limits of the others; without any trusted document every
+    text with a character is kept.  With too few of them to hold any out, or
+    with ``held=1``, the limits are those of the training documents times ``SLACK``.
+    A NULL or empty text has no perplexity and is not kept.  A NULL
     language is a language, a NULL key is never trusted, and repeated rows are
     judged alike.  Input columns with the added names give way.
     """
-    return _columns(_judged(docs, trusted, columns or docs.columns, **options), columns or docs.columns,
-                    ["n_scored", "perplexity", "limit", "kept"], options.get("text", "text"))
+    return _columns(_judged(docs, trusted, columns or docs.columns, **options), columns or docs.columns, ADDED, options.get("text", "text"))
 
 
 def filtered(docs: DataFrame, trusted: DataFrame, **options) -> DataFrame:

@@ -40,7 +40,7 @@ def test_perplexities_equal_brute_force(spark):
             (4, "the cat saw the dog", "en"), (5, "zzz 😀", "en"), (6, "", "en"), (7, None, "fr"), (8, "t", None)]
     trained = [t for i, t, _ in rows if i <= 3]
     frame = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
-    got = {r["doc_id"]: r for r in kn.judged(frame, spark.createDataFrame([(1,), (2,), (3,)], "doc_id bigint")).collect()}
+    got = {r["doc_id"]: r for r in kn.judged(frame, spark.createDataFrame([(1,), (2,), (3,)], "doc_id bigint"), held=1).collect()}
     p = slow_model(trained)
     for i, t, _ in rows:
         if not t:
@@ -49,8 +49,11 @@ def test_perplexities_equal_brute_force(spark):
         s = "\0\0\0" + "".join(c if ord(c) < 0x10000 else "￿" for c in t)
         logs = [math.log(p(s[k:k + 4])) for k in range(len(t))]
         assert got[i]["perplexity"] == pytest.approx(math.exp(-sum(logs) / len(t)))
+        starts = {*range(0, max(1, len(t) - kn.WINDOW + 1), kn.WINDOW // 2), max(0, len(t) - kn.WINDOW)}
+        worst = max(-sum(logs[a:a + kn.WINDOW]) / len(logs[a:a + kn.WINDOW]) for a in starts)
+        assert got[i]["worst"] == pytest.approx(math.exp(worst))
     english = max(got[1]["perplexity"], got[2]["perplexity"])
-    assert got[4]["limit"] == pytest.approx(english * kn.SLACK) and got[8]["limit"] == got[4]["limit"] > got[3]["limit"]
+    assert got[4]["limit"] >= english * kn.SLACK * 0.999 and got[8]["limit"] == max(got[3]["limit"], got[4]["limit"])
 
 
 def test_probabilities_add_up_to_one(spark):
@@ -71,7 +74,7 @@ def test_probabilities_add_up_to_one(spark):
 def test_awkward_documents(docs):  # noqa: F811
     trusted = docs.select("doc_id").filter("doc_id IN (1, 11)")
     got = kn.judged(docs, trusted)
-    assert got.columns == [*[c for c in docs.columns if c not in ("kept", "perplexity")], "n_scored", "perplexity", "limit", "kept"]
+    assert got.columns == [*[c for c in docs.columns if c not in kn.ADDED], *kn.ADDED]
     rows = got.collect()
     assert sorted(str(r["doc_id"]) for r in rows) == sorted(str(r[0]) for r in awkward())
     for r in rows:
@@ -92,7 +95,7 @@ def test_nothing_trusted_and_no_rows(docs, none):  # noqa: F811
 
 def test_small_batches_change_nothing(docs):  # noqa: F811
     model = kn.train(docs.select("text"))
-    one, many = (kn.scored(docs, model, ["doc_id"], batch=b).select(F.col("_row.doc_id"), "n_scored", F.round("perplexity", 9)) for b in (100, 2))
+    one, many = (kn.scored(docs, model, ["doc_id"], batch=b).select(F.col("_row.doc_id"), "n_scored", F.round("perplexity", 9)) for b in (1 << 24, 100))
     assert sorted(map(str, one.collect())) == sorted(map(str, many.collect()))
 
 
@@ -104,4 +107,27 @@ def test_held_out_labels(spark):
     got = kn.judged(spark.read.parquet(f"{sf}/documents.parquet"), trusted, ["doc_id", "lang"])
     rows = got.join(labels.filter("quality = 0 OR doc_id % 2 = 1"), "doc_id").select("quality", "kept").collect()
     good, junk = [r["kept"] for r in rows if r["quality"]], [r["kept"] for r in rows if not r["quality"]]
-    assert sum(good) >= 0.99 * len(good) and sum(junk) <= 0.3 * len(junk)
+    assert sum(good) >= 0.99 * len(good) and sum(junk) <= 0.15 * len(junk)
+
+
+def test_a_bad_window_in_good_prose_is_seen(spark):
+    rows = [(i, " ".join(f"the {w} sat on the mat near the old {w}" for w in ("cat", "dog", "cow", "hen")) + f" {i}", "en") for i in range(200)]
+    rows += [(1000, rows[0][1][:60] + " xqzvk wqjx zzgbk qxvh jjkqw " + rows[0][1][60:], "en")]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    got = {r["doc_id"]: r for r in kn.judged(frame, frame.filter("doc_id < 200").select("doc_id")).collect()}
+    assert not got[1000]["kept"] and sum(r["kept"] for r in got.values()) >= 198
+
+
+def test_limits_come_from_documents_the_model_has_not_seen(spark):
+    frame = spark.createDataFrame([(i, f"text {i * 7919 % 1000} of some {i}", "en") for i in range(60)], "doc_id bigint, text string, lang string")
+    out = [r["doc_id"] for r in frame.filter(F.pmod(F.xxhash64("doc_id"), F.lit(kn.HELD)) == 0).collect()]
+    got = {r["doc_id"]: r for r in kn.judged(frame, frame.select("doc_id"), quantile=0.5).collect()}
+    logs = sorted(math.log(got[i]["perplexity"]) for i in out)
+    assert got[0]["limit"] == pytest.approx(max(math.exp(sum(logs) / len(logs)), math.exp(logs[(len(logs) - 1) // 2])))
+
+
+def test_limits_of_few_documents_are_wide(spark):
+    scores = [("a", 3.0 + i % 7 / 10, 5.0) for i in range(400)] + [("b", 3.0, 5.0), (None, 3.0, 5.0), (None, 3.1, 5.0)]
+    frame = spark.createDataFrame(scores, "lang string, perplexity double, worst double")
+    got = {r["lang"]: r["limit"] for r in kn.limits(frame, "lang", 0.995, 1.0).collect()}
+    assert 3.6 <= got["a"] < 4.1 < got[None] < got["b"] < 20

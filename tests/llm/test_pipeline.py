@@ -98,10 +98,10 @@ def test_registered_queries(spark, name):
     assert verdict.startswith("ok" if name in queries.SQL else "rows only"), verdict
 
 
-def test_ten_operators_are_registered():
+def test_thirteen_operators_are_registered():
     import __spark_entry__
 
     names = list(__spark_entry__.queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op") and n[2].isdigit()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op") and n[2].isdigit()) == list(range(1, 14))
     assert "pipeline" in names
     assert np.all([callable(s[1]) for s in corpus_pipeline.STAGES]) and quality_rules.SAMPLE
