@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tapewright import sinks
 from tapewright.catalogue import query, standins
 from tapewright.catalogue.coverage import WINDOW_SQL
+from tapewright.catalogue.loads import _article_messages
 from tapewright.catalogue.merges import INSERT_SQL, KEY_PART, STORED, UPSERT_SQL, WEEK, _bar_parts
 from tapewright.catalogue.standins import sql
 from tapewright.operators import merge
@@ -16,7 +17,7 @@ from tapewright.plans import loads
 from tapewright.session import shared_folder
 from tapewright.sinks import store
 from tapewright.sources.tables import parquet
-from tapewright.streaming import feeds
+from tapewright.streaming import feeds, windows
 
 
 def _table_stream(spark, sf, name):
@@ -135,3 +136,112 @@ def stream_weekly_counts(spark, sf):
     out, mark = _folders(spark, "weeks", "checkpoint")
     feeds.count_weeks(_table_stream(spark, sf, "events"), "ts", "event_type", out, mark)
     return feeds.week_counts(spark, "event_type", out)
+
+
+def _streamed_articles(spark, sf):
+    """Documents as articles in three files; the whole feed ingested, and asked for more when there is none."""
+    source, table, docs, rejects, mark = _folders(spark, "articles", "news", "documents", "rejects", "checkpoint")
+    messages = _article_messages(spark, sf)
+    third = F.pmod(F.crc32(F.col("value").cast("binary")), F.lit(3))
+    for n in range(3):
+        messages.filter(third == n).coalesce(1).write.mode("append").text(source)
+    for _ in range(2):
+        feeds.ingest(feeds.file_stream(spark, source, files_per_trigger=1), "news", table, mark, docs, rejects)
+    return table, docs, rejects
+
+
+@query("stream_news", """
+SELECT CAST(doc_id AS VARCHAR) AS url, substring(t, 1, 500) AS title, md5(t) AS whole_title, md5(text) AS body,
+       CAST(length(text) AS INTEGER) AS content_length
+FROM (SELECT doc_id, text, trim(string_split(text, chr(10))[1], ' ') AS t FROM documents)
+WHERE doc_id % 11 <> 3 AND doc_id % 7 > 0 AND doc_id % 5 > 0""")
+def stream_news(spark, sf):
+    """The streamed feed keeps bodies and whole titles in its documents, cut titles in its table."""
+    table, docs, _ = _streamed_articles(spark, sf)
+    whole = loads.articles(spark, docs).select(
+        "url", F.md5(F.col("title").cast("binary")).alias("whole_title"), F.md5(F.col("content").cast("binary")).alias("body"), "content_length")
+    return loads.table(spark, table, "news").select("url", "title").join(whole, "url")
+
+
+@query("stream_rejects", """
+SELECT CASE WHEN doc_id % 11 = 3 THEN 'undecodable' ELSE 'incomplete' END AS reason, COUNT(*) AS n
+FROM documents WHERE doc_id % 11 = 3 OR doc_id % 7 = 0 OR doc_id % 5 = 0 GROUP BY 1""")
+def stream_rejects(spark, sf):
+    """What the streamed feed could not use, message by message, with the reason."""
+    _, _, rejects = _streamed_articles(spark, sf)
+    return feeds.rejected(spark, rejects).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _dated(rows, day, folder, key):
+    """A feed published in two files: the second has what is newer, and some of the last weeks of the first, late."""
+    middle = rows.select(F.expr(f"cast(percentile_approx({day}, 0.5) as date)")).first()[0]
+    late = (F.col(day) >= F.date_sub(F.lit(middle), 20)) & (F.pmod(F.xxhash64(key), F.lit(10)) == 0)
+    first = (F.col(day) < F.lit(middle)) & ~late
+    end = str(rows.select(F.date_add(F.max(day), 90)).first()[0])
+    for part in (rows.filter(first), rows.filter(~first)):
+        part.coalesce(1).write.mode("append").parquet(folder)
+    return end
+
+
+def _beat(rows, day, end, folder):
+    windows.heartbeat(rows, day, end).coalesce(1).write.mode("append").parquet(folder)
+
+
+@query("stream_stream_window", sql(WINDOW_SQL.format(n=7) + """
+SELECT accession_number, filed_at, news_count, min_days_apart FROM covered""", "filings", "news"))
+def stream_stream_window(spark, sf):
+    """Both feeds streamed and joined by day while they run, with late rows on both sides, in two runs."""
+    a, b, out, mark = _folders(spark, "filings-in", "news-in", "met", "checkpoint")
+    filings = standins.filing_facts(spark, sf).select("accession_number", "filed_at")
+    news = standins.news(spark, sf).select("url", "date_only")
+    ends = _dated(filings, "filed_at", a, "accession_number"), _dated(news, "date_only", b, "url")
+
+    def run():
+        streams = [feeds.file_stream(spark, f, rows.schema, "parquet", files_per_trigger=1) for f, rows in ((a, filings), (b, news))]
+        feeds.to_parquet(windows.near_days(*streams, "filed_at", "date_only", "accession_number", "url", 7, "30 days"), out, mark)
+
+    run()
+    # The feeds go quiet: heartbeats close the last days, in a run that goes on from the state of the first.
+    _beat(filings, "filed_at", max(ends), a)
+    _beat(news, "date_only", max(ends), b)
+    run()
+    met = spark.read.schema("accession_number string, day date, n bigint, days_apart int").parquet(out)
+    return windows.coverage(filings, met, "accession_number")
+
+
+def _windowed(spark, sf, watched):
+    """A windowed report over the orders of all customers' segments, streamed in two files and closed by a heartbeat."""
+    source, out, mark = _folders(spark, "orders-in", "windows", "checkpoint")
+    rows = standins.filings(spark, sf).select(F.col("sector").alias("ticker"), "filed_at", "accession_number")
+    end = _dated(rows, "filed_at", source, "accession_number")
+
+    def run():
+        found = watched(feeds.file_stream(spark, source, rows.schema, "parquet", files_per_trigger=1))
+        feeds.to_parquet(found, out, mark)
+        return spark.read.schema(found.schema).parquet(out)
+
+    run()
+    _beat(rows, "filed_at", end, source)
+    return run()
+
+
+@query("stream_bursts", sql("""
+WITH d AS (SELECT sector AS ticker, filed_at AS day, COUNT(*) AS n FROM filings GROUP BY 1, 2),
+c AS (
+  SELECT ticker, day,
+    SUM(n) OVER (PARTITION BY ticker ORDER BY day RANGE BETWEEN INTERVAL 6 DAYS PRECEDING AND CURRENT ROW) AS n,
+    COALESCE(SUM(n) OVER (PARTITION BY ticker ORDER BY day RANGE BETWEEN INTERVAL 7 DAYS PRECEDING AND INTERVAL 1 DAYS PRECEDING), 0) AS b
+  FROM d),
+m AS (SELECT CAST(ROUND(COUNT(*) / 5 / 2404 * 7) AS BIGINT) AS at_least FROM filings)
+SELECT ticker, day, CAST(n AS BIGINT) AS n FROM c, m WHERE n >= at_least AND b < at_least""", "filings"))
+def stream_bursts(spark, sf):
+    """Alerts on segments that reach about their mean of filings in a sliding week, once each time."""
+    at_least = round(parquet(spark, sf, "orders").count() / 5 / 2404 * 7)
+    return _windowed(spark, sf, lambda rows: windows.bursts(rows, "filed_at", "ticker", at_least))
+
+
+@query("stream_weekly_windows", sql("""
+SELECT CAST(date_trunc('week', filed_at) AS DATE) AS week_start, sector AS ticker, COUNT(*) AS n FROM filings GROUP BY 1, 2""", "filings"))
+def stream_weekly_windows(spark, sf):
+    """Weeks as windows that close when the watermark passes them."""
+    return _windowed(spark, sf, lambda rows: windows.weeks(rows, "filed_at", "ticker"))

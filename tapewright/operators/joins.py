@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tapewright.functions import dates, strings
 from tapewright.operators.dedupe import top_n_per_key
@@ -187,6 +187,61 @@ def interval_tag(
     return df.withColumn(label, F.explode_outer(F.transform(inside, lambda b: b["name"])))
 
 
+# Levels of calendar nodes; a node is as long as eight of the level below.
+LEVELS = 11
+
+
+def _nodes(first: Column, last: Column) -> Column:
+    """The fewest nodes that make up the positions from first to last: at each level those beside the next level's."""
+    start, end, going, found = first, last + 1, F.lit(True), []
+
+    def run(a: Column, b: Column, level: int) -> Column:
+        nodes = F.transform(F.sequence(a, b - 1), lambda x: F.struct(F.lit(level).alias("level"), x.alias("node")))
+        return F.when(going & (a < b), nodes).otherwise(F.array().cast("array<struct<level:int,node:bigint>>"))
+
+    for level in range(LEVELS):
+        up, down = F.shiftright(start + 7, 3), F.shiftright(end, 3)
+        higher = (up < down) if level < LEVELS - 1 else F.lit(False)
+        found.append(run(start, F.when(higher, F.shiftleft(up, 3)).otherwise(end), level))
+        found.append(F.when(higher, run(F.shiftleft(down, 3), end, level)).otherwise(F.array().cast("array<struct<level:int,node:bigint>>")))
+        start, end, going = up, down, going & higher
+    return F.concat(*found)
+
+
+def interval_join(
+    df: DataFrame, intervals: DataFrame, at: str, start: str, end: str, labels: Sequence[str], how: str = "left",
+) -> DataFrame:
+    """Each row with the labels of every interval its day or instant is in, ends included.
+
+    A row in several intervals appears once for each; with ``how="left"`` one in
+    none keeps NULLs.  An interval without a start or an end is open there.
+    Times are dates or timestamps, on both sides alike.
+
+    An interval is dealt to a few calendar nodes, each eight times as long as
+    those of the level below, that make it up exactly: at most 14 per level,
+    however long it is.  The distinct times of the rows look for their node at
+    each level, so the join is on equality, a row meets an interval once, and no
+    pair is looked at that is not a match (to the second).  The rows themselves
+    are joined by time last.
+    """
+    day = df.schema[at].dataType.typeName() == "date"
+
+    def place(c: Column) -> Column:
+        return (F.unix_date(c) if day else F.unix_seconds(c.cast("timestamp"))).cast("bigint")
+
+    ends = ("0001-01-01", "9999-12-31")
+    first, last = (F.coalesce(F.col(c), F.lit(e).cast("date" if day else "timestamp")) for c, e in zip((start, end), ends))
+    dealt = intervals.select(
+        F.col(start).alias("_start"), F.col(end).alias("_end"), F.struct(*labels).alias("_labels"), place(first).alias("_first"), place(last).alias("_last"))
+    dealt = dealt.filter("_first <= _last").select("_start", "_end", "_labels", F.inline(_nodes(F.col("_first"), F.col("_last"))))
+    times = df.select(F.col(at).alias("_time")).filter("_time IS NOT NULL").distinct()
+    nodes = [F.struct(F.lit(i).alias("level"), F.shiftright(place(F.col("_time")), 3 * i).alias("node")) for i in range(LEVELS)]
+    met = times.select("_time", F.inline(F.array(*nodes))).join(dealt, ["level", "node"])
+    within = F.coalesce(F.col("_time") >= F.col("_start"), F.lit(True)) & F.coalesce(F.col("_time") <= F.col("_end"), F.lit(True))
+    found = met.filter(within).select("_time", "_labels")
+    return df.join(found, F.col(at) == F.col("_time"), how).select(*df.columns, "_labels.*")
+
+
 def lookup(df: DataFrame, dim: DataFrame, key: str, dim_key: str | None = None, how: str = "inner") -> DataFrame:
     """Join a dictionary on its key without regard to case.
 

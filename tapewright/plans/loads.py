@@ -162,21 +162,35 @@ def filing_texts(spark: SparkSession, path: str) -> DataFrame:
     return found.withColumn("text_chars", F.length("full_text").cast("bigint"))
 
 
-def load_news(spark: SparkSession, messages: DataFrame, path: str, documents: str, rejects: str | None = None) -> Run:
-    """Metadata to the table, whole articles to the documents."""
+# Key, fields and last step of the feeds whose whole records are documents.
+DOCUMENTS = {
+    "news": ("url", article_schema, merge.with_content_fields),
+    "filings": ("accession_number", filing_schema, lambda rows: rows),
+}
 
-    def both(rows: DataFrame) -> None:
-        _insert(spark, rows, path, "news")
-        store.append_documents(spark, documents, article_schema(), merge.with_content_fields(rows), "url")
 
-    return _run(spark, messages, "news", rejects, both)
+def keep_documents(spark: SparkSession, rows: DataFrame, path: str, feed: str, run: str | None = None) -> None:
+    key, schema, ready = DOCUMENTS[feed]
+    store.append_documents(spark, path, schema(), ready(rows), key, run=run)
 
 
-def load_filings(spark: SparkSession, messages: DataFrame, path: str, documents: str, rejects: str | None = None) -> Run:
-    """Metadata to the table, texts to the documents (an empty text keeps the stored one)."""
+def keep_both(
+    spark: SparkSession, rows: DataFrame, feed: str, path: str, documents: str | None = None, run: str | None = None,
+) -> None:
+    """Clean rows of a feed to its table and, where it has them, whole records to the documents."""
+    if feed == "prices":
+        upsert_bars(spark, rows, path)
+    else:
+        _insert(spark, rows, path, feed)
+    if documents is not None:
+        keep_documents(spark, rows, documents, feed, run)
 
-    def both(rows: DataFrame) -> None:
-        _insert(spark, rows, path, "filings")
-        store.append_documents(spark, documents, filing_schema(), rows, "accession_number")
 
-    return _run(spark, messages, "filings", rejects, both)
+def load_news(spark: SparkSession, messages: DataFrame, path: str, documents: str, rejects: str | None = None) -> Run:
+    """Metadata to the table, whole articles to the documents."""
+    return _run(spark, messages, "news", rejects, lambda rows: keep_both(spark, rows, "news", path, documents))
+
+
+def load_filings(spark: SparkSession, messages: DataFrame, path: str, documents: str, rejects: str | None = None) -> Run:
+    """Metadata to the table, texts to the documents (an empty text keeps the stored one)."""
+    return _run(spark, messages, "filings", rejects, lambda rows: keep_both(spark, rows, "filings", path, documents))

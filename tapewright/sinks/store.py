@@ -133,21 +133,25 @@ def _with_version(schema: T.StructType) -> T.StructType:
 
 def append_documents(
     spark: SparkSession, path: str, schema: T.StructType, batch: DataFrame, key: str,
-    order: Sequence[str | Column] | None = None,
+    order: Sequence[str | Column] | None = None, run: str | None = None,
 ) -> None:
     """Add the batch's documents as the newest version of their keys.
 
     No stored document is read or rewritten, whatever the size of the table.
-    A batch that is run again adds the same version once more.
+    A batch that is run again adds the same version once more, unless ``run``
+    names it: what a run of that name has added is not added again.
     """
     first = dedupe.keep_first(batch.filter(~strings.is_blank(F.col(key).cast("string"))), [key], order)
-    _append(spark, path, first.select(*schema.fieldNames()))
+    _append(spark, path, first.select(*schema.fieldNames()), run)
 
 
-def _append(spark: SparkSession, path: str, rows: DataFrame) -> None:
+def _append(spark: SparkSession, path: str, rows: DataFrame, run: str | None = None) -> None:
     version, folders = live(spark, path)
-    folder = f"{path}/data/{version + 1:012d}-{uuid.uuid4().hex[:8]}"
-    rows.withColumn(VERSION, F.lit(version + 1).cast("bigint")).write.parquet(folder)
+    if run and any(f.rsplit("/", 1)[1].split("-", 1)[1] == run for f in folders.get(LOG, [])):
+        return
+    folder = f"{path}/data/{version + 1:012d}-{run or uuid.uuid4().hex[:8]}"
+    # A run that died here may have left files of the same name.
+    rows.withColumn(VERSION, F.lit(version + 1).cast("bigint")).write.mode("overwrite").parquet(folder)
     commit(spark, path, version + 1, {LOG: [*folders.get(LOG, []), folder]})
 
 

@@ -8,17 +8,19 @@ goes on where this one stopped.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
-from tapewright import schemas, sinks
+from tapewright import schemas
 from tapewright.functions import dates
-from tapewright.operators import clean, joins
+from tapewright.operators import joins
 from tapewright.operators.dedupe import keep_first, salt
 from tapewright.plans import loads
+from tapewright.session import shared_folder
 from tapewright.sinks import store
 
 SALTS = 16
@@ -90,24 +92,56 @@ def dedupe(
     return marked.dropDuplicatesWithinWatermark(list(keys))
 
 
-def ingest(stream: DataFrame, feed: str, path: str, checkpoint: str) -> None:
+REJECTS = T.StructType([
+    T.StructField("value", T.StringType()), T.StructField("reason", T.StringType()), T.StructField("batch_id", T.LongType())])
+
+
+def ingest(
+    stream: DataFrame, feed: str, path: str, checkpoint: str, documents: str | None = None, rejects: str | None = None,
+) -> None:
     """Clean rows of a feed, once per natural key, in a keyed table (``loads.table`` reads it).
 
     Each micro-batch is screened and cleaned as in batch and inserted where its
     keys are absent.  Nothing depends on a clock: a row is kept however late it
     comes, also one without a load time, and a copy of a stored key adds
-    nothing whenever it comes.  A batch that is replayed adds nothing either.
+    nothing whenever it comes.  News and filings also keep their whole records
+    in ``documents``, and what could not be used is kept in ``rejects`` with
+    the reason (``rejected`` reads it).
+
+    A batch that is replayed adds nothing to any of the three: keys are there
+    already, a document log has the batch by its name, and rejects of a batch
+    replace themselves.
     """
+    if documents is not None and feed not in loads.DOCUMENTS:
+        raise ValueError(f"{feed} has no documents")
 
-    def each(batch: DataFrame, _: int) -> None:
-        spec = loads.FEEDS[feed]
-        rows = loads.screened(batch, feed).filter("reason IS NULL").drop("_value", "reason")
-        table = clean.conform(keep_first(rows, schemas.NATURAL_KEY[feed]), spec.table, clip=sinks.CLIPPED)
-        store.insert_new(batch.sparkSession, path, loads.relaxed(spec.table), table, schemas.NATURAL_KEY[feed], spec.part)
+    def each(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        rows, stage = loads.screened(batch, feed), shared_folder(spark, feed)
+        rows.write.parquet(stage)
+        stored = spark.read.schema(loads.relaxed(rows.schema)).parquet(stage)
+        if rejects is not None:
+            refused = stored.filter("reason IS NOT NULL").select(
+                F.col("_value").alias("value"), "reason", F.lit(batch_id).cast("bigint").alias("batch_id"))
+            _replace_batch(refused, rejects)
+        unique = keep_first(stored.filter("reason IS NULL").drop("_value", "reason"), schemas.NATURAL_KEY[feed])
+        run = f"{hashlib.md5(checkpoint.encode()).hexdigest()[:8]}-{batch_id}"
+        loads.keep_both(spark, unique, feed, path, documents, run)
+        store.release(spark, stage)
 
     to_batches(stream, each, checkpoint)
 
 
+def rejected(spark: SparkSession, path: str) -> DataFrame:
+    """What a streamed feed could not use, with the reason."""
+    return spark.read.schema(REJECTS).parquet(path)
+
+
+def _replace_batch(rows: DataFrame, path: str) -> None:
+    """Rows of one micro-batch (``batch_id``) in a folder of their own, which a replay replaces."""
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path)
+
+
 def merge_into(
     spark: SparkSession, stream: DataFrame, path: str, schema: T.StructType, keys: Sequence[str], part: str,
     checkpoint: str,
@@ -148,7 +182,7 @@ def _count_batches(stream: DataFrame, groups: dict[str, Column], path: str, chec
             .agg(F.count(F.lit(1)).alias("n"))
             .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         )
-        counts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path)
+        _replace_batch(counts, path)
 
     to_batches(stream, each, checkpoint)
 

@@ -181,3 +181,41 @@ def test_shared_folder_needs_the_cluster_setting(spark, monkeypatch):
         Cluster.sparkContext.master = master
         with pytest.raises(ValueError):
             session.shared_folder(Cluster, "x")
+
+
+def test_streamed_feed_keeps_rejects_bodies_and_whole_titles(spark, frame, tmp_path):
+    """Stream equals batch for table, documents and rejects; a replayed batch adds nothing to any of them."""
+    import json
+
+    messages = [
+        json.dumps({"url": "u1", "title": "t" * 800, "content": "body " * 200, "published_at": "2024-01-02T00:00:00Z"}),
+        json.dumps({"url": "u2"}), "not json", json.dumps({"title": "no address"}),
+    ]
+    source = tmp_path / "in"
+    frame([(m,) for m in messages], "value string").coalesce(1).write.text(str(source))
+    table, docs, rejects = (str(tmp_path / n) for n in ("table", "docs", "rejects"))
+    for mark in ("mark", "mark"):
+        feeds.ingest(feeds.file_stream(spark, str(source)), "news", table, str(tmp_path / mark), docs, rejects)
+    batch = [str(tmp_path / f"b-{n}") for n in ("table", "docs", "rejects")]
+    loads.load_news(spark, frame([(m,) for m in messages], "value string"), *batch)
+    assert rows(loads.table(spark, table, "news")) == rows(loads.table(spark, batch[0], "news"))
+    assert rows(loads.articles(spark, docs)) == rows(loads.articles(spark, batch[1]))
+    refused = feeds.rejected(spark, rejects)
+    assert rows(refused.drop("batch_id")) == rows(spark.read.parquet(batch[2]))
+    assert refused.count() == 3
+    whole = loads.articles(spark, docs).first()
+    assert len(whole["title"]) == 800 and whole["content"] == "body " * 200
+
+
+def test_replayed_batch_adds_no_second_version(spark, frame, tmp_path):
+    schema = frame([("a", "x")], "k string, t string").schema
+    path = str(tmp_path / "log")
+    for run in ("one-0", "one-0", "one-1", "one-0"):
+        store.append_documents(spark, path, schema, frame([("a", run)], schema), "k", run=run)
+    assert len(store.live(spark, path)[1][store.LOG]) == 2
+    assert rows(store.documents(spark, path, schema, "k")) == [("a", "one-1")]
+
+
+def test_only_feeds_with_documents_take_them(spark, tmp_path):
+    with pytest.raises(ValueError):
+        feeds.ingest(None, "market", str(tmp_path / "a"), str(tmp_path / "b"), str(tmp_path / "c"))
