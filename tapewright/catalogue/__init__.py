@@ -27,5 +27,5 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 def load() -> None:
     """Import every module that registers queries."""
     from tapewright.catalogue import (  # noqa: F401
-        counts, coverage, ingest, loads, merges, pages, runs, scalars, series, streams, texts, ticks,
+        counts, coverage, ingest, loads, merges, pages, runs, scalars, search, series, streams, texts, ticks,
     )

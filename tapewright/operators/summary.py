@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from tapewright.functions import dates, numbers
 
@@ -82,3 +82,34 @@ def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     """The frame with a row count gathered by whatever job writes it."""
     watch = Observation(name)
     return df.observe(watch, F.count(F.lit(1)).alias("rows")), watch
+
+
+# Accuracy of distinct counts: a sketch of 2^12 registers is off by 1.6 % in one case of three.
+SKETCH, SKETCH_ERROR = 12, 1.04 / 2 ** 6
+
+
+def load_state(rows: DataFrame, source: str, load: str, time: str | None = None, distinct: str | None = None, text: str | None = None) -> DataFrame:
+    """What one load adds to the running summary of a source: counts, newest time, text, and a sketch of distinct values."""
+    nothing = F.lit(None)
+    return rows.agg(
+        F.count(F.lit(1)).alias("n"),
+        (F.max(F.col(time).cast("timestamp")) if time else nothing.cast("timestamp")).alias("newest"),
+        (F.coalesce(F.sum(F.length(text)), F.lit(0)) if text else F.lit(0).cast("bigint")).alias("chars"),
+        (F.hll_sketch_agg(distinct, F.lit(SKETCH)) if distinct else nothing.cast("binary")).alias("sketch"),
+    ).select(F.lit(source).alias("source"), F.lit(load).alias("load"), "n", "newest", "chars", "sketch")
+
+
+def keep_state(state: DataFrame, path: str) -> None:
+    """One small row per source and load; a load that runs again replaces its own."""
+    state.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("source", "load").parquet(path)
+
+
+def merged(spark: SparkSession, path: str) -> DataFrame:
+    """Per source: rows, newest time, characters and about how many distinct values, merged from its loads.  No table is read again.
+
+    Counts and times are exact; ``distinct`` is within three times ``SKETCH_ERROR`` but in one case of some hundreds.
+    """
+    states = spark.read.schema("n bigint, newest timestamp, chars bigint, sketch binary, source string, load string").parquet(path)
+    return states.groupBy("source").agg(
+        F.sum("n").alias("rows"), F.max("newest").alias("newest"), F.sum("chars").alias("chars"),
+        F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("distinct"))
