@@ -63,7 +63,7 @@ def _article_messages(spark, sf):
 SELECT CASE WHEN doc_id % 11 = 3 THEN 'undecodable' ELSE 'incomplete' END AS reason, COUNT(*) AS n
 FROM documents WHERE doc_id % 11 = 3 OR doc_id % 7 = 0 OR doc_id % 5 = 0 GROUP BY 1""")
 def load_rejects(spark, sf):
-    """What two runs of a load could not use: each run keeps its own rejects."""
+    """What a run of a load could not use, with the reason."""
     news, docs, rejects = (shared_folder(spark, n) for n in ("news", "documents", "rejects"))
     run = loads.load_news(spark, _article_messages(spark, sf), news, docs, rejects)
     return spark.read.parquet(run.rejects).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))

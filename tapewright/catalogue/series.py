@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from tapewright import dims
 from tapewright.catalogue import query, standins
 from tapewright.catalogue.coverage import BANDS
 from tapewright.catalogue.standins import ALL_TIME, CODES, COLUMNS, EVENT_TYPES, EXACT, sql
@@ -275,3 +276,37 @@ def tiny_and_huge_values(spark, sf):
     both = tiny.withColumnRenamed("value", "tiny").join(huge.withColumnRenamed("value", "huge"), [*keys, "date"])
     return both.join(least, [*keys, "date"]).select(
         *keys, "date", (F.col("tiny") > 0).alias("positive"), "least", F.round(F.col("huge") / 1e9, 3).alias("huge"))
+
+
+# The stand-ins' series under the codes of the overview, and their tickers under those of the listed sectors.
+SNAPSHOT = dict(zip(CODES, dims.SNAPSHOT_LABELS))
+
+
+@query("macro_overview", sql(f"""
+WITH m AS (SELECT CASE series_code {" ".join(f"WHEN '{a}' THEN '{b}'" for a, b in SNAPSHOT.items())} END AS series_code, date, value FROM market),
+r AS (SELECT *, row_number() OVER (PARTITION BY series_code ORDER BY date DESC) AS rn FROM m),
+b AS (SELECT series_code, MAX(value) FILTER (WHERE rn = 1) AS latest, MAX(value) FILTER (WHERE rn = 2) AS prev FROM r WHERE rn <= 2 GROUP BY 1)
+SELECT series_code, CASE series_code {" ".join(f"WHEN '{a}' THEN '{b}'" for a, b in dims.SNAPSHOT_LABELS.items())} END AS label,
+  CASE series_code {" ".join(f"WHEN '{a}' THEN '{b}'" for a, b in dims.SNAPSHOT_UNITS.items())} END AS unit, latest, prev, latest - prev AS change FROM b""", "market"))
+def macro_overview(spark, sf):
+    coded = standins.market(spark, sf).replace(SNAPSHOT, subset=["series_code"])
+    return reports.macro_overview(coded).select("series_code", "label", "unit", "latest", "prev", "change")
+
+
+@query("recession_lines", sql(f"""
+WITH b AS (SELECT * FROM (VALUES {", ".join(f"(DATE '{a}', DATE '{b}', '{c}')" for a, b, c in dims.RECESSIONS)}) t(f, t, recession))
+SELECT series_code, date, value, recession FROM market LEFT JOIN b ON date BETWEEN f AND t WHERE date >= DATE '2000-01-01'""", "market"))
+def recession_lines(spark, sf):
+    return reports.recession_lines(standins.market(spark, sf), CODES, (dims.SERIES_START, ALL_TIME[1]))
+
+
+@query("sector_volume", sql(f"""
+WITH s AS (SELECT unnest({dims.SECTORS["All"]!r}) AS ticker, unnest(range({len(dims.SECTORS["All"])})) AS i),
+p AS (SELECT s.ticker, volume FROM prices JOIN s ON CAST(prices.ticker AS BIGINT) % {len(dims.SECTORS["All"])} = i)
+SELECT ticker, SUM(volume)::BIGINT AS volume, COUNT(*) AS bars FROM p WHERE ticker IN {tuple(dims.SECTORS["Finance"])!r} GROUP BY 1""", "prices"))
+def sector_volume(spark, sf):
+    """Bars of the finance sector; the stand-ins' tickers are dealt to the listed ones."""
+    listed = F.array(*[F.lit(t) for t in dims.SECTORS["All"]])
+    place = (F.col("ticker").cast("bigint") % len(dims.SECTORS["All"])).cast("int")
+    bars = standins.prices(spark, sf).withColumn("ticker", F.get(listed, place))
+    return reports.sector_prices(bars, "Finance").groupBy("ticker").agg(F.sum("volume").alias("volume"), F.count(F.lit(1)).alias("bars"))

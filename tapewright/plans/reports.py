@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tapewright import dims
 from tapewright.dims import CARD_TEXT_CHARS, CARD_TITLE_CHARS
 from tapewright.functions import dates, strings
 from tapewright.functions.text import with_sentiment
@@ -53,6 +54,11 @@ def macro_snapshot(
     })
 
 
+def macro_overview(market: DataFrame) -> DataFrame:
+    """The snapshot of the series of the overview, with their display labels and units."""
+    return macro_snapshot(market, list(dims.SNAPSHOT_LABELS), dims.SNAPSHOT_LABELS, dims.SNAPSHOT_UNITS)
+
+
 def _literal_map(values: dict[str, str] | None, key: str) -> Column:
     if not values:
         return F.lit(None).cast("string")
@@ -90,6 +96,13 @@ def indicator_lines(
     return joins.interval_tag(lines, "date", bands) if bands else lines
 
 
+def recession_lines(market: DataFrame, codes: Sequence[str], period: Range) -> DataFrame:
+    """Points of the chosen series with the recession each day is in (NULL outside)."""
+    bands = dims.literal_frame(
+        market.sparkSession, [(dt.date.fromisoformat(a), dt.date.fromisoformat(b), name) for a, b, name in dims.RECESSIONS], "_from", "_to", "recession")
+    return joins.interval_join(indicator(market, codes, period), bands, "date", "_from", "_to", ["recession"])
+
+
 def newest_points(market: DataFrame, code: str, period: Range, n: int = 500) -> DataFrame:
     return indicator(market, [code], period).orderBy(F.col("date").desc()).limit(n)
 
@@ -97,6 +110,11 @@ def newest_points(market: DataFrame, code: str, period: Range, n: int = 500) ->
 # --- Prices -----------------------------------------------------------------
 
 
+def sector_prices(prices: DataFrame, sector: str, picked: Sequence[str] = ()) -> DataFrame:
+    """Bars of the tickers of a listed sector, or of those picked from it."""
+    return joins.member_filter(prices, dims.sectors_frame(prices.sparkSession), "ticker", "ticker", "sector", sector, picked)
+
+
 def price_rows(prices: DataFrame, tickers: Sequence[str], period: Range) -> DataFrame:
     """Bars of the tickers (none means all) in a period."""
     chosen = _picked(tickers) & between("date", period)

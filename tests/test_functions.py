@@ -149,7 +149,7 @@ def test_dimensions(spark):
     assert dims.series_frame(spark).count() == 39
     assert dims.phrases_frame(spark).count() == 20
     assert dims.sectors_frame(spark).filter("sector = 'Energy'").count() == 3
-    assert rows(dims.snapshot_frame(spark).filter("series_code = 'DFF'")) == [("DFF", "Fed Funds Rate", "%")]
+    assert (dims.SNAPSHOT_LABELS["DFF"], dims.SNAPSHOT_UNITS["DFF"]) == ("Fed Funds Rate", "%")
 
 
 def test_small_dimensions_have_a_known_size(spark):
