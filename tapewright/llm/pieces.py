@@ -275,7 +275,7 @@ def encode(
     that lose the least by their second way.  Those words are searched from the
     end, and their ways are combined.  ``ids`` are unsigned little-endian
     32-bit numbers.  About ``at_once`` characters are looked at together.
-    ``proof`` adds the checksums of the text and of what the ids decode to.
+    ``proof`` adds, to a text's first way, the checksums of the text and of what the ids decode to.
 
     A text has fewer segmentations than ``n`` if its lattice has; a NULL or
     empty text has the one of the space in front.  Of equal scores the earlier
@@ -341,16 +341,13 @@ def _encoded(m: Model, ways, batches: Sequence[pa.RecordBatch], n: int, proof: b
         "doc_id": pa.array(owners, pa.int64()), "rank": pa.array(ranks, pa.int32()),
         "score": pa.array(scores, pa.float64()), "ids": pa.array(ids, pa.binary())}
     if proof:
-        # A text has as many rows as ways; its first has rank one.
-        texts = (zlib.crc32((t.as_py() or "").encode()) for b in batches for t in b.column(1))
-        of_text, crcs = 0, []
-        for rank in ranks:
-            of_text = next(texts) if rank == 1 else of_text
-            crcs.append(of_text)
-        columns["text_crc32"] = pa.array(crcs, pa.int64())
         # The bytes of all pieces but the space in front: checked as they are, whether they are a text or not.
         spelling = [t or b"" for t in m.texts].__getitem__
-        columns["decoded_crc32"] = pa.array([zlib.crc32(b"".join(map(spelling, np.frombuffer(x, "<u4").tolist()))[1:]) for x in ids], pa.int64())
+        texts = (zlib.crc32((t.as_py() or "").encode()) for b in batches for t in b.column(1))
+        first = [rank == 1 for rank in ranks]
+        columns["text_crc32"] = pa.array([next(texts) if one else None for one in first], pa.int64())
+        columns["decoded_crc32"] = pa.array([
+            zlib.crc32(b"".join(map(spelling, np.frombuffer(x, "<u4").tolist()))[1:]) if one else None for one, x in zip(first, ids)], pa.int64())
     return pa.record_batch(columns)
 
 
