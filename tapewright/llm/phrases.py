@@ -21,7 +21,7 @@ RANGE = 1 << 20
 # Words a task counts before it passes its counts on, and a sixteenth of the arcs it holds before it unites them.
 HELD = 1 << 18
 # Words of a shard.
-SHARD = 1 << 21
+SHARD = 1 << 20
 
 # A-Z in lower case, what ends a piece, and the tab as a space.
 ENDS = b".,;:!?\n\x0b\x0c\r"
@@ -289,7 +289,7 @@ def collocations(
     dropped if one with a word more holds it and is as frequent, which is so
     whenever any longer one is.
 
-    Some two million words are a shard: its sorted sequences of words that are
+    Some million words are a shard: its sorted sequences of words that are
     frequent at all make an automaton, cut by ranges of two-word prefixes;
     ranges are united across shards, which adds the counts up, and pruned.  A
     shard sends a sequence once, so neither a frequent word nor a repeated
