@@ -130,3 +130,26 @@ def test_nodes_of_a_long_interval_are_few(spark):
     assert all(a[1] == b[0] for a, b in zip(covered, covered[1:]))
 
 
+
+
+def test_interval_totals_equal_pairs(spark):
+    rng = random.Random(5)
+    micros = lambda: rng.choice([rng.randrange(3_000_000), rng.randrange(40_000_000_000)])
+    bands = [(i, rng.randrange(9), None if i % 11 == 0 else micros()) for i in range(150)]
+    bands = [(i, u, s, None if i % 13 == 0 else (s or 0) + rng.choice([-1, 0, 1, 400_000, 2_000_000, 9_000_000_000])) for i, u, s in bands]
+    data = [(i, None if i % 40 == 0 else rng.choice([micros(), *[x for b in bands for x in b[2:] if x is not None][:60]])) for i in range(200)]
+    moment = lambda us: None if us is None else at(us)
+    totals = {"n": ("count", "band"), "least": ("min", "band"), "most": ("max", "band"), "users": ("sum", "u")}
+    found = {how: joins.interval_totals(
+        spark.createDataFrame([(i, moment(t)) for i, t in data], "i int, t timestamp"),
+        spark.createDataFrame([(i, u, moment(s), moment(e)) for i, u, s, e in bands], "band int, u int, s timestamp, e timestamp"),
+        "t", "s", "e", totals, how) for how in ("inner", "left")}
+    want = []
+    for i, t in data:
+        hit = [(b, u) for b, u, s, e in bands if t is not None and (s is None or s <= t) and (e is None or t <= e)]
+        if hit:
+            want.append((i, len(hit), min(hit)[0], max(hit)[0], sum(u for _, u in hit)))
+    assert rows(found["inner"].drop("t")) == sorted(want, key=repr)
+    empty = [(i, None, None, None, None) for i, _ in data if i not in {w[0] for w in want}]
+    assert empty and rows(found["left"].drop("t")) == sorted(want + empty, key=repr)
+    assert "NestedLoop" not in plan_of(found["inner"])
