@@ -87,7 +87,7 @@ SELECT series_code, date, value, value / first_value(value) {LINE}) * 100 AS reb
 FROM market WHERE {IN_PERIOD}""", "market"))
 def rebase_100(spark, sf):
     rows = reports.indicator(standins.market(spark, sf), CODES, PERIOD)
-    return series.rebase(rows, ["series_code"], "date", "value")
+    return series.rebase(rows, ["series_code"], "date", "value", ieee=True)
 
 
 @query("period_stats", sql(f"""

@@ -92,7 +92,7 @@ def indicator_lines(
     keys = ["series_code"]
     lines = series.rolling_mean(lines, keys, "date", "value", width, exact=exact)
     lines = series.pct_change(lines, keys, "date", "value")
-    lines = series.rebase(lines, keys, "date", "value")
+    lines = series.rebase(lines, keys, "date", "value", ieee=True)
     return joins.interval_tag(lines, "date", bands) if bands else lines
 
 
@@ -130,12 +130,12 @@ def price_table(prices: DataFrame, tickers: Sequence[str], period: Range) -> Dat
 def price_view(
     prices: DataFrame, tickers: Sequence[str], period: Range, measure: str = "close", rebased: bool = False
 ) -> DataFrame:
-    """One measure per ticker and day, as it is or rebased to 100."""
+    """One measure per ticker and day, as it is or rebased to 100 (after a first value of 0: infinities and NaN)."""
     rows = price_rows(prices, tickers, period).select(
         "ticker", "date", series.measure(measure).cast("double").alias("value")
     )
     if rebased:
-        rows = series.rebase(rows, ["ticker"], "date", "value", "value")
+        rows = series.rebase(rows, ["ticker"], "date", "value", "value", ieee=True)
     return rows
 
 

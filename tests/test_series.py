@@ -195,3 +195,10 @@ def test_mean_rank_is_ascending(frame):
 def test_one_per_day_averages_repeated_days(frame):
     df = frame([("a", day("2024-01-01"), 1.0), ("a", day("2024-01-01"), 2.0)], SCHEMA)
     assert rows(series.one_per_day(df, ["k"], "d", "v")) == [("a", day("2024-01-01"), 1.5)]
+
+
+def test_rebase_on_a_first_value_of_zero(frame):
+    data = [("z", day(f"2024-01-0{i}"), v) for i, v in enumerate([0.0, 4.0, -2.0, None], 1)] + [("m", day("2024-01-01"), -0.0), ("m", day("2024-01-02"), 4.0)]
+    got = [r.rebased for r in series.rebase(frame(data, SCHEMA), ["k"], "d", "v", ieee=True).orderBy("k", "d").collect()]
+    assert math.isnan(got[0]) and got[1] == -math.inf
+    assert math.isnan(got[2]) and got[3:] == [math.inf, -math.inf, None]
