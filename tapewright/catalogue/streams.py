@@ -172,15 +172,17 @@ def stream_rejects(spark, sf):
     return feeds.rejected(spark, rejects).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _dated(rows, day, folder, key):
-    """A feed published in two files: the second has what is newer, and some of the last weeks of the first, late."""
-    middle = rows.select(F.expr(f"cast(percentile_approx({day}, 0.5) as date)")).first()[0]
+def _dated(rows, day, key):
+    """A feed in two parts: the second has what is newer, and some of the last weeks of the first, late; and a day after all."""
+    middle, end = rows.select(F.expr(f"cast(percentile_approx({day}, 0.5) as date)"), F.date_add(F.max(day), 90)).first()
     late = (F.col(day) >= F.date_sub(F.lit(middle), 20)) & (F.pmod(F.xxhash64(key), F.lit(10)) == 0)
     first = (F.col(day) < F.lit(middle)) & ~late
-    end = str(rows.select(F.date_add(F.max(day), 90)).first()[0])
-    for part in (rows.filter(first), rows.filter(~first)):
-        part.coalesce(1).write.mode("append").parquet(folder)
-    return end
+    return [rows.filter(first), rows.filter(~first)], str(end)
+
+
+def _put(rows, folder):
+    """Files as they come from the tasks; a run reads all that are new as one batch, so none of a part comes behind its clock."""
+    rows.write.mode("append").parquet(folder)
 
 
 def _beat(rows, day, end, folder):
@@ -190,37 +192,43 @@ def _beat(rows, day, end, folder):
 @query("stream_stream_window", sql(WINDOW_SQL.format(n=7) + """
 SELECT accession_number, filed_at, news_count, min_days_apart FROM covered""", "filings", "news"))
 def stream_stream_window(spark, sf):
-    """Both feeds streamed and joined by day while they run, with late rows on both sides, in two runs."""
+    """Both feeds streamed and joined by day while they run, with late rows on both sides, in three runs."""
     a, b, out, mark = _folders(spark, "filings-in", "news-in", "met", "checkpoint")
     filings = standins.filing_facts(spark, sf).select("accession_number", "filed_at")
     news = standins.news(spark, sf).select("url", "date_only")
-    ends = _dated(filings, "filed_at", a, "accession_number"), _dated(news, "date_only", b, "url")
+    (filed, filed_end), (published, published_end) = _dated(filings, "filed_at", "accession_number"), _dated(news, "date_only", "url")
 
     def run():
-        streams = [feeds.file_stream(spark, f, rows.schema, "parquet", files_per_trigger=1) for f, rows in ((a, filings), (b, news))]
-        feeds.to_parquet(windows.near_days(*streams, "filed_at", "date_only", "accession_number", "url", 7, "30 days"), out, mark)
-
+        streams = [feeds.file_stream(spark, f, rows.schema, "parquet") for f, rows in ((a, filings), (b, news))]
+        feeds.to_parquet(windows.near_filed_days(*streams, "filed_at", "date_only", "accession_number", "url", 7, "30 days"), out, mark)
+
+    for rows, articles in zip(filed, published):
+        _put(rows, a)
+        _put(articles, b)
+        run()
+    # The feeds go quiet: heartbeats close the last days, in a run that goes on from the state of those before.
+    end = max(filed_end, published_end)
+    _beat(filings, "filed_at", end, a)
+    _beat(news, "date_only", end, b)
     run()
-    # The feeds go quiet: heartbeats close the last days, in a run that goes on from the state of the first.
-    _beat(filings, "filed_at", max(ends), a)
-    _beat(news, "date_only", max(ends), b)
-    run()
-    met = spark.read.schema("accession_number string, day date, n bigint, days_apart int").parquet(out)
-    return windows.coverage(filings, met, "accession_number")
+    met = spark.read.schema("filed_day date, day date, n bigint, days_apart int").parquet(out)
+    return windows.day_coverage(filings, met, "filed_at")
 
 
 def _windowed(spark, sf, watched):
-    """A windowed report over the orders of all customers' segments, streamed in two files and closed by a heartbeat."""
+    """A windowed report over the orders of all customers' segments, streamed in two parts and closed by a heartbeat."""
     source, out, mark = _folders(spark, "orders-in", "windows", "checkpoint")
     rows = standins.filings(spark, sf).select(F.col("sector").alias("ticker"), "filed_at", "accession_number")
-    end = _dated(rows, "filed_at", source, "accession_number")
+    parts, end = _dated(rows, "filed_at", "accession_number")
 
     def run():
-        found = watched(feeds.file_stream(spark, source, rows.schema, "parquet", files_per_trigger=1))
+        found = watched(feeds.file_stream(spark, source, rows.schema, "parquet"))
         feeds.to_parquet(found, out, mark)
         return spark.read.schema(found.schema).parquet(out)
 
-    run()
+    for part in parts:
+        _put(part, source)
+        run()
     _beat(rows, "filed_at", end, source)
     return run()
 

@@ -69,6 +69,38 @@ def coverage(filings: DataFrame, met: DataFrame, key: str, count: str = "news_co
     return filings.join(found, key, "left").withColumn(count, F.coalesce(count, F.lit(0).cast("bigint")))
 
 
+def near_filed_days(
+    filings: DataFrame, news: DataFrame, filed_at: str, published_at: str, key: str, news_key: str,
+    n_days: int = 7, delay: str = "30 days",
+) -> DataFrame:
+    """``filed_day, day, n, days_apart``: for every day with filings the days within ``n_days`` of it that have news.
+
+    As ``near_days``, but what waits is the day of the filings, not each of them:
+    both sides are added up by day inside the map tasks before they are state, so
+    the state is 2N+1 rows per calendar day however many filings there are.
+    ``day_coverage`` gives the stored filings what their day has found.
+    """
+    days = day_counts(news, published_at, news_key, delay).filter("n > 0")
+    near = F.explode(F.sequence(F.date_sub("day", n_days), F.date_add("day", n_days)))
+    waiting = day_counts(filings, filed_at, key, delay).filter("n > 0").select(
+        F.col("day").alias("filed_day"), F.col("_day_at").alias("_filed"), near.alias("_near"))
+    reach = F.expr(f"INTERVAL {n_days + 2} DAYS")
+    met = waiting.join(days, (
+        (F.col("_near") == F.col("day")) & (F.col("_day_at") >= F.col("_filed") - reach) & (F.col("_day_at") <= F.col("_filed") + reach)))
+    return met.select("filed_day", "day", "n", F.abs(F.datediff("day", "filed_day")).alias("days_apart"))
+
+
+def day_coverage(filings: DataFrame, met: DataFrame, filed_at: str, count: str = "news_count", gap: str = "min_days_apart") -> DataFrame:
+    """The stored filings with what ``near_filed_days`` has found so far for their day; 0 and NULL where that is nothing.
+
+    At most one row per calendar day is broadcast.  A filing that came behind
+    the watermark has what its day has, if others of that day came in time.
+    """
+    found = met.dropDuplicates(["filed_day", "day"]).groupBy("filed_day").agg(F.sum("n").alias(count), F.min("days_apart").alias(gap))
+    covered = filings.withColumn("filed_day", F.to_date(filed_at)).join(F.broadcast(found), "filed_day", "left")
+    return covered.select(*filings.columns, F.coalesce(count, F.lit(0).cast("bigint")).alias(count), gap)
+
+
 def bursts(stream: DataFrame, time: str, by: str, at_least: int, days: int = 7, delay: str = "30 days") -> DataFrame:
     """``by, day, n``: the days on which a ticker reaches ``at_least`` rows in the ``days`` up to that day.
 

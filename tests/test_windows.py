@@ -111,3 +111,38 @@ def test_a_burst_that_ends_may_come_again(spark, frame, tmp_path):
     _put(frame, source, [(None, dt.date(2024, 6, 1))], "k string, d date")
     feeds.to_parquet(windows.bursts(_stream(spark, source, "k string, d date"), "d", "k", 3, 7, "10 days"), out, mark)
     assert rows(spark.read.parquet(out)) == sorted([("k", day("2024-01-03"), 3), ("k", day("2024-01-22"), 3)], key=repr)
+
+
+def test_days_of_filings_wait_instead_of_filings(spark, frame, tmp_path):
+    a, b, out, mark = tmp_path / "filings", tmp_path / "news", str(tmp_path / "out"), str(tmp_path / "mark")
+    filings, news = [], []
+    for more, articles in (
+            (_days(("f1", "2024-01-10"), ("f2", "2024-01-31"), ("f6", "2024-01-31")), _days(("n1", "2024-01-12"), ("n2", "2024-01-30"))),
+            (_days(("f3", "2024-01-11"), ("f4", "2024-02-20")), _days(("n3", "2024-01-05"), ("n4", "2024-02-27"), ("n5", "2024-01-12"))),
+            (_days(("f5", "2024-02-02"), (None, "2024-06-01")), _days(("n6", "2024-02-09"), (None, "2024-06-01")))):
+        filings.extend(more)
+        news.extend(articles)
+        _put(frame, a, more, FILINGS)
+        _put(frame, b, articles, NEWS)
+        streams = _stream(spark, a, FILINGS), _stream(spark, b, NEWS)
+        feeds.to_parquet(windows.near_filed_days(*streams, "filed", "d", "id", "url", 7, "30 days"), out, mark)
+    stored = frame([f for f in filings if f[0]] + _days(("quiet", "2020-01-01")), FILINGS)
+    met = spark.read.schema("filed_day date, day date, n bigint, days_apart int").parquet(out)
+    want = joins.date_window_count(stored, frame([n for n in news if n[0]], NEWS), "filed", "d", 7)
+    got = windows.day_coverage(stored, met, "filed")
+    assert rows(got) == rows(want.select(*got.columns))
+    # Two filings of a day are one row for each day with news.
+    assert met.groupBy("filed_day", "day").count().filter("count > 1").count() == 0
+
+
+def test_streamed_parts_are_files_of_many_tasks(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from tapewright.catalogue import streams
+    rows_of = spark.range(400).repartition(4).select(F.expr("date_add(DATE '2024-01-01', cast(id % 90 AS int))").alias("d"), "id")
+    (first, second), end = streams._dated(rows_of, "d", "id")
+    for n, part in enumerate((first, second), 1):
+        streams._put(part, str(tmp_path / "in"))
+        assert len(list((tmp_path / "in").glob("part-*"))) == 4 * n
+    assert streams._a_part(spark, str(tmp_path / "in"), 2) == 4
+    assert first.count() + second.count() == 400 and end == "2024-06-28"
