@@ -49,12 +49,39 @@ def keep_first(
     others = [c for c in df.columns if c not in keys]
     if not others:
         return df.dropDuplicates(list(keys))
-    short = sorted((c for c in others if c not in TEXTS), key=lambda c: c != "fetched_at")
-    digests = {f"_digest{i}": F.md5(F.col(c).cast("binary")) for i, c in enumerate(c for c in others if c in TEXTS)}
+    short, digests = _default_order(df.columns, keys)
     ranked = with_rank(df.withColumns(digests), keys, [*short, *digests], "_rank")
     return ranked.filter("_rank = 1").drop("_rank", *digests)
 
 
+def _default_order(columns: Sequence[str], keys: Sequence[str]) -> tuple[list[str], dict[str, Column]]:
+    """Short columns, load time first, and digests of those that hold whole texts."""
+    others = [c for c in columns if c not in keys]
+    short = sorted((c for c in others if c not in TEXTS), key=lambda c: c != "fetched_at")
+    return short, {f"_digest{i}": F.md5(F.col(c).cast("binary")) for i, c in enumerate(c for c in others if c in TEXTS)}
+
+
+# Where a row of a folder of Parquet files is.
+PLACE = ("_file", "_row")
+
+
+def placed(stored: DataFrame) -> DataFrame:
+    """Rows of Parquet files with the place each has."""
+    return stored.withColumns({"_file": F.col("_metadata.file_name"), "_row": F.col("_metadata.row_index")})
+
+
+def later_copies(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Places of the ``placed`` rows that ``keep_first`` would leave out: of texts only digests cross the exchange."""
+    short, digests = _default_order([c for c in rows.columns if c not in PLACE], keys)
+    narrow = rows.select(*keys, *PLACE, *short, *[c.alias(n) for n, c in digests.items()])
+    return with_rank(narrow, keys, [*short, *digests, *PLACE], "_rank").filter("_rank > 1").select(*PLACE)
+
+
+def without_places(rows: DataFrame, places: DataFrame) -> DataFrame:
+    """The ``placed`` rows at no such place; few places are broadcast, so no text is exchanged."""
+    return rows.join(places, list(PLACE), "left_anti").drop(*PLACE)
+
+
 def nth_per_key(
     df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], n: int
 ) -> DataFrame:

@@ -16,8 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from tapewright import schemas, sinks
-from tapewright.operators import clean, merge
-from tapewright.operators.dedupe import keep_first
+from tapewright.operators import clean, dedupe, merge, summary
 from tapewright.schemas import NATURAL_KEY
 from tapewright.session import shared_folder
 from tapewright.sinks import store
@@ -98,21 +97,31 @@ def _run(
     stage = shared_folder(spark, feed)
     rows = screened(messages, feed)
     rows.write.parquet(stage)
-    stored = spark.read.schema(relaxed(rows.schema)).parquet(stage)
+    stored = dedupe.placed(spark.read.schema(relaxed(rows.schema)).parquet(stage))
     counts = {r["reason"]: r["count"] for r in stored.groupBy("reason").count().collect()}
     rejects = rejects or shared_folder(spark, f"{feed}-rejects")
     stored.filter("reason IS NOT NULL").select(F.col("_value").alias("value"), "reason").write.mode("append").parquet(rejects)
-    unique = shared_folder(spark, feed)
-    kept = keep_first(stored.filter("reason IS NULL").drop("_value", "reason"), NATURAL_KEY[feed])
-    kept.write.parquet(unique)
-    clean_rows = spark.read.schema(relaxed(kept.schema)).parquet(unique)
+    clean_rows, dropped, copies = first_stored(spark, stored, feed)
     sink(clean_rows)
-    run = Run(sum(counts.values()), clean_rows.count(), {k: v for k, v in counts.items() if k}, rejects)
+    usable = counts.get(None, 0)
+    run = Run(sum(counts.values()), usable - copies, {k: v for k, v in counts.items() if k}, rejects)
     store.release(spark, stage)
-    store.release(spark, unique)
+    store.release(spark, dropped)
     return run
 
 
+def first_stored(spark: SparkSession, stored: DataFrame, feed: str) -> tuple[DataFrame, str, int]:
+    """The usable rows of a stage (``placed``), one per natural key, beside a folder with the places of the copies left out, and their number.
+
+    The stage is not written once more: whoever uses the rows reads it without the copies.
+    """
+    usable, dropped = stored.filter("reason IS NULL").drop("_value", "reason"), shared_folder(spark, f"{feed}-copies")
+    watched, watch = summary.observed(dedupe.later_copies(usable, NATURAL_KEY[feed]), "copies")
+    watched.write.parquet(dropped)
+    places = spark.read.schema(watched.schema).parquet(dropped)
+    return dedupe.without_places(usable, places), dropped, watch.get["rows"]
+
+
 def _insert(spark: SparkSession, rows: DataFrame, path: str, feed: str) -> None:
     spec = FEEDS[feed]
     table = clean.conform(rows, spec.table, clip=sinks.CLIPPED)
@@ -169,21 +178,21 @@ DOCUMENTS = {
 }
 
 
-def keep_documents(spark: SparkSession, rows: DataFrame, path: str, feed: str, run: str | None = None) -> None:
+def keep_documents(spark: SparkSession, rows: DataFrame, path: str, feed: str, run: str | None = None, unique: bool = False) -> None:
     key, schema, ready = DOCUMENTS[feed]
-    store.append_documents(spark, path, schema(), ready(rows), key, run=run)
+    store.append_documents(spark, path, schema(), ready(rows), key, run=run, unique=unique)
 
 
 def keep_both(
     spark: SparkSession, rows: DataFrame, feed: str, path: str, documents: str | None = None, run: str | None = None,
 ) -> None:
-    """Clean rows of a feed to its table and, where it has them, whole records to the documents."""
+    """Clean rows of a feed, one per natural key, to its table and, where it has them, whole records to the documents."""
     if feed == "prices":
         upsert_bars(spark, rows, path)
     else:
         _insert(spark, rows, path, feed)
     if documents is not None:
-        keep_documents(spark, rows, documents, feed, run)
+        keep_documents(spark, rows, documents, feed, run, unique=True)
 
 
 def load_news(spark: SparkSession, messages: DataFrame, path: str, documents: str, rejects: str | None = None) -> Run:

@@ -30,7 +30,8 @@ def _file_system(spark: SparkSession, path: str):
     return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
 
 
-def _names(spark: SparkSession, path: str) -> list[str]:
+def names(spark: SparkSession, path: str) -> list[str]:
+    """What a folder holds; nothing for one that is not there."""
     fs, target = _file_system(spark, path)
     return sorted(s.getPath().getName() for s in fs.listStatus(target)) if fs.exists(target) else []
 
@@ -43,7 +44,7 @@ def release(spark: SparkSession, path: str) -> None:
 
 def live(spark: SparkSession, path: str) -> tuple[int, dict[str, list[str]]]:
     """The newest version and the folders of each part; 0 and none for a table not yet written."""
-    lists = [n for n in _names(spark, f"{path}/_live") if n.endswith(".json")]
+    lists = [n for n in names(spark, f"{path}/_live") if n.endswith(".json")]
     if not lists:
         return 0, {}
     text = spark.read.text(f"{path}/_live/{lists[-1]}", wholetext=True).first()[0]
@@ -75,14 +76,14 @@ def _stage(spark: SparkSession, batch: DataFrame, part: str) -> tuple[str, list[
     """The batch in the shared folder by part: evaluated once; its parts are known from the folders' names."""
     stage = shared_folder(spark, "stage")
     batch.withColumn(PART, F.expr(part).cast("string")).write.partitionBy(PART).parquet(stage)
-    return stage, [n for n in _names(spark, stage) if n.startswith(f"{PART}=")]
+    return stage, [n for n in names(spark, stage) if n.startswith(f"{PART}=")]
 
 
 def _write(spark: SparkSession, rows: DataFrame, path: str, version: int, part: str) -> dict[str, str]:
     folder = f"{path}/data/{version:012d}-{uuid.uuid4().hex[:8]}"
     # Few files per part; Spark splits a part that is too large for one task.
     rows.withColumn(PART, F.expr(part).cast("string")).hint("rebalance", PART).write.partitionBy(PART).parquet(folder)
-    return {n: f"{folder}/{n}" for n in _names(spark, folder) if n.startswith(f"{PART}=")}
+    return {n: f"{folder}/{n}" for n in names(spark, folder) if n.startswith(f"{PART}=")}
 
 
 def insert_new(
@@ -133,15 +134,17 @@ def _with_version(schema: T.StructType) -> T.StructType:
 
 def append_documents(
     spark: SparkSession, path: str, schema: T.StructType, batch: DataFrame, key: str,
-    order: Sequence[str | Column] | None = None, run: str | None = None,
+    order: Sequence[str | Column] | None = None, run: str | None = None, unique: bool = False,
 ) -> None:
     """Add the batch's documents as the newest version of their keys.
 
     No stored document is read or rewritten, whatever the size of the table.
     A batch that is run again adds the same version once more, unless ``run``
-    names it: what a run of that name has added is not added again.
+    names it: what a run of that name has added is not added again.  A batch
+    with one row per key (``unique``) is written as it is, without an exchange.
     """
-    first = dedupe.keep_first(batch.filter(~strings.is_blank(F.col(key).cast("string"))), [key], order)
+    keyed = batch.filter(~strings.is_blank(F.col(key).cast("string")))
+    first = keyed if unique else dedupe.keep_first(keyed, [key], order)
     _append(spark, path, first.select(*schema.fieldNames()), run)
 
 
@@ -161,13 +164,15 @@ def documents(
     """The newest version of each document; a column in ``keep_if_blank`` has its newest text that is not blank.
 
     Keys and versions are compared first; texts are read for the versions that count.
+    Nothing is newer than the last version, so its rows are not compared and not exchanged.
     """
-    _, folders = live(spark, path)
+    last, folders = live(spark, path)
     log = _rows(spark, folders.get(LOG, []), _with_version(schema))
 
     def newest(rows: DataFrame) -> DataFrame:
         heads = rows.groupBy(key).agg(F.max(VERSION).alias(VERSION))
-        return rows.join(heads, [key, VERSION])
+        older = rows.filter(F.col(VERSION) < last).join(heads, [key, VERSION]).select(*rows.columns)
+        return rows.filter(F.col(VERSION) >= last).unionByName(older)
 
     found = newest(log.drop(*keep_if_blank)).drop(VERSION)
     for column in keep_if_blank:

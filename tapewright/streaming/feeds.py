@@ -15,10 +15,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
-from tapewright import schemas
 from tapewright.functions import dates
 from tapewright.operators import joins
-from tapewright.operators.dedupe import keep_first, salt
+from tapewright.operators.dedupe import placed, salt
 from tapewright.plans import loads
 from tapewright.session import shared_folder
 from tapewright.sinks import store
@@ -119,15 +118,16 @@ def ingest(
         spark = batch.sparkSession
         rows, stage = loads.screened(batch, feed), shared_folder(spark, feed)
         rows.write.parquet(stage)
-        stored = spark.read.schema(loads.relaxed(rows.schema)).parquet(stage)
+        stored = placed(spark.read.schema(loads.relaxed(rows.schema)).parquet(stage))
         if rejects is not None:
             refused = stored.filter("reason IS NOT NULL").select(
                 F.col("_value").alias("value"), "reason", F.lit(batch_id).cast("bigint").alias("batch_id"))
             _replace_batch(refused, rejects)
-        unique = keep_first(stored.filter("reason IS NULL").drop("_value", "reason"), schemas.NATURAL_KEY[feed])
+        unique, dropped, _ = loads.first_stored(spark, stored, feed)
         run = f"{hashlib.md5(checkpoint.encode()).hexdigest()[:8]}-{batch_id}"
         loads.keep_both(spark, unique, feed, path, documents, run)
         store.release(spark, stage)
+        store.release(spark, dropped)
 
     to_batches(stream, each, checkpoint)
 

@@ -73,3 +73,19 @@ def test_whole_titles_in_documents(spark, frame, tmp_path):
     loads.load_news(spark, _messages(frame, schemas.NEWS_WIRE, data), table, docs)
     assert loads.table(spark, table, "news").selectExpr("length(title)").first()[0] == 500
     assert loads.articles(spark, docs).selectExpr("length(title)").first()[0] == 800
+
+
+def test_copies_are_left_out_without_exchanging_texts(spark, frame, tmp_path):
+    from conftest import plan_of
+
+    from tapewright.operators import dedupe
+    data = [("a", "2", "x"), ("a", "1", "z"), ("a", "1", "y"), ("b", "1", "x"), ("b", "1", "x"), ("c", None, None)]
+    rows_in = frame(data, "url string, fetched_at string, content string").repartition(3)
+    rows_in.write.parquet(str(tmp_path / "stage"))
+    stored = dedupe.placed(spark.read.parquet(str(tmp_path / "stage")))
+    places = dedupe.later_copies(stored, ["url"])
+    assert places.count() == 3 and "content" not in places.columns
+    got = dedupe.without_places(stored, places)
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, dedupe.keep_first(rows_in, ["url"]).collect()))
+    places.write.parquet(str(tmp_path / "places"))
+    assert "Exchange hashpartitioning" not in plan_of(dedupe.without_places(stored, spark.read.parquet(str(tmp_path / "places"))))
