@@ -29,29 +29,33 @@ def _folders(spark, *names):
     return [shared_folder(spark, n) for n in names]
 
 
+def _a_part(spark, folder, parts):
+    """Files of a folder per part that was written to it."""
+    return max(1, -(-len([n for n in store.names(spark, folder) if n.startswith("part-")]) // parts))
+
+
 @query("stream_ingest", """
 SELECT CAST(event_id AS VARCHAR) AS series_code, event_type AS series_name, CAST(ts AS DATE) AS date,
        CAST(CAST(value AS DECIMAL(18,6)) AS DOUBLE) AS value
 FROM events WHERE event_type <> 'error'""")
 def stream_ingest(spark, sf):
-    """Messages published twice, a file per trigger, ingested once; those without a value are rejects.
+    """Messages published twice, about a part per trigger, ingested once; those without a value are rejects.
 
-    Some have no load time, and one file has all of a day months after the others.
+    Some have no load time, and one part has all of a day months after the others.
     """
     source, out, mark = _folders(spark, "messages", "market", "checkpoint")
-    wire = parquet(spark, sf, "events").select(
+    late = F.col("event_id") % 97 == 0
+    newest_first = parquet(spark, sf, "events").select(
         F.col("event_id").cast("string").alias("series_code"),
         F.col("event_type").alias("series_name"),
         F.date_format("ts", "yyyy-MM-dd").alias("date"),
         F.when(F.col("event_type") != "error", F.col("value")).alias("value"),
         F.when(F.col("event_id") % 10 > 0, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")).alias("fetched_at"),
+        late.alias("late"),
     )
-    late = F.col("event_id") % 97 == 0
-    events = parquet(spark, sf, "events")
-    newest_first = wire.join(events.select(F.col("event_id").cast("string").alias("series_code"), late.alias("late")), "series_code")
     for rows in (newest_first.filter("NOT late"), newest_first, newest_first.filter("late")):
-        sinks.publish_files(rows.drop("late").coalesce(1), source, "append")
-    feeds.ingest(feeds.file_stream(spark, source, files_per_trigger=1), "market", out, mark)
+        sinks.publish_files(rows.drop("late"), source, "append")
+    feeds.ingest(feeds.file_stream(spark, source, files_per_trigger=_a_part(spark, source, 3)), "market", out, mark)
     return loads.table(spark, out, "market").select("series_code", "series_name", "date", F.col("value").cast("double").alias("value"))
 
 
@@ -139,14 +143,14 @@ def stream_weekly_counts(spark, sf):
 
 
 def _streamed_articles(spark, sf):
-    """Documents as articles in three files; the whole feed ingested, and asked for more when there is none."""
+    """Documents as articles in three parts; the whole feed ingested, and asked for more when there is none."""
     source, table, docs, rejects, mark = _folders(spark, "articles", "news", "documents", "rejects", "checkpoint")
     messages = _article_messages(spark, sf)
     third = F.pmod(F.crc32(F.col("value").cast("binary")), F.lit(3))
     for n in range(3):
-        messages.filter(third == n).coalesce(1).write.mode("append").text(source)
+        messages.filter(third == n).write.mode("append").text(source)
     for _ in range(2):
-        feeds.ingest(feeds.file_stream(spark, source, files_per_trigger=1), "news", table, mark, docs, rejects)
+        feeds.ingest(feeds.file_stream(spark, source, files_per_trigger=_a_part(spark, source, 3)), "news", table, mark, docs, rejects)
     return table, docs, rejects
 
 
