@@ -121,6 +121,17 @@ def test_interval_join_to_the_microsecond_and_without_loops(spark):
     assert "NestedLoop" not in plan_of(found) and "Cartesian" not in plan_of(found)
 
 
+def test_interval_join_writes_an_interval_with_all_rows_of_a_time(spark):
+    day = lambda n: dt.date(2001, 1, 1) + dt.timedelta(days=n)
+    data = spark.createDataFrame([(i, day(i % 3) if i % 10 else None) for i in range(200)], "i int, d date")
+    bands = spark.createDataFrame([(b, day(0), day(b % 2)) for b in range(40)], "band int, s date, e date")
+    got = [(r["d"], r["band"]) for r in joins.interval_join(data, bands, "d", "s", "e", ["band"]).collect()]
+    inside = [x for x in got if x[1] is not None]
+    assert len(inside) == 40 * 60 + 20 * 60 and len(got) - len(inside) == 200 - 120
+    # Runs of equal time and interval are as few as they can be, so the pairs pack well.
+    assert sum(a != b for a, b in zip(inside, [None, *inside])) == len(set(inside)) == 60
+
+
 def test_nodes_of_a_long_interval_are_few(spark):
     from pyspark.sql import functions as F
     frame = spark.range(1).select(F.lit(-719162).cast("bigint").alias("a"), F.lit(2932896).cast("bigint").alias("b"))
