@@ -25,6 +25,8 @@ BROADCAST_IDS = 4_000_000
 WINDOW = 24
 # Characters whose grams a task holds at once.
 CHARS = 1 << 19
+# Scored rows that leave Python at once.
+ROWS_BACK = 256
 
 
 def symbols(text: str | None) -> np.ndarray:
@@ -266,8 +268,10 @@ def scored(
         empty = counts == 0
         perplexity = np.exp(-sums / np.maximum(counts, 1))
         kept = {ROW: rows.column(ROW)} | ({"text": pa.array(texts, pa.string())} if keeps else {})
-        return pa.table(kept | {
+        whole = pa.table(kept | {
             "n_scored": counts, "perplexity": pa.array(perplexity, mask=empty), "worst": pa.array(np.exp(worst), mask=empty)})
+        # Returned in small batches: the JVM holds one at a time.
+        return pa.Table.from_batches(whole.to_batches(ROWS_BACK), whole.schema)
 
     return dealt.groupBy("part").cogroup(known.groupBy("part")).applyInArrow(score, schema)
 

@@ -13,6 +13,8 @@ from tapewright.llm import tokens
 
 # Documents whose ends are packed together.  A block wastes less than one sequence.
 BLOCK = 4096
+# Pieces that leave a task at once: a batch of them is a megabyte at most.
+PIECES = 256
 # Attention costs 4dL per token where the rest of a layer costs 24dd: L / 6d of it.
 WIDTH = 1024
 
@@ -52,8 +54,9 @@ def pack(
     A document is its ids and ``end``.  Whole runs of ``capacity`` ids are a
     sequence each; the rest of a document is packed with the rests of the
     other documents in its block.  A task packs what it reads, so nothing is
-    exchanged, and a block of ids is all it holds.  ``ids`` has the ids as
-    unsigned little-endian 32-bit numbers.
+    exchanged.  Whole runs leave it as they come and ``PIECES`` at a time, so
+    the rests of a block are all it holds, however long documents are.  ``ids``
+    has the ids as unsigned little-endian 32-bit numbers.
 
     A NULL text counts as empty: one piece of the single id ``end``.  Every row
     is packed, also rows with equal, repeated or NULL keys; other columns are
@@ -65,40 +68,54 @@ def pack(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base = TaskContext.get().partitionId() << 40
         used = 0
-        keys, ids = [], []
+        # Of the documents of a block: key, number of ids, and the ids after the last whole run.
+        rests: list[tuple[int | None, int, np.ndarray]] = []
+        made: list[tuple[int | None, int, int, bytes, int, int, int]] = []
 
         def flush() -> pa.RecordBatch:
-            nonlocal used
-            lengths = np.array([len(x) for x in ids])
-            pieces = [(d, s, capacity, 0, 0) for d, n in enumerate(lengths) for s in range(0, n - capacity + 1, capacity)]
-            pieces = [(d, s, n, i, o) for i, (d, s, n, _, o) in enumerate(pieces)]
-            rest = lengths % capacity
-            first = len(pieces)
-            for d, s, n, sequence, offset in assign(rest, capacity, quadratic):
-                pieces.append((d, int(lengths[d] - rest[d]) + s, n, first + sequence, offset))
-            document, start, length, sequence, offset = (np.array(x, "i8") for x in zip(*pieces))
-            out = pa.record_batch({
-                "doc_id": pa.array([keys[d] for d in document], pa.int64()),
-                "start": start,
-                "length": length,
-                "ids": pa.array([ids[d][s:s + n].tobytes() for d, s, n, _, _ in pieces], pa.binary()),
-                "doc_tokens": lengths[document],
-                "sequence_id": base + used + sequence,
-                "offset": offset,
-                "cost": length + quadratic * length * length,
+            key, start, length, ids, doc_tokens, sequence, offset = zip(*made)
+            made.clear()
+            n = np.array(length, "i8")
+            return pa.record_batch({
+                "doc_id": pa.array(key, pa.int64()),
+                "start": np.array(start, "i8"),
+                "length": n,
+                "ids": pa.array(ids, pa.binary()),
+                "doc_tokens": np.array(doc_tokens, "i8"),
+                "sequence_id": base + np.array(sequence, "i8"),
+                "offset": np.array(offset, "i8"),
+                "cost": n + quadratic * n * n,
             })
-            used += int(sequence.max()) + 1
-            keys.clear()
-            ids.clear()
-            return out
+
+        def whole(one: int | None, ids: np.ndarray) -> Iterator[pa.RecordBatch]:
+            nonlocal used
+            rest = len(ids) % capacity
+            for s in range(0, len(ids) - rest, capacity):
+                made.append((one, s, capacity, ids[s:s + capacity].tobytes(), len(ids), used, 0))
+                used += 1
+                if len(made) == PIECES:
+                    yield flush()
+            rests.append((one, len(ids), ids[len(ids) - rest:].copy()))
+
+        def packed() -> Iterator[pa.RecordBatch]:
+            nonlocal used
+            last = used
+            for d, s, n, sequence, offset in assign(np.array([len(r) for _, _, r in rests]), capacity, quadratic):
+                one, total, rest = rests[d]
+                made.append((one, total - len(rest) + s, n, rest[s:s + n].tobytes(), total, used + sequence, offset))
+                last = max(last, used + sequence + 1)
+                if len(made) == PIECES:
+                    yield flush()
+            used = last
+            rests.clear()
 
         for batch in batches:
             for one, string in zip(batch.column(0).to_pylist(), batch.column(1)):
-                keys.append(one)
-                ids.append(np.append(tokens.encode_added(string.as_py(), path), np.uint32(end)).astype("<u4"))
-                if len(ids) == block:
-                    yield flush()
-        if ids:
+                yield from whole(one, np.append(tokens.encode_added(string.as_py(), path), np.uint32(end)).astype("<u4"))
+                if len(rests) == block:
+                    yield from packed()
+        yield from packed()
+        if made:
             yield flush()
 
     return docs.select(F.col(key).cast("bigint"), F.col(text).cast("string")).mapInArrow(

@@ -424,7 +424,8 @@ def clean(docs: DataFrame, text: str = "text", rows: int = SAMPLE, n_chars: str
     A NULL text stays NULL.  A text without a span is not touched.
     """
     trees = train(docs, text, rows)
-    found = _found(boxed(docs, text=F.col(text).cast("string")), trees, True)
+    # The text goes to Python and back once.
+    found = _found(boxed(docs, empty=text, text=F.col(text).cast("string")), trees, True)
 
     def field(c: str):
         if c == text:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import functools
+import json
 import re
 
 import numpy as np
@@ -25,21 +26,29 @@ def byte_pairs(path: str | None = None) -> tiktoken.Encoding:
     )
 
 
+def _file(path: str | None) -> str:
+    return path.removesuffix(".tiktoken") + ".json" if path else public_tokenizers.path("byte_bpe_50k.json")
+
+
 @functools.cache
 def _plain(path: str | None) -> tokenizers.Tokenizer:
-    file = path.removesuffix(".tiktoken") + ".json" if path else public_tokenizers.path("byte_bpe_50k.json")
-    tokenizer = tokenizers.Tokenizer.from_file(file)
+    tokenizer = tokenizers.Tokenizer.from_file(_file(path))
     tokenizer.encode_special_tokens = True
     return tokenizer
 
 
 @functools.cache
-def _whole(path: str | None) -> tuple[tokenizers.Tokenizer, re.Pattern[str] | None]:
-    """The tokenizer as its file has it, and what finds one of its added tokens (None: it has none)."""
-    file = path.removesuffix(".tiktoken") + ".json" if path else public_tokenizers.path("byte_bpe_50k.json")
-    tokenizer = tokenizers.Tokenizer.from_file(file)
-    added = [re.escape(t.content) for t in tokenizer.get_added_tokens_decoder().values()]
-    return tokenizer, re.compile("|".join(added)) if added else None
+def _whole(path: str | None) -> tokenizers.Tokenizer:
+    """The tokenizer as its file has it: some 30 MB, so it is loaded for a text with an added token only."""
+    return tokenizers.Tokenizer.from_file(_file(path))
+
+
+@functools.cache
+def _added(path: str | None) -> re.Pattern[str] | None:
+    """What finds an added token of the tokenizer's file (None: it has none)."""
+    with open(_file(path), encoding="utf-8") as file:
+        added = [re.escape(t["content"]) for t in json.load(file).get("added_tokens") or []]
+    return re.compile("|".join(added)) if added else None
 
 
 # A run of white space this long may exceed the stack of the fast encoder.
@@ -56,7 +65,6 @@ def encode(text: str | None, path: str | None = None) -> np.ndarray:
 
 def encode_added(text: str | None, path: str | None = None) -> np.ndarray:
     """As ``encode``, but a string of an added token is that token's id, as the tokenizer's file has it."""
-    tokenizer, added = _whole(path)
-    if text and added and added.search(text):
-        return np.array(tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
+    if text and (added := _added(path)) and added.search(text):
+        return np.array(_whole(path).encode(text, add_special_tokens=False).ids, dtype="<u4")
     return encode(text, path)

@@ -1,7 +1,9 @@
 import zlib
 from collections import defaultdict
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from awkward import awkward, docs, none  # noqa: F401
 from hypothesis import given, settings, strategies as st
@@ -88,3 +90,43 @@ def test_ids_are_those_of_the_tokenizer(text):
     plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     plain.encode_special_tokens = True
     assert tokens.encode(text).tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
+class Frame:
+    """Stands in for a frame: hands out the function that a task runs."""
+
+    def select(self, *columns):
+        return self
+
+    def mapInArrow(self, run, schema):
+        return run
+
+
+def test_a_task_holds_only_the_rests_of_documents(spark, monkeypatch):
+    """Whole runs leave as they come and in small batches, not with the end of a block of 4,096 documents."""
+    monkeypatch.setattr(packing, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    read = []
+
+    def batches():
+        for i in range(40):
+            read.append(i)
+            yield pa.record_batch({"doc_id": pa.array([i]), "text": pa.array(["word " * 20_000])})
+
+    run = packing.pack(Frame(), capacity=64)
+    out, seen = [], []
+    for batch in run(batches()):
+        out.append(batch)
+        seen.append(len(read))
+    assert seen[0] == 1 and max(b.num_rows for b in out) <= packing.PIECES
+    # Nothing is lost, and every document is cut without a gap.
+    rows = pa.Table.from_batches(out).to_pylist()
+    texts = {i: ["word " * 20_000] for i in range(40)}
+    total, sequences = check(rows, texts, 64)
+    assert sequences == -(-total // 64)
+
+
+def test_the_second_tokenizer_is_loaded_for_added_tokens_only():
+    tokens._whole.cache_clear()
+    tokens.encode_added("ordinary text")
+    assert tokens._whole.cache_info().currsize == 0
+    assert 50256 in tokens.encode_added("a<|endoftext|>b") and tokens._whole.cache_info().currsize == 1
