@@ -18,11 +18,16 @@ BYTES = 1 << 20
 ROWS = 4096
 
 
+def compressed(data: bytes) -> bytes:
+    """Compressed data in memory of its own size; the library's result keeps as much as it was given, and more, for as long as it is held."""
+    return bytes(memoryview(zstandard.compress(data, 1)))
+
+
 def packed(numbers: np.ndarray) -> bytes:
     """Numbers of one type, compressed byte by byte of their places."""
     flat = np.ascontiguousarray(numbers)
     planes = np.ascontiguousarray(flat.view(np.uint8).reshape(len(flat), flat.itemsize).T) if len(flat) else flat
-    return zstandard.compress(planes.tobytes(), 1)
+    return compressed(planes.tobytes())
 
 
 def unpacked(data: bytes, dtype: str) -> np.ndarray:

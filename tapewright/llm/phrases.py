@@ -18,10 +18,12 @@ LEAST = 100
 FIRST = 2000
 # Words of the whole table for one range of prefixes.
 RANGE = 1 << 20
-# Words a task counts before it passes its counts on, and a sixteenth of the arcs it holds before it unites them.
+# Words a task counts before it passes its counts on, and a quarter of the arcs it holds before it unites them.
 HELD = 1 << 18
 # Words of a shard.
 SHARD = 1 << 20
+# Automata of a part that leave a task at once.
+ROWS_BACK = 32
 
 # A-Z in lower case, what ends a piece, and the tab as a space.
 ENDS = b".,;:!?\n\x0b\x0c\r"
@@ -219,7 +221,9 @@ def _shards(ranges: int, longest: int):
         for lang in list(said):
             flush(lang)
         types = (pa.int64(), pa.string(), pa.list_(pa.binary()))
-        return pa.table([pa.array(c, t) for c, t in zip(list(zip(*out)) or [()] * 3, types)], ["range", "lang", "automaton"])
+        whole = pa.table([pa.array(c, t) for c, t in zip(list(zip(*out)) or [()] * 3, types)], ["range", "lang", "automaton"])
+        # Returned in small batches: the JVM holds one at a time.
+        return pa.Table.from_batches(whole.to_batches(ROWS_BACK), whole.schema)
 
     return each
 
@@ -228,11 +232,13 @@ def _united(least: int):
     """The automata of each range and language united and pruned; rows come sorted."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held = None, []
+        key, held, arcs, most = None, [], 0, 4 * HELD
 
         def flush() -> pa.RecordBatch:
+            nonlocal arcs, most
             whole = Automaton.union(held).pruned(least)
             held.clear()
+            arcs, most = 0, 4 * HELD
             return pa.record_batch({
                 "range": pa.array([key[0]], pa.int64()), "lang": pa.array([key[1]], pa.string()), "automaton": pa.array([whole.pack()], pa.list_(pa.binary()))})
 
@@ -242,8 +248,12 @@ def _united(least: int):
                     yield flush()
                 key = (r, lang)
                 held.append(Automaton.unpack(data))
-                if len(held) > 1 and sum(a.arcs() for a in held) > 16 * HELD:
+                arcs += held[-1].arcs()
+                if len(held) > 1 and arcs > most:
                     held[:] = [Automaton.union(held)]
+                    arcs = held[0].arcs()
+                    # What stays apart is united again only when as much has come on top.
+                    most = max(most, 2 * arcs)
         if held:
             yield flush()
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tapewright.catalogue import Query
 from tapewright.llm import chat, clusters, kneser_ney, nearest, packing, phrases, pieces, pii, quality_rules, repeats, revisits, sharding, simhash
-from tapewright.llm.common import small_batches
+from tapewright.llm.common import ROWS_READ, small_batches
 from tapewright.sources.tables import parquet
 
 QUERIES: dict[str, Query] = {}
@@ -278,6 +278,7 @@ SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, a
 FROM d QUALIFY rank <= {phrases.FIRST}
 """)
 def op13_phrases(spark: SparkSession, sf: str) -> DataFrame:
+    spark.conf.set(*ROWS_READ)
     return phrases.collocations(parquet(spark, sf, "documents"))
 
 

@@ -1,8 +1,11 @@
 import random
 import re
+import sys
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 from awkward import awkward, docs, none  # noqa: F401
 
 from tapewright.llm import blocks, phrases
@@ -84,6 +87,36 @@ def test_automata_unite_prune_and_compose():
     assert {tuple(p) for t in range(1, 5) for p in kept.paths(t).tolist()} == {p for p, n in through.items() if len(p) > 1 and n >= 20}
 
 
+def test_packed_numbers_take_memory_of_their_own_size():
+    numbers = np.repeat(np.arange(4000), 32)
+    tracemalloc.start()
+    held = [blocks.packed(numbers) for _ in range(20)]
+    taken = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert (blocks.unpacked(held[0], "<i8") == numbers).all()
+    assert taken < 2 * sum(map(sys.getsizeof, held)) < 20 * numbers.nbytes / 4
+
+
+def test_automata_that_stay_apart_are_united_a_few_times(monkeypatch):
+    """200 automata of two ranges, no sequence twice but one: the arcs of a range pass what a task holds."""
+    monkeypatch.setattr(phrases, "HELD", 16)
+    calls, union = [], phrases.Automaton.union
+    monkeypatch.setattr(phrases.Automaton, "union", lambda parts: calls.append(len(parts)) or union(parts))
+    rows = []
+    for r in range(2):
+        for i in range(100):
+            sorted_rows = np.array([[0, 1, -1], [r + 1, i, 0], [r + 1, i, 1]], np.int64)
+            rows.append((r, "en", phrases.Automaton.of_sorted(sorted_rows, np.array([1, i + 1, 1])).pack()))
+    columns = [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.string(), pa.list_(pa.binary())))]
+    out = pa.Table.from_batches(phrases._united(50)(iter(pa.table(columns, ["range", "lang", "automaton"]).to_batches(7))))
+    assert out.column("range").to_pylist() == [0, 1]
+    for r, data in enumerate(out.column("automaton").to_pylist()):
+        whole = phrases.Automaton.unpack(data)
+        asked = [[0, 1], [r + 1, 60], [r + 1, 60, 0], [r + 1, 60, 1], [r + 1, 20, 0]]
+        assert whole.compose(asked) == [100, 62, 61, 0, 0]
+    assert len(calls) < 16
+
+
 def test_blocks_keep_every_text(docs, spark, monkeypatch):  # noqa: F811
     monkeypatch.setattr(blocks, "BYTES", 50_000)
     from pyspark.sql import functions as F
