@@ -17,11 +17,11 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
-from tapewright.llm.common import ROW, boxed, forget, sample_of, written
+from tapewright.llm.common import ROW, boxed, forget, map_batches, sample_of, written
 
-# Documents whose candidates train the trees; the model sees no more however large the table is.
-SAMPLE = 20_000
 TREES, DEPTH = 20, 4
+# Candidates for one task of a pass over those that train the trees.
+TRAINED = 1 << 16
 # Share of the chosen candidates of the held-out part that must be right.
 PRECISION = 0.95
 
@@ -176,17 +176,19 @@ def form(kind: str, span: str) -> str:
     return kind
 
 
-def limits(margins: np.ndarray, labels: np.ndarray, forms: np.ndarray, precision: float) -> dict[str, float]:
+def limits(margins: np.ndarray, labels: np.ndarray, forms: np.ndarray, precision: float, counts: np.ndarray | None = None) -> dict[str, float]:
     """Per form the margin above which the held-out candidates are right often enough.
 
     It lies midway to the first candidate that stays out; where none does, it is
-    no more than 0, the trees' own boundary.
+    no more than 0, the trees' own boundary.  With ``counts`` a row stands for so
+    many candidates, of which ``labels`` are personal data.
     """
     found = {}
+    counts = np.ones(len(margins), np.int64) if counts is None else counts
     for one in np.unique(forms):
-        m, y = margins[forms == one], labels[forms == one]
+        m, y, n = margins[forms == one], labels[forms == one], counts[forms == one]
         order = np.argsort(-m, kind="stable")
-        m, right = m[order], np.cumsum(y[order]) / np.arange(1, len(m) + 1)
+        m, right = m[order], np.cumsum(y[order]) / np.cumsum(n[order])
         # Equal margins stand or fall together.
         ends = np.flatnonzero(np.append(m[1:] != m[:-1], True) & (right >= precision))
         if len(ends) and y.any():
@@ -310,36 +312,45 @@ def _candidates(docs: DataFrame, text: str) -> DataFrame:
     return docs.select(F.col(text).cast("string")).mapInArrow(run, "kind string, label double, x array<double>, form string, fold int")
 
 
-# Candidates that train and calibrate, at most.
-CANDIDATES = 50_000
+def _margins(held: DataFrame, trees: Trees) -> DataFrame:
+    """``form, margin, n, right``: how many candidates the trees give a margin, and how many of them are personal data."""
 
+    def each(batch: pa.RecordBatch) -> pa.RecordBatch:
+        x = batch.column("x").flatten().to_numpy().reshape(-1, len(FEATURES))
+        return pa.record_batch([batch.column("form"), pa.array(trees.margin(x)), batch.column("label")], ["form", "margin", "label"])
 
-def train(docs: DataFrame, text: str = "text", rows: int = SAMPLE, precision: float = PRECISION) -> Trees | None:
-    """Trees from the ``examples`` of about ``rows`` documents; None if they show one class only.
+    scored = map_batches(held.select("x", "form", "label"), each, "form string, margin double, label double")
+    return scored.groupBy("form", "margin").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("right"))
+
+
+def train(docs: DataFrame, text: str = "text", rows: int | None = None, precision: float = PRECISION) -> Trees | None:
+    """Trees from the ``examples`` of all documents, or of about ``rows``; None if they show one class only.
 
     Three quarters of the documents train the trees, the rest sets a limit for
-    every kind and form and measures what it gives (``Trees.measured``).
+    every kind and form and measures what it gives (``Trees.measured``).  Only
+    the margins that the trees tell apart come to the driver, with their counts.
     """
-    every = written(_candidates(sample_of(docs, rows), text), "candidates")
-    found = written(sample_of(every, CANDIDATES), "chosen")
-    forget(every)
-    seen = {r["label"] for r in found.filter("fold > 0").select("label").distinct().collect()}
+    found = written(_candidates(docs if rows is None else sample_of(docs, rows), text), "candidates")
+    seen = {r["label"]: r["count"] for r in found.filter("fold > 0").groupBy("label").count().collect()}
     if len(seen) < 2:
         return None
     learn = found.filter("fold > 0").select("label", array_to_vector("x").alias("features"))
+    # The trees pass over their rows a hundred times, in few tasks however many files those came in.
+    learn = learn.coalesce(max(16, -(-sum(seen.values()) // TRAINED)))
     model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=1, cacheNodeIds=False).fit(learn)
     trees = Trees(*_arrays(model), limit={}, measured={})
-    test = found.filter("fold = 0").toPandas()  # a quarter of a bounded sample
+    test = _margins(found.filter("fold = 0"), trees).toPandas()
     forget(found)
     if test.empty:
         return None
-    margins, labels, forms = trees.margin(np.stack(test["x"].to_numpy())), test["label"].to_numpy(), test["form"].to_numpy(dtype=str)
-    limit = limits(margins, labels, forms, precision)
+    margins, right, counts, forms = (test[c].to_numpy() for c in ("margin", "right", "n", "form"))
+    forms = forms.astype(str)
+    limit = limits(margins, right, forms, precision, counts)
     measured = {}
     for one in limit:
         its, picked = forms == one, margins >= limit[one]
-        right = float(labels[its & picked].sum())
-        measured[one] = {"n": int(its.sum()), "precision": right / (its & picked).sum(), "recall": right / labels[its].sum()}
+        hits = float(right[its & picked].sum())
+        measured[one] = {"n": int(counts[its].sum()), "precision": hits / counts[its & picked].sum(), "recall": hits / right[its].sum()}
     return dataclasses.replace(trees, limit=limit, measured=measured)
 
 
@@ -407,7 +418,7 @@ def _found(rows: DataFrame, trees: Trees | None, redact: bool) -> DataFrame:
     return rows.mapInArrow(run, schema.add("redacted", "string") if redact else schema)
 
 
-def spans(docs: DataFrame, key: str = "doc_id", text: str = "text", rows: int = SAMPLE) -> DataFrame:
+def spans(docs: DataFrame, key: str = "doc_id", text: str = "text", rows: int | None = None) -> DataFrame:
     """``doc_id, base, spans`` for every row: what the base patterns find, and that with what the trees add.
 
     A NULL or empty text has no spans.  Rows are looked at one by one, so
@@ -418,7 +429,7 @@ def spans(docs: DataFrame, key: str = "doc_id", text: str = "text", rows: int =
     return _found(docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("string")), trees, False)
 
 
-def clean(docs: DataFrame, text: str = "text", rows: int = SAMPLE, n_chars: str | None = "n_chars") -> DataFrame:
+def clean(docs: DataFrame, text: str = "text", rows: int | None = None, n_chars: str | None = "n_chars") -> DataFrame:
     """All rows and columns with the spans replaced in the text by their kinds; ``n_chars`` follows the text.
 
     A NULL text stays NULL.  A text without a span is not touched.

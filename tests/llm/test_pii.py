@@ -1,4 +1,5 @@
 import re
+import zlib
 
 import numpy as np
 from awkward import awkward, docs, none  # noqa: F401
@@ -136,3 +137,24 @@ def test_long_names_of_addresses_are_whole():
     name = "x" * 500
     assert ("email", 0, 500 + len(" (at) site.example")) in pii.proposed(f"{name} (at) site.example")
     assert pii.base_spans(f"{name}@site.example") == [("email", 0, 513)]
+
+
+def test_trees_learn_from_all_documents(spark, monkeypatch):
+    """More documents and candidates than any bounded sample took: all that are held out are measured."""
+    monkeypatch.setattr(pii, "TREES", 2)
+    numbers = ["555-123-{:04d}", "(017) 555 {:04d}", "4{:04d} 201 33 44 1", "2024-05-17 10:33 {:04d}"]
+    texts = [" and ".join(n.format((7 * i + k) % 10_000) for k, n in enumerate(numbers)) + f" for +1 ({i % 700 + 200}) 555-{i % 10_000:04d} in {i}" for i in range(21_000)]
+    trees = pii.train(spark.createDataFrame([(t,) for t in texts], "text string"))
+    held = [x[3] for t in texts if zlib.crc32(t.encode()) % 4 == 0 for x in pii.examples(t)]
+    assert len(texts) > 20_000 and 4 * len(held) > 50_000 and trees.measured
+    assert {f: m["n"] for f, m in trees.measured.items()} == {f: held.count(f) for f in trees.measured}
+
+
+def test_limits_of_counts_equal_those_of_rows():
+    rng = np.random.default_rng(1)
+    margins, labels, forms = rng.integers(-5, 6, 500) / 4, rng.random(500) < 0.9, rng.choice(["card", "phone"], 500)
+    keys, at = np.unique(np.array([f"{f} {m}" for f, m in zip(forms, margins)]), return_inverse=True)
+    met = {k: i for i, k in enumerate(at)}
+    rows = np.array([met[k] for k in range(len(keys))])
+    got = pii.limits(margins[rows], np.bincount(at, labels), forms[rows], 0.9, np.bincount(at))
+    assert got == pii.limits(margins, labels, forms, 0.9) != {}
