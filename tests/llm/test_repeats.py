@@ -3,6 +3,7 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from awkward import awkward, docs, none  # noqa: F401
 
@@ -135,3 +136,40 @@ def test_equal_strings_have_equal_anchors(monkeypatch, at_once):
             assert where.setdefault(texts[i][p:p + 50], (h, place - p)) == (h, place - p)
             strings += 1
     assert strings == sum(max(0, len(t) - 49) for t in texts)
+
+
+def _rows_of_blocks(n, texts):
+    """Blocks of one part, each with some texts, as they come to a task."""
+    for seq in range(n):
+        its = texts(seq)
+        yield {"part": 3, "seq": seq, "keys": [100 * seq + i for i in range(len(its))], "ours": list(range(len(its))),
+               "sizes": blocks.packed(np.array([len(t) for t in its], np.int64)), "texts": blocks.compressed(b"".join(its))}
+
+
+def test_grams_are_dealt_by_bundles_not_by_blocks():
+    """Blocks times groups would grow with the square of the table."""
+    rng = np.random.default_rng(5)
+    common = bytes(rng.integers(97, 123, 80, dtype=np.uint8))
+    rows = list(_rows_of_blocks(2 * repeats.BUNDLE, lambda seq: [bytes(rng.integers(97, 123, 900, dtype=np.uint8)) + common for _ in range(4)]))
+    batches = pa.Table.from_pylist(rows).cast(pa.schema([
+        ("part", pa.int32()), ("seq", pa.int32()), ("keys", pa.list_(pa.int64())), ("ours", pa.list_(pa.int32())), ("sizes", pa.binary()), ("texts", pa.binary())])).to_batches(5)
+    dealt = pa.Table.from_batches(repeats._gathered(10, 50)(iter(batches)))
+    assert dealt.num_rows == 2 * 10 and set(dealt.column("bundle").to_pylist()) == {0, 1}
+    met = pa.Table.from_batches(repeats._shared(iter(dealt.sort_by("grp").to_batches(3))))
+    # What the texts share is told to both bundles, and nothing else.
+    of = [np.concatenate([np.frombuffer(r["shared"], "<u4") for r in met.to_pylist() if r["bundle"] == b]) for b in (0, 1)]
+    inside = set((repeats.anchored([common])["hash"] & np.uint64(0xFFFFFFFF)).tolist())
+    assert inside and inside <= set(of[0].tolist()) == set(of[1].tolist()) and len(of[0]) < 20
+
+
+def test_nested_repeats_come_as_one_stretch():
+    """Ten texts that agree for ever longer: each loses one stretch of its segment, however many repeats make it up."""
+    whole = bytes(np.random.default_rng(6).integers(97, 123, 80, dtype=np.uint8))
+    segments = [whole[:n] + bytes([65 + i]) * (80 - n) for i, n in enumerate(range(52, 72, 2))] + [whole]
+    n = len(segments)
+    table = pa.table({
+        "gram": pa.array([7] * n), "segment": pa.array(segments), "least": pa.array(range(n), pa.int64()), "most": pa.array(range(n), pa.int64()),
+        "part": pa.array([0] * n, pa.int32()), "seq": pa.array([0] * n, pa.int32()), "places": pa.array([np.array([i, 0], "<i4").tobytes() for i in range(n)])})
+    out = pa.Table.from_batches(repeats._grouped(50, False)(iter(table.to_batches()))).to_pylist()
+    assert sorted((int(np.frombuffer(r["places"], "<i4")[0]), r["start"], r["size"]) for r in out) == [
+        (i, 0, min(50 + 2 * i, 70)) for i in range(1, n)]
