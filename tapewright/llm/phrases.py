@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import itertools
 from collections import Counter, defaultdict
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tapewright.llm import blocks
-from tapewright.llm.blocks import packed, unpacked
 from tapewright.llm.common import forget, written
 
 LONGEST = 5
@@ -43,6 +44,36 @@ def range_of(first: np.ndarray, second: np.ndarray, ranges: int) -> np.ndarray:
     return ((mixed ^ mixed >> np.uint64(30)) % np.uint64(ranges)).astype(np.int64)
 
 
+class Dealt:
+    """How sequences are dealt to ranges: by their first two words, or by three where both are very frequent.
+
+    ``ids`` and ``f`` are the words with a count of ``RANGE`` or more, at most as
+    many as there are ranges.  A pair of them may be as frequent as the rarer
+    one, so its sequences are spread by the third word over as many ranges as
+    that could fill, and the weight of the pair itself is the sum over them.
+    """
+
+    def __init__(self, ranges: int, ids: np.ndarray, f: np.ndarray):
+        order = np.argsort(ids)
+        self.each = RANGE
+        self.ranges, self.ids, self.f = ranges, np.asarray(ids, np.int64)[order], np.asarray(f, np.int64)[order]
+
+    def spread(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        """How many ranges more than one the sequences of a pair go to."""
+        if not len(self.ids):
+            return np.zeros(len(first), np.int64)
+        at = [np.minimum(np.searchsorted(self.ids, x), len(self.ids) - 1) for x in (first, second)]
+        f1, f2 = (np.where(self.ids[i] == x, self.f[i], 0) for i, x in zip(at, (first, second)))
+        return np.minimum(f1, f2) // self.each
+
+    def ranges_of(self, first: np.ndarray, second: np.ndarray, third: np.ndarray) -> np.ndarray:
+        """The range of sequences; ``third`` is -1 where there is none."""
+        out, more = range_of(first, second, self.ranges), self.spread(first, second)
+        hot = np.flatnonzero(more)
+        out[hot] = (out[hot] + range_of(third[hot], second[hot], 1 << 31) % (more[hot] + 1)) % self.ranges
+        return out
+
+
 class Automaton:
     """A weighted acyclic automaton of word sequences.
 
@@ -92,14 +123,25 @@ class Automaton:
             states = np.split(at, np.cumsum([len(x[1]) for x in own])[:-1])
         return cls(levels)
 
-    def pruned(self, least: int) -> Automaton:
-        """Without arcs of less weight.  No arc has more than the one before it, except that a first word is spread over ranges."""
+    def pairs_spread(self, dealt: Dealt | None) -> np.ndarray:
+        """Which arcs of second words are of pairs whose weight is spread over ranges."""
+        before, label, _ = self.levels[1]
+        return dealt.spread(self.levels[0][1][before], label) > 0 if dealt else np.zeros(len(label), bool)
+
+    def pruned(self, least: int, dealt: Dealt | None = None) -> Automaton:
+        """Without arcs of less weight.  No arc has more than the one before it, except that a first word, and some pairs, are spread over ranges."""
         levels, kept = [], None
         for t, (before, label, weight) in enumerate(self.levels):
-            keep = np.ones(len(label), bool) if t == 0 else (weight >= least) & (kept[before] >= 0)
+            enough = weight >= least
+            if t == 1:
+                enough |= self.pairs_spread(dealt)
+            keep = np.ones(len(label), bool) if t == 0 else enough & (kept[before] >= 0)
             levels.append((before[keep] if kept is None else kept[before[keep]], label[keep], weight[keep]))
             kept = np.where(keep, np.cumsum(keep) - 1, -1)
-        return Automaton(levels)
+        # A first word that nothing follows any more leads nowhere.  Every range has most words as first ones.
+        (before, label, weight), (after, *rest) = levels[:2]
+        firsts, after = np.unique(after, return_inverse=True)
+        return Automaton([(before[firsts], label[firsts], weight[firsts]), (after, *rest), *levels[2:]])
 
     def paths(self, t: int) -> np.ndarray:
         """The words that lead through each arc of a level, one row each."""
@@ -124,12 +166,24 @@ class Automaton:
         return sum(len(x) for _, x, _ in self.levels)
 
     def pack(self) -> list[bytes]:
-        return [packed(x) for before, label, weight in self.levels for x in (np.diff(before, prepend=0), label, weight)]
+        """All columns compressed as one, each in as few bytes a number as it needs."""
+        columns = [x for before, label, weight in self.levels for x in (np.diff(before, prepend=0), label, weight)]
+        sizes = [next((n for n in (1, 2, 4) if -(1 << 8 * n - 1) <= x.min() and x.max() < 1 << 8 * n - 1), 8) if len(x) else 1 for x in columns]
+        head = np.array([len(columns), *itertools.chain(*((len(x), n) for x, n in zip(columns, sizes)))], "<u4")
+        planes = [x.astype(f"<i{n}").view(np.uint8).reshape(len(x), n).T.tobytes() for x, n in zip(columns, sizes)]
+        return [blocks.compressed(b"".join([head.tobytes(), *planes]))]
 
     @classmethod
     def unpack(cls, data: list[bytes]) -> Automaton:
-        columns = [unpacked(x, "<i8") for x in data]
-        return cls([(np.cumsum(columns[i]), columns[i + 1], columns[i + 2]) for i in range(0, len(columns), 3)])
+        whole = np.frombuffer(zstandard.decompress(data[0]), np.uint8)
+        n = int(whole[:4].view("<u4")[0])
+        head = whole[4:4 + 8 * n].view("<u4").tolist()
+        columns, at = [], 4 + 8 * n
+        for length, size in zip(head[::2], head[1::2]):
+            planes = whole[at:at + length * size].reshape(size, length)
+            columns.append(np.ascontiguousarray(planes.T).view(f"<i{size}").reshape(-1).astype(np.int64))
+            at += length * size
+        return cls([(np.cumsum(columns[i]), columns[i + 1], columns[i + 2]) for i in range(0, n, 3)])
 
 
 def sequences(ids: np.ndarray, longest: int) -> np.ndarray:
@@ -145,12 +199,13 @@ def sequences(ids: np.ndarray, longest: int) -> np.ndarray:
     return rows
 
 
-def shard(ids: np.ndarray, names: np.ndarray, ranges: int, longest: int) -> Iterator[tuple[int, Automaton]]:
+def shard(ids: np.ndarray, names: np.ndarray, dealt_by: Dealt, longest: int) -> Iterator[tuple[int, Automaton]]:
     """The automaton of one shard for each range of prefixes, from its sorted sequences.  ``names`` ascends."""
     rows = sequences(ids, longest)
     if not len(rows):
         return
-    dealt = range_of(names[rows[:, 0]], names[rows[:, 1]], ranges)
+    third = np.where(rows[:, 2] >= 0, names[rows[:, 2]], -1) if longest > 2 else np.full(len(rows), -1)
+    dealt = dealt_by.ranges_of(names[rows[:, 0]], names[rows[:, 1]], third)
     order = np.lexsort((*rows.T[::-1], dealt))
     rows, dealt = rows[order], dealt[order]
     new = np.ones(len(rows), bool)
@@ -194,7 +249,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from flush()
 
 
-def _shards(ranges: int, longest: int):
+def _shards(dealt: Dealt, longest: int):
     """The automata of every block of a part.  ``known``: the frequent words of the part with their numbers."""
 
     def each(key: tuple, held: pa.Table, known: pa.Table) -> pa.Table:
@@ -209,7 +264,7 @@ def _shards(ranges: int, longest: int):
 
         def flush(lang: str) -> None:
             ids = np.concatenate(said.pop(lang))
-            out.extend((r, lang, a.pack()) for r, a in shard(ids, names[lang][1], ranges, longest))
+            out.extend((r, lang, a.pack()) for r, a in shard(ids, names[lang][1], dealt, longest))
 
         for _, _, lang, words in _by_language(held):
             if lang in names:
@@ -228,7 +283,7 @@ def _shards(ranges: int, longest: int):
     return each
 
 
-def _united(least: int):
+def _united(least: int, dealt: Dealt | None = None):
     """The automata of each range and language united and pruned; rows come sorted."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -236,7 +291,7 @@ def _united(least: int):
 
         def flush() -> pa.RecordBatch:
             nonlocal arcs, most
-            whole = Automaton.union(held).pruned(least)
+            whole = Automaton.union(held).pruned(least, dealt)
             held.clear()
             arcs, most = 0, 4 * HELD
             return pa.record_batch({
@@ -260,22 +315,31 @@ def _united(least: int):
     return run
 
 
-def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``lang, path, along``: every phrase of two words or more, and the counts of its beginnings from two words on."""
-    for batch in batches:
-        for lang, data in zip(batch.column("lang").to_pylist(), batch.column("automaton").to_pylist()):
-            automaton = Automaton.unpack(data)
-            for t in range(1, len(automaton.levels)):
-                if not len(automaton.levels[t][1]):
-                    continue
-                at, along = np.arange(len(automaton.levels[t][1])), []
-                for before, _, weight in reversed(automaton.levels[1:t + 1]):
-                    along.append(weight[at])
-                    at = before[at]
-                paths = automaton.paths(t)
-                yield pa.record_batch({
-                    "lang": pa.array([lang] * len(paths), pa.string()), "path": pa.array(list(paths), pa.list_(pa.int64())),
-                    "along": pa.array(list(np.stack(along[::-1], axis=1)), pa.list_(pa.int64()))})
+def _candidates(dealt: Dealt):
+    """``lang, path, along, spread``: every phrase of two words or more, and the counts of its beginnings from two words on.
+
+    ``spread``: the first two words' count is that of one range of several.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lang, data in zip(batch.column("lang").to_pylist(), batch.column("automaton").to_pylist()):
+                automaton = Automaton.unpack(data)
+                pairs = automaton.pairs_spread(dealt)
+                for t in range(1, len(automaton.levels)):
+                    if not len(automaton.levels[t][1]):
+                        continue
+                    at, along = np.arange(len(automaton.levels[t][1])), []
+                    for n in range(t, 0, -1):
+                        before, _, weight = automaton.levels[n]
+                        along.append(weight[at])
+                        at, pair = before[at], at
+                    paths = automaton.paths(t)
+                    yield pa.record_batch({
+                        "lang": pa.array([lang] * len(paths), pa.string()), "path": pa.array(list(paths), pa.list_(pa.int64())),
+                        "along": pa.array(list(np.stack(along[::-1], axis=1)), pa.list_(pa.int64())), "spread": pa.array(pairs[pair])})
+
+    return run
 
 
 def _looked_up(key, asked: pa.Table, automata: pa.Table) -> pa.Table:
@@ -300,10 +364,11 @@ def collocations(
     whenever any longer one is.
 
     Some million words are a shard: its sorted sequences of words that are
-    frequent at all make an automaton, cut by ranges of two-word prefixes;
+    frequent at all make an automaton, cut by ranges of two-word prefixes, or of
+    three where a pair of words could fill several ranges (``Dealt``);
     ranges are united across shards, which adds the counts up, and pruned.  A
-    shard sends a sequence once, so neither a frequent word nor a repeated
-    passage gathers in a task, and no prefix is known outside its range.  All
+    shard sends a sequence once, so neither a frequent word or pair nor a repeated
+    passage gathers in a task, and no prefix but such a pair is known outside its range.  All
     counts are exact.
 
     NULL texts count as empty, a NULL language as ``und``.  An empty table gives
@@ -320,17 +385,32 @@ def collocations(
     ranges = max(1, -(-int(total.agg(F.sum("n")).first()[0] or 0) // RANGE))
     forget(said)
     known = told.select("lang", "word", "id", "f").distinct()
+    often = known.filter(F.col("f") >= RANGE).select("id", "f").collect()
+    dealt = Dealt(ranges, [r["id"] for r in often], [r["f"] for r in often])
 
     # Blocks lie in buckets by part, so only the words move.
     shards = held.groupBy("part").cogroup(told.select("part", "lang", "word", "id").groupBy("part"))
-    made = shards.applyInArrow(_shards(ranges, longest), "range bigint, lang string, automaton array<binary>")
+    made = shards.applyInArrow(_shards(dealt, longest), "range bigint, lang string, automaton array<binary>")
     united = written(made.repartition("range", "lang").sortWithinPartitions("range", "lang").mapInArrow(
-        _united(least), "range bigint, lang string, automaton array<binary>"), "automata")
+        _united(least, dealt), "range bigint, lang string, automaton array<binary>"), "automata")
     forget(held)
     known = written(known, "known")
     forget(told)
 
-    found = written(united.mapInArrow(_candidates, "lang string, path array<bigint>, along array<bigint>"), "candidates")
+    found = written(united.mapInArrow(_candidates(dealt), "lang string, path array<bigint>, along array<bigint>, spread boolean"), "candidates")
+    pairs = None
+    if often:
+        # The counts of pairs that were spread are added up, and stand for the one of a range wherever it is named.
+        pair = F.slice("path", 1, 2).alias("pair")
+        pairs = found.filter("spread AND size(path) = 2").groupBy("lang", pair).agg(F.sum(F.get("along", F.lit(0))).alias("whole")).filter(F.col("whole") >= least)
+        pairs = written(pairs, "pairs")
+        longer = found.filter("spread AND size(path) > 2").select("lang", "path", "along", pair).join(pairs, ["lang", "pair"])
+        longer = longer.select("lang", "path", F.concat(F.array("whole"), F.expr("slice(along, 2, size(along))")).alias("along"))
+        found = found.filter("NOT spread").select("lang", "path", "along").union(longer).union(
+            pairs.select("lang", "pair", F.array("whole")))
+        found = written(found, "whole-candidates")
+    else:
+        found = found.drop("spread")
     found = found.withColumn("a", F.element_at("along", -1))
     cuts = found.select("lang", "path", "a", "along", F.explode(F.sequence(F.lit(1), F.size("path") - 1)).alias("k"))
     cuts = cuts.withColumn("rest", F.slice("path", F.col("k") + 1, F.size("path") - F.col("k")))
@@ -341,14 +421,21 @@ def collocations(
             rests = batch.column("rest")
             ends = rests.offsets.to_numpy()
             flat = rests.values.to_numpy(zero_copy_only=False)
-            dealt = range_of(flat[ends[:-1]], flat[ends[:-1] + 1], ranges)
-            yield pa.record_batch([pa.array(dealt), batch.column("lang"), rests], ["range", "lang", "rest"])
-
-    dealt = asked.mapInArrow(ranged, "range bigint, lang string, rest array<bigint>")
-    longer = dealt.groupBy("range", "lang").cogroup(united.groupBy("range", "lang")).applyInArrow(
+            first, second = flat[ends[:-1]], flat[ends[:-1] + 1]
+            has_third = np.diff(ends) > 2
+            third = np.where(has_third, flat[np.minimum(ends[:-1] + 2, len(flat) - 1)], -1)
+            # Pairs that are spread have been added up.
+            its = pa.array(np.flatnonzero(has_third | (dealt.spread(first, second) == 0)))
+            yield pa.record_batch([pa.array(dealt.ranges_of(first, second, third)), batch.column("lang"), rests], ["range", "lang", "rest"]).take(its)
+
+    placed = asked.mapInArrow(ranged, "range bigint, lang string, rest array<bigint>")
+    longer = placed.groupBy("range", "lang").cogroup(united.groupBy("range", "lang")).applyInArrow(
         _looked_up, "lang string, rest array<bigint>, r bigint")
     single = known.select("lang", F.array("id").alias("rest"), F.col("f").alias("r"))
-    parts = cuts.join(longer.union(single), ["lang", "rest"])
+    counted = longer.union(single)
+    if pairs is not None:
+        counted = counted.union(pairs.select("lang", F.col("pair").alias("rest"), F.col("whole").alias("r")))
+    parts = cuts.join(counted, ["lang", "rest"])
     heads = known.select("lang", F.col("id").alias("head"), F.col("f").alias("f"))
     parts = parts.withColumn("head", F.element_at("path", 1)).join(heads, ["lang", "head"])
     parts = parts.withColumn("l", F.when(F.col("k") == 1, F.col("f")).otherwise(F.get("along", F.col("k") - 2)))

@@ -124,3 +124,31 @@ def test_blocks_keep_every_text(docs, spark, monkeypatch):  # noqa: F811
     out = [(i, t) for r in held.collect() for i, t in zip(r["ids"], blocks.texts_of(r["sizes"], r["texts"]))]
     assert sorted(out, key=str) == sorted(((r[0], (r[1] or "").encode()) for r in awkward()), key=str)
     assert len({(r["part"], r["seq"]) for r in held.collect()}) == held.count() > 2
+
+
+def test_a_frequent_pair_is_spread_over_ranges(spark, monkeypatch):
+    """Half of all pairs are one pair: its sequences gather in no range, and all counts stay exact."""
+    monkeypatch.setattr(phrases, "RANGE", 100)
+    monkeypatch.setattr(blocks, "ROWS", 7)
+    rng = random.Random(8)
+    rows = [(" ".join(rng.choice(["of the", "of the", "the of", rng.choice("abcdefgh")]) for _ in range(60)) + rng.choice([".", " of the"]), "en") for _ in range(60)]
+    frame = spark.createDataFrame(rows, "text string, lang string").repartition(3)
+    for least in (5, 60):
+        assert got(frame, least=least) == slow(rows, least)
+    first, second, third = np.array([1] * 1000), np.array([2] * 1000), np.arange(1000)
+    dealt = phrases.Dealt(64, np.array([2, 1]), np.array([3200, 100_000]))  # RANGE is 100
+    assert set(dealt.spread(first, second)) == {32} and np.bincount(dealt.ranges_of(first, second, third)).max() < 100
+    assert set(phrases.Dealt(64, [2], [3200]).ranges_of(first, second, third)) == set(phrases.range_of(first, second, 64))
+
+
+def test_small_automata_are_packed_as_one():
+    one = phrases.Automaton.of_sorted(np.array([[0, 1, -1], [0, 2, 2 ** 40]], np.int64), np.array([2 ** 33, 3]))
+    assert len(one.pack()) == 1 and len(one.pack()[0]) < 130
+    back = phrases.Automaton.unpack(one.pack())
+    assert all((x == y).all() for a, b in zip(one.levels, back.levels) for x, y in zip(a, b))
+
+
+def test_first_words_that_lead_nowhere_are_pruned():
+    rows = np.array([[w, 3, -1] for w in range(50)], np.int64)
+    kept = phrases.Automaton.of_sorted(rows, np.where(np.arange(50) == 7, 100, 1)).pruned(100)
+    assert kept.arcs() == 2 and kept.compose([[7, 3], [8, 3], [7, 4]]) == [100, 0, 0]
